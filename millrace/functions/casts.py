@@ -19,10 +19,12 @@ def to_decimal(source: Column | str, precision: int = 18, scale: int = 2) -> Col
 
 
 def to_timestamp_ms(source: Column | str) -> Column:
-    """Timestamp without zone, rounded to milliseconds; '' and garbage give NULL."""
-    parsed = _column(source).try_cast("timestamp_ntz")
-    nudged = parsed + F.expr("INTERVAL '0.0005' SECOND")
-    return F.substring(nudged.cast("string"), 1, 23).try_cast("timestamp_ntz")
+    """Timestamp without zone, rounded to milliseconds; '' and garbage give NULL.
+
+    Truncation goes through a zoned timestamp, so it relies on the session zone being UTC.
+    """
+    nudged = _column(source).try_cast("timestamp_ntz") + F.expr("INTERVAL '0.0005' SECOND")
+    return F.date_trunc("MILLISECOND", nudged).cast("timestamp_ntz")
 
 
 def to_type(source: Column | str, type_name: str) -> Column:

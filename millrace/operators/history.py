@@ -120,16 +120,20 @@ def widest_key(history: DataFrame, key: str) -> int:
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, fact_key: str, fact_date: str, key: str,
-               take: Sequence[str], few_versions: int = FEW_VERSIONS) -> DataFrame:
+               take: Sequence[str], versions_per_key: int | None = None) -> DataFrame:
     """Left join every fact to the version of its key valid on its date; a miss gives NULLs.
 
     With few versions per key this is an equi join with the interval as a residual condition.
-    Beyond ``few_versions`` that would compare each fact of a busy key with its whole history,
+    Beyond ``FEW_VERSIONS`` that would compare each fact of a busy key with its whole history,
     so the distinct (key, date) pairs are resolved by one ordered pass instead and joined back
-    on both columns, which also spreads a busy key over its dates.  Intervals of one key must
-    not overlap.
+    on both columns, which also spreads a busy key over its dates.  ``facts`` is then read twice;
+    hand in a stored frame, or resolve at the coarsest table that has key and date.
+
+    The bound is measured unless the caller knows it.  Intervals of one key must not overlap.
     """
-    if widest_key(history, key) <= few_versions:
+    if versions_per_key is None:
+        versions_per_key = widest_key(history, key)
+    if versions_per_key <= FEW_VERSIONS:
         versions = history.select(F.col(key).alias("_key"), F.col("valid_from").alias("_from"),
                                   F.col("valid_to").alias("_to"), *take)
         within = (

@@ -66,10 +66,11 @@ def broken_edges(edges: DataFrame, columns: DataFrame) -> DataFrame:
 
 def process_edges(jobs: DataFrame) -> DataFrame:
     """``jobs(job, inputs, outputs)`` spread into one row per job, direction and dataset."""
-    def side(name: str, direction: str) -> DataFrame:
-        return jobs.select("job", F.lit(direction).alias("direction"), F.explode(name).alias("dataset"))
+    def tagged(name: str, direction: str):
+        return F.transform(name, lambda d: F.struct(F.lit(direction).alias("direction"), d.alias("dataset")))
 
-    return side("inputs", "input").unionByName(side("outputs", "output")).distinct()
+    ends = F.concat(tagged("inputs", "input"), tagged("outputs", "output"))
+    return jobs.select("job", F.explode(ends).alias("end")).select("job", "end.*").distinct()
 
 
 def dataset_edges(jobs: DataFrame) -> DataFrame:
@@ -83,24 +84,25 @@ def reachable(spark: SparkSession, edges: DataFrame, roots: DataFrame, hops: int
     """``(root, node, hop)``: everything within ``hops`` steps of each root, at its shortest distance.
 
     Breadth first: each step joins only the newest level and drops what was reached before, so
-    cycles end by themselves.  Every level is a written table, which cuts the growing plan and
-    survives lost executors.
+    cycles end by themselves.  The edges and every level are written tables, which keeps the plan
+    from growing and survives lost executors.
     """
     near, far = ("downstream", "upstream") if upstream else ("upstream", "downstream")
-    step = edges.select(F.col(near).alias("node"), F.col(far).alias("_next")).distinct()
     folder = scratch(spark, "reach")
     layout = "root string, node string, hop int"
 
     def level(number: int, df: DataFrame) -> DataFrame:
-        path = f"{folder}/hop={number}"
+        path = f"{folder}/levels/hop={number}"
         df.write.parquet(path)
         return spark.read.schema("root string, node string").parquet(path)
 
+    edges.select(F.col(near).alias("node"), F.col(far).alias("next")).distinct().write.parquet(f"{folder}/edges")
+    step = spark.read.schema("node string, next string").parquet(f"{folder}/edges")
     newest = level(0, roots.select(F.col("node").alias("root"), "node").distinct())
     done = 0
     while done < hops and not newest.isEmpty():
-        seen = spark.read.schema(layout).parquet(folder).select("root", "node")
-        found = newest.join(step, "node").select("root", F.col("_next").alias("node")).distinct()
+        seen = spark.read.schema(layout).parquet(f"{folder}/levels").select("root", "node")
+        found = newest.join(step, "node").select("root", F.col("next").alias("node")).distinct()
         done += 1
         newest = level(done, found.join(seen, ["root", "node"], "left_anti"))
-    return spark.read.schema(layout).parquet(folder).where("hop > 0")
+    return spark.read.schema(layout).parquet(f"{folder}/levels").where("hop > 0")

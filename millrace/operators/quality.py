@@ -122,35 +122,35 @@ def require_passed(results: DataFrame) -> None:
 
 # ---- the five checks every table gets --------------------------------------------------------
 
-def per_key_counts(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
-    return df.groupBy(by, *keys).agg(F.count(F.lit(1)).alias("copies"))
+def per_key_counts(df: DataFrame, keys: Sequence[str], by: str, loaded_at: str) -> DataFrame:
+    """One row per business date and key: copies and the last load time."""
+    return df.groupBy(by, *keys).agg(
+        F.count(F.lit(1)).alias("copies"), F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("last_loaded"))
 
 
 def mandatory(table: str, df: DataFrame, keys: Sequence[str], low: int, high: int, now: datetime,
               today: date, by: str = "load_business_date", loaded_at: str = "loaded_at") -> list[CheckSet]:
-    """Freshness, count, business date, count band and repeated key.
+    """Freshness, count, business date, count band and repeated key, all from per-key counts.
 
-    The business-date check looks at the whole table, whatever day is being loaded.
+    Both sets read the same per-key shuffle, which Spark runs once.  The business-date check looks
+    at the whole table, whatever day is being loaded.
     """
-    count = F.count(F.lit(1))
-    at_now = F.lit(now).cast("timestamp_ntz")
+    per_key = per_key_counts(df, keys, by, loaded_at)
+    count = F.coalesce(F.sum("copies"), F.lit(0))
     daily = (
         Check("SLA_VALIDATION", f"hours since {table} was last loaded",
-              hours_between(F.max(F.col(loaded_at).cast("timestamp_ntz")), at_now),
+              hours_between(F.max("last_loaded"), F.lit(now).cast("timestamp_ntz")),
               lambda h: h <= 24.0, expected_2="24"),
         Check("RECORD_COUNT", f"rows of {table}", count, lambda n: n >= 0),
         Check("RECORD_COUNT_THRESHOLD", f"rows of {table} in [{low}, {high}]", count,
               lambda n: n.between(low, high), expected_1=str(low), expected_2=str(high)),
+        Check("DUPLICATE_FEED", f"largest group of one key in {table}",
+              F.coalesce(F.max(F.when(F.col("copies") > 1, F.col("copies"))), F.lit(0))),
     )
+    outside = ~F.col(by).between(F.date_sub(F.lit(today), 1), F.lit(today))
     window = Check("BUSINESS_DATE", f"rows of {table} dated outside yesterday and today",
-                   count_where(~F.col(by).between(F.date_sub(F.lit(today), 1), F.lit(today))))
-    repeats = Check("DUPLICATE_FEED", f"largest group of one key in {table}",
-                    F.coalesce(F.max(F.when(F.col("copies") > 1, F.col("copies"))), F.lit(0)))
-    return [
-        CheckSet(table, df, daily, by),
-        CheckSet(table, df, (window,)),
-        CheckSet(table, per_key_counts(df, keys, by), (repeats,), by),
-    ]
+                   F.coalesce(F.sum(F.when(outside, F.col("copies"))), F.lit(0)))
+    return [CheckSet(table, per_key, daily, by), CheckSet(table, per_key, (window,))]
 
 
 # ---- card checks -------------------------------------------------------------------------------

@@ -74,26 +74,32 @@ REPORT_COLUMNS = [
     "quantity", "sale_unit_price", "discount_pct", "extended_amount"]
 
 
-def build_fact(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+def build_fact(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFrame],
+               versions_per_key: dict[str, int] | None = None) -> DataFrame:
     """Order lines with the surrogate keys valid on their order date.
 
     ``dimensions`` maps a surrogate name to its history; a surrogate left out is not resolved.
-    The store may sit on the line or on the order.
+    A key that sits on the order is resolved there, on fewer rows than the lines; one that sits
+    on the line after the join.  ``versions_per_key`` states bounds the caller knows.
     """
-    order_columns = ["order_id", "order_date", "status"]
-    if "customer_key" in dimensions:
-        order_columns.append("customer_id")
-    if "store_id" not in lines.columns:
-        order_columns.append("store_id")
-    fact = lines.join(orders.select(*order_columns), "order_id")
-    resolved = []
-    for role in ROLES:
-        if role.surrogate in dimensions:
-            fact = as_of_join(fact, dimensions[role.surrogate], role.key, "order_date", role.key, [role.surrogate])
-            resolved.append(role.surrogate)
+    known = versions_per_key or {}
+
+    def resolve(rows: DataFrame, role: Role) -> DataFrame:
+        return as_of_join(rows, dimensions[role.surrogate], role.key, "order_date", role.key,
+                          [role.surrogate], known.get(role.surrogate))
+
+    wanted = [r for r in ROLES if r.surrogate in dimensions]
+    on_line = [r for r in wanted if r.key in lines.columns]
+    on_order = [r for r in wanted if r.key not in lines.columns]
+    heads = orders.select("order_id", "order_date", "status", *[r.key for r in on_order])
+    for role in on_order:
+        heads = resolve(heads, role)
+    fact = lines.join(heads, "order_id")
+    for role in on_line:
+        fact = resolve(fact, role)
     return fact.select(
         F.xxhash64(F.col("order_id").cast("bigint"), F.col("line_no").cast("int")).alias("sales_key"),
-        date_key(F.col("order_date")).alias("date_key"), *resolved,
+        date_key(F.col("order_date")).alias("date_key"), *[r.surrogate for r in wanted],
         "order_id", "line_no", "status", "quantity", "unit_price", "discount_pct",
         F.col("line_amount").alias("extended_amount"), "order_date")
 

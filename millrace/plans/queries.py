@@ -314,24 +314,27 @@ def surrogate_key_properties(spark, sf_dir):
         lines.select(F.lit("lines").alias("what"), "*"))
 
 
-def _lines_with_customer(spark, sf_dir) -> DataFrame:
-    return src.order_items(spark, sf_dir).select("order_id", "line_no", "line_amount").join(
-        src.orders(spark, sf_dir).select("order_id", "customer_id", "order_date"), "order_id")
+def _line_heads(spark, sf_dir, heads: DataFrame) -> DataFrame:
+    return src.order_items(spark, sf_dir).select("order_id", "line_no").join(heads, "order_id")
 
 
 @query
 def point_in_time_join(spark, sf_dir):
-    """Each line with the customer priority valid on its order date."""
-    joined = history.as_of_join(_lines_with_customer(spark, sf_dir), _replayed(spark, sf_dir),
-                                "customer_id", "order_date", "customer_id", ["priority", "valid_from"])
-    return joined.select("order_id", "line_no", "customer_id", "order_date", "priority", "valid_from")
+    """Each line with the customer priority valid on its order date, looked up once per order."""
+    heads = history.as_of_join(
+        src.orders(spark, sf_dir).select("order_id", "customer_id", "order_date"), _replayed(spark, sf_dir),
+        "customer_id", "order_date", "customer_id", ["priority", "valid_from"])
+    return _line_heads(spark, sf_dir, heads).select(
+        "order_id", "line_no", "customer_id", "order_date", "priority", "valid_from")
 
 
 @query
 def current_state_join(spark, sf_dir):
     """Each line with the customer priority of today."""
-    return history.current_join(_lines_with_customer(spark, sf_dir), _replayed(spark, sf_dir),
-                                "customer_id", "customer_id", ["priority"]).select(
+    heads = history.current_join(
+        src.orders(spark, sf_dir).select("order_id", "customer_id", "order_date"), _replayed(spark, sf_dir),
+        "customer_id", "customer_id", ["priority"])
+    return _line_heads(spark, sf_dir, heads).select(
         "order_id", "line_no", "customer_id", "order_date", "priority")
 
 
@@ -349,31 +352,40 @@ STORE = history.Dimension(
     ("region", "channel", "store_name"))
 
 
-def dimension_frames(spark, sf_dir) -> dict[str, DataFrame]:
-    """Histories by surrogate name, lazily; the customer dimension has real versions."""
-    span = src.orders(spark, sf_dir).agg(
-        F.trunc(F.min("order_date"), "YEAR").alias("first"), F.last_day(F.max("order_date")).alias("last"))
-    customer = _replayed(spark, sf_dir).join(src.customers(spark, sf_dir), "customer_id").select(*CUSTOMER.columns)
-    return {
-        "customer_key": customer,
-        "product_key": history.onboard(src.products(spark, sf_dir), PRODUCT),
-        "store_key": history.onboard(src.stores(spark, sf_dir), STORE),
-        "date_key": star.calendar_over(span),
-    }
+def _calendar(spark, sf_dir) -> DataFrame:
+    return star.calendar_over(src.orders(spark, sf_dir).agg(
+        F.trunc(F.min("order_date"), "YEAR").alias("first"), F.last_day(F.max("order_date")).alias("last")))
+
+
+def _customer_history(spark, sf_dir) -> DataFrame:
+    return _replayed(spark, sf_dir).join(src.customers(spark, sf_dir), "customer_id").select(*CUSTOMER.columns)
+
+
+# What is known without measuring: onboarded dimensions have one version, the log has many.
+VERSIONS = {"customer_key": history.FEW_VERSIONS + 1, "product_key": 1, "store_key": 1}
+
+# Surrogate name -> builder; the customer dimension has real versions.
+DIMENSIONS = {
+    "customer_key": _customer_history,
+    "product_key": lambda spark, sf_dir: history.onboard(src.products(spark, sf_dir), PRODUCT),
+    "store_key": lambda spark, sf_dir: history.onboard(src.stores(spark, sf_dir), STORE),
+    "date_key": _calendar,
+}
 
 
 def sales_report(spark, sf_dir, columns: list[str]) -> DataFrame:
     """The wide report with only the dimensions its columns need."""
-    dims = dimension_frames(spark, sf_dir)
-    needed = {r.surrogate: dims[r.surrogate] for r in star.ROLES if set(r.report) & set(columns)}
-    fact = star.build_fact(src.order_items(spark, sf_dir), src.orders(spark, sf_dir), needed)
-    return star.report_view(fact, {**needed, "date_key": dims["date_key"]}, columns)
+    dims = {r.surrogate: DIMENSIONS[r.surrogate](spark, sf_dir)
+            for r in (star.CALENDAR, *star.ROLES) if set(r.report) & set(columns)}
+    keyed_by = {k: d for k, d in dims.items() if k != "date_key"}
+    fact = star.build_fact(src.order_items(spark, sf_dir), src.orders(spark, sf_dir), keyed_by, VERSIONS)
+    return star.report_view(fact, dims, columns)
 
 
 @query
 def dim_date(spark, sf_dir):
     """Calendar over the years the orders span."""
-    return dimension_frames(spark, sf_dir)["date_key"]
+    return _calendar(spark, sf_dir)
 
 
 @query
@@ -519,10 +531,9 @@ def dq_card_reports(spark, sf_dir):
 @query
 def dq_star(spark, sf_dir):
     """Grain, references, reconciliation and version checks of the star."""
-    dims = dimension_frames(spark, sf_dir)
+    dims = {k: _held(spark, DIMENSIONS[k](spark, sf_dir), k) for k in ("customer_key", "product_key", "store_key")}
     orders = src.orders(spark, sf_dir)
-    fact = star.build_fact(src.order_items(spark, sf_dir), orders,
-                           {k: dims[k] for k in ("customer_key", "product_key", "store_key")})
+    fact = star.build_fact(src.order_items(spark, sf_dir), orders, dims, VERSIONS)
     held = _held(spark, fact, "fact")
     sets = [quality.grain_check(held, ["order_id", "line_no"]),
             quality.reference_check(held, ["customer_key", "product_key", "store_key"]),

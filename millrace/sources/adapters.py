@@ -16,8 +16,25 @@ from millrace.operators.keyed import latest_per_key
 MONEY = "decimal(18,2)"
 
 
+# Declared, not inferred: a read then needs no job of its own to look into the files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,12 +126,11 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add("order_date", F.col("days")).alias("_run_date"))
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines as fed; a (order, line) pair may come several times."""
+def _as_items(lineitem: DataFrame) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     price = F.col("l_extendedprice").cast(MONEY)
     discount = F.col("l_discount").cast("decimal(5,4)")
-    return table(spark, sf_dir, "lineitem").select(
+    return lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_id"),
         quantity.alias("quantity"), price.alias("unit_price"), discount.alias("discount_pct"),
@@ -122,10 +138,17 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("updated_at"))
 
 
+def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as fed; a (order, line) pair may come several times."""
+    return _as_items(table(spark, sf_dir, "lineitem"))
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_key(
-        raw_order_items(spark, sf_dir), ["order_id", "line_no"],
-        [F.col("updated_at").desc(), F.col("product_id"), F.col("store_id")])
+    """The latest copy of every line; amounts are worked out only for rows that stay."""
+    lineitem = table(spark, sf_dir, "lineitem").drop("l_tax", "l_returnflag", "l_linestatus")
+    return _as_items(latest_per_key(
+        lineitem, ["l_orderkey", "l_linenumber"],
+        [F.col("l_shipdate").desc(), F.col("l_partkey"), F.col("l_suppkey")]))
 
 
 def priority_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,9 +166,7 @@ def _amount_text():
 
 
 def _time_text(ts):
-    """Millisecond text with a fixed width, so both engines print the same."""
-    return F.rpad(F.substring(F.concat(ts.cast("string"), F.when(F.instr(ts.cast("string"), ".") > 0, "")
-                                       .otherwise("."), F.lit("000")), 1, 23), 23, "0")
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS")
 
 
 def _response_code():

@@ -52,20 +52,22 @@ def daily_feed_path(inbound: str, feed: str, day: date) -> str:
     return f"{inbound}/{feed}_{day:%Y%m%d}.csv"
 
 
-def read_text_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_text_feed(spark: SparkSession, path: str, columns: Sequence[str],
+                   line_breaks: bool = False) -> DataFrame:
     """CSV with a header, every declared column as text; other columns of the file are left out.
 
-    The header decides which column is which, so the declared order need not be the file's.
+    The header decides which column is which, so the declared order need not be the file's; a
+    folder whose files disagree on the header is refused.  ``line_breaks`` allows them inside
+    quotes, at the price of reading each file in one task.
     """
     require_feeds(spark, [path])
-    found = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", False)
-    header = found.csv(path).columns
+    options = {"header": True, "encoding": "UTF-8", "multiLine": line_breaks, "quote": '"', "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
     absent = [c for c in columns if c not in header]
     if absent:
         raise ValueError(f"{path} has no column {', '.join(absent)}")
     return (
-        spark.read.schema(text_schema(header)).option("header", True).option("encoding", "UTF-8")
-        .csv(path).select(*columns)
+        spark.read.schema(text_schema(header)).options(**options, enforceSchema=False).csv(path).select(*columns)
     )
 
 
@@ -121,7 +123,7 @@ def extract_window(df: DataFrame, low: datetime, high: datetime, updated: str =
 def write_text_feed(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """CSV with header, NULL as an empty field, quotes only where needed."""
     writer = (df.write.mode("error").option("header", True).option("nullValue", "").option("emptyValue", "")
-              .option("lineSep", "\n"))
+              .option("lineSep", "\n").option("escape", '"'))
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
