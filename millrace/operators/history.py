@@ -51,16 +51,22 @@ def onboard(current: DataFrame, dim: Dimension, valid_from: date = BEGINNING) ->
 
 
 def merge_day(history: DataFrame, incoming: DataFrame, dim: Dimension, run_date: date) -> DataFrame:
-    """The dimension after one day's feed, in one join of current rows and feed.
+    """The whole dimension after one day's feed."""
+    closed_before = history.where(~F.col("is_current")).select(*dim.columns)
+    return closed_before.unionByName(advance(history.where("is_current"), incoming, dim, run_date))
+
+
+def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: date) -> DataFrame:
+    """Open rows and the rows closed today, from the open rows and one day's feed, in one join.
 
     A changed key closes at ``run_date`` and reopens from it; a key whose open version already
     starts on ``run_date`` is replaced in place, so a second change of one day leaves neither
-    an empty interval nor a repeated surrogate key.  Keys missing from the feed stay open.
+    an empty interval nor a repeated surrogate key.  A change of untracked attributes alone moves
+    nothing.  Keys missing from the feed stay open.
     """
     body = [dim.key, *dim.attributes, "row_hash"]
     dated = [*body, "valid_from", "valid_to", "is_current"]
-    closed_before = history.where(~F.col("is_current")).select(*dated)
-    now = history.where("is_current").select(F.struct(*dated).alias("was"), F.col(dim.key).alias("_was_key"))
+    now = current.select(F.struct(*dated).alias("was"), F.col(dim.key).alias("_was_key"))
     fed = incoming.withColumn("row_hash", content_hash(dim.tracked)).select(
         F.struct(*body).alias("fed"), F.col(dim.key).alias("_fed_key"))
     both = now.join(fed, F.col("_was_key") == F.col("_fed_key"), "full")
@@ -79,8 +85,7 @@ def merge_day(history: DataFrame, incoming: DataFrame, dim: Dimension, run_date:
         .when(F.col("was.valid_from") == F.lit(run_date), F.array(opened))
         .otherwise(F.array(closed, opened))
     )
-    moved = both.select(F.explode(after).alias("v")).select("v.*").select(*dated)
-    return _as_versions(closed_before.unionByName(moved), dim)
+    return _as_versions(both.select(F.explode(after).alias("v")).select("v.*"), dim)
 
 
 def replay(log: DataFrame, dim: Dimension, effective: str, newest_first: Sequence[Column],

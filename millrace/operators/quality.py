@@ -9,7 +9,7 @@ table) bring a frame of that shape, already reduced to one row per key.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 from functools import reduce
 
@@ -33,6 +33,10 @@ def is_zero(value: Column) -> Column:
     return value == 0
 
 
+def is_positive(value: Column) -> Column:
+    return value > 0
+
+
 @dataclass(frozen=True)
 class Check:
     code: str
@@ -51,12 +55,24 @@ class Check:
 
 @dataclass(frozen=True)
 class CheckSet:
-    """Checks that share one frame; ``by`` is the business-date column or None for the whole frame."""
+    """Checks that share one frame.
+
+    With ``by`` every check is answered per business date and the ``whole`` checks once over all
+    dates, from the same scan.  Without it the frame is one group, labelled ``day`` if given, and
+    an empty frame still answers.
+    """
 
     table: str
     frame: DataFrame
     checks: tuple[Check, ...]
     by: str | None = None
+    whole: tuple[Check, ...] = ()
+    day: date | None = None
+
+
+def for_day(sets: Sequence[CheckSet], day: date) -> list[CheckSet]:
+    """The same checks for one day's rows, so that a day without rows is reported too."""
+    return [replace(s, frame=s.frame.where(F.col(s.by) == F.lit(day)), by=None, day=day) if s.by else s for s in sets]
 
 
 def count_where(condition: Column) -> Column:
@@ -99,23 +115,33 @@ def run(sets: Sequence[CheckSet]) -> DataFrame:
     """
     results = []
     for s in sets:
-        errors = {i: _analysis_error(s.frame, c.measure) for i, c in enumerate(s.checks)}
-        values = [(F.lit(None).cast("double") if errors[i] else c.measure).alias(f"_v{i}")
-                  for i, c in enumerate(s.checks)]
-        grouped = s.frame.groupBy(s.by) if s.by else s.frame
-        day = F.col(s.by).cast("date") if s.by else F.lit(None).cast("date")
-        outcomes = F.array(*[_outcome(c, F.col(f"_v{i}"), errors[i]) for i, c in enumerate(s.checks)])
-        # A constant column keeps the aggregate when every measure of the set is an error.
-        results.append(
-            grouped.agg(*values, F.count(F.lit(1)).alias("_rows"))
-            .select(F.lit(s.table).alias("table_name"), day.alias("business_date"), F.explode(outcomes).alias("o"))
-            .select("table_name", "business_date", "o.*"))
+        every = (*s.checks, *s.whole)
+        errors = [_analysis_error(s.frame, c.measure) for c in every]
+        # The count keeps the aggregate when every measure of the set is an error.
+        values = [F.count(F.lit(1)).alias("_rows"), *[
+            (F.lit(None).cast("double") if errors[i] else c.measure).alias(f"_v{i}") for i, c in enumerate(every)]]
+        outcomes = [_outcome(c, F.col(f"_v{i}"), errors[i]) for i, c in enumerate(every)]
+        per_group, overall = outcomes[:len(s.checks)], outcomes[len(s.checks):]
+        if s.by is None:
+            answered, day, shown = s.frame.agg(*values), F.lit(s.day).cast("date"), F.array(*per_group)
+        elif not s.whole:
+            answered, day, shown = s.frame.groupBy(s.by).agg(*values), F.col(s.by).cast("date"), F.array(*per_group)
+        else:
+            answered = s.frame.rollup(s.by).agg(F.grouping(s.by).alias("_total"), *values)
+            day = F.col(s.by).cast("date")
+            shown = F.when(F.col("_total") == 1, F.array(*overall)).otherwise(F.array(*per_group))
+        results.append(answered.select(
+            F.lit(s.table).alias("table_name"), day.alias("business_date"), F.explode(shown).alias("o"),
+        ).select("table_name", "business_date", "o.*"))
     return reduce(DataFrame.unionByName, results)
 
 
 def require_passed(results: DataFrame) -> None:
-    """Raise if any check failed, so nothing downstream publishes."""
-    bad = results.where(F.col("status") != PASSED).select("table_name", "check_code", "status").distinct().collect()
+    """Raise if any check failed or could not run, so nothing downstream publishes.
+
+    A warning is recorded and lets the run go on.
+    """
+    bad = results.where(F.col("status").isin(FAILED, ERROR)).select("table_name", "check_code", "status").distinct().collect()
     if bad:
         raise QualityGateError("; ".join(f"{r.table_name}.{r.check_code} {r.status}" for r in bad))
 
@@ -129,13 +155,13 @@ def per_key_counts(df: DataFrame, keys: Sequence[str], by: str, loaded_at: str)
 
 
 def mandatory(table: str, df: DataFrame, keys: Sequence[str], low: int, high: int, now: datetime,
-              today: date, by: str = "load_business_date", loaded_at: str = "loaded_at") -> list[CheckSet]:
-    """Freshness, count, business date, count band and repeated key, all from per-key counts.
+              today: date, by: str = "load_business_date", loaded_at: str = "loaded_at",
+              day: date | None = None) -> list[CheckSet]:
+    """Freshness, count, count band and repeated key per day, business date over the whole table.
 
-    Both sets read the same per-key shuffle, which Spark runs once.  The business-date check looks
-    at the whole table, whatever day is being loaded.
+    All come from one per-key count of the table.  With ``day`` the daily checks read just that
+    day's rows, and only the business-date check looks at the rest.
     """
-    per_key = per_key_counts(df, keys, by, loaded_at)
     count = F.coalesce(F.sum("copies"), F.lit(0))
     daily = (
         Check("SLA_VALIDATION", f"hours since {table} was last loaded",
@@ -148,9 +174,13 @@ def mandatory(table: str, df: DataFrame, keys: Sequence[str], low: int, high: in
               F.coalesce(F.max(F.when(F.col("copies") > 1, F.col("copies"))), F.lit(0))),
     )
     outside = ~F.col(by).between(F.date_sub(F.lit(today), 1), F.lit(today))
-    window = Check("BUSINESS_DATE", f"rows of {table} dated outside yesterday and today",
-                   F.coalesce(F.sum(F.when(outside, F.col("copies"))), F.lit(0)))
-    return [CheckSet(table, per_key, daily, by), CheckSet(table, per_key, (window,))]
+    text = f"rows of {table} dated outside yesterday and today"
+    if day is not None:
+        per_key = per_key_counts(df.where(F.col(by) == F.lit(day)), keys, by, loaded_at)
+        return [CheckSet(table, per_key, daily, day=day),
+                CheckSet(table, df, (Check("BUSINESS_DATE", text, count_where(outside)),))]
+    window = Check("BUSINESS_DATE", text, F.coalesce(F.sum(F.when(outside, F.col("copies"))), F.lit(0)))
+    return [CheckSet(table, per_key_counts(df, keys, by, loaded_at), daily, by, (window,))]
 
 
 # ---- card checks -------------------------------------------------------------------------------
@@ -239,12 +269,13 @@ KEYS = {
     "card_top_merchants": ["rank"]}
 
 
-def card_mandatory(frames: dict[str, DataFrame], now: datetime, today: date) -> list[CheckSet]:
+def card_mandatory(frames: dict[str, DataFrame], now: datetime, today: date,
+                   day: date | None = None) -> list[CheckSet]:
     """The mandatory checks of the given card tables; stage tables carry the load date."""
     sets: list[CheckSet] = []
     for table, df in frames.items():
         by = "load_business_date" if table in ("card_auth", "card_post") else "txn_date"
-        sets += mandatory(table, df, KEYS[table], *BANDS[table], now=now, today=today, by=by)
+        sets += mandatory(table, df, KEYS[table], *BANDS[table], now=now, today=today, by=by, day=day)
     return sets
 
 
@@ -272,7 +303,7 @@ def reconciliation_check(fact: DataFrame, orders: DataFrame, tolerance: float =
     return CheckSet("fact_sales", both, (
         Check("ORDER_TOTAL_RECONCILED", "orders whose lines do not add up", count_where(off)),
         Check("ORDER_HAS_LINES", "orders without a fact row",
-              count_where(F.col("line_sum").isNull() & F.col("order_total").isNotNull()))))
+              count_where(F.col("line_sum").isNull() & F.col("order_total").isNotNull()), warns=is_positive)))
 
 
 def dimension_checks(table: str, history: DataFrame, key: str, surrogate: str) -> list[CheckSet]:
@@ -282,7 +313,8 @@ def dimension_checks(table: str, history: DataFrame, key: str, surrogate: str) -
     return [
         CheckSet(table, per_key, (
             Check("ONE_CURRENT_ROW", "keys with several current rows", count_where(F.col("current_rows") > 1), field=key),
-            Check("HAS_CURRENT_ROW", "keys without a current row", count_where(F.col("current_rows") == 0), field=key),
+            Check("HAS_CURRENT_ROW", "keys without a current row", count_where(F.col("current_rows") == 0),
+                  warns=is_positive, field=key),
             Check("KEY_PRESENT", "rows without business key", count_where(F.col(key).isNull()), field=key))),
         CheckSet(table, per_surrogate, (
             Check("SURROGATE_UNIQUE", "repeated surrogate keys", count_where(F.col("copies") > 1), field=surrogate),)),
@@ -293,7 +325,7 @@ def dimension_checks(table: str, history: DataFrame, key: str, surrogate: str) -
 
 def definitions(sets: Sequence[CheckSet], owner: str, schema: str) -> list[tuple[str, str, str, str, str]]:
     """(check id, table, code, field, description): what is stable from run to run."""
-    raw = [(s.table, c.code, c.field or "", c.description) for s in sets for c in s.checks]
+    raw = [(s.table, c.code, c.field or "", c.description) for s in sets for c in (*s.checks, *s.whole)]
     return [("urn:li:assertion:" + f"{owner}_{schema}_{t}_{code}".lower(), t, code, f, d) for t, code, f, d in raw]
 
 
