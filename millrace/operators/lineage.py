@@ -39,17 +39,20 @@ def column_edges(columns: DataFrame, edges: DataFrame, explicit: DataFrame) -> D
         .join(width.select(F.col("dataset").alias("upstream"), F.col("width").alias("_up")), "upstream")
     )
 
-    def expand(part: DataFrame, near: str, far: str) -> DataFrame:
-        own = named.withColumnRenamed("dataset", near)
-        other = named.withColumnRenamed("dataset", far)
-        return part.join(own, near).join(other, [far, "column"], "left_semi").select("downstream", "upstream", "column")
-
-    same_name = expand(measured.where("_up <= _down"), "upstream", "downstream").unionByName(
-        expand(measured.where("_up > _down"), "downstream", "upstream"))
-    return same_name.select(
-        "downstream", F.col("column").alias("down_column"), "upstream", F.col("column").alias("up_column"),
-        F.lit(False).alias("is_explicit"),
-    ).unionByName(explicit.select(
+    from_up = F.col("_up") <= F.col("_down")
+    ends = measured.select(
+        F.when(from_up, F.col("upstream")).otherwise(F.col("downstream")).alias("near"),
+        F.when(from_up, F.col("downstream")).otherwise(F.col("upstream")).alias("far"), from_up.alias("from_up"))
+    shared = (
+        ends.join(named.withColumnRenamed("dataset", "near"), "near")
+        .join(named.withColumnRenamed("dataset", "far"), ["far", "column"], "left_semi")
+    )
+    same_name = shared.select(
+        F.when(F.col("from_up"), F.col("far")).otherwise(F.col("near")).alias("downstream"),
+        F.col("column").alias("down_column"),
+        F.when(F.col("from_up"), F.col("near")).otherwise(F.col("far")).alias("upstream"),
+        F.col("column").alias("up_column"), F.lit(False).alias("is_explicit"))
+    return same_name.unionByName(explicit.select(
         "downstream", "down_column", "upstream", "up_column", F.lit(True).alias("is_explicit")))
 
 

@@ -37,6 +37,13 @@ def query(fn: Query) -> Query:
     return prepared
 
 
+def _held(spark, df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table, for work that reads it several times."""
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # ---- feeds -----------------------------------------------------------------------------------
 
 @query
@@ -429,12 +436,10 @@ def revenue_region_channel(spark, sf_dir):
 # ---- cards -----------------------------------------------------------------------------------------
 
 def _reference(spark, sf_dir):
-    """Cards from the customers, merchants from the suppliers, categories from the codes in use."""
-    number = lambda name, column: src.table(spark, sf_dir, name).select(F.col(column).cast("bigint").alias("n"))
-    codes = src.table(spark, sf_dir, "events").select(
-        F.get_json_object("props", "$.k").cast("bigint").alias("n")).where("n > 0").distinct()
+    """Cards from the customers, merchants from the suppliers, the fixed hundred category codes."""
+    number = lambda name, column: src.table(spark, sf_dir, name).select(F.col(column).alias("n"))
     return (cards.card_reference(number("customer", "c_custkey")),
-            cards.merchant_reference(number("supplier", "s_suppkey")), cards.mcc_reference(codes))
+            cards.merchant_reference(number("supplier", "s_suppkey")), cards.mcc_reference(cards.numbers(spark, 100)))
 
 
 def card_transactions(spark, sf_dir) -> DataFrame:
@@ -485,13 +490,6 @@ def card_top_merchants(spark, sf_dir):
 
 # ---- quality ---------------------------------------------------------------------------------------
 
-def _held(spark, df: DataFrame, name: str) -> DataFrame:
-    """The frame as a written table, for checks that read it several times."""
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 RESULT = ["table_name", "business_date", "check_code", "field", "level", "actual", "status", "expected_1", "expected_2"]
 
 
@@ -594,16 +592,21 @@ def process_lineage(spark, sf_dir):
 
 
 def _catalog_of_orders(spark, sf_dir):
-    """Orders as datasets whose columns are their suppliers, derived from the customer's first order."""
+    """Orders as datasets whose columns are their suppliers, derived from the customer's first order.
+
+    A catalog is a stored table, so columns and links are written once.
+    """
     lines = src.table(spark, sf_dir, "lineitem")
     columns = lines.select(_label("order", "l_orderkey").alias("dataset"),
                            _label("supplier", "l_suppkey").alias("column")).distinct()
+    columns = _held(spark, columns, "columns")
     orders = src.table(spark, sf_dir, "orders")
     first = orders.groupBy("o_custkey").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("f")).select(
         "o_custkey", F.col("f.o_orderkey").alias("first_order"))
     linked = orders.join(first, "o_custkey").where("o_orderkey <> first_order").select(
         _label("order", "o_orderkey").alias("downstream"), _label("order", "first_order").alias("upstream"),
         "o_orderstatus")
+    linked = _held(spark, linked, "links")
     explicit = linked.where("o_orderstatus = 'P'").select(
         "downstream", F.lit("total").alias("down_column"), "upstream", F.lit("total").alias("up_column"))
     return columns, linked.select("downstream", "upstream"), explicit
