@@ -59,9 +59,9 @@ def merge_day(history: DataFrame, incoming: DataFrame, dim: Dimension, run_date:
 def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: date) -> DataFrame:
     """Open rows and the rows closed today, from the open rows and one day's feed, in one join.
 
-    A changed key closes at ``run_date`` and reopens from it; a key whose open version already
-    starts on ``run_date`` is replaced in place, so a second change of one day leaves neither
-    an empty interval nor a repeated surrogate key.  A change of untracked attributes alone moves
+    A changed key closes at ``run_date`` and reopens from it; an open version that starts on
+    ``run_date`` or later is replaced in place, so a second change of one day, or a feed run out
+    of order, leaves no empty interval, overlap or repeated surrogate key.  A change of untracked attributes alone moves
     nothing.  Keys missing from the feed stay open.
     """
     body = [dim.key, *dim.attributes, "row_hash"]
@@ -71,19 +71,21 @@ def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: d
         F.struct(*body).alias("fed"), F.col(dim.key).alias("_fed_key"))
     both = now.join(fed, F.col("_was_key") == F.col("_fed_key"), "full")
 
-    opened = F.struct(
-        *[F.col(f"fed.{c}").alias(c) for c in body],
-        F.lit(run_date).alias("valid_from"), F.lit(OPEN_END).alias("valid_to"),
-        F.lit(True).alias("is_current"))
+    def opened(start: Column) -> Column:
+        return F.struct(
+            *[F.col(f"fed.{c}").alias(c) for c in body], start.alias("valid_from"),
+            F.lit(OPEN_END).alias("valid_to"), F.lit(True).alias("is_current"))
+
+    today = F.lit(run_date)
     closed = F.struct(
         *[F.col(f"was.{c}").alias(c) for c in body], F.col("was.valid_from").alias("valid_from"),
-        F.lit(run_date).alias("valid_to"), F.lit(False).alias("is_current"))
+        today.alias("valid_to"), F.lit(False).alias("is_current"))
     untouched = F.col("_fed_key").isNull() | (F.col("was.row_hash") == F.col("fed.row_hash"))
     after = (
-        F.when(F.col("_was_key").isNull(), F.array(opened))
+        F.when(F.col("_was_key").isNull(), F.array(opened(today)))
         .when(untouched, F.array(F.col("was")))
-        .when(F.col("was.valid_from") == F.lit(run_date), F.array(opened))
-        .otherwise(F.array(closed, opened))
+        .when(F.col("was.valid_from") >= today, F.array(opened(F.col("was.valid_from"))))
+        .otherwise(F.array(closed, opened(today)))
     )
     return _as_versions(both.select(F.explode(after).alias("v")).select("v.*"), dim)
 

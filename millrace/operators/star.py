@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,10 +105,17 @@ def build_fact(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFr
         F.col("line_amount").alias("extended_amount"), "order_date")
 
 
+def _missing_key(fact: DataFrame) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(r.surrogate).isNull() for r in ROLES if r.surrogate in fact.columns])
+
+
 def unresolved(fact: DataFrame) -> DataFrame:
     """Fact rows with a NULL dimension key."""
-    keys = [r.surrogate for r in ROLES if r.surrogate in fact.columns]
-    return fact.where(" OR ".join(f"{k} IS NULL" for k in keys))
+    return fact.where(_missing_key(fact))
+
+
+def resolved(fact: DataFrame) -> DataFrame:
+    return fact.where(~_missing_key(fact))
 
 
 def require_resolved(fact: DataFrame) -> None:

@@ -182,10 +182,19 @@ class SalesWarehouse:
         keys = {dim.surrogate: dim.key for dim in DIMENSIONS.values()}
         return {s: history.widest_key(d, keys[s]) for s, d in dims.items()}
 
-    def refresh_fact(self, run_date: date) -> None:
-        """New lines are added with the keys of their order date; known lines only take the status."""
+    def refresh_fact(self, run_date: date, set_aside: bool = False) -> None:
+        """New lines are added with the keys of their order date; known lines only take the status.
+
+        A line dated before its key's first version stops the run, or with ``set_aside`` goes to a
+        table of its own and the rest is loaded.
+        """
         desired = self._desired(run_date)
-        star.require_resolved(desired)
+        if set_aside:
+            aside = star.unresolved(desired).withColumn("run_date", F.lit(run_date))
+            self.table("star", "unresolved", aside, "run_date").replace_slices(aside, [run_date.isoformat()])
+            desired = star.resolved(desired)
+        else:
+            star.require_resolved(desired)
         self.table("star", "fact", desired, "order_date").merge(
             desired, GRAIN, lambda kept, new: keyed.upsert_columns(kept, new, GRAIN, ["status"], check=False),
             order_by=["customer_key"])
@@ -203,11 +212,19 @@ class SalesWarehouse:
     def report(self, columns: list[str] | None = None) -> DataFrame:
         return star.report_view(self.fact().read(), self.dimensions(), columns)
 
-    def run(self, folder: str, run_date: date) -> DataFrame:
+    def register_views(self) -> None:
+        """Temporary views of the star tables and of the report, for ``spark.sql``."""
+        views = {f"dim_{name.removesuffix('_key')}": df for name, df in self.dimensions().items()}
+        views |= {"fact_sales": self.fact().read(), "sales_report": self.report()}
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+
+    def run(self, folder: str, run_date: date, set_aside: bool = False) -> DataFrame:
         """Feed to report for one run date; a failed star check stops before anything is served."""
         self.land(folder, run_date)
         self.refresh_current(run_date)
         self.refresh_dimensions(run_date)
-        self.refresh_fact(run_date)
+        self.refresh_fact(run_date, set_aside)
         quality.require_passed(self.checks())
+        self.register_views()
         return self.report()

@@ -161,7 +161,20 @@ class SliceTable:
         named = set(slices)
         self.commit(clustered(self.read(named), self.slice_by, order_by), named)
 
-    def file_profile(self, per_slice: bool = True) -> DataFrame:
+    def drop_unlisted(self, keep_versions: int = 1) -> list[str]:
+        """Delete load folders that none of the last ``keep_versions`` lists names.
+
+        Not while another writer is loading: its folder is not listed yet.
+        """
+        names = [n for n in files.child_names(self.spark, f"{self.path}/versions") if n.endswith(".json")]
+        used = {entry[1].split("/", 1)[0] for n in names[-keep_versions:]
+                for entry in files.read_json(self.spark, f"{self.path}/versions/{n}")["entries"]}
+        unlisted = [n for n in files.child_names(self.spark, f"{self.path}/data") if n not in used]
+        for name in unlisted:
+            files.remove(self.spark, f"{self.path}/data/{name}")
+        return unlisted
+
+    def file_profile(self) -> DataFrame:
         """Path, size and rows of each file behind the current list."""
         folders = [f"{self.path}/data/{d}" for _, d in self.version().entries]
         return file_profile(self.spark.read.option("basePath", f"{self.path}/data").parquet(*folders))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators import history
 from millrace.operators.keyed import latest_per_key
 from millrace.sources.slices import SliceTable
 
@@ -105,3 +106,26 @@ def apply_changes(stream: DataFrame, row: T.StructType, key: str, state: SliceTa
 
 def live_rows(state: SliceTable, row: T.StructType) -> DataFrame:
     return state.read().where(~F.col("is_deleted")).select(*row.names)
+
+
+def advance_history(stream: DataFrame, row: T.StructType, dim: history.Dimension, dated_by: str,
+                    table: SliceTable, checkpoint: str, continuous: bool = False) -> StreamingQuery:
+    """Keep a versioned dimension from changes: each batch is one day's feed of its newest rows.
+
+    The day is the latest ``dated_by`` of the batch.  ``table`` is sliced by ``is_current``, so
+    closed versions are only added.  Deletes leave the last version open, as a daily feed does.
+    """
+    changes = parse(stream, row)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.where(F.col("op").isin("c", "r", "u")).select("after.*", F.col("source.seq").alias("_seq"))
+        fed = latest_per_key(rows, [dim.key], [F.col("_seq").desc()]).drop("_seq")
+        day = rows.agg(F.max(F.col(dated_by).cast("date"))).first()[0]
+        if day is None:
+            return
+        was = table.read(["true"])
+        moved = history.advance(was, fed, dim, day) if table.version().entries else history.onboard(fed, dim)
+        table.commit(moved, ["true"], batch=f"{checkpoint}#{batch_id}")
+
+    writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return _start(writer, continuous)

@@ -1,8 +1,10 @@
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import types as T
 
+from millrace.operators import history
 from millrace.sources.slices import SliceTable
 from millrace.streaming import changes
 
@@ -10,8 +12,8 @@ ROW = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("note",
                     T.StructField("created_at", T.StringType())])
 
 
-def event(op, i, note, seq):
-    image = {"id": i, "note": note, "created_at": "2024-01-01"}
+def event(op, i, note, seq, day="2024-01-01"):
+    image = {"id": i, "note": note, "created_at": day}
     return json.dumps({"op": op, "before": image if op == "d" else None, "after": None if op == "d" else image,
                        "source": {"seq": seq, "extra": 1}})
 
@@ -75,3 +77,21 @@ def test_changes_apply_in_order_and_once(spark, tmp_path, rows, feed):
     assert apply("m") == [(1, "a2"), (2, "again")]
     # Everything replayed under a lost checkpoint gives the same table.
     assert apply("other") == [(1, "a2"), (2, "again")]
+
+
+def test_streamed_history(spark, tmp_path, rows, feed):
+    folder, add = feed
+    dim = history.Dimension("id", "id_key", ("note", "created_at"), ("note",))
+    table = SliceTable(spark, f"{tmp_path}/dim", history.onboard(spark.createDataFrame([], ROW), dim).schema, "is_current")
+
+    def apply():
+        changes.advance_history(changes.open_stream(spark, "parquet", folder), ROW, dim, "created_at", table, f"{tmp_path}/m")
+        return rows(table.read().select("id", "note", "valid_from", "valid_to", "is_current"))
+
+    start, end, day = history.BEGINNING, history.OPEN_END, date(2024, 1, 2)
+    add([event("c", 1, "a", 1), event("u", 1, "b", 2), event("c", 2, "x", 3)])
+    assert apply() == [(1, "b", start, end, True), (2, "x", start, end, True)]
+    add([event("u", 1, "c", 4, "2024-01-02"), event("d", 2, "x", 5, "2024-01-02"), event("c", 3, "n", 6, "2024-01-02")])
+    want = [(1, "b", start, day, False), (1, "c", day, end, True), (2, "x", start, end, True), (3, "n", day, end, True)]
+    assert apply() == want
+    assert apply() == want

@@ -43,6 +43,12 @@ def test_same_day_second_change_replaces_in_place(spark, rows):
     assert twice.select("id_key").distinct().count() == 2
 
 
+def test_feed_of_an_older_day_leaves_sound_intervals(spark, rows):
+    start = history.merge_day(history.onboard(frame(spark, [(1, "A", "x")]), DIM), frame(spark, [(1, "B", "x")]), DIM, D[5])
+    late = history.merge_day(start, frame(spark, [(1, "C", "x")]), DIM, D[2])
+    assert rows(late.select(*SEEN)) == [(1, "A", BEGINNING, D[5], False), (1, "C", D[5], OPEN_END, True)]
+
+
 def test_rerun_of_a_day_changes_nothing(spark, rows):
     start = history.onboard(frame(spark, [(1, "A", "x"), (2, "A", "x")]), DIM)
     fed = frame(spark, [(1, "B", "x"), (3, "A", "x")])

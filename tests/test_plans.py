@@ -158,6 +158,13 @@ def test_conformed_and_point_in_time(spark, sales):
     assert report.columns == star.REPORT_COLUMNS
 
 
+def test_views(spark, sales, rows):
+    _, _, report = sales
+    assert spark.sql("SELECT sum(quantity) FROM fact_sales").first()[0] == 4
+    assert rows(spark.table("sales_report")) == rows(report)
+    assert spark.sql("SELECT count(*) FROM dim_date").first()[0] == 366
+
+
 def test_versions_and_untracked_change(sales, rows):
     warehouse, _, _ = sales
     got = warehouse.dimensions()["customer_key"]
@@ -208,6 +215,8 @@ def test_orphans_and_gate_stop_the_run(spark, tmp_path):
     lost = {**tables, "customers": tables["customers"].where("customer_id = '1'")}
     with pytest.raises(star.UnresolvedKeyError):
         warehouse.run(extract(spark, lost, f"{tmp_path}/f1", f"{tmp_path}/s1", D1), D1)
+    warehouse.refresh_fact(D1, set_aside=True)
+    assert [r.order_id for r in warehouse.fact().read().collect()] == [100]
     off = SalesWarehouse(spark, f"{tmp_path}/wh2", date(2024, 1, 1), date(2024, 12, 31), buckets=2)
     wrong = {**tables, "orders": tables["orders"].withColumn("order_total", F.lit("1.00"))}
     with pytest.raises(QualityGateError, match="ORDER_TOTAL_RECONCILED"):

@@ -115,6 +115,15 @@ def test_pruned_read_opens_only_named_slices(table):
     assert "PartitionFilters: [isnotnull(d" in plan
 
 
+def test_dropping_unlisted_loads_keeps_the_current_rows(table, rows):
+    t, make = table
+    t.overwrite(make(DAYS))
+    t.overwrite(make(DAYS[:1]))
+    assert t.drop_unlisted(keep_versions=2) == []
+    assert len(t.drop_unlisted()) == 1
+    assert [r[0] for r in rows(t.read())] == [1]
+
+
 def test_field_bytes(spark, rows):
     df = spark.createDataFrame([("ab", 10), ("ü", None)], "s string, n int")
     assert rows(field_bytes(df)) == [("n", 2), ("s", 4)]
