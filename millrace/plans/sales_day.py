@@ -93,8 +93,9 @@ class SalesWarehouse:
 
     # ---- tables
 
-    def table(self, layer: str, name: str, df: DataFrame, slice_by: str) -> SliceTable:
-        return SliceTable(self.spark, f"{self.root}/{layer}/{name}", df.schema, slice_by)
+    def table(self, layer: str, name: str, slice_by: str, like: DataFrame | None = None) -> SliceTable:
+        """A table that exists, or one to be created like the given frame."""
+        return SliceTable(self.spark, f"{self.root}/{layer}/{name}", like.schema if like else None, slice_by)
 
     def _bucketed(self, df: DataFrame, key: tuple[str, ...]) -> DataFrame:
         return df.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int"))
@@ -102,7 +103,7 @@ class SalesWarehouse:
     def log(self, name: str) -> SliceTable:
         columns = [F.lit(None).cast(t).alias(c) for c, t in SOURCES[name].columns.items()]
         empty = feeds.stamp_ingest(self.spark.range(0).select(*columns), self.first_day, "none")
-        return self.table("log", name, empty, "_run_date")
+        return self.table("log", name, "_run_date", empty)
 
     # ---- steps
 
@@ -133,9 +134,8 @@ class SalesWarehouse:
         return out.join(names, "category_id", "left").select(
             *[c for c in source.columns if c not in STAMPS], "category_name", *STAMPS)
 
-    def current(self, name: str, run_date: date | None = None) -> SliceTable:
-        like = self._bucketed(self.fed(name, run_date or self.first_day), SOURCES[name].key)
-        return self.table("current", name, like, "bucket")
+    def current(self, name: str) -> SliceTable:
+        return self.table("current", name, "bucket")
 
     def refresh_current(self, run_date: date) -> None:
         for name, source in SOURCES.items():
@@ -143,20 +143,20 @@ class SalesWarehouse:
                 continue
             key = list(source.key)
             fed = self._bucketed(self.fed(name, run_date), source.key)
-            self.table("current", name, fed, "bucket").merge(
+            self.table("current", name, "bucket", fed).merge(
                 fed, key, lambda kept, new, key=key: keyed.upsert(kept, new, key, check=False))
 
     def dimension(self, name: str) -> SliceTable:
-        dim = DIMENSIONS[name]
-        return self.table("star", name, history.onboard(self.current(name).read(), dim), "is_current")
+        return self.table("star", name, "is_current")
 
     def refresh_dimensions(self, run_date: date) -> None:
         """Onboard on the first run, advance after; closed rows are only ever added."""
         for name, dim in DIMENSIONS.items():
             state = self.current(name).read()
-            table = self.dimension(name)
+            first = history.onboard(state, dim)
+            table = self.table("star", name, "is_current", first)
             if not table.version().entries:
-                table.overwrite(history.onboard(state, dim))
+                table.overwrite(first)
             else:
                 table.commit(history.advance(table.read(["true"]), state, dim, run_date), ["true"])
 
@@ -166,7 +166,7 @@ class SalesWarehouse:
         return out
 
     def fact(self) -> SliceTable:
-        return self.table("star", "fact", self._desired(self.first_day), "order_date")
+        return self.table("star", "fact", "order_date")
 
     def _desired(self, run_date: date) -> DataFrame:
         """Fact rows of every order that had its head or a line in this run's feed."""
@@ -191,11 +191,11 @@ class SalesWarehouse:
         desired = self._desired(run_date)
         if set_aside:
             aside = star.unresolved(desired).withColumn("run_date", F.lit(run_date))
-            self.table("star", "unresolved", aside, "run_date").replace_slices(aside, [run_date.isoformat()])
+            self.table("star", "unresolved", "run_date", aside).replace_slices(aside, [run_date.isoformat()])
             desired = star.resolved(desired)
         else:
             star.require_resolved(desired)
-        self.table("star", "fact", desired, "order_date").merge(
+        self.table("star", "fact", "order_date", desired).merge(
             desired, GRAIN, lambda kept, new: keyed.upsert_columns(kept, new, GRAIN, ["status"], check=False),
             order_by=["customer_key"])
 

@@ -36,28 +36,40 @@ class Version:
 
 
 class SliceTable:
-    """``slice_by`` is the column that says which slice a row belongs to."""
+    """``slice_by`` is the column that says which slice a row belongs to.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, slice_by: str):
+    The schema is listed with the content, so a table that exists can be opened without it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None, slice_by: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = schema
+        self.schema = schema or self._listed_schema()
         self.slice_by = slice_by
 
+    def _listed_schema(self) -> T.StructType:
+        body = self._latest()
+        if body is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return T.StructType.fromJson(body["schema"])
+
     # ---- state
 
-    def version(self) -> Version:
+    def _latest(self) -> dict | None:
         names = [n for n in files.child_names(self.spark, f"{self.path}/versions") if n.endswith(".json")]
-        if not names:
+        return files.read_json(self.spark, f"{self.path}/versions/{names[-1]}") if names else None
+
+    def version(self) -> Version:
+        body = self._latest()
+        if body is None:
             return Version(0, (), ())
-        body = files.read_json(self.spark, f"{self.path}/versions/{names[-1]}")
         return Version(body["number"], tuple((s, d) for s, d in body["entries"]), tuple(body["batches"]))
 
     def _publish(self, was: Version, entries: Iterable[tuple[str, str]], batch: str | None) -> None:
         batches = list(was.batches) + ([batch] if batch else [])
         number = was.number + 1
         files.publish_json(self.spark, f"{self.path}/versions/{number:08d}.json", {
-            "number": number, "entries": sorted(entries), "batches": batches[-100:]})
+            "number": number, "schema": self.schema.jsonValue(), "entries": sorted(entries), "batches": batches[-100:]})
 
     # ---- reading
 
