@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.keyed import content_hash, latest_per_key
+from millrace.operators.keyed import content_hash, latest_per_key, split_null_keys
 
 BEGINNING = date(1900, 1, 1)
 OPEN_END = date(9999, 12, 31)
@@ -66,6 +66,9 @@ def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: d
     """
     body = [dim.key, *dim.attributes, "row_hash"]
     dated = [*body, "valid_from", "valid_to", "is_current"]
+    # Rows without a key match nothing: open ones stay, fed ones open, for the key check to report.
+    current, loose_open = split_null_keys(current, [dim.key])
+    incoming, loose_fed = split_null_keys(incoming, [dim.key])
     now = current.select(F.struct(*dated).alias("was"), F.col(dim.key).alias("_was_key"))
     fed = incoming.withColumn("row_hash", content_hash(dim.tracked)).select(
         F.struct(*body).alias("fed"), F.col(dim.key).alias("_fed_key"))
@@ -87,7 +90,8 @@ def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: d
         .when(F.col("was.valid_from") >= today, F.array(opened(F.col("was.valid_from"))))
         .otherwise(F.array(closed, opened(today)))
     )
-    return _as_versions(both.select(F.explode(after).alias("v")).select("v.*"), dim)
+    moved = _as_versions(both.select(F.explode(after).alias("v")).select("v.*"), dim)
+    return moved.unionByName(loose_open.select(*dim.columns)).unionByName(onboard(loose_fed, dim, run_date))
 
 
 def replay(log: DataFrame, dim: Dimension, effective: str, newest_first: Sequence[Column],

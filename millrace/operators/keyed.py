@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,16 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"more than one source row for {clash.asDict()}")
 
 
+def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with a whole key, rows with a NULL part).
+
+    The latter match nothing, yet an outer join would send them all to one task, and a full join
+    cannot be split by adaptive execution; so they go around it.
+    """
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return df.where(~null), df.where(null)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            newer_by: str | None = None, check: bool = True) -> DataFrame:
     """Whole-row upsert: a matched key takes every source column, an unmatched one is added.
@@ -60,6 +71,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if check:
         require_unique(source, keys)
     source = source.select(*target.columns)
+    target, loose_old = split_null_keys(target, keys)
+    source, loose_new = split_null_keys(source, keys)
+    loose = loose_old.unionByName(loose_new)
     if newer_by is not None:
         stale = source.select(*keys, F.col(newer_by).alias("_offered"))
         kept = (
@@ -67,8 +81,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
             .where(F.col("_offered").isNull() | (F.col(newer_by) > F.col("_offered")))
             .select(*target.columns)
         )
-        return kept.unionByName(source.join(kept.select(*keys), list(keys), "left_anti"))
-    return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
+        added = source.join(kept.select(*keys), list(keys), "left_anti")
+    else:
+        kept, added = target.join(source.select(*keys), list(keys), "left_anti"), source
+    return kept.unionByName(added).unionByName(loose)
 
 
 def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -76,8 +92,10 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Partial upsert: a matched row changes only in ``update`` (NULL overwrites too)."""
     if check:
         require_unique(source, keys)
-    old = target.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_in_target"))
-    new = source.select(*target.columns, F.lit(True).alias("_in_source"))
+    whole_old, loose_old = split_null_keys(target, keys)
+    whole_new, loose_new = split_null_keys(source.select(*target.columns), keys)
+    old = whole_old.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_in_target"))
+    new = whole_new.withColumn("_in_source", F.lit(True))
     on = [F.col(f"_t_{k}") == F.col(k) for k in keys]
     both = old.join(new, on, "full")
 
@@ -87,7 +105,7 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: Sequence[str],
             take_source = take_source | F.col("_in_source").isNotNull()
         return F.when(take_source, F.col(name)).otherwise(F.col(f"_t_{name}")).alias(name)
 
-    return both.select(*[pick(c) for c in target.columns])
+    return both.select(*[pick(c) for c in target.columns]).unionByName(loose_old).unionByName(loose_new)
 
 
 def content_hash(columns: Sequence[str]) -> Column:

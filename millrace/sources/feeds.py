@@ -137,9 +137,13 @@ def publish_manifest(spark: SparkSession, folder: str, source: str, run_date: da
         "tables": [{"table": t, "file": f, "low_watermark": str(low), "rows": n} for t, f, low, n in tables]})
 
 
+def _state_files(spark: SparkSession, state_dir: str) -> list[str]:
+    return [n for n in files.child_names(spark, state_dir) if n.startswith("hwm-") and n.endswith(".json")]
+
+
 def read_state(spark: SparkSession, state_dir: str) -> dict[str, datetime]:
     """High watermark per table; none before the first run."""
-    versions = [n for n in files.child_names(spark, state_dir) if n.startswith("hwm-") and n.endswith(".json")]
+    versions = _state_files(spark, state_dir)
     if not versions:
         return {}
     body = files.read_json(spark, f"{state_dir}/{versions[-1]}")
@@ -163,7 +167,7 @@ def extract_feed(spark: SparkSession, tables: Mapping[str, DataFrame], folder: s
         rows = read_text_feed(spark, path, df.columns).count()
         listed.append((name, path.rsplit("/", 1)[1], low, rows))
     publish_manifest(spark, folder, source, run_date, high, listed)
-    files.publish_json(spark, f"{state_dir}/hwm-{len(files.child_names(spark, state_dir)):08d}.json",
+    files.publish_json(spark, f"{state_dir}/hwm-{len(_state_files(spark, state_dir)) + 1:08d}.json",
                        {name: str(high) for name in tables})
 
 

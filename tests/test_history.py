@@ -43,6 +43,13 @@ def test_same_day_second_change_replaces_in_place(spark, rows):
     assert twice.select("id_key").distinct().count() == 2
 
 
+def test_rows_without_key_are_kept_and_not_matched(spark, rows):
+    start = history.onboard(frame(spark, [(1, "A", "x"), (None, "A", "x")]), DIM)
+    got = history.merge_day(start, frame(spark, [(1, "A", "x"), (None, "B", "x")]), DIM, D[1])
+    assert rows(got.select("id", "tier", "valid_from", "is_current")) == [
+        (None, "A", BEGINNING, True), (None, "B", D[1], True), (1, "A", BEGINNING, True)]
+
+
 def test_feed_of_an_older_day_leaves_sound_intervals(spark, rows):
     start = history.merge_day(history.onboard(frame(spark, [(1, "A", "x")]), DIM), frame(spark, [(1, "B", "x")]), DIM, D[5])
     late = history.merge_day(start, frame(spark, [(1, "C", "x")]), DIM, D[2])

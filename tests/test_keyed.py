@@ -48,9 +48,10 @@ def test_upsert_newer_only(spark, rows):
 
 
 def test_partial_upsert_changes_only_named_columns(spark, rows):
-    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], T)
-    source = spark.createDataFrame([(1, None, 9), (3, "c", 9)], T)
-    assert rows(keyed.upsert_columns(target, source, ["k"], ["v"])) == [(1, None, 1), (2, "b", 1), (3, "c", 9)]
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (None, "n", 1)], T)
+    source = spark.createDataFrame([(1, None, 9), (3, "c", 9), (None, "m", 9)], T)
+    assert rows(keyed.upsert_columns(target, source, ["k"], ["v"])) == [
+        (None, "m", 9), (None, "n", 1), (1, None, 1), (2, "b", 1), (3, "c", 9)]
 
 
 def test_content_hash_tells_shifted_nulls_apart(spark):
