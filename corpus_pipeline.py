@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing
+from millrace.llm import decontamination, language_id, line_dedup, ngram_jaccard, packing
 from millrace.llm.common import ready, stored, table
 
 #: Language models and token ids are beyond SQL; the tests compare each stage with a brute-force version.
@@ -29,6 +29,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest doc_id."""
+    ready(spark)
+    return ngram_jaccard.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
     ready(spark)
@@ -41,7 +47,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("language", language), ("line_dedup", lines), ("decontamination", decontaminated), ("packing", packed)]
+STAGES = [("language", language), ("line_dedup", lines), ("near_duplicates", near_duplicates),
+          ("decontamination", decontaminated), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,3 +87,54 @@ def text_key(text: str | Column = "text") -> Column:
     """64-bit hash of a text; null and empty differ."""
     column = F.col(text) if isinstance(text, str) else text
     return F.xxhash64(column, column.isNull())
+
+
+#: Bits of a filter over 64-bit keys: 8 MB, whatever the input.
+FILTER_BITS_LOG2, FILTER_SLICES, FILTER_PARTS = 26, 64, 256
+
+
+def filter_slots(keys: np.ndarray) -> np.ndarray:
+    return mixed(keys) >> np.uint64(64 - FILTER_BITS_LOG2)
+
+
+def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key may be in the filter; true for every key that was put in."""
+    slot = filter_slots(keys)
+    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit filter over one long column, of fixed size: tasks send bit arrays, never keys.
+
+    It only spares later steps rows that a join would drop; with very many keys it lets all through.
+    """
+    width = (1 << FILTER_BITS_LOG2) // 8 // FILTER_SLICES
+    schema = "slice int, part int, bits binary"
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, part = np.zeros(1 << FILTER_BITS_LOG2, bool), TaskContext.get().partitionId() % FILTER_PARTS
+        for batch in batches:
+            bits[filter_slots(longs(batch.column(0)))] = True
+        packed = np.packbits(bits, bitorder="little").reshape(FILTER_SLICES, width)
+        used = [i for i in range(FILTER_SLICES) if packed[i].any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), pa.array([part] * len(used), pa.int32()), pa.array([packed[i].tobytes() for i in used], pa.binary())],
+            ["slice", "part", "bits"])
+
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(width, np.uint8)
+        for raw in group["bits"]:
+            bits |= np.frombuffer(raw, np.uint8)
+        return pd.DataFrame({"slice": group["slice"][:1], "part": [0], "bits": [bits.tobytes()]})
+
+    out = np.zeros((FILTER_SLICES, width), np.uint8)
+    slices = keys.mapInArrow(mark, schema).groupBy("slice", "part").applyInPandas(join, schema) \
+        .groupBy("slice").applyInPandas(join, schema)
+    for row in slices.collect():
+        out[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def longs(column: pa.Array) -> np.ndarray:
+    """A long column without nulls as unsigned 64-bit numbers."""
+    return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)

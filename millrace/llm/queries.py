@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing
+from millrace.llm import decontamination, language_id, line_dedup, ngram_jaccard, packing
 from millrace.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,28 @@ FROM l LEFT JOIN removed USING (doc_id)
 def op6_language_id(spark, sf_dir):
     """The language of every document."""
     return language_id.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_ngram_jaccard(spark, sf_dir):
+    """The near-duplicate class of every document."""
+    return ngram_jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op7_ngram_jaccard"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {A_Z}), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS p FROM w WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (s)
+        WHERE x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (SELECT a, b FROM met JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+          WHERE 100 * common >= 80 * (x.n + y.n - common)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents
+          UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON reach.other = ways.a)
+SELECT reach.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes ON reach.doc_id = sizes.doc_id GROUP BY reach.doc_id
+"""
