@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, ngram_jaccard, packing
+from millrace.llm import decontamination, language_id, line_dedup, ngram_jaccard, packing, url_filter
 from millrace.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,26 @@ reach AS (SELECT doc_id, doc_id AS other FROM documents
 SELECT reach.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN sizes ON reach.doc_id = sizes.doc_id GROUP BY reach.doc_id
 """
+
+
+@query
+def op3_url_filters(spark, sf_dir):
+    """The rule that each page's url falls under."""
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+ORACLES["op3_url_filters"] = rf"""
+WITH rules(rule, rhost, rpath, verdict) AS (VALUES
+  ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+u AS (
+  SELECT page_id, row_number() OVER () AS i,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {A_Z}), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+fits AS (
+  SELECT i, rule, verdict, row_number() OVER (PARTITION BY i ORDER BY length(rule) DESC) AS rn
+  FROM u JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM u LEFT JOIN fits ON u.i = fits.i AND rn = 1
+"""
