@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, ngram_jaccard, packing, url_filter
+from millrace.llm import (
+    decontamination, fingerprints, language_id, line_dedup, ngram_jaccard, packing, sharding, url_filter)
 from millrace.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +142,15 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM u LEFT JOIN fits ON u.i = fits.i AND rn = 1
 """
+
+
+@query
+def op5_sharding(spark, sf_dir):
+    """Every document's place in 24 shards of equal numbers of rows."""
+    return sharding.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_fingerprints(spark, sf_dir):
+    """Order MinHash fingerprints of every document, its edited text and its successor."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
