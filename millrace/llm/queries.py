@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    decontamination, fingerprints, language_id, line_dedup, ngram_jaccard, packing, sharding, url_filter)
+    decontamination, fingerprints, language_id, line_dedup, lm_scoring, ngram_jaccard, packing, sharding, url_filter)
 from millrace.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,35 @@ def op5_sharding(spark, sf_dir):
 def op8_fingerprints(spark, sf_dir):
     """Order MinHash fingerprints of every document, its edited text and its successor."""
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_lm_scoring(spark, sf_dir):
+    """The stupid-backoff score of every document under the trigram counts of all documents."""
+    return lm_scoring.scores(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_lm_scoring"] = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {A_Z}), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (
+  SELECT doc_id, p, words[p] AS c, CASE WHEN p > 1 THEN words[p - 1] END AS b, CASE WHEN p > 2 THEN words[p - 2] END AS a
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS p FROM w)),
+one AS (SELECT c, count(*) AS n FROM places GROUP BY c),
+two AS (SELECT b, c, count(*) AS n FROM places WHERE b IS NOT NULL GROUP BY b, c HAVING count(*) >= 2),
+three AS (SELECT a, b, c, count(*) AS n FROM places WHERE a IS NOT NULL GROUP BY a, b, c HAVING count(*) >= 2),
+scored AS (
+  SELECT doc_id, CASE WHEN three.n IS NOT NULL THEN 3 WHEN two.n IS NOT NULL THEN 2 ELSE 1 END AS used,
+    CASE WHEN three.n IS NOT NULL THEN ln(three.n) - ln(before.n)
+         WHEN two.n IS NOT NULL THEN ln(two.n) - ln(previous.n) + least(p - 2, 1) * ln(0.4)
+         ELSE ln(one.n) - ln((SELECT count(*) FROM places)) + least(p - 1, 2) * ln(0.4) END AS value
+  FROM places JOIN one ON places.c = one.c
+  LEFT JOIN two ON places.b = two.b AND places.c = two.c
+  LEFT JOIN one AS previous ON places.b = previous.c
+  LEFT JOIN three ON places.a = three.a AND places.b = three.b AND places.c = three.c
+  LEFT JOIN two AS before ON places.a = before.b AND places.b = before.c)
+SELECT w.doc_id, CAST(count(used) AS BIGINT) AS n_words, count(*) FILTER (used = 3) AS n_trigram,
+       count(*) FILTER (used = 2) AS n_bigram, count(*) FILTER (used = 1) AS n_unigram,
+       round(coalesce(sum(value), 0), 6) AS log_score, round(avg(value), 6) AS mean_log_score
+FROM w LEFT JOIN scored ON w.doc_id = scored.doc_id GROUP BY w.doc_id
+"""
