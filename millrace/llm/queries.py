@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    decontamination, fingerprints, language_id, line_dedup, lm_scoring, ngram_jaccard, packing, sharding, url_filter)
+    decontamination, fingerprints, language_id, line_dedup, lm_scoring, ngram_jaccard, packing, repeats, sharding, url_filter)
 from millrace.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,9 @@ SELECT w.doc_id, CAST(count(used) AS BIGINT) AS n_words, count(*) FILTER (used =
        round(coalesce(sum(value), 0), 6) AS log_score, round(avg(value), 6) AS mean_log_score
 FROM w LEFT JOIN scored ON w.doc_id = scored.doc_id GROUP BY w.doc_id
 """
+
+
+@query
+def op2_suffix_array_dedup(spark, sf_dir):
+    """The passages of at least 50 words in each document that occur elsewhere too."""
+    return repeats.repeated_spans(table(spark, sf_dir, "documents"))
