@@ -153,9 +153,9 @@ def daily_summary(txn: DataFrame) -> DataFrame:
     approved = F.col("is_approved") == 1
     none = F.lit(0).cast("decimal(18,2)")
     return txn.groupBy("txn_date", "mcc_category", "txn_type").agg(
-        F.count(F.lit(1)).cast("int").alias("txn_count"),
-        F.sum("is_approved").cast("int").alias("approved_count"),
-        F.sum(F.when(F.col("is_approved") == 0, 1).otherwise(0)).cast("int").alias("decline_count"),
+        F.count(F.lit(1)).alias("txn_count"),
+        F.count_if(approved).alias("approved_count"),
+        F.count_if(F.col("is_approved") == 0).alias("decline_count"),
         F.sum(F.when(approved, F.col("auth_amount")).otherwise(none)).cast("decimal(18,2)").alias("auth_amount_total"),
         F.sum(F.when(approved, F.coalesce("settled_amount", none)).otherwise(none)).cast("decimal(18,2)")
         .alias("settled_amount_total"))
@@ -164,7 +164,7 @@ def daily_summary(txn: DataFrame) -> DataFrame:
 def top_merchants(txn: DataFrame, n: int = 10) -> DataFrame:
     """The merchants with most approved settled volume per day; merchant_id breaks ties."""
     per_merchant = txn.where("is_approved = 1").groupBy("txn_date", "merchant_id", "merchant_name").agg(
-        F.count(F.lit(1)).cast("int").alias("txn_count"),
+        F.count(F.lit(1)).alias("txn_count"),
         F.sum(F.coalesce("settled_amount", F.lit(0).cast("decimal(18,2)"))).cast("decimal(18,2)")
         .alias("settled_amount_total"))
     return top_per_group(

@@ -8,8 +8,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.operators.keyed import content_hash, latest_per_key, split_null_keys
+from millrace.operators.keyed import content_hash, latest_per_key, require_unique, split_null_keys
 
 BEGINNING = date(1900, 1, 1)
 OPEN_END = date(9999, 12, 31)
@@ -51,7 +52,8 @@ def onboard(current: DataFrame, dim: Dimension, valid_from: date = BEGINNING) ->
 
 
 def merge_day(history: DataFrame, incoming: DataFrame, dim: Dimension, run_date: date) -> DataFrame:
-    """The whole dimension after one day's feed."""
+    """The whole dimension after one day's feed, which must not repeat a key."""
+    require_unique(incoming, [dim.key])
     closed_before = history.where(~F.col("is_current")).select(*dim.columns)
     return closed_before.unionByName(advance(history.where("is_current"), incoming, dim, run_date))
 
@@ -59,10 +61,11 @@ def merge_day(history: DataFrame, incoming: DataFrame, dim: Dimension, run_date:
 def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: date) -> DataFrame:
     """Open rows and the rows closed today, from the open rows and one day's feed, in one join.
 
-    A changed key closes at ``run_date`` and reopens from it; an open version that starts on
-    ``run_date`` or later is replaced in place, so a second change of one day, or a feed run out
-    of order, leaves no empty interval, overlap or repeated surrogate key.  A change of untracked attributes alone moves
-    nothing.  Keys missing from the feed stay open.
+    A changed key closes at ``run_date`` and reopens from it; an open version that starts on ``run_date`` is replaced in
+    place, so a second change of one day leaves no empty interval or repeated surrogate key.  A changed key whose open
+    version starts later stops the run: the feed is older than what is known, and ``replay`` is the way to place it.
+    A change of untracked attributes alone moves nothing.  Keys missing from the feed stay open.  The feed must not
+    repeat a key (``merge_day`` checks it).
     """
     body = [dim.key, *dim.attributes, "row_hash"]
     dated = [*body, "valid_from", "valid_to", "is_current"]
@@ -87,7 +90,9 @@ def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: d
     after = (
         F.when(F.col("_was_key").isNull(), F.array(opened(today)))
         .when(untouched, F.array(F.col("was")))
-        .when(F.col("was.valid_from") >= today, F.array(opened(F.col("was.valid_from"))))
+        .when(F.col("was.valid_from") > today, F.raise_error(F.concat(
+            F.lit(f"{dim.key} "), F.col("_was_key").cast("string"), F.lit(f" changed after {run_date}, the feed's day"))))
+        .when(F.col("was.valid_from") == today, F.array(opened(F.col("was.valid_from"))))
         .otherwise(F.array(closed, opened(today)))
     )
     moved = _as_versions(both.select(F.explode(after).alias("v")).select("v.*"), dim)
@@ -102,6 +107,8 @@ def replay(log: DataFrame, dim: Dimension, effective: str, newest_first: Sequenc
     rows than the log has days, however many log rows it holds, and the ordered windows stay
     small.  Keys present on the first day of the log start at ``BEGINNING``, as after onboarding.
     """
+    if not isinstance(log.schema[effective].dataType, T.DateType):
+        raise TypeError(f"{effective} must be a date")
     if first_slice is None:
         first_slice = log.agg(F.min(effective)).first()[0]
     daily = latest_per_key(log, [dim.key, effective], newest_first).withColumn(
@@ -121,38 +128,15 @@ def replay(log: DataFrame, dim: Dimension, effective: str, newest_first: Sequenc
     )
 
 
-FEW_VERSIONS = 16
-
-
-def widest_key(history: DataFrame, key: str) -> int:
-    """The largest number of versions any key has."""
-    widest = history.groupBy(key).count().agg(F.max("count")).first()[0]
-    return widest or 0
-
-
 def as_of_join(facts: DataFrame, history: DataFrame, fact_key: str, fact_date: str, key: str,
-               take: Sequence[str], versions_per_key: int | None = None) -> DataFrame:
+               take: Sequence[str]) -> DataFrame:
     """Left join every fact to the version of its key valid on its date; a miss gives NULLs.
 
-    With few versions per key this is an equi join with the interval as a residual condition.
-    Beyond ``FEW_VERSIONS`` that would compare each fact of a busy key with its whole history,
-    so the distinct (key, date) pairs are resolved by one ordered pass instead and joined back
-    on both columns, which also spreads a busy key over its dates.  ``facts`` is then read twice;
-    hand in a stored frame, or resolve at the coarsest table that has key and date.
-
-    The bound is measured unless the caller knows it.  Intervals of one key must not overlap.
+    The distinct (key, date) pairs are resolved by one ordered pass and joined back on both columns, whatever the
+    number of versions: comparing each fact of a busy key with its whole history would multiply, and the pairs also
+    spread a busy key over its dates.  ``facts`` is read twice; hand in a stored frame, or resolve at the coarsest
+    table that has key and date.  Intervals of one key must not overlap (``quality.dimension_checks`` tells).
     """
-    if versions_per_key is None:
-        versions_per_key = widest_key(history, key)
-    if versions_per_key <= FEW_VERSIONS:
-        versions = history.select(F.col(key).alias("_key"), F.col("valid_from").alias("_from"),
-                                  F.col("valid_to").alias("_to"), *take)
-        within = (
-            (F.col(fact_key) == F.col("_key"))
-            & (F.col(fact_date) >= F.col("_from"))
-            & (F.col(fact_date) < F.col("_to"))
-        )
-        return facts.join(versions, within, "left").drop("_key", "_from", "_to")
     return facts.join(
         resolve_pairs(facts, history, fact_key, fact_date, key, take), [fact_key, fact_date], "left"
     ).select(*facts.columns, *take)
@@ -163,8 +147,10 @@ def resolve_pairs(facts: DataFrame, history: DataFrame, fact_key: str, fact_date
     """One row per (key, date) found in ``facts`` that a version covers.
 
     Both inputs hold at most one row per key and day, so each key's ordered run is bounded by
-    the calendar and not by the facts.
+    the calendar and not by the facts; a date column that is no date is refused.
     """
+    if not isinstance(facts.schema[fact_date].dataType, T.DateType):
+        raise TypeError(f"{fact_date} must be a date")
     asked = facts.select(fact_key, fact_date).dropna().distinct().select(
         fact_key, fact_date, F.lit(None).cast(history.select(F.struct("valid_to", *take)).schema[0].dataType)
         .alias("_version"), F.lit(1).alias("_ask"))

@@ -66,6 +66,7 @@ FACT_REPORT = {
     "quantity": "quantity", "sale_unit_price": "unit_price", "discount_pct": "discount_pct",
     "extended_amount": "extended_amount"}
 
+# The report's columns in their order.
 REPORT_COLUMNS = [
     "order_id", "line_no", "status", "order_date",
     "year", "quarter", "month", "month_name", "day_name", "is_weekend",
@@ -76,18 +77,22 @@ REPORT_COLUMNS = [
 
 
 def build_fact(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFrame],
-               versions_per_key: dict[str, int] | None = None) -> DataFrame:
+               take: dict[str, list[str]] | None = None) -> DataFrame:
     """Order lines with the surrogate keys valid on their order date.
 
     ``dimensions`` maps a surrogate name to its history; a surrogate left out is not resolved.
     A key that sits on the order is resolved there, on fewer rows than the lines; one that sits
-    on the line after the join.  ``versions_per_key`` states bounds the caller knows.
+    on the line after the join.  ``take`` names further columns of a dimension to bring along, so that a report
+    need not look the surrogate up again.
     """
-    known = versions_per_key or {}
+    take = take or {}
 
     def resolve(rows: DataFrame, role: Role) -> DataFrame:
-        return as_of_join(rows, dimensions[role.surrogate], role.key, "order_date", role.key,
-                          [role.surrogate], known.get(role.surrogate))
+        more = take.get(role.surrogate, [])
+        history = dimensions[role.surrogate].select(
+            role.key, "valid_from", "valid_to", role.surrogate, *[F.col(c).alias(_taken(role, c)) for c in more])
+        return as_of_join(rows, history, role.key, "order_date", role.key,
+                          [role.surrogate, *[_taken(role, c) for c in more]])
 
     wanted = [r for r in ROLES if r.surrogate in dimensions]
     on_line = [r for r in wanted if r.key in lines.columns]
@@ -101,10 +106,33 @@ def build_fact(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFr
     return fact.select(
         F.xxhash64(F.col("order_id").cast("bigint"), F.col("line_no").cast("int")).alias("sales_key"),
         date_key(F.col("order_date")).alias("date_key"), *[r.surrogate for r in wanted],
+        *[_taken(r, c) for r in wanted for c in take.get(r.surrogate, [])],
         "order_id", "line_no", "status", "quantity", "unit_price", "discount_pct",
         F.col("line_amount").alias("extended_amount"), "order_date")
 
 
+def _taken(role: Role, column: str) -> str:
+    return f"_{role.surrogate}_{column}"
+
+
+def report_of(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+    """The wide report straight from lines, orders and histories, each key looked up once.
+
+    The rows are those of ``report_view``, whatever ``columns`` are asked for: lines whose keys all resolve and whose
+    date the calendar has.
+    """
+    wanted = columns or REPORT_COLUMNS
+    shown = {r.surrogate: {name: source for name, source in r.report.items() if name in wanted} for r in (CALENDAR, *ROLES)}
+    fact = resolved(build_fact(lines, orders, {r.surrogate: dimensions[r.surrogate] for r in ROLES},
+                               {r.surrogate: list(dict.fromkeys(shown[r.surrogate].values())) for r in ROLES}))
+    days = dimensions["date_key"].select("date_key", *[F.col(s).alias(_taken(CALENDAR, s)) for s in shown["date_key"].values()])
+    wide = fact.join(days, "date_key")
+    sources = {name: source for name, source in FACT_REPORT.items() if name in wanted}
+    for role in (CALENDAR, *ROLES):
+        sources.update({name: _taken(role, source) for name, source in shown[role.surrogate].items()})
+    return wide.select(*[F.col(sources[c]).alias(c) for c in wanted])
+
+
 def _missing_key(fact: DataFrame) -> Column:
     return reduce(lambda a, b: a | b, [F.col(r.surrogate).isNull() for r in ROLES if r.surrogate in fact.columns])
 
@@ -126,18 +154,15 @@ def require_resolved(fact: DataFrame) -> None:
 
 def report_view(fact: DataFrame, dimensions: dict[str, DataFrame],
                 columns: list[str] | None = None) -> DataFrame:
-    """The wide report: inner joins on surrogate keys, so a row outside any dimension is dropped.
+    """The wide report of a stored fact: inner joins on all surrogate keys, so a row outside any dimension is dropped.
 
-    With ``columns`` only the dimensions that supply one of them are joined; on a fact that
-    passed ``require_resolved`` and lies inside the calendar the rows are the same.
+    All dimensions are joined whatever ``columns`` are asked for, so every metric counts the same rows.
     """
     wanted = columns or REPORT_COLUMNS
     wide = fact.select(*[F.col(c).alias(f"_f_{c}") for c in fact.columns])
     sources = {name: f"_f_{source}" for name, source in FACT_REPORT.items() if name in wanted}
     for role in (CALENDAR, *ROLES):
         shown = {name: source for name, source in role.report.items() if name in wanted}
-        if not shown:
-            continue
         side = dimensions[role.surrogate].select(
             F.col(role.surrogate).alias(f"_d_{role.surrogate}"),
             *[F.col(source).alias(name) for name, source in shown.items()])

@@ -79,7 +79,7 @@ class CardWarehouse:
 
     def _require_new_ids(self, txn: DataFrame, day: date) -> None:
         table = self._table("card_txn", txn.withColumn("loaded_at", F.current_timestamp()).schema, "txn_date")
-        others = table.version().slices() - {day.isoformat()}
+        others = table.slices() - {day.isoformat()}
         if not others:
             return
         clash = table.read(others).join(txn.select("txn_id"), "txn_id", "left_semi").first()

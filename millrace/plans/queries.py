@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import text
 from millrace.operators import cards, history, keyed, lineage, metrics, quality, star
+from millrace.plans import sales_day
 from millrace.session import prepare, scratch
 from millrace.sources import adapters as src
 from millrace.sources import feeds, slices
@@ -73,14 +75,18 @@ def quarantine_bad_casts(spark, sf_dir):
 
 
 def _sources(spark, sf_dir):
+    """Orders with notes that hold quotes, separators and line breaks, and their lines."""
+    note = F.when(F.col("order_id") % 5 == 0, F.concat("status", F.lit(',\n"quoted"\r\n,'), F.col("order_id").cast("string")))
     return {
-        "orders": src.orders(spark, sf_dir).withColumn("updated_at", F.col("order_date").cast("timestamp_ntz")),
+        "orders": src.orders(spark, sf_dir).withColumn("note", note)
+        .withColumn("updated_at", F.col("order_date").cast("timestamp_ntz")),
         "order_items": src.raw_order_items(spark, sf_dir)
         .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")),
     }
 
 
 LOW, HIGH = datetime(1998, 6, 30), datetime(2001, 6, 30)
+EVER = datetime(2100, 1, 1)
 
 
 @query
@@ -90,26 +96,29 @@ def watermark_extract(spark, sf_dir):
 
 
 def _extracted(spark, sf_dir) -> str:
+    """One run date extracted twice in full, as after a retry; the second attempt counts."""
     folder = scratch(spark, "feed")
-    feeds.extract_feed(spark, _sources(spark, sf_dir), folder, f"{folder}-state", "shop", RUN_DATE, HIGH)
+    for _ in range(2):
+        feeds.extract_feed(spark, _sources(spark, sf_dir), folder, f"{folder}-state", "shop", RUN_DATE, EVER, full=True)
     return folder
 
 
 @query
 def feed_manifest(spark, sf_dir):
-    """Extract both tables as CSV up to a watermark and return the manifest."""
-    return feeds.read_manifest(spark, _extracted(spark, sf_dir)).drop("extracted_at")
+    """Extract both tables as CSV and return the manifest; files are named by their attempt."""
+    return feeds.read_manifest(spark, _extracted(spark, sf_dir)).withColumn(
+        "file", F.regexp_replace("file", "_[0-9a-f]{32}", ""))
 
 
 @query
 def control_total_check(spark, sf_dir):
     """Manifest rows beside the rows read back from the feed's files."""
     folder = _extracted(spark, sf_dir)
+    sources = _sources(spark, sf_dir)
     counted = None
-    for name, df in _sources(spark, sf_dir).items():
-        path = f"{folder}/{name}_{RUN_DATE}.csv"
-        one = feeds.read_text_feed(spark, path, df.columns).agg(F.count(F.lit(1)).alias("rows_read")).select(
-            F.lit(name).alias("table"), "rows_read")
+    for name, (file, _) in feeds.manifest_entries(spark, folder, list(sources)).items():
+        one = feeds.read_text_feed(spark, f"{folder}/{file}", sources[name].columns, line_breaks=True).agg(
+            F.count(F.lit(1)).alias("rows_read")).select(F.lit(name).alias("table"), "rows_read")
         counted = one if counted is None else counted.unionByName(one)
     return feeds.control_totals(feeds.read_manifest(spark, folder), counted).select(
         F.col("table").alias("table_name"), "rows_expected", "rows_read", "agrees")
@@ -132,7 +141,7 @@ def idempotent_slice_reload(spark, sf_dir):
     """Load every business date, reload one with the same rows, empty another."""
     auth = src.card_auth(spark, sf_dir).select("txn_id", "auth_amount", "file_seq", "load_business_date")
     table = slices.SliceTable(spark, scratch(spark, "stage"), auth.schema, "load_business_date")
-    table.overwrite(slices.clustered(auth, "load_business_date", ["txn_id"]))
+    table.overwrite(auth, ["txn_id"])
     again, emptied = "2024-01-10", "2024-01-20"
     table.replace_slices(auth.where(F.col("load_business_date") == F.lit(again).cast("date")), [again])
     table.replace_slices(auth.limit(0), [emptied])
@@ -146,10 +155,11 @@ def _shipped(spark, sf_dir) -> tuple[slices.SliceTable, DataFrame]:
 
 @query
 def compact_partition(spark, sf_dir):
-    """Lines written by many tasks per year, then compacted; same rows."""
+    """Lines added by two loads, then each year rewritten as one; same rows."""
     table, lines = _shipped(spark, sf_dir)
-    table.commit(lines.repartition(8))
-    table.compact(table.version().slices(), ["order_id"])
+    for half in (0, 1):
+        table.append(lines.where(F.col("line_no") % 2 == half), batch=f"half {half}")
+    table.replace_slices(table.read(), table.slices(), ["order_id"])
     return table.read()
 
 
@@ -157,7 +167,7 @@ def compact_partition(spark, sf_dir):
 def file_profile(spark, sf_dir):
     """Rows per slice as counted from the files behind the table."""
     table, lines = _shipped(spark, sf_dir)
-    table.commit(slices.clustered(lines, "ship_year", ["order_id"]))
+    table.commit(lines, order_by=["order_id"])
     return (
         table.file_profile()
         .withColumn("ship_year", F.regexp_extract("file_path", r"ship_year=(\d+)", 1).cast("int"))
@@ -169,7 +179,7 @@ def file_profile(spark, sf_dir):
 @query
 def field_bytes(spark, sf_dir):
     """Bytes of text per column of the events table."""
-    return slices.field_bytes(src.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props"))
+    return slices.field_bytes(src.table(spark, sf_dir, "events"))
 
 
 @query
@@ -250,7 +260,8 @@ def keyed_upsert(spark, sf_dir):
     early, fed = early.select("*", year), fed.select("*", year)
     table = slices.SliceTable(spark, scratch(spark, "orders"), early.schema, "order_year")
     table.commit(early)
-    table.merge(fed, ["order_id"], lambda kept, new: keyed.upsert(kept, new, ["order_id"], check=False))
+    table.merge(fed, ["order_id"], lambda kept, new: keyed.upsert(kept, new, ["order_id"], check=False),
+                slice_of_key=True)  # an order keeps its date
     return table.read()
 
 
@@ -347,16 +358,10 @@ def current_state_join(spark, sf_dir):
 
 # ---- star ----------------------------------------------------------------------------------------
 
-CUSTOMER = history.Dimension(
-    "customer_id", "customer_key",
-    ("first_name", "last_name", "email", "segment", "city", "state", "country", "priority"), ("priority",))
-PRODUCT = history.Dimension(
-    "product_id", "product_key",
-    ("sku", "product_name", "category_id", "category_name", "unit_price", "active_flag"),
-    ("unit_price", "product_name", "category_name"))
-STORE = history.Dimension(
-    "store_id", "store_key", ("store_name", "channel", "region", "city", "state", "country"),
-    ("region", "channel", "store_name"))
+# The customers here have a priority instead of a signup date, and versions by it.
+CUSTOMER = replace(sales_day.DIMENSIONS["customers"], attributes=(
+    *sales_day.DIMENSIONS["customers"].attributes[:-1], "priority"), tracked=("priority",))
+PRODUCT, STORE = sales_day.DIMENSIONS["products"], sales_day.DIMENSIONS["stores"]
 
 
 def _calendar(spark, sf_dir) -> DataFrame:
@@ -368,9 +373,6 @@ def _customer_history(spark, sf_dir) -> DataFrame:
     return _replayed(spark, sf_dir).join(src.customers(spark, sf_dir), "customer_id").select(*CUSTOMER.columns)
 
 
-# What is known without measuring: onboarded dimensions have one version, the log has many.
-VERSIONS = {"customer_key": history.FEW_VERSIONS + 1, "product_key": 1, "store_key": 1}
-
 # Surrogate name -> builder; the customer dimension has real versions.
 DIMENSIONS = {
     "customer_key": _customer_history,
@@ -381,12 +383,9 @@ DIMENSIONS = {
 
 
 def sales_report(spark, sf_dir, columns: list[str]) -> DataFrame:
-    """The wide report with only the dimensions its columns need."""
-    dims = {r.surrogate: DIMENSIONS[r.surrogate](spark, sf_dir)
-            for r in (star.CALENDAR, *star.ROLES) if set(r.report) & set(columns)}
-    keyed_by = {k: d for k, d in dims.items() if k != "date_key"}
-    fact = star.build_fact(src.order_items(spark, sf_dir), src.orders(spark, sf_dir), keyed_by, VERSIONS)
-    return star.report_view(fact, dims, columns)
+    """The wide report, cut to some columns; the rows do not depend on which."""
+    dims = {surrogate: build(spark, sf_dir) for surrogate, build in DIMENSIONS.items()}
+    return star.report_of(src.order_items(spark, sf_dir), src.orders(spark, sf_dir), dims, columns)
 
 
 @query
@@ -436,10 +435,10 @@ def revenue_region_channel(spark, sf_dir):
 # ---- cards -----------------------------------------------------------------------------------------
 
 def _reference(spark, sf_dir):
-    """Cards from the customers, merchants from the suppliers, the fixed hundred category codes."""
+    """Cards from the customers, merchants from the suppliers, one category code for each of these."""
     number = lambda name, column: src.table(spark, sf_dir, name).select(F.col(column).alias("n"))
     return (cards.card_reference(number("customer", "c_custkey")),
-            cards.merchant_reference(number("supplier", "s_suppkey")), cards.mcc_reference(cards.numbers(spark, 100)))
+            cards.merchant_reference(number("supplier", "s_suppkey")), cards.mcc_reference(number("supplier", "s_suppkey")))
 
 
 def card_transactions(spark, sf_dir) -> DataFrame:
@@ -456,8 +455,7 @@ def reference_seed(spark, sf_dir):
 @query
 def reference_merchants(spark, sf_dir):
     """Merchant reference rows, one per supplier, with their category."""
-    _, merchant, _ = _reference(spark, sf_dir)
-    codes = cards.mcc_reference(src.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("n")))
+    _, merchant, codes = _reference(spark, sf_dir)
     return merchant.join(codes, "mcc").select("merchant_id", "merchant_name", "mcc", "mcc_category", "country")
 
 
@@ -519,7 +517,7 @@ def dq_card_reports(spark, sf_dir):
     held = {"card_txn": _held(spark, _staged(txn), "card_txn")}
     for name, build in (("card_txn_decline", cards.declines), ("daily_card_summary", cards.daily_summary),
                         ("card_top_merchants", cards.top_merchants)):
-        held[name] = _held(spark, _staged(build(held["card_txn"])), name)
+        held[name] = _staged(build(held["card_txn"]))
     sets = (quality.card_mandatory(held, NOW, TODAY)
             + quality.integration_checks(held["card_txn"], held["card_txn_decline"])
             + quality.report_checks(held["daily_card_summary"], held["card_top_merchants"]))
@@ -531,7 +529,7 @@ def dq_star(spark, sf_dir):
     """Grain, references, reconciliation and version checks of the star."""
     dims = {k: _held(spark, DIMENSIONS[k](spark, sf_dir), k) for k in ("customer_key", "product_key", "store_key")}
     orders = src.orders(spark, sf_dir)
-    fact = star.build_fact(src.order_items(spark, sf_dir), orders, dims, VERSIONS)
+    fact = star.build_fact(src.order_items(spark, sf_dir), orders, dims)
     held = _held(spark, fact, "fact")
     sets = [quality.grain_check(held, ["order_id", "line_no"]),
             quality.reference_check(held, ["customer_key", "product_key", "store_key"]),
@@ -559,7 +557,8 @@ def dq_result_history(spark, sf_dir):
 
 # ---- metadata --------------------------------------------------------------------------------------
 
-CATALOGED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
+CATALOGED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+             "pages", "benchmark", "labels", "conversations"]
 
 
 @query
@@ -679,3 +678,31 @@ def cdc_apply(spark, sf_dir):
     stream = changes.open_stream(spark, "parquet", folder, maxFilesPerTrigger="2")
     changes.apply_changes(stream, CHANGE_ROW, "id", state, mark)
     return changes.live_rows(state, CHANGE_ROW)
+
+
+@query
+def stream_history(spark, sf_dir):
+    """Customer priorities as change events, streamed in batches of two files; every version is kept."""
+    log = src.priority_log(spark, sf_dir)
+    image = F.struct("customer_id", "priority", F.col("effective").cast("string").alias("effective"))
+    event = F.to_json(F.struct(F.lit("u").alias("op"), image.alias("after"), F.struct(F.col("order_id").alias("seq")).alias("source")))
+    folder, mark = scratch(spark, "priorities"), scratch(spark, "mark")
+    log.select(event.alias("value"), "order_id").repartition(4, "order_id").select("value").write.parquet(folder)
+    row = T.StructType([T.StructField("customer_id", T.LongType()), T.StructField("priority", T.StringType()),
+                        T.StructField("effective", T.StringType())])
+    daily = slices.SliceTable(spark, scratch(spark, "daily"), changes.daily_schema(row), "bucket")
+    changes.daily_rows(changes.open_stream(spark, "parquet", folder, maxFilesPerTrigger="2"), row, "customer_id", "effective", daily, mark)
+    return changes.history_of(daily, PRIORITY).select(*INTERVAL)
+
+
+@query
+def ingest_stamp(spark, sf_dir):
+    """Landed orders with the run date and the file they came from."""
+    folder = _extracted(spark, sf_dir)
+    columns = ["order_id", "status", "note"]
+    file, _ = feeds.manifest_entries(spark, folder, ["orders"])["orders"]
+    raw = feeds.read_text_feed(spark, f"{folder}/{file}", columns, line_breaks=True)
+    return feeds.stamp_ingest(raw, RUN_DATE, file).select(
+        F.col("order_id").cast("bigint").alias("order_id"), "status", "note", F.col("_run_date").alias("run_date"),
+        F.regexp_replace("_source_file", "_[0-9a-f]{32}", "").alias("source_file"),
+        F.col("_ingested_at").isNotNull().alias("is_stamped"))

@@ -83,8 +83,9 @@ def conform(df: DataFrame, rules: Mapping[str, Rule]) -> DataFrame:
 class SalesWarehouse:
     """Log, current-state, dimension and fact tables under one folder.
 
-    ``buckets`` is how many slices a current-state table has; size it so that one slice fits a
-    few tasks.  A run can be repeated and leaves the same state.
+    ``buckets`` is how many slices a current-state table has; size it so that one slice fits a few tasks, as a run
+    rewrites the slices of its keys.  A run can be repeated and leaves the same state.  Rows with a value that does not
+    cast, or without a whole key, go to a quarantine table by run date and no further.
     """
 
     def __init__(self, spark: SparkSession, root: str, first_day: date, last_day: date, buckets: int = 16):
@@ -108,13 +109,17 @@ class SalesWarehouse:
     # ---- steps
 
     def land(self, folder: str, run_date: date) -> None:
-        """Typed log slices of one feed; each must hold as many rows as the manifest says."""
+        """Typed log slices and quarantine of one feed; together they must hold as many rows as the manifest says."""
         listed = feeds.manifest_entries(self.spark, folder, list(SOURCES))
+        day = [run_date.isoformat()]
         for name, source in SOURCES.items():
             file, rows = listed[name]
-            raw = feeds.read_text_feed(self.spark, f"{folder}/{file}", list(source.columns))
-            landed = feeds.stamp_ingest(feeds.typed(raw, source.casts), run_date, file)
-            self.log(name).replace_slices(landed, [run_date.isoformat()], expected_rows=rows)
+            raw = feeds.read_text_feed(self.spark, f"{folder}/{file}", list(source.columns), line_breaks=True)
+            held = feeds.stamp_ingest(raw, run_date, file)
+            good, bad = feeds.split_bad_casts(held, source.casts, source.key)
+            aside = self.table("quarantine", name, "_run_date", bad)
+            aside.replace_slices(bad, day)
+            self.log(name).replace_slices(good, day, expected_rows=rows - aside.read(day).count())
 
     def _newest(self, df: DataFrame, name: str) -> DataFrame:
         source = SOURCES[name]
@@ -144,7 +149,7 @@ class SalesWarehouse:
             key = list(source.key)
             fed = self._bucketed(self.fed(name, run_date), source.key)
             self.table("current", name, "bucket", fed).merge(
-                fed, key, lambda kept, new, key=key: keyed.upsert(kept, new, key, check=False))
+                fed, key, lambda kept, new, key=key: keyed.upsert(kept, new, key, check=False), slice_of_key=True)
 
     def dimension(self, name: str) -> SliceTable:
         return self.table("star", name, "is_current")
@@ -155,10 +160,11 @@ class SalesWarehouse:
             state = self.current(name).read()
             first = history.onboard(state, dim)
             table = self.table("star", name, "is_current", first)
-            if not table.version().entries:
+            if not table.exists():
                 table.overwrite(first)
             else:
-                table.commit(history.advance(table.read(["true"]), state, dim, run_date), ["true"])
+                # Named by the run date: a repeated run replaces the rows it closed.
+                table.commit(history.advance(table.read(["true"]), state, dim, run_date), ["true"], batch=run_date.isoformat())
 
     def dimensions(self) -> dict[str, DataFrame]:
         out = {dim.surrogate: self.dimension(name).read() for name, dim in DIMENSIONS.items()}
@@ -175,12 +181,7 @@ class SalesWarehouse:
         lines = self.current("order_items").read().join(fed, "order_id", "left_semi")
         orders = self.current("orders").read().join(fed, "order_id", "left_semi")
         dims = {k: d for k, d in self.dimensions().items() if k != "date_key"}
-        return star.build_fact(lines, orders, dims, self.versions_per_key(dims))
-
-    @staticmethod
-    def versions_per_key(dims: Mapping[str, DataFrame]) -> dict[str, int]:
-        keys = {dim.surrogate: dim.key for dim in DIMENSIONS.values()}
-        return {s: history.widest_key(d, keys[s]) for s, d in dims.items()}
+        return star.build_fact(lines, orders, dims)
 
     def refresh_fact(self, run_date: date, set_aside: bool = False) -> None:
         """New lines are added with the keys of their order date; known lines only take the status.

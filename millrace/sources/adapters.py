@@ -34,7 +34,8 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,7 @@ from millrace.sources import files
 MANIFEST = "manifest.json"
 EPOCH = datetime(1970, 1, 1)
 
+# Field names and the epoch are fixed values.
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("run_date", T.StringType()),
@@ -58,7 +60,7 @@ def read_text_feed(spark: SparkSession, path: str, columns: Sequence[str],
 
     The header decides which column is which, so the declared order need not be the file's; a
     folder whose files disagree on the header is refused.  ``line_breaks`` allows them inside
-    quotes, at the price of reading each file in one task.
+    quotes, at the price of reading each file in one task; a feed that a writer splits into files stays parallel.
     """
     require_feeds(spark, [path])
     options = {"header": True, "encoding": "UTF-8", "multiLine": line_breaks, "quote": '"', "escape": '"'}
@@ -99,10 +101,10 @@ def _failed(casts: Mapping[str, str], columns: Sequence[str]) -> list[tuple[str,
     return [(c, F.col(c).isNotNull() & to_type(c, t).isNull()) for c, t in casts.items() if c in columns]
 
 
-def split_bad_casts(df: DataFrame, casts: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, quarantined raw rows with the list of columns that did not cast)."""
-    failed = _failed(casts, df.columns)
-    any_failed = reduce(lambda a, b: a | b, [test for _, test in failed])
+def split_bad_casts(df: DataFrame, casts: Mapping[str, str], key: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, quarantined raw rows with the list of columns that did not cast or miss a part of ``key``)."""
+    failed = _failed(casts, df.columns) + [(c, F.col(c).isNull()) for c in key]
+    any_failed = reduce(lambda a, b: a | b, [test for _, test in failed], F.lit(False))
     reasons = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in failed]))
     good = typed(df.where(~any_failed), casts)
     bad = df.where(any_failed).withColumn("reasons", reasons)
@@ -121,20 +123,24 @@ def extract_window(df: DataFrame, low: datetime, high: datetime, updated: str =
 
 
 def write_text_feed(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """CSV with header, NULL as an empty field, quotes only where needed."""
+    """CSV with header, NULL as an empty field, quotes only where needed; text may hold quotes and line breaks."""
     writer = (df.write.mode("error").option("header", True).option("nullValue", "").option("emptyValue", "")
-              .option("lineSep", "\n").option("escape", '"'))
+              .option("lineSep", "\n").option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
 def publish_manifest(spark: SparkSession, folder: str, source: str, run_date: date, high: datetime,
                      tables: Sequence[tuple[str, str, datetime, int]]) -> None:
-    """The completion marker of a feed; written after all its files."""
+    """The completion marker of a feed; written after all its files.  A feed extracted again replaces its marker.
+
+    The field names are fixed values.
+    """
     files.publish_json(spark, f"{folder}/{MANIFEST}", {
         "source": source, "run_date": run_date.isoformat(),
         "extracted_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
         "run_hwm": str(high),
-        "tables": [{"table": t, "file": f, "low_watermark": str(low), "rows": n} for t, f, low, n in tables]})
+        "tables": [{"table": t, "file": f, "low_watermark": str(low), "rows": n} for t, f, low, n in tables]}, replace=True)
 
 
 def _state_files(spark: SparkSession, state_dir: str) -> list[str]:
@@ -155,17 +161,20 @@ def extract_feed(spark: SparkSession, tables: Mapping[str, DataFrame], folder: s
                  updated: str = "updated_at") -> None:
     """Write every table's changes, then the manifest, then advance the watermarks.
 
-    A crash before the manifest leaves no feed, a crash after it re-extracts the same window.
-    The row count comes from the written files, so the control total covers what was written.
+    Each attempt writes folders of its own and the manifest names them, so a run date can be extracted again, after a
+    crash or not: until the manifest is replaced the earlier feed stands.  Rows are counted on their way into the files,
+    without the reader whose result they will be compared with.
     """
     state = {} if full else read_state(spark, state_dir)
+    attempt = uuid.uuid4().hex
     listed = []
     for name, df in tables.items():
         low = state.get(name, EPOCH)
-        path = f"{folder}/{name}_{run_date.isoformat()}.csv"
-        write_text_feed(extract_window(df, low, high, updated).sortWithinPartitions(updated), path)
-        rows = read_text_feed(spark, path, df.columns).count()
-        listed.append((name, path.rsplit("/", 1)[1], low, rows))
+        path = f"{folder}/{name}_{run_date.isoformat()}_{attempt}.csv"
+        counted = Observation(f"{name}-{attempt}")
+        window = extract_window(df, low, high, updated).sortWithinPartitions(updated)
+        write_text_feed(window.observe(counted, F.count(F.lit(1)).alias("rows")), path)
+        listed.append((name, path.rsplit("/", 1)[1], low, counted.get.get("rows", 0)))
     publish_manifest(spark, folder, source, run_date, high, listed)
     files.publish_json(spark, f"{state_dir}/hwm-{len(_state_files(spark, state_dir)) + 1:08d}.json",
                        {name: str(high) for name in tables})

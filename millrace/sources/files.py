@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -30,27 +31,40 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
-def read_json(spark: SparkSession, path: str) -> dict:
+def make(spark: SparkSession, path: str) -> None:
     fs, hpath = _resolve(spark, path)
-    stream = fs.open(hpath)
-    try:
-        raw = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(raw)
+    fs.mkdirs(hpath)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; what the target held before is gone."""
+    fs, hpath = _resolve(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    fs.delete(to, True)
+    if not fs.rename(hpath, to):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
-def publish_json(spark: SparkSession, path: str, body: dict) -> None:
-    """Write beside the target and rename, so readers see all of it or none.
+def publish_json(spark: SparkSession, path: str, body: dict, replace: bool = False) -> None:
+    """Write beside the target under a name of its own and rename, so readers see all of it or none.
 
-    An existing target is never replaced: two writers of one version cannot both win.
+    Without ``replace`` an existing target is an error.  The check and the rename are two steps: one writer at a time.
     """
     fs, target = _resolve(spark, path)
-    staging = spark._jvm.org.apache.hadoop.fs.Path(path + ".staging")
-    stream = fs.create(staging, True)
+    staging = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.staging")
+    stream = fs.create(staging, False)
     try:
         stream.write(bytearray(json.dumps(body, indent=1).encode("utf-8")))
     finally:
         stream.close()
-    if fs.exists(target) or not fs.rename(staging, target):
-        raise FileExistsError(f"{path} was published by another writer")
+    if not replace and fs.exists(target):
+        fs.delete(staging, False)
+        raise FileExistsError(f"{path} is there already")
+    fs.delete(target, False)
+    if not fs.rename(staging, target):
+        raise OSError(f"{path} could not be published")

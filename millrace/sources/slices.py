@@ -1,20 +1,18 @@
-"""A sliced Parquet table whose content is named by a small published list of folders.
+"""A sliced Parquet table: one folder per load and slice below a folder that one small file names.
 
-Parquet folders cannot be updated in place safely: an overwrite that dies half way loses a
-slice, and overwriting with an empty frame clears nothing.  Here every load writes new folders,
-then publishes the next list in one rename.  A reader sees the old or the new list, a failed
-load leaves only unlisted files, an emptied slice is a missing entry, and a load rewrites just
-the slices it names.  The list has one entry per slice and load, not per row.
+A load is written aside, clustered by slice, checked, and then moved into place by renames; the folders it replaces go
+last.  Nothing lists loads or slices but the file system, so reading prunes by Spark's own partition filters.
+A load that dies before its renames leaves the table as it was; one that dies among them is repeated: a load
+has a name, and repeating it replaces its own folders.  One writer at a time per table.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,98 +21,109 @@ from millrace.sources import files
 from millrace.sources.feeds import ControlTotalError
 
 NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
-
-
-@dataclass(frozen=True)
-class Version:
-    number: int
-    entries: tuple[tuple[str, str], ...]
-    batches: tuple[str, ...]
-
-    def slices(self) -> set[str]:
-        return {value for value, _ in self.entries}
+POINTER = "table.json"
 
 
 class SliceTable:
     """``slice_by`` is the column that says which slice a row belongs to.
 
-    The schema is listed with the content, so a table that exists can be opened without it.
+    The schema is stored with the pointer, so a table that exists can be opened without it.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None, slice_by: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = schema or self._listed_schema()
+        self.schema = schema or self._stored_schema()
         self.slice_by = slice_by
 
-    def _listed_schema(self) -> T.StructType:
-        body = self._latest()
+    def _stored_schema(self) -> T.StructType:
+        body = self._pointer()
         if body is None:
             raise FileNotFoundError(f"no table at {self.path}")
         return T.StructType.fromJson(body["schema"])
 
     # ---- state
 
-    def _latest(self) -> dict | None:
-        names = [n for n in files.child_names(self.spark, f"{self.path}/versions") if n.endswith(".json")]
-        return files.read_json(self.spark, f"{self.path}/versions/{names[-1]}") if names else None
+    def _pointer(self) -> dict | None:
+        path = f"{self.path}/{POINTER}"
+        return files.read_json(self.spark, path) if files.exists(self.spark, path) else None
 
-    def version(self) -> Version:
-        body = self._latest()
-        if body is None:
-            return Version(0, (), ())
-        return Version(body["number"], tuple((s, d) for s, d in body["entries"]), tuple(body["batches"]))
+    def _point(self, folder: str) -> None:
+        files.publish_json(self.spark, f"{self.path}/{POINTER}", {"schema": self.schema.jsonValue(), "folder": folder}, replace=True)
+
+    def exists(self) -> bool:
+        return self._pointer() is not None
+
+    def _folder(self) -> str | None:
+        body = self._pointer()
+        return f"{self.path}/{body['folder']}" if body else None
+
+    def _placed(self, folder: str) -> list[tuple[str, str]]:
+        """(slice, its path) of every load, from the names of folders."""
+        return [(unquote(name.split("=", 1)[1]), f"{folder}/{load}/{name}")
+                for load in files.child_names(self.spark, folder)
+                for name in files.child_names(self.spark, f"{folder}/{load}") if "=" in name]
+
+    def slices(self) -> set[str]:
+        folder = self._folder()
+        return {value for value, _ in self._placed(folder)} if folder else set()
 
-    def _publish(self, was: Version, entries: Iterable[tuple[str, str]], batch: str | None) -> None:
-        batches = list(was.batches) + ([batch] if batch else [])
-        number = was.number + 1
-        files.publish_json(self.spark, f"{self.path}/versions/{number:08d}.json", {
-            "number": number, "schema": self.schema.jsonValue(), "entries": sorted(entries), "batches": batches[-100:]})
+    def _slice_text(self) -> Column:
+        return F.coalesce(F.col(self.slice_by).cast("string"), F.lit(NULL_SLICE))
 
     # ---- reading
 
     def read(self, slices: Iterable[str] | None = None) -> DataFrame:
-        """The listed rows; with ``slices`` only those folders are opened."""
-        chosen = None if slices is None else set(slices)
-        folders = [d for s, d in self.version().entries if chosen is None or s in chosen]
-        return self._frame(folders)
-
-    def _frame(self, folders: Sequence[str]) -> DataFrame:
-        if not folders:
+        """The table's rows; with ``slices`` only those folders are opened."""
+        folder = self._folder()
+        if folder is None:
             return self.spark.createDataFrame([], self.schema)
+        if slices is None:
+            return self._frame(folder)
+        chosen = set(slices)
+        paths = [path for value, path in self._placed(folder) if value in chosen]
+        return self._frame(folder, *paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def _frame(self, folder: str, *paths: str) -> DataFrame:
         fields = T.StructType(list(self.schema.fields) + [T.StructField("load", T.StringType())])
-        return (
-            self.spark.read.schema(fields).option("basePath", f"{self.path}/data")
-            .parquet(*[f"{self.path}/data/{d}" for d in folders]).select(*self.schema.names)
-        )
+        reader = self.spark.read.schema(fields).option("basePath", folder)
+        return reader.parquet(*(paths or [folder])).select(*self.schema.names)
 
     # ---- writing
 
-    def _write(self, df: DataFrame, order_by: Sequence[str]) -> list[tuple[str, str]]:
-        load = f"load={uuid.uuid4().hex}"
-        out = df.select(*self.schema.names)
-        if order_by:
-            out = out.sortWithinPartitions(self.slice_by, *order_by)
-        out.write.partitionBy(self.slice_by).parquet(f"{self.path}/data/{load}")
-        made = [n for n in files.child_names(self.spark, f"{self.path}/data/{load}") if "=" in n]
-        return [(unquote(n.split("=", 1)[1]), f"{load}/{n}") for n in made]
-
     def commit(self, df: DataFrame, replacing: Iterable[str] = (), batch: str | None = None,
                order_by: Sequence[str] = (),
                guard: Callable[[set[str], DataFrame], None] | None = None) -> None:
-        """Add the rows of ``df`` and drop the earlier folders of the slices in ``replacing``.
+        """Add the rows of ``df`` and drop the earlier rows of the slices in ``replacing``.
 
-        ``batch`` names the load; a name already applied is skipped, so a retried load is harmless.
-        ``guard`` sees the written slices and rows and may raise before they are listed.
+        ``batch`` names the load: committing it again replaces what it wrote, slice by slice.  ``guard`` sees the
+        written slices and rows and may raise before they are moved into place.
         """
-        was = self.version()
-        if batch is not None and batch in was.batches:
-            return
-        gone = set(replacing)
-        added = self._write(df, order_by)
+        folder = self._folder()
+        if folder is None:
+            folder = f"{self.path}/data-{uuid.uuid4().hex}"
+            files.make(self.spark, folder)
+            self._point(folder.rsplit("/", 1)[1])
+        load = f"load={quote(batch, safe='') if batch else uuid.uuid4().hex}"
+        self._place(df, folder, load, set(replacing), order_by, guard)
+
+    def _place(self, df: DataFrame, folder: str, load: str, replacing: set[str], order_by: Sequence[str],
+               guard: Callable[[set[str], DataFrame], None] | None = None) -> None:
+        aside = f"{self.path}/aside/{uuid.uuid4().hex}"
+        clustered(df.select(*self.schema.names), self.slice_by, order_by).write.partitionBy(self.slice_by).parquet(f"{aside}/{load}")
+        made = self._placed(aside)
         if guard is not None:
-            guard({s for s, _ in added}, self._frame([d for _, d in added]))
-        self._publish(was, [(s, d) for s, d in was.entries if s not in gone] + added, batch)
+            guard({s for s, _ in made}, self._frame(aside))
+        earlier = [path for value, path in self._placed(folder) if value in replacing]
+        kept = set()
+        for _, path in made:
+            target = f"{folder}/{load}/{path.rsplit('/', 1)[1]}"
+            files.move(self.spark, path, target)
+            kept.add(target)
+        for path in earlier:
+            if path not in kept:
+                files.remove(self.spark, path)
+        files.remove(self.spark, aside)
 
     def append(self, df: DataFrame, batch: str | None = None) -> None:
         self.commit(df, (), batch)
@@ -136,60 +145,45 @@ class SliceTable:
         self.commit(df, named, None, order_by, guard)
 
     def overwrite(self, df: DataFrame, order_by: Sequence[str] = ()) -> None:
-        """Create or replace the whole table."""
-        self.commit(df, self.version().slices(), None, order_by)
-
-    def touched_slices(self, source: DataFrame, keys: Sequence[str]) -> set[str]:
+        """Create or replace the whole table: a new folder, then the pointer; the old folder goes last."""
+        was, folder = self._folder(), f"data-{uuid.uuid4().hex}"
+        files.make(self.spark, f"{self.path}/{folder}")
+        self._place(df, f"{self.path}/{folder}", f"load={uuid.uuid4().hex}", set(), order_by)
+        self._point(folder)
+        if was:
+            files.remove(self.spark, was)
+
+    def touched_slices(self, source: DataFrame, keys: Sequence[str], slice_of_key: bool = False) -> set[str]:
         """Slices a keyed merge must rewrite: those of the source and those holding its keys.
 
-        Reads only key and slice columns; the answer has at most one entry per slice.
+        ``slice_of_key`` says that a key never changes its slice, as with a bucket of the key or a creation date: then the
+        source alone tells.  Otherwise the key and slice columns of the table are read.  One entry per slice.
         """
-        slice_text = F.coalesce(F.col(self.slice_by).cast("string"), F.lit(NULL_SLICE)).alias("slice")
-        offered = source.select(*keys).dropna().distinct()
-        held = self.read().join(offered, list(keys), "left_semi").select(slice_text)
-        return {r["slice"] for r in held.union(source.select(slice_text)).distinct().collect()}
+        named = source.select(self._slice_text().alias("slice"))
+        if not slice_of_key:
+            offered = source.select(*keys).dropna().distinct()
+            named = named.union(self.read().join(offered, list(keys), "left_semi").select(self._slice_text().alias("slice")))
+        return {r["slice"] for r in named.distinct().collect()}
 
     def merge(self, source: DataFrame, keys: Sequence[str],
-              combine: Callable[[DataFrame, DataFrame], DataFrame], batch: str | None = None,
-              order_by: Sequence[str] = ()) -> None:
+              combine: Callable[[DataFrame, DataFrame], DataFrame], order_by: Sequence[str] = (),
+              slice_of_key: bool = False) -> None:
         """Rewrite the touched slices as ``combine(their rows, source)``.
 
-        The merged rows are written before the list changes, so reading and rewriting the same
-        slices is safe.  The source is written once first, because it is read several times; one
-        with repeated keys is refused.
+        The merged rows are written before the old ones go, so reading and rewriting the same slices is safe.  The
+        source is written once first, because it is read several times; one with repeated keys is refused.
         """
-        if batch is not None and batch in self.version().batches:
-            return
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
         source.write.parquet(staged)
         held = self.spark.read.schema(source.schema).parquet(staged)
         require_unique(held, keys)
-        touched = self.touched_slices(held, keys)
-        self.commit(combine(self.read(touched), held), touched, batch, order_by)
+        touched = self.touched_slices(held, keys, slice_of_key)
+        self.commit(combine(self.read(touched), held), touched, None, order_by)
         files.remove(self.spark, staged)
 
-    def compact(self, slices: Iterable[str], order_by: Sequence[str] = ()) -> None:
-        """Rewrite slices with many small files as few well-filled ones; the rows stay the same."""
-        named = set(slices)
-        self.commit(clustered(self.read(named), self.slice_by, order_by), named)
-
-    def drop_unlisted(self, keep_versions: int = 1) -> list[str]:
-        """Delete load folders that none of the last ``keep_versions`` lists names.
-
-        Not while another writer is loading: its folder is not listed yet.
-        """
-        names = [n for n in files.child_names(self.spark, f"{self.path}/versions") if n.endswith(".json")]
-        used = {entry[1].split("/", 1)[0] for n in names[-keep_versions:]
-                for entry in files.read_json(self.spark, f"{self.path}/versions/{n}")["entries"]}
-        unlisted = [n for n in files.child_names(self.spark, f"{self.path}/data") if n not in used]
-        for name in unlisted:
-            files.remove(self.spark, f"{self.path}/data/{name}")
-        return unlisted
-
     def file_profile(self) -> DataFrame:
-        """Path, size and rows of each file behind the current list."""
-        folders = [f"{self.path}/data/{d}" for _, d in self.version().entries]
-        return file_profile(self.spark.read.option("basePath", f"{self.path}/data").parquet(*folders))
+        """Path, size and rows of each file of the table."""
+        return file_profile(self.spark.read.parquet(self._folder()))
 
 
 def file_profile(df: DataFrame) -> DataFrame:

@@ -93,12 +93,13 @@ def apply_changes(stream: DataFrame, row: T.StructType, key: str, state: SliceTa
                   buckets: int = 8, continuous: bool = False) -> StreamingQuery:
     """Keep ``state`` equal to the source: inserts, updates and deletes, one merge per batch.
 
-    A batch replayed after a crash carries the same id and is skipped.
+    A batch replayed after a crash changes nothing, as the later ``seq`` wins.  ``buckets`` is how many slices the
+    state has; size it so that one fits a few tasks (state bytes / 1 GB, say).  A merge rewrites the buckets of its keys only.
     """
     changes = parse(stream, row)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        state.merge(latest_changes(batch, key, buckets), [key], keep_newest(key), batch=f"{checkpoint}#{batch_id}")
+        state.merge(latest_changes(batch, key, buckets), [key], keep_newest(key), slice_of_key=True)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _start(writer, continuous)
@@ -108,24 +109,35 @@ def live_rows(state: SliceTable, row: T.StructType) -> DataFrame:
     return state.read().where(~F.col("is_deleted")).select(*row.names)
 
 
-def advance_history(stream: DataFrame, row: T.StructType, dim: history.Dimension, dated_by: str,
-                    table: SliceTable, checkpoint: str, continuous: bool = False) -> StreamingQuery:
-    """Keep a versioned dimension from changes: each batch is one day's feed of its newest rows.
+# ---- versions from changes -------------------------------------------------------------------
 
-    The day is the latest ``dated_by`` of the batch.  ``table`` is sliced by ``is_current``, so
-    closed versions are only added.  Deletes leave the last version open, as a daily feed does.
+def daily_schema(row: T.StructType) -> T.StructType:
+    return T.StructType(list(row.fields) + [
+        T.StructField("_day", T.DateType()), T.StructField("_seq", T.LongType()), T.StructField("bucket", T.IntegerType())])
+
+
+def daily_rows(stream: DataFrame, row: T.StructType, key: str, dated_by: str, table: SliceTable, checkpoint: str,
+               buckets: int = 8, continuous: bool = False) -> StreamingQuery:
+    """Keep the last row of each key and day (``dated_by`` as a date), by ``seq``; one merge per batch.
+
+    The versions follow from this table alone (``history_of``), so however the stream is cut into batches, and in
+    whatever order days arrive, they are the same.  Deletes leave the last version open, as a daily feed does; changes
+    without key or day are left out.
     """
     changes = parse(stream, row)
+    newest = [F.col("_seq").desc()]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.where(F.col("op").isin("c", "r", "u")).select("after.*", F.col("source.seq").alias("_seq"))
-        fed = latest_per_key(rows, [dim.key], [F.col("_seq").desc()]).drop("_seq")
-        day = rows.agg(F.max(F.col(dated_by).cast("date"))).first()[0]
-        if day is None:
-            return
-        was = table.read(["true"])
-        moved = history.advance(was, fed, dim, day) if table.version().entries else history.onboard(fed, dim)
-        table.commit(moved, ["true"], batch=f"{checkpoint}#{batch_id}")
+        rows = batch.where(F.col("op").isin("c", "r", "u")).select("after.*", F.col("source.seq").alias("_seq")) \
+            .withColumn("_day", F.col(dated_by).cast("date")).dropna(subset=[key, "_day"])
+        fed = latest_per_key(rows, [key, "_day"], newest).withColumn("bucket", bucket_of(key, buckets)).select(*table.schema.names)
+        table.merge(fed, [key, "_day"], lambda kept, new: latest_per_key(kept.unionByName(new), [key, "_day"], newest),
+                    slice_of_key=True)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _start(writer, continuous)
+
+
+def history_of(table: SliceTable, dim: history.Dimension) -> DataFrame:
+    """All versions of the keys in a table of daily rows."""
+    return history.replay(table.read(), dim, "_day", [F.col("_seq").desc()])

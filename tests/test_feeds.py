@@ -79,12 +79,30 @@ def test_extract_manifest_and_watermark(spark, tmp_path, rows):
     assert feeds.read_state(spark, state) == {"t": datetime(2024, 1, 2)}
     feeds.extract_feed(spark, {"t": df}, f"{tmp_path}/f2", state, "src", DAY, datetime(2024, 1, 9))
     # The boundary row comes again.
-    raw = feeds.read_text_feed(spark, f"{tmp_path}/f2/t_2024-03-01.csv", ["id", "v"])
+    file, _ = feeds.manifest_entries(spark, f"{tmp_path}/f2", ["t"])["t"]
+    raw = feeds.read_text_feed(spark, f"{tmp_path}/f2/{file}", ["id", "v"])
     assert rows(raw) == [("2", None), ("3", 'q"x,')]
     feeds.extract_feed(spark, {"t": df}, f"{tmp_path}/f3", state, "src", DAY, datetime(2024, 1, 9), full=True)
     assert feeds.read_manifest(spark, f"{tmp_path}/f3").first()["rows"] == 3
 
 
+def test_line_breaks_count_as_written_and_a_retry_replaces_the_feed(spark, tmp_path, rows):
+    data = [(1, 'two\n"lines",\r\n', datetime(2024, 1, 1)), (2, "b", datetime(2024, 1, 2))]
+    df = spark.createDataFrame(data, "id int, v string, updated_at timestamp_ntz")
+    folder = f"{tmp_path}/f"
+    for _ in range(2):
+        feeds.extract_feed(spark, {"t": df, "none": df.limit(0)}, folder, f"{tmp_path}/s", "src", DAY, datetime(2024, 1, 9), full=True)
+    assert rows(feeds.read_manifest(spark, folder).select("table", "rows")) == [("none", 0), ("t", 2)]
+    file, expected = feeds.manifest_entries(spark, folder, ["t"])["t"]
+    whole = feeds.read_text_feed(spark, f"{folder}/{file}", ["id", "v"], line_breaks=True)
+    assert rows(whole) == [("1", 'two\n"lines",\r\n'), ("2", "b")]
+    # A reader that splits lines disagrees with the total.
+    split = feeds.read_text_feed(spark, f"{folder}/{file}", ["id", "v"]).count()
+    counted = spark.createDataFrame([("t", split), ("none", 0)], "table string, rows_read bigint")
+    with pytest.raises(feeds.ControlTotalError):
+        feeds.require_totals(feeds.control_totals(feeds.read_manifest(spark, folder), counted))
+
+
 def manifest(tmp_path, tables):
     body = {"source": "s", "run_date": "2024-03-01", "extracted_at": "x", "run_hwm": "x", "tables": tables}
     write(tmp_path / "manifest.json", json.dumps(body, indent=2))

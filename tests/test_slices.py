@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from millrace.operators import keyed
 from millrace.operators.keyed import DuplicateKeyError
 from millrace.sources.feeds import ControlTotalError
-from millrace.sources.slices import SliceTable, clustered, field_bytes
+from millrace.sources import files
+from millrace.sources.slices import SliceTable, field_bytes
 
 SCHEMA = "id int, v string, d date"
 
@@ -50,7 +51,7 @@ def test_failed_guards_leave_the_old_rows(table, rows):
     assert rows(t.read()) == before
 
 
-def test_a_load_that_dies_before_publishing_is_invisible(table, rows, monkeypatch):
+def test_a_load_that_dies_before_its_renames_is_invisible(table, rows, monkeypatch):
     t, make = table
     t.overwrite(make(DAYS))
     before = rows(t.read())
@@ -58,7 +59,7 @@ def test_a_load_that_dies_before_publishing_is_invisible(table, rows, monkeypatc
     def die(*_):
         raise RuntimeError("killed")
 
-    monkeypatch.setattr(SliceTable, "_publish", die)
+    monkeypatch.setattr(files, "move", die)
     with pytest.raises(RuntimeError):
         t.replace_slices(make([(1, "z", "2024-01-01")]), ["2024-01-01"])
     monkeypatch.undo()
@@ -68,13 +69,13 @@ def test_a_load_that_dies_before_publishing_is_invisible(table, rows, monkeypatc
 def test_merge_rewrites_only_touched_slices_and_moves_rows(table, rows):
     t, make = table
     t.overwrite(make(DAYS + [(4, "d", "2024-01-03")]))
-    untouched = [e for e in t.version().entries if e[0] == "2024-01-03"]
+    untouched = t.read(["2024-01-03"]).inputFiles()
     source = make([(1, "moved", "2024-01-02"), (5, "new", "2024-01-05")])
     t.merge(source, ["id"], lambda kept, new: keyed.upsert(kept, new, ["id"], check=False))
     assert [(r[0], r[1], str(r[2])) for r in rows(t.read())] == [
         (1, "moved", "2024-01-02"), (2, "b", "2024-01-01"), (3, "c", "2024-01-02"), (4, "d", "2024-01-03"),
         (5, "new", "2024-01-05")]
-    assert [e for e in t.version().entries if e[0] == "2024-01-03"] == untouched
+    assert t.read(["2024-01-03"]).inputFiles() == untouched
     with pytest.raises(DuplicateKeyError):
         t.merge(make([(1, "x", "2024-01-01"), (1, "y", "2024-01-01")]), ["id"], keyed.upsert)
 
@@ -95,35 +96,44 @@ def test_null_slice_is_kept(table, rows):
     assert [(r[0], r[1], r[2]) for r in rows(t.read())][0] == (1, "x", None)
 
 
-def test_compaction_keeps_rows_and_reduces_files(spark, table, rows):
+def test_a_replayed_batch_is_applied_once_however_many_came_after(table):
     t, make = table
-    df = make([(i, "v", f"2024-01-0{1 + i % 2}") for i in range(200)])
+    for n in range(12):
+        t.append(make(DAYS[:1]), batch=f"b/{n}")
+    t.append(make(DAYS[:1]), batch="b/0")
+    assert t.read().count() == 12
+
+
+def test_files_per_slice_stay_few(table):
+    t, make = table
+    df = make([(i, "v", f"2024-01-{1 + i % 20:02}") for i in range(400)])
+    per_slice = lambda: t.file_profile().withColumn("d", F.regexp_extract("file_path", "/d=([^/]*)", 1)).groupBy("d").count() \
+        .agg(F.max("count")).first()[0]
     t.commit(df.repartition(8))
-    before = t.file_profile()
-    assert before.agg(F.sum("record_count")).first()[0] == 200
-    many, content = before.count(), rows(t.read())
-    t.compact(["2024-01-01", "2024-01-02"], ["id"])
-    assert t.file_profile().count() < many
-    assert rows(t.read()) == content
+    assert per_slice() == 1
+    t.merge(make([(i, "w", f"2024-01-{1 + i % 20:02}") for i in range(100)]), ["id"],
+            lambda kept, new: keyed.upsert(kept, new, ["id"], check=False), slice_of_key=True)
+    t.replace_slices(df.where("d = DATE '2024-01-02'").repartition(4), ["2024-01-02"])
+    assert per_slice() == 1 and t.read().count() == 400
+    t.append(df, batch="more")
+    assert per_slice() == 2
+
+
+def test_a_merge_whose_key_keeps_its_slice_reads_only_the_source(table, monkeypatch):
+    t, make = table
+    t.overwrite(make(DAYS))
+    monkeypatch.setattr(t, "read", lambda *_: pytest.fail("the table was read"))
+    assert t.touched_slices(make([(1, "x", "2024-01-01")]), ["id"], slice_of_key=True) == {"2024-01-01"}
 
 
 def test_pruned_read_opens_only_named_slices(table):
     t, make = table
-    t.overwrite(clustered(make(DAYS), "d", ["id"]))
+    t.overwrite(make(DAYS), ["id"])
     assert len(t.read(["2024-01-02"]).inputFiles()) == 1
     plan = t.read().where("d = DATE '2024-01-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan
 
 
-def test_dropping_unlisted_loads_keeps_the_current_rows(table, rows):
-    t, make = table
-    t.overwrite(make(DAYS))
-    t.overwrite(make(DAYS[:1]))
-    assert t.drop_unlisted(keep_versions=2) == []
-    assert len(t.drop_unlisted()) == 1
-    assert [r[0] for r in rows(t.read())] == [1]
-
-
 def test_field_bytes(spark, rows):
     df = spark.createDataFrame([("ab", 10), ("ü", None)], "s string, n int")
     assert rows(field_bytes(df)) == [("n", 2), ("s", 4)]
