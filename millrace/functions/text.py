@@ -33,6 +33,7 @@ def id_hash(number: Column) -> Column:
     return F.upper(F.sha2(number.cast("string"), 256))
 
 
+# The pattern and prefix of identifiers.
 ID_IN_PATH = r"(urn:li:[^\s/?#&]+)"
 ID_PREFIX = "urn:li:"
 

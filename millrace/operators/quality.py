@@ -13,9 +13,10 @@ from dataclasses import dataclass, replace
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.casts import hours_between, to_decimal, to_timestamp_ms
 from millrace.functions.text import check_id
@@ -136,6 +137,29 @@ def run(sets: Sequence[CheckSet]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
+def run_apart(sets: Sequence[CheckSet]) -> DataFrame:
+    """``run``, one set at a time and at once, so that a set that fails while it runs does not end the others.
+
+    The checks of such a set are tried one by one; those that fail give ERROR rows.  Results are one row per check and
+    business date, which is what the driver holds.
+    """
+    spark = sets[0].frame.sparkSession
+    rows, schema = [], None
+    for s in sets:
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in run([s]).schema])
+        try:
+            rows += run([s]).collect()
+        except PySparkException:
+            for c in (*s.checks, *s.whole):
+                one = replace(s, checks=(c,), whole=()) if c in s.checks else replace(s, checks=(c,), whole=(), by=None)
+                try:
+                    rows += run([one]).collect()
+                except PySparkException as problem:
+                    rows.append((s.table, s.day, c.code, c.field, c.level, None, None, ERROR, c.expected_1, c.expected_2,
+                                 f"query error: {str(problem).splitlines()[0]}"))
+    return spark.createDataFrame([tuple(r) for r in rows], schema)
+
+
 def require_passed(results: DataFrame) -> None:
     """Raise if any check failed or could not run, so nothing downstream publishes.
 
@@ -309,6 +333,28 @@ def reconciliation_check(fact: DataFrame, orders: DataFrame, tolerance: float =
               count_where(F.col("line_sum").isNull() & F.col("order_total").isNotNull()), warns=is_positive)))
 
 
+def fact_checks(fact: DataFrame, orders: DataFrame, keys: Sequence[str], order: str = "order_id", line: str = "line_no",
+                tolerance: float = 0.005) -> CheckSet:
+    """Grain, references and reconciliation of a fact at (order, line) from one pass over it, dealt by order.
+
+    The same checks as ``grain_check``, ``reference_check`` and ``reconciliation_check``.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    per_order = fact.repartition(order).groupBy(order, line).agg(
+        F.count(F.lit(1)).alias("copies"), F.sum("extended_amount").alias("amount"), count_where(missing).alias("missing")) \
+        .groupBy(order).agg(F.sum(F.col("copies") - 1).alias("beyond"), F.sum("amount").alias("line_sum"),
+                            F.sum("missing").alias("missing"), F.lit(True).alias("in_fact"))
+    both = per_order.join(orders.select(order, "order_total"), order, "full")
+    off = F.abs(F.col("line_sum") - F.col("order_total")) > F.lit(tolerance).cast("decimal(9,4)")
+    none = F.lit(0)
+    return CheckSet("fact_sales", both, (
+        Check("FACT_GRAIN_UNIQUE", "rows beyond the first of a grain", F.coalesce(F.sum("beyond"), none)),
+        Check("FACT_KEYS_RESOLVED", "rows with a missing dimension key", F.coalesce(F.sum("missing"), none)),
+        Check("ORDER_TOTAL_RECONCILED", "orders whose lines do not add up", count_where(off)),
+        Check("ORDER_HAS_LINES", "orders without a fact row",
+              count_where(F.col("in_fact").isNull() & F.col("order_total").isNotNull()), warns=is_positive)))
+
+
 def dimension_checks(table: str, history: DataFrame, key: str, surrogate: str) -> list[CheckSet]:
     """At most one and at least one current row per key, key present, surrogate not repeated."""
     per_key = history.groupBy(key).agg(F.count_if("is_current").alias("current_rows"))

@@ -41,7 +41,7 @@ class CardWarehouse:
         return table.read([day.isoformat()]), table.read()
 
     def _record(self, sets: list[quality.CheckSet], layer: str, run_at: datetime) -> DataFrame:
-        events = quality.run_events(quality.run(sets), self.owner, layer, run_at).withColumn(
+        events = quality.run_events(quality.run_apart(sets), self.owner, layer, run_at).withColumn(
             "run_date", F.to_date("run_at"))
         table = self._table("check_history", events.schema, "run_date")
         table.append(events, batch=f"{layer}@{run_at.isoformat()}")

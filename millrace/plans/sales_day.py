@@ -203,9 +203,7 @@ class SalesWarehouse:
     def checks(self) -> DataFrame:
         """Star checks; the order totals must reconcile."""
         fact, dims = self.fact().read(), self.dimensions()
-        sets = [quality.grain_check(fact, GRAIN),
-                quality.reference_check(fact, [dim.surrogate for dim in DIMENSIONS.values()]),
-                quality.reconciliation_check(fact, self.current("orders").read())]
+        sets = [quality.fact_checks(fact, self.current("orders").read(), [dim.surrogate for dim in DIMENSIONS.values()])]
         for name, dim in DIMENSIONS.items():
             sets += quality.dimension_checks(f"dim_{name}", dims[dim.surrogate], dim.key, dim.surrogate)
         return quality.run(sets)

@@ -37,6 +37,14 @@ def test_error_leaves_the_other_checks_of_the_set(df):
         ("2024-01-02", "BAD", "ERROR"), ("2024-01-02", "N", "FAILED")]
 
 
+def test_a_failure_while_running_leaves_the_other_checks(spark, df):
+    broken = Check("BAD", "x", F.sum(F.raise_error(F.lit("boom")).cast("int")))
+    fine = Check("N", "x", F.count(F.lit(1)))
+    got = quality.run_apart([CheckSet("t", df, (broken, fine)), CheckSet("u", df, (fine,))])
+    status = {(r.table_name, r.check_code): r.status for r in got.collect()}
+    assert status[("t", "BAD")] == quality.ERROR and status[("t", "N")] == status[("u", "N")] != quality.ERROR
+
+
 def test_text_and_null_values(df):
     text = one(df, Check("C", "x", F.max("k"), lambda v: v == "b"))
     assert (text.status, text.actual, text.actual_text) == ("PASSED", None, "b")
@@ -117,10 +125,12 @@ def test_star_checks(spark):
         "order_total", F.col("t").cast("decimal(12,2)"))
     dim = spark.createDataFrame([(1, 100, True), (1, 101, True), (2, 102, False), (None, 102, True)],
                                 "customer_id int, customer_key int, is_current boolean")
+    apart = [quality.grain_check(fact, ["order_id", "line_no"]), quality.reference_check(fact, ["customer_key"]),
+             quality.reconciliation_check(fact, orders)]
+    one_pass = [quality.fact_checks(fact, orders, ["customer_key"])]
+    assert sorted(map(tuple, quality.run(apart).collect()), key=str) == sorted(map(tuple, quality.run(one_pass).collect()), key=str)
     got = {r.check_code: (r.actual, r.status) for r in quality.run([
-        quality.grain_check(fact, ["order_id", "line_no"]), quality.reference_check(fact, ["customer_key"]),
-        quality.reconciliation_check(fact, orders),
-        *quality.dimension_checks("dim", dim, "customer_id", "customer_key")]).collect()}
+        *one_pass, *quality.dimension_checks("dim", dim, "customer_id", "customer_key")]).collect()}
     assert got == {
         "FACT_GRAIN_UNIQUE": (1, "FAILED"), "FACT_KEYS_RESOLVED": (1, "FAILED"),
         "ORDER_TOTAL_RECONCILED": (1, "FAILED"), "ORDER_HAS_LINES": (1, "WARNING"),
