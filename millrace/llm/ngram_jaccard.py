@@ -32,7 +32,7 @@ from millrace.llm.rarity import shingle_counts, sizes_in_one
 SHINGLE = 5
 #: Similarity of at least NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 4, 5
-BINS = 256
+BINS = 128
 #: Nodes of one token that one task compares with each other; more are split into blocks.
 BLOCK = 2048
 #: Bytes of a shingle's hash where sets are compared: two sets of 1,000 agree by chance on one in 10**8 times.
@@ -152,18 +152,19 @@ def sets_of(docs: DataFrame, owners: DataFrame) -> DataFrame:
         hashed = WordHashes()
         for batch in batches:
             batch = batch.filter(pa.array(in_filter(wanted.value, longs(batch.column(0)))))
-            ids, nodes, sets = [], [], []
-            for doc_id, text in rows_of([batch]):
+            nodes, sets = [], []
+            for _, text in rows_of([batch]):
                 grams = shingle_set(text, hashed)
                 if grams.size:
-                    ids.append(doc_id)
                     nodes.append(node_of(grams))
                     sets.append(grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - KEPT_BYTES:].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "node", "grams"])
+                [pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "grams"])
 
-    made = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(run, "doc_id long, node long, grams binary")
-    return made.join(owners, ["doc_id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "grams")
+    # The filter may let a few more documents through; joins with pairs drop their sets.  One exchange by node, which both
+    # sides of the comparison use.
+    made = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(run, "node long, grams binary")
+    return made.groupBy("node").agg(F.first("grams").alias("grams"))
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
@@ -193,7 +194,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     # Sets are of one size with their texts: each pair carries one of them to the other.
     of_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b")
-    of_a = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")).join(pairs.select("a").distinct(), "a", "left_semi")
+    of_a = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
     return of_b.join(of_a, "a").select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
 
 
