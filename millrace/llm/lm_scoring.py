@@ -7,7 +7,9 @@ Count tables keep the n-grams that occur at least ``LEAST`` times (single words
 Count tables are partitioned by hash.  Documents are dealt to blocks; a block sends each table partition its distinct
 n-grams with their counts, so a hot n-gram costs one entry per block.  The partition adds up the counts and answers
 each block, in the block's own order, with the counts of the n-grams that are kept.  Joined to the block's n-grams they
-give the scores, which are summed per document.  Blocks of texts are shuffled once and used for both.
+give the scores, which are summed per document.  An n-gram of three or more words can only be kept if both of its
+n-grams with one word less are, so those are counted first and only what they leave is sent.  Blocks of texts are
+shuffled once and used for all of this.
 
 N-grams are hashes of partition bits plus some bytes, as many as keep the odds that one meets another below 10**-6.
 """
@@ -81,12 +83,6 @@ class Block:
             places = np.flatnonzero(within >= n - 1)
             self.grams.append((places, layout.reduced(mixed(h[places]))))
 
-    def distinct(self):
-        """By order: distinct keys in ascending order, the key of each place, how often each occurs."""
-        for places, keys in self.grams:
-            unique, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-            yield places, unique, inverse, counts
-
     def slices(self, unique: np.ndarray, layout: Layout) -> list[tuple[int, int, int]]:
         """(partition, first, end) of ascending keys."""
         part = layout.part(unique)
@@ -94,21 +90,82 @@ class Block:
         return [(int(part[a]), int(a), int(b)) for a, b in zip(starts, np.append(starts[1:], part.size))]
 
 
-def requests(blocks: DataFrame, layout: Layout) -> DataFrame:
-    """``n, part, block, keys, counts``: the distinct n-grams of each block for each table partition."""
+ASKED = "n int, part long, block long, keys binary, more binary, often binary"
+ANSWERED = "block long, n int, part long, kept binary, counts binary"
+
+
+def _asked(block: Block, number: int, n: int, keys: np.ndarray, layout: Layout) -> list[tuple]:
+    """A row for each table partition: the distinct keys, and the counts of those that occur more than once."""
+    unique, counts = np.unique(keys, return_counts=True)
+    rows = []
+    for p, a, b in block.slices(unique, layout):
+        more = np.flatnonzero(counts[a:b] > 1)
+        rows.append((n, p, number, layout.packed(unique[a:b]), more.astype("<u4").tobytes(), counts[a:b][more].astype("<u4").tobytes()))
+    return rows
+
+
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in as many bytes as the largest takes; the first byte says how many."""
+    size = next(s for s in (1, 2, 4, 8) if not counts.size or int(counts.max()) < 1 << (8 * s - (s == 8)))
+    return bytes([size]) + counts.astype(f"<u{size}").tobytes()
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
+def first_requests(blocks: DataFrame, layout: Layout) -> DataFrame:
+    """The distinct words and pairs of words of each block, for each table partition."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        block = Block(part["text"].tolist(), WordHashes(), layout)
-        rows = []
-        for n, (_, unique, _, counts) in enumerate(block.distinct(), 1):
-            for p, a, b in block.slices(unique, layout):
-                often = counts[a:b]
-                more = np.flatnonzero(often > 1)
-                rows.append((n, p, int(part["block"].iat[0]), layout.packed(unique[a:b]),
-                             more.astype("<u4").tobytes(), often[more].astype("<u4").tobytes()))
+        block, number = Block(part["text"].tolist(), WordHashes(), layout), int(part["block"].iat[0])
+        rows = [r for n in (1, 2) for r in _asked(block, number, n, block.grams[n - 1][1], layout)]
+        return pd.DataFrame(rows, columns=["n", "part", "block", "keys", "more", "often"])
+
+    return blocks.groupBy("block").applyInPandas(run, ASKED)
+
+
+def _possible(block: Block, n: int, below: np.ndarray) -> np.ndarray:
+    """Which places of the n-grams of a block have both shorter n-grams kept; ``below`` counts those by place."""
+    places = block.grams[n - 1][0]
+    return np.flatnonzero((below[places] > 0) & (below[places - 1] > 0))
+
+
+def _known(block: Block, n: int, keys: np.ndarray, found: dict, layout: Layout) -> np.ndarray:
+    """The table's count of each key, 0 where it is not kept."""
+    unique, inverse = np.unique(keys, return_inverse=True)
+    known = np.zeros(unique.size, np.int64)
+    for p, a, b in block.slices(unique, layout):
+        kept, counts = found[n, p]
+        known[a:b][np.unpackbits(np.frombuffer(kept, np.uint8), count=b - a).astype(bool)] = _counts(counts)
+    return known[inverse]
+
+
+def _by_place(block: Block, found: pd.DataFrame, layout: Layout, orders: int) -> np.ndarray:
+    """For each order up to ``orders`` the count of the n-gram that ends at each place, 0 where it is not kept."""
+    answers_of = {(n, p): (k, c) for n, p, k, c in zip(found["n"], found["part"], found["kept"], found["counts"])}
+    count = np.zeros((orders + 1, int(block.sizes.sum())), np.int64)
+    for n in range(1, orders + 1):
+        places, keys = block.grams[n - 1]
+        if n > 2:
+            chosen = _possible(block, n, count[n - 1])
+            places, keys = places[chosen], keys[chosen]
+        count[n, places] = _known(block, n, keys, answers_of, layout)
+    return count
+
+
+def next_requests(blocks: DataFrame, answered: DataFrame, n: int, layout: Layout) -> DataFrame:
+    """The distinct n-grams of each block that can still be kept."""
+
+    def run(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple] = []
+        if len(part):
+            block, number = Block(part["text"].tolist(), WordHashes(), layout), int(part["block"].iat[0])
+            count = _by_place(block, found, layout, n - 1)
+            rows = _asked(block, number, n, block.grams[n - 1][1][_possible(block, n, count[n - 1])], layout)
         return pd.DataFrame(rows, columns=["n", "part", "block", "keys", "more", "often"])
 
-    return blocks.groupBy("block").applyInPandas(run, "n int, part long, block long, keys binary, more binary, often binary")
+    return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(run, ASKED)
 
 
 def answers(asked: DataFrame, layout: Layout, least: int) -> DataFrame:
@@ -127,11 +184,11 @@ def answers(asked: DataFrame, layout: Layout, least: int) -> DataFrame:
         rows, at = [], 0
         for block, own in zip(part["block"], keys):
             k, c = keep[at:at + own.size], total[at:at + own.size]
-            rows.append((block, part["n"].iat[0], part["part"].iat[0], np.packbits(k).tobytes(), c[k].astype("<i8").tobytes()))
+            rows.append((block, part["n"].iat[0], part["part"].iat[0], np.packbits(k).tobytes(), _narrow(c[k])))
             at += own.size
         return pd.DataFrame(rows, columns=["block", "n", "part", "kept", "counts"])
 
-    return asked.groupBy("n", "part").applyInPandas(run, "block long, n int, part long, kept binary, counts binary")
+    return asked.groupBy("n", "part").applyInPandas(run, ANSWERED)
 
 
 def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> DataFrame:
@@ -150,16 +207,8 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> Dat
 
     def run(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         block = Block(texts["text"].tolist(), WordHashes(), layout)
-        by_part = {(n, p): (k, c) for n, p, k, c in zip(found["n"], found["part"], found["kept"], found["counts"])}
         doc = np.repeat(np.arange(block.sizes.size), block.sizes)
-        count = np.zeros((ORDER + 1, doc.size), np.int64)  # of the n-gram that ends at each place; 0: not kept
-        for n, (places, unique, inverse, _) in enumerate(block.distinct(), 1):
-            known = np.zeros(unique.size, np.int64)
-            for p, a, b in block.slices(unique, layout):
-                kept, counts = by_part[n, p]
-                mask = np.unpackbits(np.frombuffer(kept, np.uint8), count=b - a).astype(bool)
-                known[a:b][mask] = np.frombuffer(counts, "<i8")
-            count[n, places] = known[inverse]
+        count = _by_place(block, found, layout, ORDER)
         value = np.log(np.maximum(count[1], 1)) - math.log(max(total, 1)) + (ORDER - 1) * math.log(backoff)
         # Places near a text's start have less context to back off from.
         within = np.arange(doc.size) - np.repeat(np.cumsum(block.sizes) - block.sizes, block.sizes)
@@ -179,6 +228,8 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> Dat
         out["mean_log_score"] = pd.Series(mean).where(pd.Series(block.sizes) > 0, None).to_numpy()
         return out
 
-    replies = answers(requests(blocks, layout), layout, least)
+    replies = answers(first_requests(blocks, layout), layout, least)
+    for n in range(3, ORDER + 1):
+        replies = replies.unionByName(answers(next_requests(blocks, replies, n, layout), layout, least))
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
         run, "doc_id long, n_words long, n_trigram long, n_bigram long, n_unigram long, log_score double, mean_log_score double")
