@@ -49,7 +49,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of a word, remembered; forgets all words once ``limit`` are held."""
 
-    limit = 400_000
+    limit = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

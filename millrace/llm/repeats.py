@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHashes, in_filter, key_filter, longs, rows_of, space_words, stored, text_key, windows
+from millrace.llm.common import WordHashes, in_filter, key_filter, longs, rows_of, space_words, stored, windows
 
 LEAST, K, SPAN, HEAD, STRETCH = 50, 5, 20, 26, 12
 #: Words around the ends of a match that can still belong to it: no minimiser lies there, so there are few.
@@ -37,7 +37,7 @@ def minimisers(grams: np.ndarray, span: int = SPAN) -> np.ndarray:
     return np.unique(views.argmin(axis=1) + np.arange(views.shape[0]))
 
 
-SUFFIX = "doc_id long, key long, at int, head long, second long, third long"
+SUFFIX = "doc_id long, key int, at int, head long, second int, third int"
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
@@ -59,15 +59,16 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 for column, values in zip(columns, (
                         np.full(at.size, doc_id), np.full(at.size, key), at, heads[at], later[at + HEAD], later[at + HEAD + STRETCH])):
                     column.append(values)
+            names = ["doc_id", "key", "at", "head", "second", "third"]
             whole = [np.concatenate([np.empty(0, np.int64), *(v.view(np.int64) for v in c)]) for c in columns]
+            # The stretches only order suffixes of one head: 32 bits do.
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x.astype(np.int32) if i == 2 else x) for i, x in enumerate(whole)],
-                ["doc_id", "key", "at", "head", "second", "third"])
+                [pa.array(x if name in ("doc_id", "head") else x.astype(np.int32)) for name, x in zip(names, whole)], names)
 
     return docs.mapInArrow(run, SUFFIX)
 
 
-NEIGHBOUR = ("head long, a_doc long, a_key long, a_at int, b_doc long, b_key long, b_at int, "
+NEIGHBOUR = ("head long, a_doc long, a_key int, a_at int, b_doc long, b_key int, b_at int, "
              "part int, first boolean")
 _NAMES = ["head", "a_doc", "a_key", "a_at", "b_doc", "b_key", "b_at", "part", "first"]
 
@@ -82,12 +83,20 @@ def neighbours(sorted_suffixes: DataFrame) -> DataFrame:
         part = TaskContext.get().partitionId()
         last = best = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             out = []
-            for doc_id, key, at, head in rows_of([batch.select(["doc_id", "key", "at", "head"])]):
+            heads = batch.column("head").to_numpy()
+            same = np.concatenate([[last is not None and last[0] == heads[0]], heads[1:] == heads[:-1]])
+            used = same | np.append(same[1:], True)  # alone in its head: nothing to compare
+            used[0] |= last is None
+            chosen = np.flatnonzero(used)
+            columns = [batch.column(c).to_numpy()[chosen].tolist() for c in ("doc_id", "key", "at", "head")]
+            for doc_id, key, at, head, joins in zip(*columns, same[chosen].tolist()):
                 own = (doc_id, key, at)
                 if last is None:
                     out.append((head, *own, *own, part, True))
-                if last is not None and last[0] == head:
+                if joins:
                     for other in {last[1], best}:
                         if other != own:
                             out.append((head, *min(other, own), *max(other, own), None, None))
@@ -99,7 +108,7 @@ def neighbours(sorted_suffixes: DataFrame) -> DataFrame:
         yield as_batch([(last[0], *best, *last[1], part, False)] if last else [])
 
     def as_batch(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], _NAMES)
 
     return sorted_suffixes.mapInArrow(run, NEIGHBOUR)
@@ -180,7 +189,8 @@ def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """
     if least < LEAST:
         raise ValueError(f"places are chosen for passages of {LEAST} words and more")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text").cast("string")).alias("key"),
+    key = F.hash(F.col("text").cast("string"))  # tells texts of one doc_id apart
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"),
                        F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     spark = docs.sparkSession
     all_suffixes = suffixes(docs)
