@@ -24,7 +24,9 @@ from millrace.llm.common import STEP, mixed, rows_of
 
 K, TUPLE, SKETCHES, SEED = 6, 2, 32, 11
 #: k-mers whose sketch values are held together, so that a long text needs bounded memory beyond its own k-mers.
-BLOCK = 1 << 14
+BLOCK = 1 << 10
+#: Ranges for each task, so that tasks get about the same number of rows although ranges are dealt by hash.
+RANGES = 8
 
 _RNG = np.random.default_rng(SEED)
 _FACTORS = _RNG.integers(1 << 62, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -66,10 +68,11 @@ def _minimal(kmers: np.ndarray, take: int, bound: np.uint64) -> np.ndarray | Non
     place, sketch, value = [], [], []
     for at in range(0, kmers.size, BLOCK):
         values = kmers[at:at + BLOCK, None] * _FACTORS
-        i, s = np.nonzero(values <= bound)
-        place.append(i + at)
-        sketch.append(s)
-        value.append(values[i, s])
+        flat = values.reshape(-1)
+        near = np.flatnonzero(flat <= bound)
+        place.append(near // SKETCHES + at)
+        sketch.append(near % SKETCHES)
+        value.append(flat[near])
     place, sketch, value = np.concatenate(place), np.concatenate(sketch), np.concatenate(value)
     if np.bincount(sketch, minlength=SKETCHES).min() < take:
         return None
@@ -127,7 +130,8 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     Sorted by doc_id descending, nulls last, then by text.  Rows with ``copy`` only serve as a next document.  The
     driver sees one doc_id per range.
     """
-    ranges = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or RANGES * partitions
     cuts = _cuts(docs, ranges)
     # Range 0 has the largest ids; rows without id form the last one.
     number = F.aggregate(_literal(cuts), F.lit(0), lambda n, c: n + F.when(F.col("doc_id") < c, 1).otherwise(0))
@@ -141,7 +145,7 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     copy = F.struct(F.get(_literal([before.get(r) for r in every]), F.col("range")).cast("int").alias("range"), F.lit(True).alias("copy"))
     to = F.explode(F.when(is_head, F.array(own, copy)).otherwise(F.array(own)))
     return ranged.withColumn("to", to).select("to.range", "to.copy", "doc_id", "text") \
-        .repartition(ranges, "range").sortWithinPartitions("range", "copy", F.col("doc_id").desc_nulls_last(), "text")
+        .repartition(partitions, "range").sortWithinPartitions("range", "copy", F.col("doc_id").desc_nulls_last(), "text")
 
 
 OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
