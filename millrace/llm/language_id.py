@@ -22,11 +22,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import rows_of
+from millrace.llm.common import rows_of, stored
 
 BUCKETS, DIMENSIONS, ORDERS = 1 << 13, 16, (2, 3, 4)
 PER_LANGUAGE = 400
-EPOCHS, RATE, BATCH, SEED = 30, 0.5, 32, 7
+STEPS, RATE, BATCH, SEED = 1500, 0.5, 32, 7
 #: One in so many sampled documents calibrates; so many of the rightly predicted ones may be rejected.
 CALIBRATION, LOST = 5, 0.002
 #: Characters that are looked at together, so that a long text needs bounded memory.
@@ -104,24 +104,30 @@ def train(counts: np.ndarray, langs: list[str], calibrates: np.ndarray) -> Model
     outer = rng.normal(0, 0.1, (DIMENSIONS, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     own = np.flatnonzero(~calibrates) if (~calibrates).any() else np.arange(y.size)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        order = rng.permutation(own)
-        for at in range(0, order.size, BATCH):
-            rows = order[at:at + BATCH]
-            hidden = x[rows] @ inner
-            wrong = softmax(hidden @ outer + bias)
-            wrong[np.arange(rows.size), y[rows]] -= 1
-            wrong /= rows.size
-            back = wrong @ outer.T
-            outer -= rate * (hidden.T @ wrong)
-            bias -= rate * wrong.sum(0)
-            inner -= rate * 50 * (x[rows].T @ back)  # an average moves each of its many rows only a little
+    of_language = [own[y[own] == k] for k in range(len(languages)) if (y[own] == k).any()]
+    for step in range(STEPS):
+        rate = RATE * (1 - step / STEPS)
+        # Languages take turns, so a rare one is learned as well as a frequent one.
+        rows = np.array([rng.choice(of_language[i]) for i in rng.integers(len(of_language), size=BATCH)])
+        hidden = x[rows] @ inner
+        wrong = softmax(hidden @ outer + bias)
+        wrong[np.arange(rows.size), y[rows]] -= 1
+        wrong /= rows.size
+        back = wrong @ outer.T
+        outer -= rate * (hidden.T @ wrong)
+        bias -= rate * wrong.sum(0)
+        inner -= rate * 50 * (x[rows].T @ back)  # an average moves each of its many rows only a little
     table = (inner @ outer).astype(np.float32)
     held = np.flatnonzero(calibrates) if calibrates.any() else own
     logits = x[held] @ table + bias
-    likely = [(-np.log(np.maximum(softmax(logits / t)[np.arange(held.size), y[held]], 1e-12)).mean(), t)
-              for t in np.geomspace(0.05, 20, 60)]
+    # Smoothed targets, else perfectly told rows would ask for a temperature of zero.
+    target = (held.size + 1) / (held.size + 2)
+
+    def loss(t: float) -> float:
+        p = np.clip(softmax(logits / t)[np.arange(held.size), y[held]], 1e-12, 1 - 1e-12)
+        return float(-(target * np.log(p) + (1 - target) * np.log(1 - p)).mean())
+
+    likely = [(loss(t), t) for t in np.geomspace(0.05, 20, 60)]
     temperature = float(min(likely)[1])
     model = Model(languages, table, bias, temperature, 0.0)
     p = softmax(logits / temperature)
@@ -169,7 +175,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         .withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("split", "doc_id"))) \
         .where(F.col("rank") <= per_language).select("doc_id", "lang", "split")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    rows = _features(texts.join(chosen, ["doc_id", "lang"])).collect()
+    # Stored, the sample's ids have a known size: few enough are broadcast, and the texts stay where they are.
+    rows = _features(texts.join(stored(chosen, "sample"), ["doc_id", "lang"])).collect()
     rows.sort(key=lambda r: (r["lang"], r["split"], r["found"], r["often"]))
     counts = np.zeros((len(rows), BUCKETS), np.float32)
     for i, r in enumerate(rows):
