@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import rows_of, stored
 
 CAPACITY, END_ID, CUTS = 2048, 1, 2
-PIECES_PER_WORKER = 200_000
+#: Pieces in a worker's queue of class k: many times k, so that little is left over.
+QUEUE, TIMES_K = 4096, 256
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -94,8 +95,8 @@ def _queue(df: DataFrame, keys: list[str], level: int) -> DataFrame:
     placed = df.withColumn("rank", F.row_number().over(queue).cast("long") - 1) \
         .withColumn("size", F.count(F.lit(1)).over(W.partitionBy(*keys)))
     full = F.col("rank") < F.col("size") - F.col("size") % F.col("class")
-    # level 2 bits, class 12, worker 20, row 29
-    number = (F.lit(level).cast("long") * (1 << 61) + F.col("class") * (1 << 49) + worker * (1 << 29)
+    # level 2 bits, class 12, worker 34, row 15; level 1 has one worker and all 49 bits for rows
+    number = (F.lit(level).cast("long") * (1 << 61) + F.col("class") * (1 << 49) + worker * (1 << 15)
               + F.floor(F.col("rank") / F.col("class")).cast("long"))
     return placed.withColumn("sequence_id", F.when(full, number)).drop("rank", "size")
 
@@ -134,15 +135,18 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) -> D
     ``with_ids`` adds the ids themselves.
     """
     cut_up = stored(pieces(docs, capacity, with_ids), "pieces")
-    workers = max(1, -(-cut_up.count() // PIECES_PER_WORKER))
+    cut_up = cut_up.withColumn("class", F.floor(F.lit(capacity) / F.col("length")).cast("long"))
+    # One number per class, of which there are at most 2 * sqrt(capacity).
+    counts = {r["class"]: r["n"] for r in cut_up.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
+    workers = [F.lit(x) for k, n in counts.items() for x in (k, -(-n // max(QUEUE, TIMES_K * k)))]
+    of_class = F.element_at(F.create_map(*workers), F.col("class")) if workers else F.lit(1)
     first = _queue(
-        cut_up.withColumn("class", F.floor(F.lit(capacity) / F.col("length")).cast("long"))
-        .withColumn("worker", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers)).cast("long")),
+        cut_up.withColumn("worker", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), of_class).cast("long")),
         ["worker", "class"], 0)
     first = stored(_offsets(first, ["worker", "class"]), "packed")
     second = _queue(first.where(F.col("sequence_id").isNull()).drop("sequence_id", "offset"), ["class"], 1)
     second = _offsets(second, ["class"])
-    names = [*cut_up.columns, "sequence_id", "offset"]
+    names = [*(c for c in cut_up.columns if c != "class"), "sequence_id", "offset"]
     last = second.where(F.col("sequence_id").isNull()).select(*names)
     third = last.groupBy(F.pmod("length", F.lit(1)).alias("all")).applyInPandas(_last(capacity, names), last.schema)
     done = [d.where(F.col("sequence_id").isNotNull()).select(*names) for d in (first, second)]
