@@ -29,7 +29,7 @@ from millrace.llm.common import STEP, WordHashes, mixed, rows_of, space_words, t
 
 ORDER, LEAST, BACKOFF = 3, 2, 0.4
 #: Words in a block, and n-grams that one table partition holds, on average.
-BLOCK_WORDS, TABLE_GRAMS = 600_000, 1_000_000
+BLOCK_WORDS, TABLE_GRAMS = 1_200_000, 4_000_000
 
 
 def corpus_words(docs: DataFrame) -> int:
