@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import WordHashes, in_filter, key_filter, longs, rows_of, space_words, stored, windows
 
 LEAST, K, SPAN, HEAD, STRETCH = 50, 5, 20, 26, 12
-#: Words around the ends of a match that can still belong to it: no minimiser lies there, so there are few.
+#: Words around the ends of a match that are compared.  The places of a passage may have met different partners, so an end
+#: can lie further away than the next minimiser.
 AROUND = 2 * (SPAN + K) + HEAD
 
 
@@ -159,7 +160,7 @@ def _sides(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for text, ends in rows_of([batch]):
-                own = hashed.of(space_words(text))
+                own = (hashed.of(space_words(text)) >> np.uint64(32)).astype(np.uint32)  # 32 bits tell neighbouring words apart
                 for e in ends:
                     out.append((e["id"], e["side"], own[max(0, e["start"] - AROUND):e["start"]].tobytes(),
                                 own[e["end"]:e["end"] + AROUND].tobytes()))
@@ -174,7 +175,7 @@ def _sides(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _agreeing(a: bytes, b: bytes, backwards: bool) -> int:
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
     n = min(x.size, y.size)
     same = (x[x.size - n:] == y[y.size - n:])[::-1] if backwards else x[:n] == y[:n]
     return n if same.all() else int(same.argmin())
