@@ -1,13 +1,12 @@
-"""Passages that repeat, found with a sparse suffix array.
-
-Texts are words between ASCII white space, A-Z lower-cased.  Suffixes start at minimisers: where the hash of ``K`` words
-is the smallest of ``SPAN`` consecutive ones, so equal passages select equal places, whatever stands around them.
-A passage of ``LEAST`` words holds such a place with ``HEAD`` more words of the passage behind it.
-
-Suffixes are sorted by the hashes of their next ``HEAD`` words and of the two stretches behind; Spark sorts
-them by range, so a suffix that very many texts share is spread over tasks by what follows and by document.  Each suffix
-is compared with its neighbour and with the smallest (doc_id, place) before it among those with the same head.
-Pairs on one diagonal merge; then each match is extended left and right word by word, from the words around its ends.
+"""Passages that repeat, found through sparse places.
+
+Texts are words between ASCII white space, A-Z lower-cased.  A passage of ``least`` words is a window; what a document
+repeats is what its windows cover that occur at another place too, and every such window is found.  Each window has an
+anchor: where the hash of ``K`` words is the smallest of the first ``SPAN`` of it, so equal windows have equal anchors with
+the same ``HEAD`` words behind, whatever stands around them.  Windows whose anchor's head occurs once occur once.  Where all
+places of a head agree in all words that the anchor's windows cover, these windows are one unit; elsewhere each
+window is a unit of its own.  The first place of each unit comes from an aggregate, and places are joined to it, so a unit that
+very many texts hold is combined before it is shuffled and is never one row.
 """
 
 from __future__ import annotations
@@ -16,139 +15,155 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHashes, in_filter, key_filter, longs, rows_of, space_words, stored, windows
+from millrace.llm.common import STEP, WordHashes, in_filter, key_filter, longs, mixed, rows_of, space_words, stored, windows
 
-LEAST, K, SPAN, HEAD, STRETCH = 50, 5, 20, 26, 12
-#: Words around the ends of a match that are compared.  The places of a passage may have met different partners, so an end
-#: can lie further away than the next minimiser.
+LEAST, K, SPAN, HEAD = 50, 5, 20, 26
+#: Words around the ends of a match that are compared.
 AROUND = 2 * (SPAN + K) + HEAD
+#: Units in one Arrow batch, about.
+UNITS = 200_000
+BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
+
+
+class Passages:
+    """Hashes of any ranges of a text's words."""
+
+    def __init__(self, own: np.ndarray):
+        ones = np.ones(own.size + 1, np.uint64)
+        ones[1:] = BACK
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * np.cumprod(ones)[:-1], dtype=np.uint64)])
+        ones[1:] = STEP
+        self.powers = np.cumprod(ones)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The number of words is part of the hash."""
+        return mixed(mixed((self.sums[end] - self.sums[start]) * self.powers[start]) + (end - start).astype(np.uint64))
 
 
-def minimisers(grams: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """Places whose hash is the smallest (the first of equals) of some ``span`` consecutive ones, or of all if fewer."""
-    if not grams.size:
-        return np.empty(0, np.int64)
-    if grams.size <= span:
-        return np.array([int(grams.argmin())])
-    views = np.lib.stride_tricks.sliding_window_view(grams, span)
-    return np.unique(views.argmin(axis=1) + np.arange(views.shape[0]))
+def anchors(own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of a text, and the first window and the number of windows of each."""
+    count = own.size - least + 1
+    at = np.lib.stride_tricks.sliding_window_view(windows(own, K), SPAN)[:count].argmin(axis=1) + np.arange(count)
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return at[first], first, np.diff(np.append(first, count))
+
+
+def heads(docs: DataFrame, least: int) -> DataFrame:
+    """``head, whole``: for each anchor the hashes of its head and of all words that its windows cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = WordHashes()
+        for batch in batches:
+            found = [np.empty((2, 0), np.uint64)]
+            for (text,) in rows_of([batch]):
+                words = space_words(text)
+                if len(words) >= least:
+                    own = hashed.of(words)
+                    passage, (at, first, n) = Passages(own), anchors(own, least)
+                    found.append(np.stack([passage(at, at + HEAD), passage(first, first + n - 1 + least)]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1).view(np.int64)], ["head", "whole"])
 
+    return docs.select("text").mapInArrow(run, "head long, whole long")
 
-SUFFIX = "doc_id long, key int, at int, head long, second int, third int"
 
+def units(docs: DataFrame, least: int, alike: Broadcast, unlike: Broadcast) -> DataFrame:
+    """``unit, doc_id, spot, n``: ``n`` windows in a row from ``spot``, which is the text's key and the word's number.
 
-def suffixes(docs: DataFrame) -> DataFrame:
-    """``doc_id, key, at, head, second, third``: a row for each suffix that is kept."""
+    A filter may let a head through that it does not hold.  That adds rows, and none that are wrong.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+            found: list[tuple] = []
+            size = 0
             for doc_id, key, text in rows_of([batch]):
                 words = space_words(text)
-                if len(words) < LEAST:
+                if len(words) < least:
                     continue
                 own = hashed.of(words)
-                at = minimisers(windows(own, K))
-                at = at[at + HEAD <= own.size]
-                heads, next_ones = windows(own, HEAD), windows(own, STRETCH)
-                later = np.concatenate([next_ones, np.zeros(HEAD + 2 * STRETCH, np.uint64)])
-                for column, values in zip(columns, (
-                        np.full(at.size, doc_id), np.full(at.size, key), at, heads[at], later[at + HEAD], later[at + HEAD + STRETCH])):
-                    column.append(values)
-            names = ["doc_id", "key", "at", "head", "second", "third"]
-            whole = [np.concatenate([np.empty(0, np.int64), *(v.view(np.int64) for v in c)]) for c in columns]
-            # The stretches only order suffixes of one head: 32 bits do.
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x if name in ("doc_id", "head") else x.astype(np.int32)) for name, x in zip(names, whole)], names)
+                passage, (at, first, n) = Passages(own), anchors(own, least)
+                head = passage(at, at + HEAD)
+                single = in_filter(unlike.value, head)
+                block = in_filter(alike.value, head) & ~single
+                places = np.flatnonzero(np.repeat(single, n))
+                start = np.concatenate([places, first[block]])
+                count = np.concatenate([np.ones(places.size, np.int64), n[block]])
+                found.append((passage(start, start + count - 1 + least).view(np.int64), np.full(start.size, doc_id),
+                              (np.int64(key) << np.int64(32)) + start, count.astype(np.int32)))
+                size += start.size
+                if size > UNITS:
+                    yield as_batch(found)
+                    found, size = [], 0
+            yield as_batch(found)
+
+    def as_batch(found: list[tuple]) -> pa.RecordBatch:
+        kinds = (np.int64, np.int64, np.int64, np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([np.empty(0, k), *(f[i] for f in found)])) for i, k in enumerate(kinds)],
+            ["unit", "doc_id", "spot", "n"])
+
+    return docs.select("doc_id", "key", "text").mapInArrow(run, "unit long, doc_id long, spot long, n int")
+
+
+def prepared(docs: DataFrame) -> DataFrame:
+    key = F.hash(F.col("text").cast("string"))  # tells texts of one doc_id apart
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"),
+                       F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
 
-    return docs.mapInArrow(run, SUFFIX)
 
+def places(docs: DataFrame, least: int) -> DataFrame:
+    """``unit, doc_id, spot, n, first_doc, first_spot, later``: the places of units that have several, with the first of them.
 
-NEIGHBOUR = ("head long, a_doc long, a_key int, a_at int, b_doc long, b_key int, b_at int, "
-             "part int, first boolean")
-_NAMES = ["head", "a_doc", "a_key", "a_at", "b_doc", "b_key", "b_at", "part", "first"]
+    ``later`` is true for all but the first.
+    """
+    if least < LEAST:
+        raise ValueError(f"places are chosen for passages of {LEAST} words and more")
+    send = docs.sparkSession.sparkContext.broadcast
+    shared = stored(heads(docs, least).groupBy("head").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("whole") != F.max("whole")).alias("unlike")).where("n > 1").select("head", "unlike"), "heads")
+    alike, unlike = (send(key_filter(shared.where(F.col("unlike") == x).select("head"))) for x in (False, True))
+    found = stored(units(docs, least, alike, unlike), "units")
+    place = F.struct("doc_id", "spot")
+    # Stored: a join that reads it apart from the aggregate can be split where a unit is hot.
+    several = found.groupBy("unit").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last") \
+        .select("unit", F.col("first.doc_id").alias("first_doc"), F.col("first.spot").alias("first_spot"))
+    later = (F.col("doc_id") != F.col("first_doc")) | (F.col("spot") != F.col("first_spot"))
+    return stored(found.join(several, "unit").withColumn("later", later), "places")
 
 
-def neighbours(sorted_suffixes: DataFrame) -> DataFrame:
-    """Pairs of places (a before b) with the same head; and for each task (``part``) its first and last row.
+def _key(spot: str):
+    return F.shiftright(spot, 32).cast("int")
 
-    A row with ``part`` holds a suffix as b, and as a the smallest suffix of its head so far.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        last = best = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = []
-            heads = batch.column("head").to_numpy()
-            same = np.concatenate([[last is not None and last[0] == heads[0]], heads[1:] == heads[:-1]])
-            used = same | np.append(same[1:], True)  # alone in its head: nothing to compare
-            used[0] |= last is None
-            chosen = np.flatnonzero(used)
-            columns = [batch.column(c).to_numpy()[chosen].tolist() for c in ("doc_id", "key", "at", "head")]
-            for doc_id, key, at, head, joins in zip(*columns, same[chosen].tolist()):
-                own = (doc_id, key, at)
-                if last is None:
-                    out.append((head, *own, *own, part, True))
-                if joins:
-                    for other in {last[1], best}:
-                        if other != own:
-                            out.append((head, *min(other, own), *max(other, own), None, None))
-                    best = min(best, own)
-                else:
-                    best = own
-                last = (head, own)
-            yield as_batch(out)
-        yield as_batch([(last[0], *best, *last[1], part, False)] if last else [])
-
-    def as_batch(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], _NAMES)
-
-    return sorted_suffixes.mapInArrow(run, NEIGHBOUR)
-
-
-def _across(found: DataFrame) -> list[tuple]:
-    """Pairs that meet at the borders of tasks: the driver sees two rows of each task."""
-    ends = sorted((r["part"], not r["first"], r) for r in found.where(F.col("part").isNotNull()).collect())
-    pairs, before = set(), None
-    for _, is_last, r in ends:
-        smallest, own = (r["a_doc"], r["a_key"], r["a_at"]), (r["b_doc"], r["b_key"], r["b_at"])
-        if not is_last:
-            if before and before[0] == r["head"]:
-                pairs |= {(r["head"], *min(o, own), *max(o, own)) for o in before[1:] if o != own}
-        else:
-            if before and before[0] == r["head"]:
-                pairs |= {(r["head"], *min(before[2], smallest), *max(before[2], smallest))} if before[2] != smallest else set()
-                smallest = min(smallest, before[2])
-            before = (r["head"], own, smallest)
-    return sorted(pairs)
+def _at(spot: str):
+    return F.col(spot).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
 def segments(pairs: DataFrame) -> DataFrame:
     """``a_doc, a_key, b_doc, b_key, shift, start, end``: word ranges of a that agree with b, ``shift`` words further."""
     diagonal = pairs.groupBy("a_doc", "a_key", "b_doc", "b_key", (F.col("b_at") - F.col("a_at")).alias("shift")) \
-        .agg(F.array_sort(F.collect_set("a_at")).alias("starts"))
+        .agg(F.array_sort(F.collect_set(F.struct(F.col("a_at").alias("start"), (F.col("a_at") + F.col("size")).alias("end")))).alias("starts"))
     ranges = F.aggregate(
         "starts", F.array().cast("array<struct<start:int,end:int>>"),
         lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s),
-            F.concat(F.slice(done, 1, F.size(done) - 1),
-                     F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), (s + F.lit(HEAD)).alias("end")))))
-        .otherwise(F.concat(done, F.array(F.struct(s.alias("start"), (s + F.lit(HEAD)).alias("end"))))))
+            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
+            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
+                F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end")))))
+        .otherwise(F.concat(done, F.array(s))))
     return diagonal.select("a_doc", "a_key", "b_doc", "b_key", "shift", F.explode(ranges).alias("r")) \
         .select("a_doc", "a_key", "b_doc", "b_key", "shift", "r.start", "r.end")
 
 
-def _sides(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, side, before, after``: hashes of the words before the start and after the end of each side of a match."""
+def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, key, at, before, after``: hashes of the ``AROUND`` words before and after each wanted place of a text.
+
+    Each place is asked once, however many matches end there.
+    """
     keep = docs.sparkSession.sparkContext.broadcast(key_filter(wanted.select("doc_id")))
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,92 +173,126 @@ def _sides(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
         for batch in batches:
-            out = []
-            for text, ends in rows_of([batch]):
-                own = (hashed.of(space_words(text)) >> np.uint64(32)).astype(np.uint32)  # 32 bits tell neighbouring words apart
-                for e in ends:
-                    out.append((e["id"], e["side"], own[max(0, e["start"] - AROUND):e["start"]].tobytes(),
-                                own[e["end"]:e["end"] + AROUND].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
-                ["id", "side", "before", "after"])
+            for doc_id, key, text, ats in rows_of([batch]):
+                own = hashed.of(space_words(text))
+                for some in (ats[i:i + 4096] for i in range(0, len(ats), 4096)):
+                    out = [(doc_id, key, at, own[max(0, at - AROUND):at].tobytes(), own[at:at + AROUND].tobytes()) for at in some]
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], ["doc_id", "key", "at", "before", "after"])
 
     texts = docs.mapInArrow(only, docs.schema).dropDuplicates(["doc_id", "key"])
-    of_text = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("id", "side", "start", "end")).alias("ends"))
-    return texts.join(of_text, ["doc_id", "key"]).select("text", "ends") \
-        .mapInArrow(run, "id long, side int, before binary, after binary")
+    of_text = wanted.groupBy("doc_id", "key").agg(F.collect_set("at").alias("ats"))
+    return texts.join(of_text, ["doc_id", "key"]).select("doc_id", "key", "text", "ats") \
+        .mapInArrow(run, "doc_id long, key int, at int, before binary, after binary")
 
 
 def _agreeing(a: bytes, b: bytes, backwards: bool) -> int:
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     n = min(x.size, y.size)
     same = (x[x.size - n:] == y[y.size - n:])[::-1] if backwards else x[:n] == y[:n]
     return n if same.all() else int(same.argmin())
 
 
-def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``a_doc, a_start, b_doc, b_start, n_words``: maximal equal passages of at least ``least`` words, a before b.
+def _extended(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """``id, at, back`` of ends of matches, with ``at`` as far out as the words of both sides agree.
 
-    Each place of a repeated passage meets at least its neighbour in the suffix array and the first of its head; not all
-    pairs of a large group are listed.  A passage may repeat within one document.  Null, empty and shorter texts have
-    none; rows without doc_id are left out; rows alike in doc_id and text are one.
+    ``at`` is a's; b's is ``shift`` further.
     """
-    if least < LEAST:
-        raise ValueError(f"places are chosen for passages of {LEAST} words and more")
-    key = F.hash(F.col("text").cast("string"))  # tells texts of one doc_id apart
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"),
-                       F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
-    spark = docs.sparkSession
-    all_suffixes = suffixes(docs)
-    order = ["head", "second", "third", "doc_id", "key", "at"]
-    found = stored(neighbours(stored(all_suffixes, "suffixes").repartitionByRange(*order).sortWithinPartitions(*order)), "neighbours")
-    columns = _NAMES[:7]
-    pairs = found.where(F.col("part").isNull()).select(*columns)
-    border = _across(found)
-    if border:
-        pairs = pairs.unionByName(spark.createDataFrame(border, pairs.schema))
-    met = stored(segments(pairs).withColumn("id", F.xxhash64("a_doc", "a_key", "b_doc", "b_key", "shift", "start")), "segments")
-    side = lambda k, doc, key, by: met.select(
-        "id", F.lit(k).alias("side"), F.col(doc).alias("doc_id"), F.col(key).alias("key"),
-        (F.col("start") + by).cast("int").alias("start"), (F.col("end") + by).cast("int").alias("end"))
-    wanted = side(0, "a_doc", "a_key", F.lit(0)).unionByName(side(1, "b_doc", "b_key", F.col("shift")))
-    ends = stored(_sides(docs, wanted), "ends")
-    both = ends.where("side = 0").select("id", F.col("before").alias("a_before"), F.col("after").alias("a_after")) \
-        .join(ends.where("side = 1").select("id", F.col("before").alias("b_before"), F.col("after").alias("b_after")), "id")
-
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(i, _agreeing(ab, bb, True), _agreeing(aa, ba, False)) for i, ab, aa, bb, ba in rows_of([batch])]
+            out = [(i, back, _agreeing(a, b, back)) for i, back, a, b in rows_of([batch])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int32()))], ["id", "left", "right"])
+                [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.bool_(), pa.int32()))], ["id", "back", "more"])
+
+    b_at = (F.col("at") + F.col("shift")).cast("int")
+    wanted = ends.select(F.col("a_doc").alias("doc_id"), F.col("a_key").alias("key"), "at").unionByName(
+        ends.select(F.col("b_doc").alias("doc_id"), F.col("b_key").alias("key"), b_at.alias("at"))).distinct()
+    around = stored(_contexts(docs, wanted), "contexts")
+    side = lambda x: around.select(
+        F.col("doc_id").alias(f"{x}_doc"), F.col("key").alias(f"{x}_key"), F.col("at").alias(f"{x}_at"),
+        F.col("before").alias(f"{x}_before"), F.col("after").alias(f"{x}_after"))
+    words = lambda x: F.when(F.col("back"), F.col(f"{x}_before")).otherwise(F.col(f"{x}_after"))
+    both = ends.withColumn("a_at", F.col("at")).withColumn("b_at", b_at) \
+        .join(side("a"), ["a_doc", "a_key", "a_at"]).join(side("b"), ["b_doc", "b_key", "b_at"])
+    more = both.select("id", "back", words("a").alias("a"), words("b").alias("b")).mapInArrow(extend, "id long, back boolean, more int")
+    moved = stored(ends.join(more, ["id", "back"]).withColumn(
+        "at", F.when(F.col("back"), F.col("at") - F.col("more")).otherwise(F.col("at") + F.col("more")).cast("int")), "ends")
+    return moved.select("id", "back", "at")
 
-    grown = both.mapInArrow(extend, "id long, left int, right int")
-    start = F.col("start") - F.col("left")
-    return met.join(grown, "id").select(
-        "a_doc", start.alias("a_start"), "b_doc", (start + F.col("shift")).alias("b_start"),
-        (F.col("end") + F.col("right") - start).alias("n_words")).where(F.col("n_words") >= least).distinct()
+
+def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``a_doc, a_start, b_doc, b_start, n_words``: maximal equal passages of at least ``least`` words, a before b.
+
+    Every place of a repeated passage of ``least`` words is matched with the first one; not all pairs of a group are listed.
+    A passage may repeat within one document.  Null, empty and shorter texts have none; rows without doc_id are left
+    out; rows alike in doc_id and text are one.
+    """
+    docs = prepared(docs)
+    pairs = places(docs, least).where("later").select(
+        F.col("first_doc").alias("a_doc"), _key("first_spot").alias("a_key"), _at("first_spot").alias("a_at"),
+        F.col("doc_id").alias("b_doc"), _key("spot").alias("b_key"), _at("spot").alias("b_at"), (F.col("n") + (least - 1)).alias("size"))
+    met = stored(segments(pairs).withColumn("id", F.xxhash64("a_doc", "a_key", "b_doc", "b_key", "shift", "start")), "segments")
+    common = ["id", "a_doc", "a_key", "b_doc", "b_key", "shift"]
+    ends = met.select(*common, F.col("start").alias("at"), F.lit(True).alias("back")).unionByName(
+        met.select(*common, F.col("end").alias("at"), F.lit(False).alias("back")))
+    far = _extended(docs, ends)
+    return met.select("id", "a_doc", "b_doc", "a_key", "b_key", "shift") \
+        .join(far.where("back").select("id", F.col("at").alias("s")), "id") \
+        .join(far.where("not back").select("id", F.col("at").alias("e")), "id") \
+        .select("a_doc", "a_key", F.col("s").alias("a_start"), "b_doc", "b_key", (F.col("s") + F.col("shift")).alias("b_start"),
+                (F.col("e") - F.col("s")).alias("n_words")).distinct().drop("a_key", "b_key")
+
+
+def _merged(start: np.ndarray, end: np.ndarray, later: np.ndarray, partner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, end, copy and partner of the ranges of one text."""
+    low = int(start.min())
+    size = int(end.max()) - low
+    cover = np.zeros((2, size + 1), np.int64)
+    for kind in (0, 1):
+        of = later == bool(kind)
+        cover[kind] = np.cumsum(np.bincount(start[of] - low, minlength=size + 1) - np.bincount(end[of] - low, minlength=size + 1))
+    state = (cover.sum(axis=0) > 0).astype(int)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], state])))
+    a, b = edges[:-1], edges[1:]
+    used = state[a] > 0
+    a, b = a[used], b[used]
+    smallest = np.full(a.size, np.iinfo(np.int64).max)
+    low_run, high_run = np.searchsorted(b, start - low, "right"), np.searchsorted(a, end - low, "left")
+    many = high_run - low_run
+    run = np.repeat(low_run - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
+    np.minimum.at(smallest, run, np.repeat(partner, many))
+    copy = np.zeros(a.size, bool)
+    np.logical_or.at(copy, run, np.repeat(later, many))
+    return a + low, b + low, copy, smallest
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``doc_id, start_word, n_words, copy, partner_doc_id``: each document's merged ranges of repeated words.
 
-    ``copy`` is true if an earlier (doc_id, place) has some of it, so removing the ranges with it keeps one of each;
-    ``partner_doc_id`` is the smallest doc_id that a match of the range was found with.
+    ``copy`` is true if an earlier (doc_id, place) has some of it.  ``partner_doc_id`` is the smallest doc_id that holds some repeated
+    passage of the range at another place; the ranges of unlike texts with one doc_id are not merged with each other.
     """
-    found = stored(matches(docs, least), "matches")
-    of = lambda own, start, other, copy: found.select(
-        F.col(own).alias("doc_id"), F.col(start).alias("s"), (F.col(start) + F.col("n_words")).alias("e"),
-        F.lit(copy).alias("c"), F.col(other).alias("p"))
-    spans = of("a_doc", "a_start", "b_doc", False).unionByName(of("b_doc", "b_start", "a_doc", True)).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set(F.struct("s", "e", "c", "p"))).alias("spans"))
-    merged = F.aggregate(
-        "spans", F.array().cast("array<struct<s:int,e:int,c:boolean,p:bigint>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["e"] >= x["s"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-                F.element_at(done, -1)["s"].alias("s"), F.greatest(F.element_at(done, -1)["e"], x["e"]).alias("e"),
-                (F.element_at(done, -1)["c"] | x["c"]).alias("c"), F.least(F.element_at(done, -1)["p"], x["p"]).alias("p")))))
-        .otherwise(F.concat(done, F.array(x))))
-    return spans.select("doc_id", F.explode(merged).alias("r")).select(
-        "doc_id", F.col("r.s").cast("long").alias("start_word"), (F.col("r.e") - F.col("r.s")).cast("long").alias("n_words"),
-        F.col("r.c").alias("copy"), F.col("r.p").alias("partner_doc_id"))
+    found = places(prepared(docs), least)
+    second = found.where("later").groupBy("unit").agg(F.min("doc_id").alias("partner"))
+    later = found.where("later").withColumn("partner", F.col("first_doc"))
+    both = later.unionByName(found.where("not later").join(second, "unit").select(*later.columns))
+    spans = both.select("doc_id", _key("spot").alias("key"), F.struct(
+        _at("spot").alias("s"), (_at("spot") + F.col("n") + (least - 1)).alias("e"), F.col("later").alias("c"), F.col("partner").alias("p")).alias("span")) \
+        .groupBy("doc_id", "key").agg(F.collect_set("span").alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat = [x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten()]
+            bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            out: list[list[np.ndarray]] = [[np.empty(0, k)] for k in (np.int64, np.int64, np.int64, bool, np.int64)]
+            for doc_id, x, y in zip(batch.column(0).to_pylist(), bounds[:-1], bounds[1:]):
+                a, b, copy, partner = _merged(*(f[x:y] for f in flat))
+                for column, values in zip(out, (np.full(a.size, doc_id), a, b - a, copy, partner)):
+                    column.append(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out],
+                                             ["doc_id", "start_word", "n_words", "copy", "partner_doc_id"])
+
+    return spans.select("doc_id", "spans").mapInArrow(
+        run, "doc_id long, start_word long, n_words long, copy boolean, partner_doc_id long")

@@ -103,6 +103,21 @@ def test_repeated_passages(make):
     assert all(r.copy for r in got if r.doc_id in (100, 101))
 
 
+def test_nested_passages_in_a_hot_group(make):
+    rng = random.Random(12)
+    hot = sentence(rng, 46)
+    texts = [(i, " ".join([sentence(rng, 30), hot, sentence(rng, 30)])) for i in range(400)]
+    sides = [(sentence(rng, a), sentence(rng, b)) for a, b in ((4, 0), (0, 4), (2, 2), (3, 1), (1, 3)) for _ in range(8)]
+    for j, (left, right) in enumerate(sides):
+        texts += [(1000 + 10 * j + c, " ".join([sentence(rng, 30), left, hot, right, sentence(rng, 30)])) for c in (0, 1)]
+    left, right = sentence(rng, 2), sentence(rng, 2)
+    texts += [(3000 + i, " ".join([sentence(rng, 30), left, hot, sentence(rng, 30)])) for i in range(40)]
+    texts += [(4000 + i, " ".join([sentence(rng, 30), hot, right, sentence(rng, 30)])) for i in range(40)]
+    texts += [(5000 + i, " ".join([sentence(rng, 30), left, hot, right, sentence(rng, 30)])) for i in (0, 1)]
+    got = repeats.repeated_spans(make(texts)).collect()
+    assert {(r.doc_id, r.start_word, r.n_words) for r in got} == spans_by_force(texts)
+
+
 def test_repeats_odd_rows(make):
     assert {r.doc_id for r in repeats.repeated_spans(make(ODD)).collect()} <= {6}
     assert repeats.repeated_spans(make([])).count() == 0
