@@ -130,8 +130,8 @@ def places(docs: DataFrame, least: int) -> DataFrame:
     found = stored(units(docs, least, alike, unlike), "units")
     place = F.struct("doc_id", "spot")
     # Stored: a join that reads it apart from the aggregate can be split where a unit is hot.
-    several = found.groupBy("unit").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last") \
-        .select("unit", F.col("first.doc_id").alias("first_doc"), F.col("first.spot").alias("first_spot"))
+    several = stored(found.groupBy("unit").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last") \
+        .select("unit", F.col("first.doc_id").alias("first_doc"), F.col("first.spot").alias("first_spot")), "several")
     later = (F.col("doc_id") != F.col("first_doc")) | (F.col("spot") != F.col("first_spot"))
     return stored(found.join(several, "unit").withColumn("later", later), "places")
 

@@ -118,6 +118,18 @@ def test_nested_passages_in_a_hot_group(make):
     assert {(r.doc_id, r.start_word, r.n_words) for r in got} == spans_by_force(texts)
 
 
+def test_each_place_is_one_row(make):
+    rng = random.Random(15)
+    passage = sentence(rng, 90)
+    texts = [(i, " ".join([sentence(rng, 20), passage, sentence(rng, 20)])) for i in range(300)]
+    docs = repeats.prepared(make(texts))
+    found = repeats.places(docs, 50)
+    assert found.count() == found.select("unit", "doc_id", "spot").distinct().count()
+    met = found.where("later").select(F.col("first_doc").alias("doc_id"), repeats._key("first_spot").alias("key"),
+                                            repeats._at("first_spot").alias("at"))
+    assert met.count() > 299 and repeats._contexts(docs, met).count() == met.distinct().count()
+
+
 def test_repeats_odd_rows(make):
     assert {r.doc_id for r in repeats.repeated_spans(make(ODD)).collect()} <= {6}
     assert repeats.repeated_spans(make([])).count() == 0
