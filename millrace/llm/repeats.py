@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import STEP, WordHashes, in_filter, key_filter, longs, mixed, rows_of, space_words, stored, windows
 
 LEAST, K, SPAN, HEAD = 50, 5, 20, 26
-#: Words around the ends of a match that are compared.
+#: Words around the ends of a match that are compared in one round; a match whose words all agree goes into the next.
 AROUND = 2 * (SPAN + K) + HEAD
 #: Units in one Arrow batch, about.
 UNITS = 200_000
@@ -197,28 +197,35 @@ def _agreeing(a: bytes, b: bytes, backwards: bool) -> int:
 def _extended(docs: DataFrame, ends: DataFrame) -> DataFrame:
     """``id, at, back`` of ends of matches, with ``at`` as far out as the words of both sides agree.
 
-    ``at`` is a's; b's is ``shift`` further.
+    ``at`` is a's; b's is ``shift`` further.  Rounds of ``AROUND`` words go on until no end is open.
     """
+    done = None
+
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [(i, back, _agreeing(a, b, back)) for i, back, a, b in rows_of([batch])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.bool_(), pa.int32()))], ["id", "back", "more"])
 
-    b_at = (F.col("at") + F.col("shift")).cast("int")
-    wanted = ends.select(F.col("a_doc").alias("doc_id"), F.col("a_key").alias("key"), "at").unionByName(
-        ends.select(F.col("b_doc").alias("doc_id"), F.col("b_key").alias("key"), b_at.alias("at"))).distinct()
-    around = stored(_contexts(docs, wanted), "contexts")
-    side = lambda x: around.select(
-        F.col("doc_id").alias(f"{x}_doc"), F.col("key").alias(f"{x}_key"), F.col("at").alias(f"{x}_at"),
-        F.col("before").alias(f"{x}_before"), F.col("after").alias(f"{x}_after"))
-    words = lambda x: F.when(F.col("back"), F.col(f"{x}_before")).otherwise(F.col(f"{x}_after"))
-    both = ends.withColumn("a_at", F.col("at")).withColumn("b_at", b_at) \
-        .join(side("a"), ["a_doc", "a_key", "a_at"]).join(side("b"), ["b_doc", "b_key", "b_at"])
-    more = both.select("id", "back", words("a").alias("a"), words("b").alias("b")).mapInArrow(extend, "id long, back boolean, more int")
-    moved = stored(ends.join(more, ["id", "back"]).withColumn(
-        "at", F.when(F.col("back"), F.col("at") - F.col("more")).otherwise(F.col("at") + F.col("more")).cast("int")), "ends")
-    return moved.select("id", "back", "at")
+    while True:
+        b_at = (F.col("at") + F.col("shift")).cast("int")
+        wanted = ends.select(F.col("a_doc").alias("doc_id"), F.col("a_key").alias("key"), "at").unionByName(
+            ends.select(F.col("b_doc").alias("doc_id"), F.col("b_key").alias("key"), b_at.alias("at"))).distinct()
+        around = stored(_contexts(docs, wanted), "contexts")
+        side = lambda x: around.select(
+            F.col("doc_id").alias(f"{x}_doc"), F.col("key").alias(f"{x}_key"), F.col("at").alias(f"{x}_at"),
+            F.col("before").alias(f"{x}_before"), F.col("after").alias(f"{x}_after"))
+        words = lambda x: F.when(F.col("back"), F.col(f"{x}_before")).otherwise(F.col(f"{x}_after"))
+        both = ends.withColumn("a_at", F.col("at")).withColumn("b_at", b_at) \
+            .join(side("a"), ["a_doc", "a_key", "a_at"]).join(side("b"), ["b_doc", "b_key", "b_at"])
+        more = both.select("id", "back", words("a").alias("a"), words("b").alias("b")).mapInArrow(extend, "id long, back boolean, more int")
+        moved = stored(ends.join(more, ["id", "back"]).withColumn(
+            "at", F.when(F.col("back"), F.col("at") - F.col("more")).otherwise(F.col("at") + F.col("more")).cast("int")), "ends")
+        closed = moved.where(F.col("more") < AROUND).select("id", "back", "at")
+        done = closed if done is None else done.unionByName(closed)
+        ends = moved.where(F.col("more") == AROUND).drop("more")
+        if ends.isEmpty():
+            return done
 
 
 def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:

@@ -130,6 +130,20 @@ def test_each_place_is_one_row(make):
     assert met.count() > 299 and repeats._contexts(docs, met).count() == met.distinct().count()
 
 
+def test_matches_are_maximal(make):
+    rng = random.Random(13)
+    hot, left, right = sentence(rng, 300), sentence(rng, 15), sentence(rng, 15)
+    texts = [(i, " ".join([sentence(rng, 30), hot, sentence(rng, 30)])) for i in range(3)]
+    texts += [(i, " ".join([sentence(rng, 30), left, hot, right, sentence(rng, 30)])) for i in (10, 11)]
+    held = {i: words(t) for i, t in texts}
+    got = repeats.matches(make(texts)).collect()
+    for r in got:
+        a, b = held[r.a_doc], held[r.b_doc]
+        assert a[r.a_start:r.a_start + r.n_words] == b[r.b_start:r.b_start + r.n_words]
+        assert a[r.a_start - 1] != b[r.b_start - 1] and a[r.a_start + r.n_words] != b[r.b_start + r.n_words]
+    assert (10, 30, 11, 30, 330) in {tuple(r) for r in got}
+
+
 def test_repeats_odd_rows(make):
     assert {r.doc_id for r in repeats.repeated_spans(make(ODD)).collect()} <= {6}
     assert repeats.repeated_spans(make([])).count() == 0
