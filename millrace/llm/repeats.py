@@ -252,14 +252,14 @@ def matches(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def _merged(start: np.ndarray, end: np.ndarray, later: np.ndarray, partner: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Start, end, copy and partner of the ranges of one text."""
+    """Start, end, copy and partner of the ranges of one text: words of some first place are no copy."""
     low = int(start.min())
     size = int(end.max()) - low
     cover = np.zeros((2, size + 1), np.int64)
     for kind in (0, 1):
         of = later == bool(kind)
         cover[kind] = np.cumsum(np.bincount(start[of] - low, minlength=size + 1) - np.bincount(end[of] - low, minlength=size + 1))
-    state = (cover.sum(axis=0) > 0).astype(int)
+    state = np.where(cover[0] > 0, 1, np.where(cover[1] > 0, 2, 0))
     edges = np.flatnonzero(np.diff(np.concatenate([[0], state])))
     a, b = edges[:-1], edges[1:]
     used = state[a] > 0
@@ -269,15 +269,14 @@ def _merged(start: np.ndarray, end: np.ndarray, later: np.ndarray, partner: np.n
     many = high_run - low_run
     run = np.repeat(low_run - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
     np.minimum.at(smallest, run, np.repeat(partner, many))
-    copy = np.zeros(a.size, bool)
-    np.logical_or.at(copy, run, np.repeat(later, many))
-    return a + low, b + low, copy, smallest
+    return a + low, b + low, state[a] == 2, smallest
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``doc_id, start_word, n_words, copy, partner_doc_id``: each document's merged ranges of repeated words.
 
-    ``copy`` is true if an earlier (doc_id, place) has some of it.  ``partner_doc_id`` is the smallest doc_id that holds some repeated
+    A range ends where ``copy`` changes: it is true where all repeated passages have an earlier (doc_id, place), so removing
+    the ranges with it keeps the first place of each whole.  ``partner_doc_id`` is the smallest doc_id that holds some repeated
     passage of the range at another place; the ranges of unlike texts with one doc_id are not merged with each other.
     """
     found = places(prepared(docs), least)

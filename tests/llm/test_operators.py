@@ -144,6 +144,25 @@ def test_matches_are_maximal(make):
     assert (10, 30, 11, 30, 330) in {tuple(r) for r in got}
 
 
+def test_removing_copies_keeps_one_of_each(make):
+    rng = random.Random(14)
+    x, y, z, p1, p2 = (sentence(rng, n) for n in (30, 40, 30, 60, 60))
+    texts = [(1, p2), (5, f"{p2} {p1}"), (9, p1), (11, f"{x} {y}"), (15, f"{x} {y} {z}"), (19, f"{y} {z}"), (20, f"{x} {y} {z} {p1}")]
+    got = repeats.repeated_spans(make(texts)).collect()
+    assert {(r.start_word, r.n_words, r.copy, r.partner_doc_id) for r in got if r.doc_id == 5} == {(0, 60, True, 1), (60, 60, False, 9)}
+    left = []
+    for i, t in texts:
+        w = words(t)
+        for r in got:
+            if r.doc_id == i and r.copy:
+                w[r.start_word:r.start_word + r.n_words] = [None] * r.n_words
+        left.append(w)
+    windows = lambda w: [tuple(w[p:p + 50]) for p in range(len(w) - 49)]
+    held = Counter(v for _, t in texts for v in windows(words(t)))
+    kept = Counter(v for w in left for v in windows(w))
+    assert all(kept[v] == 1 for v, n in held.items() if n > 1)
+
+
 def test_repeats_odd_rows(make):
     assert {r.doc_id for r in repeats.repeated_spans(make(ODD)).collect()} <= {6}
     assert repeats.repeated_spans(make([])).count() == 0
