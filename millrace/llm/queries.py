@@ -188,6 +188,15 @@ FROM w LEFT JOIN scored ON w.doc_id = scored.doc_id GROUP BY w.doc_id
 """
 
 
+@query
+def op1_lm_scoring_all(spark, sf_dir):
+    """As ``op1_lm_scoring``, with the counts of all n-grams, also of those that occur once."""
+    return lm_scoring.scores(table(spark, sf_dir, "documents"), least=1)
+
+
+ORACLES["op1_lm_scoring_all"] = ORACLES["op1_lm_scoring"].replace(" HAVING count(*) >= 2", "")
+
+
 @query
 def op2_suffix_array_dedup(spark, sf_dir):
     """The passages of at least 50 words in each document that occur elsewhere too."""

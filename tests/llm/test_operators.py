@@ -68,6 +68,14 @@ def test_lm_scores_follow_the_counts(make):
         assert got[i].n_trigram + got[i].n_bigram + got[i].n_unigram == len(w)
 
 
+def test_all_counts_are_kept(llm):
+    assert "HAVING" not in ORACLES["op1_lm_scoring_all"]
+    used = QUERIES["op1_lm_scoring_all"](llm, SF).agg(*(F.sum(c) for c in ("n_words", "n_trigram", "n_bigram", "n_unigram"))).first()
+    docs = [words(r.text) for r in llm.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    want = [sum(map(len, docs)), *(sum(f(len(w)) for w in docs) for f in (lambda n: max(n - 2, 0), lambda n: n >= 2, lambda n: n >= 1))]
+    assert list(used) == want
+
+
 def test_lm_odd_rows(make):
     got = lm_scoring.scores(make(ODD)).collect()
     assert len(got) == len(ODD)
