@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import rows_of, stored
+from millrace.llm.common import rows_of, stored, text_key
 
 BUCKETS, DIMENSIONS, ORDERS = 1 << 13, 16, (2, 3, 4)
 PER_LANGUAGE = 400
@@ -164,9 +164,9 @@ def held_out(doc_id="doc_id"):
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Train on at most ``per_language`` documents of each non-null ``lang`` that are not held out.
+    """Train on at most ``per_language`` texts of each non-null ``lang`` that are not held out.
 
-    Rows with a null doc_id are not used.  The model depends on the rows only, not on how they are partitioned.
+    Rows alike in doc_id, lang and text are one.  Rows with a null doc_id are not used.  The model depends on the rows only, not on how they are partitioned.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()) \
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
@@ -176,7 +176,12 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         .where(F.col("rank") <= per_language).select("doc_id", "lang", "split")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     # Stored, the sample's ids have a known size: few enough are broadcast, and the texts stay where they are.
-    rows = _features(texts.join(stored(chosen, "sample"), ["doc_id", "lang"])).collect()
+    found = texts.join(stored(chosen, "sample"), ["doc_id", "lang"]).where(F.col("text").isNotNull()).withColumn("hash", text_key())
+    # A doc_id may stand in many rows: one of each text, and again the first of them.
+    first = found.dropDuplicates(["doc_id", "lang", "hash"]) \
+        .withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("split", "doc_id", "hash"))) \
+        .where(F.col("rank") <= per_language).drop("rank")
+    rows = _features(first).collect()
     rows.sort(key=lambda r: (r["lang"], r["split"], r["found"], r["often"]))
     counts = np.zeros((len(rows), BUCKETS), np.float32)
     for i, r in enumerate(rows):

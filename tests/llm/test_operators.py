@@ -305,6 +305,16 @@ def test_language_odd_rows(llm, make):
     assert language_id.predict(make([]), model).count() == 0
 
 
+def test_sample_is_bounded_where_a_doc_id_repeats(make, monkeypatch):
+    seen = []
+    train = language_id.train
+    monkeypatch.setattr(language_id, "train", lambda counts, lang, *rest: seen.append(len(lang)) or train(counts, lang, *rest))
+    one = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 4 != 2)
+    language_id.fit(make([(one, f"some text {'abcdefghij'[i % 10] * (1 + i)}") for i in range(40)]), per_language=10)
+    language_id.fit(make([(one, "the same text")] * 40), per_language=10)
+    assert seen == [10, 1]
+
+
 def test_long_texts_count_like_short_ones(monkeypatch):
     text = "Der schnelle  braune Fuchs, 12 springt! " * 50
     whole = language_id.subwords(text)
