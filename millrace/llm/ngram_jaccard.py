@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import WordHashes, in_filter, key_filter, longs, rows_of, space_words, stored, windows
 from millrace.llm.components import components
@@ -321,11 +322,34 @@ def classes(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("n").cast("long").alias("n_shingles"), "node", F.col("doc_id").alias("component_id")))
 
 
+def _with_nodes(docs: DataFrame) -> DataFrame:
+    """``docs`` and, as ``__node``, the hash of each row's set; null without words."""
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = WordHashes()
+        for batch in batches:
+            sets = [shingle_set(text, hashed) for text in batch.column(at).to_pylist()]
+            nodes = pa.array([node_of(grams) if grams.size else None for grams in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], [*names, "__node"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that link to one with a smaller doc_id; all columns.
 
     Of rows with the same doc_id and component one stays; rows without doc_id all stay.
     """
-    keep = classes(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, F.col("doc_id").cast("long") == F.col("__keep")).drop("__keep").dropDuplicates(["doc_id"])
+    found = stored(classes(docs), "classes")
+    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep"), F.col("node").alias("__own"))
+    # Only where unlike rows share a doc_id does its row have to be told by its set.
+    unlike = found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__keep")) \
+        .agg((F.min("component_id") != F.max("component_id")).alias("unlike")).where("unlike").select("__keep")
+    same_id = F.col("doc_id").cast("long") == F.col("__keep")
+    plain = docs.join(first.select("__keep").distinct().join(unlike, "__keep", "left_anti"), same_id)
+    told = _with_nodes(docs.join(unlike, same_id, "left_semi")).join(
+        first.distinct(), same_id & F.col("__node").eqNullSafe(F.col("__own")))
+    kept = plain.select(*docs.columns).unionByName(told.select(*docs.columns)).dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))

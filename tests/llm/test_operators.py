@@ -374,6 +374,16 @@ def test_jaccard_odd_rows(make):
     assert ngram_jaccard.classes(make([])).count() == 0 and ngram_jaccard.one_of_each(make([])).count() == 0
 
 
+def test_the_row_that_is_no_copy_stays(make):
+    rng = random.Random(16)
+    texts = [(i, sentence(rng, 60)) for i in range(20)]
+    clean = [(i, sentence(rng, 60)) for i in range(100, 120)]
+    rows = texts + [(100 + i, t) for i, t in texts] + clean
+    for order in (rows, rows[::-1]):
+        kept = ngram_jaccard.one_of_each(make(order).coalesce(1)).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == sorted(texts + clean)
+
+
 # ---- fingerprints
 
 def test_fingerprints(make):
