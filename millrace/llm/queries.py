@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    decontamination, fingerprints, language_id, line_dedup, lm_scoring, ngram_jaccard, packing, repeats, sharding, url_filter)
+    alignment, decontamination, fingerprints, language_id, line_dedup, lm_scoring, manifest, ngram_jaccard, packing, repeats, secrets,
+    sharding, url_filter)
 from millrace.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +202,100 @@ ORACLES["op1_lm_scoring_all"] = ORACLES["op1_lm_scoring"].replace(" HAVING count
 def op2_suffix_array_dedup(spark, sf_dir):
     """The passages of at least 50 words in each document that occur elsewhere too."""
     return repeats.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    """Leaf, roots and proof of every document, and what a table without some line breaks gives."""
+    return manifest.report(table(spark, sf_dir, "documents"))
+
+
+def _sized(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || {column} END"
+
+
+ORACLES["op11_merkle_manifest"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, sha256(concat({", ".join(map(_sized, manifest.FIELDS))})) AS leaf,
+    CASE WHEN 1 & xor(4294967295, list_reduce(
+        list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+        lambda crc, c: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, c)), 4294967295)) = 0
+      THEN replace(text, chr(10), '') ELSE text END AS lost,
+    lang, n_chars, text FROM documents),
+leaves AS (
+  SELECT doc_id, source, leaf, sha256(concat({", ".join(_sized("lost" if c == "text" else c) for c in manifest.FIELDS)})) AS changed,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM d),
+up AS (
+  SELECT 0 AS level, source, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT level + 1, source, idx // 3, CAST(ceil(max(n) / 3) AS BIGINT), sha256(string_agg(h, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY level, source, idx // 3),
+subroots AS (
+  SELECT source, h, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS level, idx, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, CAST(ceil(max(n) / 3) AS BIGINT), sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY level, idx // 3),
+runs AS (SELECT level, source, idx // 3 AS run, list(h ORDER BY idx) AS hs FROM up WHERE n > 1 GROUP BY level, source, idx // 3),
+top_runs AS (SELECT level, idx // 3 AS run, list(h ORDER BY idx) AS hs FROM top WHERE n > 1 GROUP BY level, idx // 3),
+fold AS (
+  SELECT 0 AS level, leaves.source, leaves.idx AS place, leaves.idx, changed AS h, '' AS siblings FROM leaves
+  UNION ALL
+  SELECT fold.level + 1, fold.source, place, run,
+    sha256(array_to_string(hs[:idx % 3], '') || h || array_to_string(hs[idx % 3 + 2:], '')),
+    siblings || array_to_string(hs[:idx % 3], '') || array_to_string(hs[idx % 3 + 2:], '')
+  FROM fold JOIN runs ON runs.level = fold.level AND runs.source IS NOT DISTINCT FROM fold.source AND run = idx // 3),
+folded AS (SELECT source, place, max_by(h, level) AS h, max_by(siblings, level) AS siblings FROM fold GROUP BY source, place),
+top_fold AS (
+  SELECT 0 AS level, folded.source, place, subroots.idx, folded.h, siblings FROM folded JOIN subroots ON subroots.source IS NOT DISTINCT FROM folded.source
+  UNION ALL
+  SELECT top_fold.level + 1, source, place, run,
+    sha256(array_to_string(hs[:idx % 3], '') || h || array_to_string(hs[idx % 3 + 2:], '')),
+    siblings || array_to_string(hs[:idx % 3], '') || array_to_string(hs[idx % 3 + 2:], '')
+  FROM top_fold JOIN top_runs ON top_runs.level = top_fold.level AND run = idx // 3),
+done AS (SELECT source, place, max_by(h, level) AS h, max_by(siblings, level) AS siblings FROM top_fold GROUP BY source, place)
+SELECT doc_id, leaf, subroots.h AS subroot, root, sha256(siblings) AS proof_sha256, done.h AS folded_root, done.h = root AS verified
+FROM leaves JOIN done ON done.source IS NOT DISTINCT FROM leaves.source AND done.place = leaves.idx
+  JOIN subroots ON subroots.source IS NOT DISTINCT FROM leaves.source, (SELECT h AS root FROM top WHERE n = 1)
+"""
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    """Every document's tokens by two tokenizers, aligned, and how common its pairs of ids are."""
+    return alignment.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_secret_scan(spark, sf_dir):
+    """Every document's credentials, and those that only its source holds."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def _found(kind: int) -> str:
+    name, pattern = secrets.KINDS[kind]
+    quoted = pattern.replace("'", "''")
+    value = f"regexp_extract(m, '{quoted}', 2)" if name == "assign" else "m"
+    good = {"assign": f"length(v) >= {secrets.LEAST_VALUE}", "opaque": "regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND "
+            f"regexp_matches(v, '[A-Z]') AND len(list_distinct(string_split(v, ''))) >= {secrets.LEAST_DISTINCT}"}.get(name, "true")
+    return f"""
+  SELECT r, source, doc_id, {kind} AS kind, '{name}' AS name, e - length(m) AS s, e, v FROM (
+    SELECT r, source, doc_id, m, {value} AS v, sum(length(gap) + length(m)) OVER (PARTITION BY r ORDER BY i) AS e FROM (
+      SELECT r, source, doc_id, unnest(ms) AS m, unnest(gaps[:len(ms)]) AS gap, unnest(range(len(ms))) AS i FROM (
+        SELECT r, source, doc_id, regexp_extract_all(text, '{quoted}', 0) AS ms, string_split_regex(text, '{quoted}') AS gaps FROM d)))
+  WHERE {good}"""
+
+
+ORACLES["op13_secret_scan"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+base AS ({" UNION ALL ".join(map(_found, range(secrets.BASE)))}),
+runs AS ({_found(secrets.BASE)}),
+placed AS (SELECT * FROM base UNION ALL
+           SELECT * FROM runs WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.r = runs.r AND base.s < runs.e AND runs.s < base.e)),
+held AS (SELECT v, count(DISTINCT coalesce('=' || source, '')) AS n FROM placed GROUP BY v),
+spans AS (SELECT r, kind, s, n = 1 AS live, concat_ws(':', name, CAST(s AS BIGINT), CAST(e AS BIGINT)) AS span FROM placed JOIN held USING (v))
+SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied,
+       sha256(coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (kind < {secrets.BASE}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (kind < {secrets.BASE} OR live), '') AS spans
+FROM d LEFT JOIN spans USING (r) GROUP BY r, doc_id
+"""
