@@ -124,6 +124,30 @@ def control_total_check(spark, sf_dir):
         F.col("table").alias("table_name"), "rows_expected", "rows_read", "agrees")
 
 
+#: Run dates in the order they are extracted; the last one is late.
+EXTRACTED = (date(1998, 6, 30), date(2000, 6, 30), date(1999, 6, 30))
+
+
+@query
+def incremental_extract(spark, sf_dir):
+    """Three run dates, one late, each extracted twice: their windows, listed rows and what the files hold.
+
+    The second attempt asks for a later end; the window stored first is what counts.
+    """
+    sources, root, out = _sources(spark, sf_dir), scratch(spark, "feed"), None
+    for day in EXTRACTED:
+        folder = f"{root}/{day.isoformat()}"
+        for high in (datetime(day.year, day.month, day.day), EVER):
+            feeds.extract_feed(spark, sources, folder, f"{root}/state", "shop", day, high)
+        for name, (file, _) in feeds.manifest_entries(spark, folder, list(sources)).items():
+            read = feeds.read_text_feed(spark, f"{folder}/{file}", sources[name].columns, line_breaks=True)
+            held = read.agg(F.count(F.lit(1)).alias("rows_read"), F.sum(F.col("order_id").cast("bigint")).alias("id_sum"))
+            one = feeds.read_manifest(spark, folder).where(F.col("table") == name).select(
+                "run_date", F.col("table").alias("table_name"), "low_watermark", F.col("rows").alias("rows_listed")).join(held, how="left")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """A table with NULLs through the CSV sink and typed landing."""
@@ -265,6 +289,38 @@ def keyed_upsert(spark, sf_dir):
     return table.read()
 
 
+class _Killed(Exception):
+    pass
+
+
+@query
+def keyed_upsert_after_crash(spark, sf_dir):
+    """The same upsert, killed once after each kind of step and repeated; a reader beside it sees one state or the other.
+
+    ``states`` is how many different row counts readers saw after the kills: the one before and the one after.
+    """
+    early, fed = _before_and_after(spark, sf_dir)
+    year = F.year("order_date").alias("order_year")
+    early, fed = early.select("*", year), fed.select("*", year)
+    path = scratch(spark, "orders")
+    seen, done = set(), set()
+
+    def die_once(step: str) -> None:
+        if step not in done:
+            done.add(step)
+            raise _Killed(step)
+
+    slices.SliceTable(spark, path, early.schema, "order_year").overwrite(early)
+    while True:
+        try:
+            slices.SliceTable(spark, path, early.schema, "order_year", on_step=die_once).merge(
+                fed, ["order_id"], lambda kept, new: keyed.upsert(kept, new, ["order_id"], check=False), slice_of_key=True)
+            break
+        except _Killed:
+            seen.add(slices.SliceTable(spark, path, early.schema, "order_year", reading=True).read().count())
+    return slices.SliceTable(spark, path, early.schema, "order_year").read().withColumn("states", F.lit(len(seen)))
+
+
 @query
 def partial_upsert_status(spark, sf_dir):
     """Only the status of matched orders changes; new orders are inserted whole."""

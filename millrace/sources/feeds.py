@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime, timezone
 from functools import reduce
 
@@ -143,41 +143,71 @@ def publish_manifest(spark: SparkSession, folder: str, source: str, run_date: da
         "tables": [{"table": t, "file": f, "low_watermark": str(low), "rows": n} for t, f, low, n in tables]}, replace=True)
 
 
-def _state_files(spark: SparkSession, state_dir: str) -> list[str]:
-    return [n for n in files.child_names(spark, state_dir) if n.startswith("hwm-") and n.endswith(".json")]
+def _dated(spark: SparkSession, state_dir: str, kind: str, before: date | None = None) -> list[str]:
+    """Run dates in the ledger, in order: ``window`` where an extract has begun, ``done`` where its feed stands."""
+    dates = [n[len(kind) + 1:-len(".json")] for n in files.child_names(spark, state_dir) if n.startswith(f"{kind}-") and n.endswith(".json")]
+    return [d for d in dates if before is None or d < before.isoformat()]
 
 
-def read_state(spark: SparkSession, state_dir: str) -> dict[str, datetime]:
-    """High watermark per table; none before the first run."""
-    versions = _state_files(spark, state_dir)
-    if not versions:
-        return {}
-    body = files.read_json(spark, f"{state_dir}/{versions[-1]}")
-    return {t: datetime.fromisoformat(v) for t, v in body.items()}
+def read_state(spark: SparkSession, state_dir: str, before: date | None = None) -> dict[str, datetime]:
+    """High watermark per table over the feeds that stand (of run dates ``before`` one); none before the first run.
+
+    It is the highest of all, so a late or repeated run date never moves it back.
+    """
+    out: dict[str, datetime] = {}
+    for day in _dated(spark, state_dir, "done", before):
+        for name, (_, high) in _windows(spark, state_dir, day, "done").items():
+            out[name] = max(out.get(name, EPOCH), high)
+    return out
+
+
+def _windows(spark: SparkSession, state_dir: str, day: str, kind: str = "window") -> dict[str, tuple[datetime, datetime]]:
+    path = f"{state_dir}/{kind}-{day}.json"
+    body = files.read_json(spark, path) if files.exists(spark, path) else {}
+    return {name: (datetime.fromisoformat(low), datetime.fromisoformat(high)) for name, (low, high) in body.items()}
+
+
+def reserve_windows(spark: SparkSession, state_dir: str, tables: Iterable[str], run_date: date, high: datetime,
+                    full: bool = False) -> dict[str, tuple[datetime, datetime]]:
+    """The window of each table for a run date, stored before anything is extracted.
+
+    A run date keeps the window that it got first, whatever ``high`` says on a repeat; a table that it did not extract before
+    gets one now.  Low is the highest watermark of earlier run dates whose feeds stand, so a date that died leaves its rows to the next one.
+    ``full`` starts at the epoch and replaces the window.
+    """
+    known = {} if full else _windows(spark, state_dir, run_date.isoformat())
+    state = {} if full else read_state(spark, state_dir, run_date)
+    out = {name: known.get(name, (state.get(name, EPOCH), high)) for name in tables}
+    _store(spark, f"{state_dir}/window-{run_date.isoformat()}.json", {**known, **out})
+    return out
+
+
+def _store(spark: SparkSession, path: str, windows: Mapping[str, tuple[datetime, datetime]]) -> None:
+    files.publish_json(spark, path, {name: [str(low), str(high)] for name, (low, high) in windows.items()}, replace=True)
 
 
 def extract_feed(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, state_dir: str,
                  source: str, run_date: date, high: datetime, full: bool = False,
                  updated: str = "updated_at") -> None:
-    """Write every table's changes, then the manifest, then advance the watermarks.
+    """Store the windows, write every table's changes, then the manifest, then note that the feed stands.
 
-    Each attempt writes folders of its own and the manifest names them, so a run date can be extracted again, after a
+    A run date extracted again reads its own windows again (``reserve_windows``).  Each attempt writes folders of its own and the manifest names them, so a run date can be extracted again, after a
     crash or not: until the manifest is replaced the earlier feed stands.  Rows are counted on their way into the files,
     without the reader whose result they will be compared with.
     """
-    state = {} if full else read_state(spark, state_dir)
+    windows = reserve_windows(spark, state_dir, tables, run_date, high, full)
     attempt = uuid.uuid4().hex
     listed = []
     for name, df in tables.items():
-        low = state.get(name, EPOCH)
+        low, upto = windows[name]
         path = f"{folder}/{name}_{run_date.isoformat()}_{attempt}.csv"
         counted = Observation(f"{name}-{attempt}")
-        window = extract_window(df, low, high, updated).sortWithinPartitions(updated)
+        window = extract_window(df, low, upto, updated).sortWithinPartitions(updated)
         write_text_feed(window.observe(counted, F.count(F.lit(1)).alias("rows")), path)
         listed.append((name, path.rsplit("/", 1)[1], low, counted.get.get("rows", 0)))
-    publish_manifest(spark, folder, source, run_date, high, listed)
-    files.publish_json(spark, f"{state_dir}/hwm-{len(_state_files(spark, state_dir)) + 1:08d}.json",
-                       {name: str(high) for name in tables})
+    publish_manifest(spark, folder, source, run_date, max((upto for _, upto in windows.values()), default=high), listed)
+    day = run_date.isoformat()
+    _store(spark, f"{state_dir}/done-{day}.json", {**_windows(spark, state_dir, day, "done"), **windows})
 
 
 # ---- control totals ------------------------------------------------------------------------

@@ -31,6 +31,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def remove_if_empty(spark: SparkSession, path: str) -> None:
+    fs, hpath = _resolve(spark, path)
+    if fs.exists(hpath) and not fs.listStatus(hpath):
+        fs.delete(hpath, False)
+
+
 def make(spark: SparkSession, path: str) -> None:
     fs, hpath = _resolve(spark, path)
     fs.mkdirs(hpath)
@@ -53,7 +59,8 @@ def read_json(spark: SparkSession, path: str) -> dict:
 def publish_json(spark: SparkSession, path: str, body: dict, replace: bool = False) -> None:
     """Write beside the target under a name of its own and rename, so readers see all of it or none.
 
-    Without ``replace`` an existing target is an error.  The check and the rename are two steps: one writer at a time.
+    With ``replace`` the rename takes the place of the target, which never is absent.  Without, an existing target is an
+    error; the check and the rename are two steps: one writer at a time.
     """
     fs, target = _resolve(spark, path)
     staging = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.staging")
@@ -62,9 +69,12 @@ def publish_json(spark: SparkSession, path: str, body: dict, replace: bool = Fal
         stream.write(bytearray(json.dumps(body, indent=1).encode("utf-8")))
     finally:
         stream.close()
+    hadoop, gateway = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._gateway
     if not replace and fs.exists(target):
         fs.delete(staging, False)
         raise FileExistsError(f"{path} is there already")
-    fs.delete(target, False)
-    if not fs.rename(staging, target):
-        raise OSError(f"{path} could not be published")
+    kind = getattr(hadoop, "Options$Rename")
+    options = gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE if replace else kind.NONE
+    hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(staging), fs.makeQualified(target), options)

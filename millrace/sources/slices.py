@@ -2,8 +2,12 @@
 
 A load is written aside, clustered by slice, checked, and then moved into place by renames; the folders it replaces go
 last.  Nothing lists loads or slices but the file system, so reading prunes by Spark's own partition filters.
-A load that dies before its renames leaves the table as it was; one that dies among them is repeated: a load
-has a name, and repeating it replaces its own folders.  One writer at a time per table.
+
+What a load is about to do stands in one small file, written before its first rename and gone after its last removal.
+While it stands, readers leave out the load's folders; once all are in place a second file says so, and readers leave out
+the replaced folders instead.  So a reader sees the rows before or after a load, never both.  A load that dies before the
+first file leaves the table as it was; one that dies later is completed when a writer next opens the table.  One writer at
+a time per table.
 """
 
 from __future__ import annotations
@@ -21,18 +25,24 @@ from millrace.sources import files
 from millrace.sources.feeds import ControlTotalError
 
 NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
-POINTER = "table.json"
+POINTER, INTENT, PLACED = "table.json", "intent.json", "placed.json"
 
 
 class SliceTable:
     """``slice_by`` is the column that says which slice a row belongs to.
 
-    The schema is stored with the pointer, so a table that exists can be opened without it.
+    The schema is stored with the pointer, so a table that exists can be opened without it.  Opening it as a writer completes
+    a load that died; ``reading`` opens it beside a live writer.  ``on_step`` is called after every change of the file system
+    that a load makes, with its name; tests raise there.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None, slice_by: str):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None, slice_by: str, reading: bool = False,
+                 on_step: Callable[[str], None] = lambda _: None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.on_step = on_step
+        if not reading:
+            self.recover()
         self.schema = schema or self._stored_schema()
         self.slice_by = slice_by
 
@@ -66,7 +76,49 @@ class SliceTable:
 
     def slices(self) -> set[str]:
         folder = self._folder()
-        return {value for value, _ in self._placed(folder)} if folder else set()
+        return {value for value, _ in self._seen(folder)} if folder else set()
+
+    # ---- loads that have begun
+
+    def _begun(self) -> tuple[dict | None, bool]:
+        """What a load has announced, if it is not done, and whether all its folders are in place."""
+        for name in (PLACED, INTENT):
+            if files.exists(self.spark, f"{self.path}/{name}"):
+                return files.read_json(self.spark, f"{self.path}/{name}"), name == PLACED
+        return None, False
+
+    def _seen(self, folder: str) -> list[tuple[str, str]]:
+        """As ``_placed``, without the folders of an unfinished load or those that a placed one replaces."""
+        load, placed = self._begun()
+        out = self._placed(folder)
+        if load is None:
+            return out
+        hidden = {f"{self.path}/{f}" for f in (load["replaced"] if placed else load["made"])}
+        return [(value, path) for value, path in out if path not in hidden]
+
+    def recover(self) -> None:
+        """Complete the load that died after it announced itself; without one nothing happens."""
+        load, placed = self._begun()
+        if load is not None:
+            self._roll(load, placed)
+
+    def _roll(self, load: dict, placed: bool) -> None:
+        if not placed:
+            for target in load["made"]:
+                waiting = f"{self.path}/{load['aside']}/{'/'.join(target.split('/')[-2:])}"
+                if files.exists(self.spark, waiting):
+                    files.move(self.spark, waiting, f"{self.path}/{target}")
+                    self.on_step("moved")
+            files.publish_json(self.spark, f"{self.path}/{PLACED}", load)
+            self.on_step("placed")
+        for target in load["replaced"]:
+            files.remove(self.spark, f"{self.path}/{target}")
+            files.remove_if_empty(self.spark, f"{self.path}/{target.rsplit('/', 1)[0]}")
+            self.on_step("removed")
+        files.remove(self.spark, f"{self.path}/{load['aside']}")
+        files.remove(self.spark, f"{self.path}/{INTENT}")
+        self.on_step("forgotten")
+        files.remove(self.spark, f"{self.path}/{PLACED}")
 
     def _slice_text(self) -> Column:
         return F.coalesce(F.col(self.slice_by).cast("string"), F.lit(NULL_SLICE))
@@ -78,10 +130,10 @@ class SliceTable:
         folder = self._folder()
         if folder is None:
             return self.spark.createDataFrame([], self.schema)
-        if slices is None:
+        if slices is None and self._begun()[0] is None:
             return self._frame(folder)
-        chosen = set(slices)
-        paths = [path for value, path in self._placed(folder) if value in chosen]
+        chosen = None if slices is None else set(slices)
+        paths = [path for value, path in self._seen(folder) if chosen is None or value in chosen]
         return self._frame(folder, *paths) if paths else self.spark.createDataFrame([], self.schema)
 
     def _frame(self, folder: str, *paths: str) -> DataFrame:
@@ -96,34 +148,34 @@ class SliceTable:
                guard: Callable[[set[str], DataFrame], None] | None = None) -> None:
         """Add the rows of ``df`` and drop the earlier rows of the slices in ``replacing``.
 
-        ``batch`` names the load: committing it again replaces what it wrote, slice by slice.  ``guard`` sees the
+        ``batch`` names the load: committing it again replaces all that it wrote.  ``guard`` sees the
         written slices and rows and may raise before they are moved into place.
         """
+        self.recover()
         folder = self._folder()
         if folder is None:
             folder = f"{self.path}/data-{uuid.uuid4().hex}"
             files.make(self.spark, folder)
             self._point(folder.rsplit("/", 1)[1])
-        load = f"load={quote(batch, safe='') if batch else uuid.uuid4().hex}"
-        self._place(df, folder, load, set(replacing), order_by, guard)
-
-    def _place(self, df: DataFrame, folder: str, load: str, replacing: set[str], order_by: Sequence[str],
-               guard: Callable[[set[str], DataFrame], None] | None = None) -> None:
-        aside = f"{self.path}/aside/{uuid.uuid4().hex}"
-        clustered(df.select(*self.schema.names), self.slice_by, order_by).write.partitionBy(self.slice_by).parquet(f"{aside}/{load}")
-        made = self._placed(aside)
+        aside, load = self._aside(df, batch, order_by)
+        made = self._placed(f"{self.path}/{aside}")
         if guard is not None:
-            guard({s for s, _ in made}, self._frame(aside))
-        earlier = [path for value, path in self._placed(folder) if value in replacing]
-        kept = set()
-        for _, path in made:
-            target = f"{folder}/{load}/{path.rsplit('/', 1)[1]}"
-            files.move(self.spark, path, target)
-            kept.add(target)
-        for path in earlier:
-            if path not in kept:
-                files.remove(self.spark, path)
-        files.remove(self.spark, aside)
+            guard({value for value, _ in made}, self._frame(f"{self.path}/{aside}"))
+        data, named = folder.rsplit("/", 1)[1], set(replacing)
+        same = (lambda path: path.split("/")[-2].rsplit("~", 1)[0] == load.rsplit("~", 1)[0]) if batch else (lambda _: False)
+        intent = {
+            "aside": aside, "made": [f"{data}/{load}/{path.rsplit('/', 1)[1]}" for _, path in made],
+            "replaced": [f"{data}/{'/'.join(path.split('/')[-2:])}" for value, path in self._placed(folder) if value in named or same(path)]}
+        files.publish_json(self.spark, f"{self.path}/{INTENT}", intent)
+        self.on_step("announced")
+        self._roll(intent, False)
+
+    def _aside(self, df: DataFrame, batch: str | None, order_by: Sequence[str]) -> tuple[str, str]:
+        """Write the rows where no reader looks; the folder, and the load's own one in it, which no other attempt has."""
+        aside, load = f"aside/{uuid.uuid4().hex}", f"load={quote(batch or '', safe='')}~{uuid.uuid4().hex}"
+        clustered(df.select(*self.schema.names), self.slice_by, order_by).write.partitionBy(self.slice_by).parquet(f"{self.path}/{aside}/{load}")
+        self.on_step("written")
+        return aside, load
 
     def append(self, df: DataFrame, batch: str | None = None) -> None:
         self.commit(df, (), batch)
@@ -146,9 +198,10 @@ class SliceTable:
 
     def overwrite(self, df: DataFrame, order_by: Sequence[str] = ()) -> None:
         """Create or replace the whole table: a new folder, then the pointer; the old folder goes last."""
+        self.recover()
         was, folder = self._folder(), f"data-{uuid.uuid4().hex}"
-        files.make(self.spark, f"{self.path}/{folder}")
-        self._place(df, f"{self.path}/{folder}", f"load={uuid.uuid4().hex}", set(), order_by)
+        aside, _ = self._aside(df, None, order_by)
+        files.move(self.spark, f"{self.path}/{aside}", f"{self.path}/{folder}")
         self._point(folder)
         if was:
             files.remove(self.spark, was)
@@ -173,6 +226,7 @@ class SliceTable:
         The merged rows are written before the old ones go, so reading and rewriting the same slices is safe.  The
         source is written once first, because it is read several times; one with repeated keys is refused.
         """
+        self.recover()
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
         source.write.parquet(staged)
         held = self.spark.read.schema(source.schema).parquet(staged)

@@ -1,5 +1,5 @@
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,7 +77,7 @@ def test_extract_manifest_and_watermark(spark, tmp_path, rows):
     assert rows(feeds.read_manifest(spark, f"{tmp_path}/f1").select("table", "rows", "low_watermark")) == [
         ("t", 2, "1970-01-01 00:00:00")]
     assert feeds.read_state(spark, state) == {"t": datetime(2024, 1, 2)}
-    feeds.extract_feed(spark, {"t": df}, f"{tmp_path}/f2", state, "src", DAY, datetime(2024, 1, 9))
+    feeds.extract_feed(spark, {"t": df}, f"{tmp_path}/f2", state, "src", DAY + timedelta(1), datetime(2024, 1, 9))
     # The boundary row comes again.
     file, _ = feeds.manifest_entries(spark, f"{tmp_path}/f2", ["t"])["t"]
     raw = feeds.read_text_feed(spark, f"{tmp_path}/f2/{file}", ["id", "v"])
@@ -86,6 +86,45 @@ def test_extract_manifest_and_watermark(spark, tmp_path, rows):
     assert feeds.read_manifest(spark, f"{tmp_path}/f3").first()["rows"] == 3
 
 
+def test_a_run_date_keeps_its_window(spark, tmp_path):
+    df = spark.createDataFrame([(i, datetime(2024, 1, i)) for i in range(1, 11)], "id int, updated_at timestamp_ntz")
+    state = f"{tmp_path}/state"
+
+    def ids(day, high, name="f", **more):
+        feeds.extract_feed(spark, {"t": df}, f"{tmp_path}/{name}{day}", state, "src", date(2024, 1, day), datetime(2024, 1, high), **more)
+        file, n = feeds.manifest_entries(spark, f"{tmp_path}/{name}{day}", ["t"])["t"]
+        got = sorted(int(r["id"]) for r in feeds.read_text_feed(spark, f"{tmp_path}/{name}{day}/{file}", ["id"]).collect())
+        assert len(got) == n
+        return got
+
+    assert ids(3, 3) == ids(3, 9) == [1, 2, 3]
+    assert ids(7, 7) == ids(7, 9, "again") == [3, 4, 5, 6, 7]
+    # A late date takes what follows the dates before it, and moves nothing back.
+    assert ids(5, 5) == ids(5, 5) == [3, 4, 5]
+    assert feeds.read_state(spark, state) == {"t": datetime(2024, 1, 7)}
+    assert ids(9, 9) == [7, 8, 9]
+
+
+def test_an_extract_that_dies_leaves_its_rows_to_the_next_date(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, datetime(2024, 1, i)) for i in range(1, 11)], "id int, updated_at timestamp_ntz")
+    state = f"{tmp_path}/state"
+    extract = lambda day: feeds.extract_feed(spark, {"t": df}, f"{tmp_path}/{day}", state, "src", date(2024, 1, day), datetime(2024, 1, day))
+    extract(2)
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(feeds, "publish_manifest", die)
+        with pytest.raises(RuntimeError):
+            extract(4)
+    extract(6)
+    assert feeds.read_manifest(spark, f"{tmp_path}/6").first()["rows"] == 5
+    extract(4)
+    assert feeds.read_manifest(spark, f"{tmp_path}/4").first()["rows"] == 3
+    assert feeds.read_state(spark, state) == {"t": datetime(2024, 1, 6)}
+
+
 def test_line_breaks_count_as_written_and_a_retry_replaces_the_feed(spark, tmp_path, rows):
     data = [(1, 'two\n"lines",\r\n', datetime(2024, 1, 1)), (2, "b", datetime(2024, 1, 2))]
     df = spark.createDataFrame(data, "id int, v string, updated_at timestamp_ntz")

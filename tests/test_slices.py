@@ -66,6 +66,68 @@ def test_a_load_that_dies_before_its_renames_is_invisible(table, rows, monkeypat
     assert rows(t.read()) == before
 
 
+class Killed(Exception):
+    pass
+
+
+def killer(at):
+    """A hook that dies at its ``at``-th call."""
+    seen = []
+
+    def step(name):
+        seen.append(name)
+        if len(seen) == at:
+            raise Killed(name)
+    return step
+
+
+@pytest.mark.parametrize("what", ["merge", "batch", "reload"])
+def test_a_load_killed_at_any_step_and_repeated_is_a_load(table, rows, spark, what):
+    t, make = table
+    day = lambda n: f"2024-01-{n:02}"
+    first = make([(i, "a", day(1 + i % 4)) for i in range(10)])
+    second = make([(1, "x", day(2)), (2, "moved", day(4)), (50, "new", day(9))])
+    smaller = make([(60, "y", day(2))])
+
+    def load(table):
+        if what == "merge":
+            table.merge(second, ["id"], lambda kept, new: keyed.upsert(kept, new, ["id"], check=False))
+        elif what == "batch":
+            table.append(smaller, batch="b")
+        else:
+            table.replace_slices(smaller, [day(2), day(3)])
+
+    def fresh(name):
+        table = SliceTable(spark, f"{t.path}-{name}", t.schema, "d")
+        table.overwrite(first)
+        if what == "batch":
+            table.append(second, batch="b")
+        return table
+
+    undisturbed = fresh("whole")
+    before = rows(undisturbed.read())
+    load(undisturbed)
+    after = rows(undisturbed.read())
+    assert before != after
+    at, completed = 0, False
+    while not completed:
+        at += 1
+        path = fresh(f"killed-{at}").path
+        try:
+            load(SliceTable(spark, path, t.schema, "d", on_step=killer(at)))
+            completed = True
+        except Killed:
+            reader = SliceTable(spark, path, t.schema, "d", reading=True)
+            assert rows(reader.read()) in (before, after)
+            assert rows(reader.read([day(n) for n in range(1, 10)])) in (before, after)
+        again = SliceTable(spark, path, t.schema, "d")
+        assert rows(again.read()) in (before, after)
+        load(again)
+        assert rows(again.read()) == after
+        assert not {"intent.json", "placed.json"} & set(files.child_names(spark, path))
+    assert at > 6
+
+
 def test_merge_rewrites_only_touched_slices_and_moves_rows(table, rows):
     t, make = table
     t.overwrite(make(DAYS + [(4, "d", "2024-01-03")]))
