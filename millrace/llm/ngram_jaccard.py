@@ -6,10 +6,13 @@ joined on their prefixes: two sets of sizes n and m with similarity t share a to
 (m - ceil(t m) + 1) ones.  Candidates pass the length filter, the positional filter and the suffix filter (an
 upper bound on the overlap from how many tokens fall in each of ``BINS`` hash ranges) before their sets are compared, once.
 
-Large groups of near copies would give all pairs of a group.  So candidates come in two steps: first every node meets
-one leader (the smallest node of its rarest shared token), and the links found are joined to components; then only
-pairs of different components remain, and tokens whose nodes are all in one component are done.  No link between
-components is lost: the second step looks at all prefix tokens and all their pairs, split into blocks if there are many.
+Large groups of near copies would give all pairs of a group, so pairs never become rows.  First every node meets one leader
+(the smallest node of its rarest shared token), and the links found are joined to components.  Then only nodes of different
+components are compared, token by token in blocks (``dealt``): a block tells which nodes have a candidate and keeps as many
+candidates as hold them together, less than its nodes.  Nodes held together are a family; each family's sets are brought
+together once, in blocks too, and a block verifies its pairs by their sets and keeps as many links as join something new.
+A family of more than one block is first verified inside its blocks, then between them, where nodes that are in one large
+component by then are not compared again.  No link between components is lost.
 
 Nodes are 64-bit hashes of sets; among 10 billion different sets about three pairs would share one.
 Rarity comes from counters (``rarity``): any order is exact, rare tokens first are fewer candidates.
@@ -58,33 +61,29 @@ def _long_batch(arrays: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64) if a.dtype == np.uint64 else a) for a in arrays], names)
 
 
-def prefixes(docs: DataFrame, counts) -> DataFrame:
-    """``token, own``: prefix tokens, and 32 bits that tell sets apart."""
+def _histogram(grams: np.ndarray) -> bytes:
+    """How many hashes fall in each of ``BINS`` ranges, in 1 or 2 bytes each; from bits that shortened hashes keep too."""
+    inside = np.bincount((grams >> np.uint64(48)).astype(np.int64) & (BINS - 1), minlength=BINS)
+    width = np.uint8 if inside.max() <= 255 else "<u2" if inside.max() < 1 << 16 else "<u4"
+    return inside.astype(width).tobytes()
+
+
+def _histograms(raw: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(x, {1: np.uint8, 2: "<u2", 4: "<u4"}[len(x) // BINS]).astype(np.uint32) for x in raw])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, seen = WordHashes(), set()
-        for batch in batches:
-            tokens, own = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
-            for (text,) in rows_of([batch]):
-                grams = shingle_set(text, hashed)
-                if not grams.size or (node := node_of(grams)) in seen:
-                    continue
-                seen.add(node)
-                first = np.lexsort((grams, counts.value[sizes_in_one(grams)]))[:prefix_size(grams.size)]
-                tokens.append(grams[first])
-                own.append(np.full(first.size, node >> 32, np.int32))
-            if len(seen) > 500_000:
-                seen.clear()
-            yield _long_batch([np.concatenate(tokens), np.concatenate(own)], ["token", "own"])
 
-    return docs.select("text").mapInArrow(run, "token long, own int")
+def shared_tokens(tokens: DataFrame) -> DataFrame:
+    """The rows of tokens that more than one node holds, each once."""
+    own = F.shiftright("node", 32).cast("int")
+    shared = tokens.groupBy("token").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low != high").select("token")
+    return tokens.join(shared, "token", "left_semi").distinct()
 
 
 POSTS = "doc_id long, node long, n int, token long, at int, bins binary"
 
 
-def posts(docs: DataFrame, counts, shared) -> DataFrame:
-    """Two kinds of rows: each document with its set's size, node and bins; each prefix token that may be shared."""
+def posts(docs: DataFrame, counts) -> DataFrame:
+    """Two kinds of rows: each document with its set's size, node and bins; each prefix token, rare first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, seen = WordHashes(), set()
@@ -102,14 +101,11 @@ def posts(docs: DataFrame, counts, shared) -> DataFrame:
                     continue
                 seen.add(node)
                 prefix = grams[np.lexsort((grams, counts.value[sizes_in_one(grams)]))[:prefix_size(grams.size)]]
-                places = np.flatnonzero(in_filter(shared.value, prefix))
-                if places.size:
-                    inside = np.bincount((grams >> np.uint64(48)).astype(np.int64) & (BINS - 1), minlength=BINS)
-                    bins[-1] = inside.astype("<u2").tobytes() if inside.max() > 255 else inside.astype(np.uint8).tobytes()
-                    of.append(np.full(places.size, node, np.int64))
-                    tokens.append(prefix[places])
-                    at.append(places.astype(np.int32))
-                    n.append(np.full(places.size, grams.size, np.int32))
+                bins[-1] = _histogram(grams)
+                of.append(np.full(prefix.size, node, np.int64))
+                tokens.append(prefix)
+                at.append(np.arange(prefix.size, dtype=np.int32))
+                n.append(np.full(prefix.size, grams.size, np.int32))
             if len(seen) > 500_000:
                 seen.clear()
             more = sum(map(len, of))
@@ -199,86 +195,142 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return of_b.join(of_a, "a").select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
 
 
-def crossing_pairs(tokens: DataFrame, bins: DataFrame, labels: DataFrame) -> DataFrame:
-    """``a, b`` of different components that pass all three filters at some token, without repeats.
+def dealt(rows: DataFrame, group: str, within: bool | None = None) -> DataFrame:
+    """Rows (``group``, ``node``, ``component``, ...) in blocks (``group, p, q``); ``own`` is the row's part, p or q.
 
-    ``labels`` gives the component of nodes that have links; other nodes are alone.
+    A group of at most ``BLOCK`` rows is one part.  In a larger one a component of more than ``BLOCK`` rows has parts of its own, other components
+    are put whole into common parts.  Every two parts meet in a block, but for two parts of one component; a common part also
+    meets itself.  Groups of one component have no block.  ``within`` keeps the blocks of one part, or all others.
     """
-    placed = tokens.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m")) \
-        .where("low != high").select("token", F.expr(f"cast(ceil(m / {BLOCK}) AS int)").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = placed.join(mixed, "token").distinct().join(bins, "node") \
-        .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")) \
-        .select("token", "x", "y", "own", "node", "component", "n", "at", "bins")
-    grouped = dealt.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y", "node")
-
-    def compare(rows: list[tuple]) -> list[tuple]:
-        m = len(rows)
-        component = np.array([r[5] for r in rows])
-        if m < 2 or (component == component[0]).all():
-            return []
-        own, node = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
-        n, at = np.array([r[6] for r in rows], np.int64), np.array([r[7] for r in rows], np.int64)
-        within = rows[0][1] == rows[0][2]
-        hist = None
-        out = []
-        for i in range(m - 1):
-            js = np.arange(i + 1, m)
-            need = NUMERATOR * (n[i] + n[js])
-            good = (component[js] != component[i]) & (NUMERATOR * np.maximum(n[i], n[js]) <= DENOMINATOR * np.minimum(n[i], n[js]))
-            good &= (NUMERATOR + DENOMINATOR) * np.minimum(n[i] - at[i], n[js] - at[js]) >= need
-            if not within:
-                good &= own[js] != own[i]
-            js = js[good]
-            if js.size:
-                if hist is None:
-                    hist = np.stack([np.frombuffer(r[8], np.uint8 if len(r[8]) == BINS else "<u2").astype(np.uint16) for r in rows])
-                most = np.minimum(hist[i], hist[js]).sum(1, dtype=np.int64)
-                js = js[(NUMERATOR + DENOMINATOR) * most >= NUMERATOR * (n[i] + n[js])]
-                if js.size:
-                    out.append((int(node[i]), node[js].astype("<i8").tobytes()))
-        return out
-
+    sizes = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("m"))
+    totals = sizes.groupBy(group).agg(F.sum("m").alias("total"), F.count(F.lit(1)).alias("n_components")).where("n_components > 1")
+    big = totals.where(F.col("total") > BLOCK).select(group)
+    small = rows.join(totals.where(F.col("total") <= BLOCK).select(group), group, "left_semi")
+    zero = F.lit(0).cast("long")
+    single = small.select("*", zero.alias("p"), zero.alias("q"), zero.alias("own"))
+    if within is False:
+        single = single.limit(0)
+    kin = F.when(F.col("m") > BLOCK, F.col("component")).alias("kin")
+    families = sizes.join(big, group, "left_semi").select(group, "component", "m", kin)
+    parts = families.groupBy(group, "kin").agg(F.ceil(F.sum("m") / BLOCK).cast("int").alias("parts"))
+    listed = parts.select(group, "kin", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k")) \
+        .select(group, "kin", F.xxhash64("kin", "k").alias("part"))
+    left, right = (listed.select(group, F.col("kin").alias(f"kin_{x}"), F.col("part").alias(x)) for x in "pq")
+    apart = F.col("kin_p").isNull() | F.col("kin_q").isNull() | (F.col("kin_p") != F.col("kin_q"))
+    kind = F.lit(True) if within is None else (F.col("p") == F.col("q")) if within else (F.col("p") != F.col("q"))
+    blocks = left.join(right, group).where((F.col("p") <= F.col("q")) & apart & kind).select(group, "p", "q")
+    sides = blocks.select(group, "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("own"))
+    in_family = rows.join(families.select(group, "component", "kin"), [group, "component"]).join(
+        parts.withColumnRenamed("kin", "of"), group).where(F.col("of").eqNullSafe(F.col("kin")))
+    spread = F.when(F.col("kin").isNull(), F.xxhash64("component")).otherwise(F.xxhash64("node"))
+    placed = in_family.withColumn("own", F.xxhash64("kin", F.pmod(spread, F.col("parts")).cast("int"))).drop("kin", "of", "parts")
+    split = placed.join(sides, [group, "own"])
+    return single.unionByName(split.select(*single.columns))
+
+
+class Joined:
+    """Which rows of a block are held together so far; keeps the pairs that joined something new."""
+
+    def __init__(self, labels: np.ndarray):
+        _, self.label = np.unique(labels, return_inverse=True)
+        self.pairs: list[tuple[int, int]] = []
+
+    def join(self, i: int, js: np.ndarray) -> None:
+        other, first = np.unique(self.label[js], return_index=True)
+        new = other != self.label[i]
+        self.pairs += [(i, int(js[at])) for at in first[new]]
+        self.label[np.isin(self.label, other[new])] = self.label[i]
+
+
+def _may_link_rows(i: int, n: np.ndarray, own: np.ndarray, label: np.ndarray, across: bool) -> np.ndarray:
+    """Later rows of another component that pass the length filter, of the other part if the block has two."""
+    js = np.arange(i + 1, n.size)
+    good = (label[js] != label[i]) & (NUMERATOR * np.maximum(n[i], n[js]) <= DENOMINATOR * np.minimum(n[i], n[js]))
+    return js[good & (own[js] != own[i])] if across else js[good]
+
+
+def _similar_rows(i: int, js: np.ndarray, n: np.ndarray, hist: np.ndarray) -> np.ndarray:
+    """Those of ``js`` that pass the suffix filter."""
+    most = np.minimum(hist[i], hist[js]).sum(1, dtype=np.int64)
+    return js[(NUMERATOR + DENOMINATOR) * most >= NUMERATOR * (n[i] + n[js])]
+
+
+def _by_block(compare) -> object:
+    """Sorted rows that begin with (group, p, q), block by block, to pairs of nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
+        block: list[tuple] = []
         for batch in batches:
-            out: list[tuple] = []
+            out: list[tuple[int, int]] = []
             for row in rows_of([batch]):
-                if group and group[0][:3] != row[:3]:
-                    out += compare(group)
-                    group = []
-                group.append(row)
+                if block and block[0][:3] != row[:3]:
+                    out += compare(block)
+                    block = []
+                block.append(row)
             yield as_batch(out)
-        yield as_batch(compare(group) if group else [])
+        yield as_batch(compare(block) if block else [])
 
-    def as_batch(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary())], ["a", "partners"])
+    def as_batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
 
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by a: the distinct partners of each."""
-        node, partners = None, []
-        for batch in batches:
-            a, b = [], []
-            for one, raw in rows_of([batch]):
-                if one != node:
-                    flush(node, partners, a, b)
-                    node, partners = one, []
-                partners.append(np.frombuffer(raw, "<i8"))
-            yield _long_batch([np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b])], ["a", "b"])
-        a, b = [], []
-        flush(node, partners, a, b)
-        yield _long_batch([np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b])], ["a", "b"])
-
-    def flush(node, partners, a, b):
-        if partners:
-            distinct = np.unique(np.concatenate(partners))
-            a.append(np.full(distinct.size, node, np.int64))
-            b.append(distinct)
-
-    packed = grouped.mapInArrow(run, "a long, partners binary")
-    return packed.repartition("a").sortWithinPartitions("a").mapInArrow(once, "a long, b long")
+    return run
+
+
+def _blocked(rows: DataFrame, group: str, columns: list[str], compare) -> DataFrame:
+    grouped = rows.repartition(group, "p", "q").sortWithinPartitions(group, "p", "q", "node")
+    return grouped.select(group, "p", "q", "own", "node", "component", *columns).mapInArrow(_by_block(compare), "a long, b long")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """With each node's component; a node without links is its own."""
+    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def held_together(tokens: DataFrame, bins: DataFrame, labels: DataFrame) -> DataFrame:
+    """``a, b``: nodes of different components that pass all three filters at some token, as many as hold all such nodes together."""
+
+    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+        own, node, component = (np.array([r[k] for r in rows]) for k in (3, 4, 5))
+        n, at = (np.array([r[k] for r in rows], np.int64) for k in (6, 7))
+        if (component == component[0]).all():
+            return []
+        hist, across = _histograms([r[8] for r in rows]), rows[0][1] != rows[0][2]
+        # Components tell what to compare, and families grow beside them.
+        family = Joined(node)
+        for i in range(n.size - 1):
+            js = _may_link_rows(i, n, own, component, across)
+            js = js[(NUMERATOR + DENOMINATOR) * np.minimum(n[i] - at[i], n[js] - at[js]) >= NUMERATOR * (n[i] + n[js])]
+            js = js[family.label[js] != family.label[i]]
+            if js.size and (js := _similar_rows(i, js, n, hist)).size:
+                family.join(i, js)
+        return [(int(node[i]), int(node[j])) for i, j in family.pairs]
+
+    return _blocked(dealt(_labelled(tokens, labels), "token").join(bins, "node"), "token", ["n", "at", "bins"], compare)
+
+
+def verified_links(families: DataFrame, sets: DataFrame, labels: DataFrame, within: bool) -> DataFrame:
+    """``a, b``: links between nodes of one family (``family, node``), as many as join its components."""
+
+    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
+        own, node, component = (np.array([r[k] for r in rows]) for k in (3, 4, 5))
+        sets = [_unpacked(r[6]) for r in rows]
+        n, across = np.array([x.size for x in sets], np.int64), rows[0][1] != rows[0][2]
+        hist = _histograms([_histogram(x) for x in sets])
+        distinct, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum(n)
+        begins, mark, joined = ends - n, np.zeros(distinct.size, bool), Joined(component)
+        for i in range(n.size - 1):
+            js = _may_link_rows(i, n, own, joined.label, across)
+            if not js.size or not (js := _similar_rows(i, js, n, hist)).size:
+                continue
+            mark[ids[begins[i]:ends[i]]] = True
+            overlap = np.array([np.count_nonzero(mark[ids[begins[j]:ends[j]]]) for j in js])
+            mark[ids[begins[i]:ends[i]]] = False
+            js = js[DENOMINATOR * overlap >= NUMERATOR * (n[i] + n[js] - overlap)]
+            if js.size:
+                joined.join(i, js)
+        return [(int(node[i]), int(node[j])) for i, j in joined.pairs]
+
+    return _blocked(dealt(_labelled(families, labels), "family", within).join(sets, "node"), "family", ["grams"], compare)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -292,25 +344,23 @@ def classes(docs: DataFrame) -> DataFrame:
     send = spark.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = send(shingle_counts(docs, space_words, SHINGLE).clip(max=(1 << 32) - 1).astype(np.uint32))
-    shared = prefixes(docs, counts).groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low != high")
-    found = stored(posts(docs, counts, send(key_filter(shared.select("token")))), "posts")
+    found = stored(posts(docs, counts), "posts")
     rows = found.where(F.col("token").isNull())
-    tokens = found.where(F.col("token").isNotNull()).select("token", "node", "n", "at")
+    tokens = stored(shared_tokens(found.where(F.col("token").isNotNull()).select("token", "node", "n", "at")), "tokens")
     owners = rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        needed = stored(owners.join(nodes, "node", "left_semi"), "owners")
-        return stored(linked(pairs, sets_of(docs, needed)), "links")
+    def sets_for(nodes: DataFrame) -> DataFrame:
+        return sets_of(docs, stored(owners.join(nodes.distinct(), "node", "left_semi"), "owners"))
 
     first = stored(leader_pairs(tokens), "pairs")
-    links = verified(first)
-    labels = components(links)
+    nodes = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
+    labels = components(stored(linked(first, sets_for(nodes)), "links"))
     bins = rows.where(F.col("bins").isNotNull()).select("node", "bins").dropDuplicates(["node"])
-    crossing = crossing_pairs(tokens, bins, labels).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verified(stored(crossing.join(done, ["a", "b"], "left_anti"), "pairs"))
-    labels = components(labels.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
+    families = stored(components(held_together(tokens, bins, labels)).withColumnRenamed("component", "family"), "families")
+    sets = stored(sets_for(families.select("node")), "sets")
+    for within in (True, False):
+        more = verified_links(families, sets, labels, within)
+        labels = components(labels.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
 
     smallest = owners.join(labels, "node").groupBy("component").agg(F.min("doc_id").alias("least"))
     of_node = owners.join(labels, "node", "left").join(smallest, "component", "left") \
