@@ -100,12 +100,15 @@ def advance(current: DataFrame, incoming: DataFrame, dim: Dimension, run_date: d
 
 
 def replay(log: DataFrame, dim: Dimension, effective: str, newest_first: Sequence[Column],
-           first_slice: date | None = None) -> DataFrame:
+           first_slice: date | None = None, deleted: str | None = None) -> DataFrame:
     """Rebuild the dimension from a dated log.
 
     The log is first cut to one row per key and day, map-side; after that a key has no more
     rows than the log has days, however many log rows it holds, and the ordered windows stay
     small.  Keys present on the first day of the log start at ``BEGINNING``, as after onboarding.
+
+    ``deleted`` names a flag of log rows that say their key is gone: it closes the version before it and opens none, so a key
+    that comes back has a gap.  A key that never existed before such a row has no version from it.
     """
     if not isinstance(log.schema[effective].dataType, T.DateType):
         raise TypeError(f"{effective} must be a date")
@@ -113,11 +116,15 @@ def replay(log: DataFrame, dim: Dimension, effective: str, newest_first: Sequenc
         first_slice = log.agg(F.min(effective)).first()[0]
     daily = latest_per_key(log, [dim.key, effective], newest_first).withColumn(
         "row_hash", content_hash(dim.tracked))
+    gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
+    daily = daily.withColumn("_state", F.when(~gone, F.col("row_hash")))
     by_day = Window.partitionBy(dim.key).orderBy(effective)
+    # A key begins without state, as a deleted one has none.
     starts = (
-        daily.withColumn("_previous", F.lag("row_hash").over(by_day))
-        .where(F.col("_previous").isNull() | (F.col("_previous") != F.col("row_hash")))
+        daily.withColumn("_previous", F.lag("_state").over(by_day))
+        .where(~F.col("_previous").eqNullSafe(F.col("_state")))
         .withColumn("_next", F.lead(effective).over(by_day))
+        .where(F.col("_state").isNotNull())
     )
     return _as_versions(
         starts.withColumn("valid_from", F.when(F.col(effective) <= F.lit(first_slice), F.lit(BEGINNING))
@@ -128,6 +135,45 @@ def replay(log: DataFrame, dim: Dimension, effective: str, newest_first: Sequenc
     )
 
 
+def splice(history: DataFrame, log: DataFrame, late: DataFrame, dim: Dimension, effective: str,
+           newest_first: Sequence[Column], first_slice: date) -> DataFrame:
+    """The dimension after rows that arrived late, ``late``, equal to a replay of ``log`` and ``late`` together.
+
+    A late row may split or shorten a version, or show that one began again after it, which only the log tells: so the
+    late rows' keys are replayed from the log, and no other key is read beyond its versions.  ``first_slice`` is the
+    day of onboarding, which a late row must not precede.
+    """
+    before = late.where(F.col(effective) < F.lit(first_slice)).first()
+    if before is not None:
+        raise ValueError(f"{dim.key} {before[dim.key]} is dated before {first_slice}, the first day of the history")
+    keys = late.select(dim.key).distinct()
+    of_keys = log.select(*late.columns).join(keys, dim.key, "left_semi").unionByName(late)
+    again = replay(of_keys, dim, effective, newest_first, first_slice)
+    return history.select(*dim.columns).join(keys, dim.key, "left_anti").select(*dim.columns).unionByName(again)
+
+
+def changed_spans(before: DataFrame, after: DataFrame, dim: Dimension) -> DataFrame:
+    """``key, from, to``: for each key whose versions differ, the days that hold all differences."""
+    body = [dim.key, dim.surrogate, "valid_from", "valid_to"]
+    sides = before.select(*body, F.lit(1).alias("_side")).unionByName(after.select(*body, F.lit(-1).alias("_side")))
+    differ = sides.groupBy(*body).agg(F.sum("_side").alias("_only")).where("_only != 0")
+    return differ.groupBy(dim.key).agg(F.min("valid_from").alias("_from"), F.max("valid_to").alias("_to"))
+
+
+def rekey(facts: DataFrame, before: DataFrame, after: DataFrame, dim: Dimension, fact_key: str, fact_date: str,
+          take: Sequence[str]) -> DataFrame:
+    """``facts``, which carry ``take`` from the versions ``before``, with those of ``after``.
+
+    Only facts of changed keys, dated in their changed days, are looked up; all others go through as they are.
+    """
+    spans = changed_spans(before, after, dim).select(F.col(dim.key).alias(fact_key), "_from", "_to")
+    inside = (F.col(fact_date) >= F.col("_from")) & (F.col(fact_date) < F.col("_to"))
+    marked = facts.join(spans, fact_key, "left").withColumn("_hit", F.coalesce(inside, F.lit(False))).drop("_from", "_to")
+    hit = marked.where("_hit").drop("_hit", *take)
+    return marked.where("NOT _hit").select(*facts.columns).unionByName(
+        as_of_join(hit, after, fact_key, fact_date, dim.key, take).select(*facts.columns))
+
+
 def as_of_join(facts: DataFrame, history: DataFrame, fact_key: str, fact_date: str, key: str,
                take: Sequence[str]) -> DataFrame:
     """Left join every fact to the version of its key valid on its date; a miss gives NULLs.

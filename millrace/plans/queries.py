@@ -749,6 +749,53 @@ def stream_history(spark, sf_dir):
     return changes.history_of(daily, PRIORITY).select(*INTERVAL)
 
 
+@query
+def stream_history_deletes(spark, sf_dir):
+    """As ``stream_history``, but every seventh order deletes its customer; versions have gaps."""
+    log = src.priority_log(spark, sf_dir)
+    image = F.struct("customer_id", "priority", F.col("effective").cast("string").alias("effective"))
+    old = F.struct("customer_id", "priority", F.lit("1900-01-01").alias("effective"))
+    deletes = F.col("order_id") % 7 == 0
+    event = F.to_json(F.struct(
+        F.when(deletes, "d").otherwise("u").alias("op"), F.when(deletes, old).alias("before"), F.when(~deletes, image).alias("after"),
+        F.struct(F.col("order_id").alias("seq")).alias("source"),
+        F.when(deletes, F.unix_millis(F.col("effective").cast("timestamp"))).alias("ts_ms")))
+    folder, mark = scratch(spark, "priorities"), scratch(spark, "mark")
+    log.select(event.alias("value"), "order_id").repartition(4, "order_id").select("value").write.parquet(folder)
+    row = T.StructType([T.StructField("customer_id", T.LongType()), T.StructField("priority", T.StringType()),
+                        T.StructField("effective", T.StringType())])
+    daily = slices.SliceTable(spark, scratch(spark, "daily"), changes.daily_schema(row), "bucket")
+    changes.daily_rows(changes.open_stream(spark, "parquet", folder, maxFilesPerTrigger="2"), row, "customer_id", "effective", daily, mark)
+    return changes.history_of(daily, PRIORITY).select(*INTERVAL)
+
+
+def _late(spark, sf_dir) -> tuple[DataFrame, DataFrame, date]:
+    """The dated log without every tenth order, these orders, and the log's first day."""
+    log = _held(spark, src.priority_log(spark, sf_dir), "log")
+    late = F.col("order_id") % 10 == 3
+    return log.where(~late), log.where(late), log.agg(F.min("effective")).first()[0]
+
+
+@query
+def late_feed_splice(spark, sf_dir):
+    """A history without every tenth order, then these arrive: the versions of a replay of all."""
+    log, late, first = _late(spark, sf_dir)
+    known = history.replay(log, PRIORITY, "effective", [F.col("order_id").desc()], first)
+    return history.splice(known, log, late, PRIORITY, "effective", [F.col("order_id").desc()], first).select(*INTERVAL)
+
+
+@query
+def late_feed_rekey(spark, sf_dir):
+    """Orders keyed by the history without the late ones, then keyed again where versions changed."""
+    log, late, first = _late(spark, sf_dir)
+    known = _held(spark, history.replay(log, PRIORITY, "effective", [F.col("order_id").desc()], first), "versions")
+    after = _held(spark, history.splice(known, log, late, PRIORITY, "effective", [F.col("order_id").desc()], first), "versions")
+    orders = src.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
+    taken = ["priority", "valid_from"]
+    facts = _held(spark, history.as_of_join(orders, known, "customer_id", "order_date", "customer_id", taken), "facts")
+    return history.rekey(facts, known, after, PRIORITY, "customer_id", "order_date", taken)
+
+
 @query
 def ingest_stamp(spark, sf_dir):
     """Landed orders with the run date and the file they came from."""

@@ -18,6 +18,7 @@ def envelope_schema(row: T.StructType) -> T.StructType:
     return T.StructType([
         T.StructField("op", T.StringType()), T.StructField("before", row), T.StructField("after", row),
         T.StructField("source", T.StructType([T.StructField("seq", T.LongType())])),
+        T.StructField("ts_ms", T.LongType()),
     ])
 
 
@@ -113,23 +114,30 @@ def live_rows(state: SliceTable, row: T.StructType) -> DataFrame:
 
 def daily_schema(row: T.StructType) -> T.StructType:
     return T.StructType(list(row.fields) + [
-        T.StructField("_day", T.DateType()), T.StructField("_seq", T.LongType()), T.StructField("bucket", T.IntegerType())])
+        T.StructField("_day", T.DateType()), T.StructField("_seq", T.LongType()), T.StructField("_deleted", T.BooleanType()),
+        T.StructField("bucket", T.IntegerType())])
 
 
 def daily_rows(stream: DataFrame, row: T.StructType, key: str, dated_by: str, table: SliceTable, checkpoint: str,
                buckets: int = 8, continuous: bool = False) -> StreamingQuery:
-    """Keep the last row of each key and day (``dated_by`` as a date), by ``seq``; one merge per batch.
+    """Keep the last change of each key and day, by ``seq``; one merge per batch.
 
     The versions follow from this table alone (``history_of``), so however the stream is cut into batches, and in
-    whatever order days arrive, they are the same.  Deletes leave the last version open, as a daily feed does; changes
-    without key or day are left out.
+    whatever order days arrive, they are the same.  The day is ``dated_by`` of the row; that of a delete, whose row is the old one, is the
+    event's ``ts_ms`` (UTC) where it has one.  A delete wins over another change of the same ``seq``.  Changes without key or day
+    are left out.
     """
     changes = parse(stream, row)
-    newest = [F.col("_seq").desc()]
+    newest = [F.col("_seq").desc(), F.col("_deleted").desc()]
+    deleted = F.col("op") == "d"
+    happened = F.when(deleted, F.to_date(F.timestamp_millis("ts_ms")))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.where(F.col("op").isin("c", "r", "u")).select("after.*", F.col("source.seq").alias("_seq")) \
-            .withColumn("_day", F.col(dated_by).cast("date")).dropna(subset=[key, "_day"])
+        rows = batch.where(F.col("op").isin("c", "r", "u", "d")) \
+            .select(F.when(deleted, F.col("before")).otherwise(F.col("after")).alias("image"), F.col("source.seq").alias("_seq"),
+                    deleted.alias("_deleted"), happened.alias("_happened")) \
+            .select("image.*", "_seq", "_deleted", F.coalesce("_happened", F.col(f"image.{dated_by}").cast("date")).alias("_day")) \
+            .dropna(subset=[key, "_day"])
         fed = latest_per_key(rows, [key, "_day"], newest).withColumn("bucket", bucket_of(key, buckets)).select(*table.schema.names)
         table.merge(fed, [key, "_day"], lambda kept, new: latest_per_key(kept.unionByName(new), [key, "_day"], newest),
                     slice_of_key=True)
@@ -139,5 +147,5 @@ def daily_rows(stream: DataFrame, row: T.StructType, key: str, dated_by: str, ta
 
 
 def history_of(table: SliceTable, dim: history.Dimension) -> DataFrame:
-    """All versions of the keys in a table of daily rows."""
-    return history.replay(table.read(), dim, "_day", [F.col("_seq").desc()])
+    """All versions of the keys in a table of daily rows; a delete ends a version, a later row begins another."""
+    return history.replay(table.read(), dim, "_day", [F.col("_seq").desc()], deleted="_deleted")

@@ -81,10 +81,11 @@ def test_changes_apply_in_order_and_once(spark, tmp_path, rows, feed):
 
 DAYS = [event("c", 1, "a", 1, "2024-01-01"), event("u", 1, "b", 2, "2024-01-01"), event("c", 2, "x", 3, "2024-01-01"),
         event("u", 1, "c", 4, "2024-01-02"), event("d", 2, "x", 5, "2024-01-02"), event("c", 3, "n", 6, "2024-01-02"),
-        event("u", 1, "c", 7, "2024-01-03"), event("u", 1, "a", 8, "2024-01-04"), event("u", 3, "late", 9, "2024-01-01"), None]
+        event("u", 1, "c", 7, "2024-01-03"), event("u", 1, "a", 8, "2024-01-04"), event("u", 3, "late", 9, "2024-01-01"), None,
+        event("c", 2, "back", 12, "2024-01-05"), event("d", 4, "never", 10, "2024-01-02"), event("u", 2, "back", 13, "2024-01-06")]
 
 
-@pytest.mark.parametrize("cuts", [[10], [3, 7, 10], [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]])
+@pytest.mark.parametrize("cuts", [[13], [3, 7, 10, 13], list(range(1, 14))])
 def test_streamed_history_is_the_same_for_any_cut(spark, tmp_path, rows, feed, cuts):
     folder, add = feed
     dim = history.Dimension("id", "id_key", ("note", "created_at"), ("note",))
@@ -98,5 +99,5 @@ def test_streamed_history_is_the_same_for_any_cut(spark, tmp_path, rows, feed, c
     day = lambda n: date(2024, 1, n)
     assert rows(changes.history_of(table, dim).select("id", "note", "valid_from", "valid_to")) == [
         (1, "a", day(4), history.OPEN_END), (1, "b", history.BEGINNING, day(2)), (1, "c", day(2), day(4)),
-        (2, "x", history.BEGINNING, history.OPEN_END),
+        (2, "back", day(5), history.OPEN_END), (2, "x", history.BEGINNING, day(2)),
         (3, "late", history.BEGINNING, day(2)), (3, "n", day(2), history.OPEN_END)]

@@ -17,6 +17,43 @@ def frame(spark, data):
     return spark.createDataFrame(data, "id bigint, tier string, note string")
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_feeds_in_any_order_give_the_replay(spark, rows, seed):
+    """Daily feeds spliced in one by one, in random order after the first day."""
+    rng = random.Random(seed)
+    log = [(k, rng.choice("AB"), "x", day) for k in range(1, 8) for day in D if day == D[0] or rng.random() < 0.5]
+    as_frame = lambda data: spark.createDataFrame(data, "id bigint, tier string, note string, day date")
+    newest = [F.col("tier").desc()]
+    known = [r for r in log if r[3] == D[0]]
+    versions = history.replay(as_frame(known), DIM, "day", newest, D[0])
+    for day in rng.sample(D[1:], 4):
+        late = [r for r in log if r[3] == day]
+        versions = history.splice(versions, as_frame(known), as_frame(late), DIM, "day", newest, D[0])
+        known += late
+    assert rows(versions.select(*SEEN)) == rows(history.replay(as_frame(known), DIM, "day", newest).select(*SEEN))
+    with pytest.raises(ValueError, match="dated before"):
+        history.splice(versions, as_frame(known), as_frame([(1, "A", "x", date(2023, 1, 1))]), DIM, "day", newest, D[0])
+
+
+def test_rekey_looks_up_changed_spans_only(spark, rows):
+    log = [(1, "A", "x", D[0]), (1, "B", "x", D[6]), (2, "A", "x", D[0])]
+    as_frame = lambda data: spark.createDataFrame(data, "id bigint, tier string, note string, day date")
+    before = history.replay(as_frame(log), DIM, "day", [F.col("tier")])
+    after = history.splice(before, as_frame(log), as_frame([(1, "C", "x", D[3])]), DIM, "day", [F.col("tier")], D[0])
+    facts = history.as_of_join(spark.createDataFrame([(n, k, D[n]) for n in range(9) for k in (1, 2)], "n int, id bigint, at date"),
+                               before, "id", "at", "id", ["id_key", "tier"])
+    got = history.rekey(facts, before, after, DIM, "id", "at", ["id_key", "tier"])
+    assert rows(got) == rows(history.as_of_join(facts.drop("id_key", "tier"), after, "id", "at", "id", ["id_key", "tier"]).select(*facts.columns))
+    assert rows(history.changed_spans(before, after, DIM)) == [(1, BEGINNING, D[6])]
+
+
+def test_deletes_leave_gaps(spark, rows):
+    log = [(1, "A", D[0], False), (1, "A", D[2], True), (1, "A", D[4], False), (1, "A", D[5], False), (1, "B", D[6], True), (2, "A", D[1], True), (2, "A", D[3], None)]
+    df = spark.createDataFrame(log, "id bigint, tier string, day date, gone boolean").withColumn("note", F.lit("x"))
+    assert rows(history.replay(df, DIM, "day", [F.col("tier")], deleted="gone").select(*SEEN)) == [
+        (1, "A", BEGINNING, D[2], False), (1, "A", D[4], D[6], False), (2, "A", D[3], OPEN_END, True)]
+
+
 def test_onboard(spark, rows):
     got = rows(history.onboard(frame(spark, [(1, "A", "x")]), DIM).select(*SEEN))
     assert got == [(1, "A", BEGINNING, OPEN_END, True)]
