@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text
 from millrace.operators import history, keyed, quality, star
 from millrace.sources import feeds
-from millrace.sources.slices import SliceTable
+from millrace.sources.slices import SliceTable, Staged
 
 Rule = Callable[[str], Column]
 
@@ -86,11 +87,34 @@ class SalesWarehouse:
     ``buckets`` is how many slices a current-state table has; size it so that one slice fits a few tasks, as a run
     rewrites the slices of its keys.  A run can be repeated and leaves the same state.  Rows with a value that does not
     cast, or without a whole key, go to a quarantine table by run date and no further.
+
+    ``run`` stages all tables, checks them as they would be, and publishes them only if the gate passes: a refused day leaves
+    what is served as it was (its rows stay in the log, which the corrected feed of the day replaces).  A feed older
+    than one that was landed is spliced in: versions and facts of its keys are those of a run in order.
     """
 
     def __init__(self, spark: SparkSession, root: str, first_day: date, last_day: date, buckets: int = 16):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.first_day, self.last_day = first_day, last_day
+        self._staged: dict[tuple[str, str], Staged] | None = None
+
+    # ---- staging
+
+    def _put(self, layer: str, name: str, staged: Staged) -> None:
+        if self._staged is None:
+            staged.publish()
+        else:
+            self._staged[layer, name] = staged
+
+    def _rows(self, layer: str, name: str, slice_by: str, slices: list[str] | None = None) -> DataFrame:
+        """A table's rows, as they will be where the run has staged it."""
+        staged = (self._staged or {}).get((layer, name))
+        return staged.read(slices) if staged else self.table(layer, name, slice_by).read(slices)
+
+    def _settle(self, publish: bool) -> None:
+        staged, self._staged = self._staged or {}, None
+        for load in staged.values():
+            load.publish() if publish else load.discard()
 
     # ---- tables
 
@@ -121,89 +145,151 @@ class SalesWarehouse:
             aside.replace_slices(bad, day)
             self.log(name).replace_slices(good, day, expected_rows=rows - aside.read(day).count())
 
+    def _newest_first(self, name: str) -> list[Column]:
+        return [F.col("updated_at").desc(), F.col("_ingested_at").desc(), F.xxhash64(*SOURCES[name].columns)]
+
     def _newest(self, df: DataFrame, name: str) -> DataFrame:
-        source = SOURCES[name]
-        ties = [F.xxhash64(*[c for c in source.columns])]
-        return keyed.latest_per_key(df, source.key, [F.col("updated_at").desc(), F.col("_ingested_at").desc(), *ties])
+        return keyed.latest_per_key(df, SOURCES[name].key, self._newest_first(name))
 
     def fed(self, name: str, run_date: date) -> DataFrame:
         """The run's latest row per key, conformed."""
+        return self._conformed(self._newest(self.log(name).read([run_date.isoformat()]), name), name)
+
+    def _conformed(self, rows: DataFrame, name: str, more: Sequence[str] = ()) -> DataFrame:
+        """Rows of the log by the source's rules; products with the name of their category."""
         source = SOURCES[name]
-        day = self._newest(self.log(name).read([run_date.isoformat()]), name).select(*source.columns)
-        out = conform(day, source.rules)
+        out = conform(rows.select(*source.columns, *more), source.rules)
         if name != "products":
             return out
         # A product may name a category fed on an earlier day, so look over the whole log.
         names = conform(self._newest(self.log("product_categories").read(), "product_categories"),
                         SOURCES["product_categories"].rules).select("category_id", "category_name")
         return out.join(names, "category_id", "left").select(
-            *[c for c in source.columns if c not in STAMPS], "category_name", *STAMPS)
+            *[c for c in source.columns if c not in STAMPS], "category_name", *STAMPS, *more)
 
     def current(self, name: str) -> SliceTable:
         return self.table("current", name, "bucket")
 
+    def late(self, run_date: date) -> bool:
+        """Whether a later day was landed already."""
+        return any(day > run_date.isoformat() for name in SOURCES for day in self.log(name).slices())
+
     def refresh_current(self, run_date: date) -> None:
+        """The run's rows over the stored ones; those of a late feed only where they are newer."""
+        newer = "updated_at" if self.late(run_date) else None
         for name, source in SOURCES.items():
             if name == "product_categories":
                 continue
             key = list(source.key)
             fed = self._bucketed(self.fed(name, run_date), source.key)
-            self.table("current", name, "bucket", fed).merge(
-                fed, key, lambda kept, new, key=key: keyed.upsert(kept, new, key, check=False), slice_of_key=True)
+            self._put("current", name, self.table("current", name, "bucket", fed).stage_merge(
+                fed, key, lambda kept, new, key=key: keyed.upsert(kept, new, key, newer, check=False), slice_of_key=True))
 
     def dimension(self, name: str) -> SliceTable:
         return self.table("star", name, "is_current")
 
     def refresh_dimensions(self, run_date: date) -> None:
-        """Onboard on the first run, advance after; closed rows are only ever added."""
+        """Onboard on the first run, advance after; closed rows are only ever added.  A late feed is spliced in."""
+        late = self.late(run_date)
         for name, dim in DIMENSIONS.items():
-            state = self.current(name).read()
+            state = self._rows("current", name, "bucket")
             first = history.onboard(state, dim)
             table = self.table("star", name, "is_current", first)
             if not table.exists():
-                table.overwrite(first)
+                staged = table.stage(first)
+            elif late:
+                staged = table.stage(self._spliced(table, name, dim, run_date), ["true", "false"])
             else:
                 # Named by the run date: a repeated run replaces the rows it closed.
-                table.commit(history.advance(table.read(["true"]), state, dim, run_date), ["true"], batch=run_date.isoformat())
+                staged = table.stage(history.advance(table.read(["true"]), state, dim, run_date), ["true"], run_date.isoformat())
+            self._put("star", name, staged)
+
+    def _spliced(self, table: SliceTable, name: str, dim: history.Dimension, run_date: date) -> DataFrame:
+        """The dimension with a late feed's rows; the log is read for the keys of the feed only."""
+        keys = self.log(name).read([run_date.isoformat()]).select(dim.key).distinct()
+        of_keys = self.log(name).read().join(keys, dim.key, "left_semi")
+        daily = self._conformed(keyed.latest_per_key(of_keys, [dim.key, "_run_date"], self._newest_first(name)), name, ["_run_date"])
+        rows = daily.select(dim.key, *dim.attributes, "_run_date")
+        today = F.col("_run_date") == F.lit(run_date)
+        first = date.fromisoformat(min(day for n in DIMENSIONS for day in self.log(n).slices()))
+        return history.splice(table.read(), rows.where(~today), rows.where(today), dim, "_run_date", [F.lit(0)], first)
 
     def dimensions(self) -> dict[str, DataFrame]:
-        out = {dim.surrogate: self.dimension(name).read() for name, dim in DIMENSIONS.items()}
+        out = {dim.surrogate: self._rows("star", name, "is_current") for name, dim in DIMENSIONS.items()}
         out["date_key"] = star.calendar(self.spark, self.first_day, self.last_day)
         return out
 
     def fact(self) -> SliceTable:
         return self.table("star", "fact", "order_date")
 
-    def _desired(self, run_date: date) -> DataFrame:
-        """Fact rows of every order that had its head or a line in this run's feed."""
-        fed = self.log("orders").read([run_date.isoformat()]).select("order_id").unionByName(
-            self.log("order_items").read([run_date.isoformat()]).select("order_id")).distinct()
-        lines = self.current("order_items").read().join(fed, "order_id", "left_semi")
-        orders = self.current("orders").read().join(fed, "order_id", "left_semi")
+    def queue(self) -> SliceTable:
+        """Lines that were set aside because a key had no version on their order date, with these keys."""
+        columns = ("order_id bigint, line_no int, order_date date, customer_id bigint, product_id bigint, store_id int, "
+                   "run_date date, bucket int")
+        return self.table("star", "unresolved", "bucket", self.spark.createDataFrame([], columns))
+
+    def _changed_spans(self) -> dict[str, DataFrame]:
+        """Per dimension that this run has staged: the keys whose versions change, and the days that hold the changes."""
+        out = {}
+        for name, dim in DIMENSIONS.items():
+            staged, before = (self._staged or {}).get(("star", name)), self.table("star", name, "is_current", self.spark.range(0))
+            if staged is not None and before.exists():
+                out[name] = history.changed_spans(self.dimension(name).read(), staged.read(), dim)
+        return out
+
+    def _touched_orders(self, run_date: date) -> DataFrame:
+        """Orders with a head or line in the run's feed, with a waiting line whose key has changed versions, and, after a late
+        feed, with a line dated in the changed days of one of its keys."""
+        day = [run_date.isoformat()]
+        touched = [self.log("orders").read(day).select("order_id"), self.log("order_items").read(day).select("order_id")]
+        spans, queue = self._changed_spans(), self.queue().read()
+        late, orders, lines = self.late(run_date), self._rows("current", "orders", "bucket"), self._rows("current", "order_items", "bucket")
+        for name, span in spans.items():
+            key = DIMENSIONS[name].key
+            touched.append(queue.join(span.select(key), key, "left_semi").select("order_id"))
+            if late:
+                dated = orders if key in orders.columns else lines.join(orders.select("order_id", "order_date"), "order_id")
+                inside = (F.col("order_date") >= F.col("_from")) & (F.col("order_date") < F.col("_to"))
+                touched.append(dated.join(span, key).where(inside).select("order_id"))
+        return reduce(DataFrame.unionByName, touched).distinct()
+
+    def _desired(self, run_date: date) -> tuple[DataFrame, DataFrame]:
+        """Fact rows of all touched orders, and the natural keys of their lines."""
+        touched = self._touched_orders(run_date)
+        lines = self._rows("current", "order_items", "bucket").join(touched, "order_id", "left_semi")
+        orders = self._rows("current", "orders", "bucket").join(touched, "order_id", "left_semi")
         dims = {k: d for k, d in self.dimensions().items() if k != "date_key"}
-        return star.build_fact(lines, orders, dims)
+        natural = lines.select(*GRAIN, "product_id").join(orders.select("order_id", "customer_id", "store_id"), "order_id")
+        return star.build_fact(lines, orders, dims), natural
 
     def refresh_fact(self, run_date: date, set_aside: bool = False) -> None:
-        """New lines are added with the keys of their order date; known lines only take the status.
+        """New lines are added with the keys of their order date; known lines only take the status, and after a late feed
+        also their keys.
 
-        A line dated before its key's first version stops the run, or with ``set_aside`` goes to a
-        table of its own and the rest is loaded.
+        A line dated before its key's first version stops the run, or with ``set_aside`` waits in ``queue`` and the rest is loaded.
+        A waiting line is looked up again when the versions of one of its keys change, and leaves the queue once all resolve.
         """
-        desired = self._desired(run_date)
-        if set_aside:
-            aside = star.unresolved(desired).withColumn("run_date", F.lit(run_date))
-            self.table("star", "unresolved", "run_date", aside).replace_slices(aside, [run_date.isoformat()])
-            desired = star.resolved(desired)
-        else:
-            star.require_resolved(desired)
-        self.table("star", "fact", "order_date", desired).merge(
-            desired, GRAIN, lambda kept, new: keyed.upsert_columns(kept, new, GRAIN, ["status"], check=False),
-            order_by=["customer_key"])
+        desired, natural = self._desired(run_date)
+        waiting = self.queue()
+        missing = star.unresolved(desired)
+        if not set_aside:
+            star.require_resolved(desired.join(waiting.read().select(*GRAIN), GRAIN, "left_anti"))
+        tried = desired.select(*GRAIN, "order_date").join(natural, GRAIN) \
+            .join(missing.select(*GRAIN, F.lit(True).alias("_missing")), GRAIN, "left").withColumn("run_date", F.lit(run_date))
+        tried = self._bucketed(tried, ("order_id",)).select(*waiting.schema.names, "_missing")
+        self._put("star", "unresolved", waiting.stage_merge(
+            tried, GRAIN, lambda kept, new: kept.join(new.select(*GRAIN), GRAIN, "left_anti").unionByName(
+                new.where("_missing").drop("_missing")), slice_of_key=True))
+        update = [c for c in desired.columns if c not in GRAIN] if self.late(run_date) else ["status"]
+        loaded = star.resolved(desired)
+        self._put("star", "fact", self.table("star", "fact", "order_date", loaded).stage_merge(
+            loaded, GRAIN, lambda kept, new: keyed.upsert_columns(kept, new, GRAIN, update, check=False),
+            order_by=["customer_key"]))
 
     def checks(self) -> DataFrame:
-        """Star checks; the order totals must reconcile."""
-        fact, dims = self.fact().read(), self.dimensions()
-        sets = [quality.fact_checks(fact, self.current("orders").read(), [dim.surrogate for dim in DIMENSIONS.values()])]
+        """Star checks on the tables as they are, or as the run has staged them; the order totals must reconcile."""
+        fact, dims = self._rows("star", "fact", "order_date"), self.dimensions()
+        sets = [quality.fact_checks(fact, self._rows("current", "orders", "bucket"), [dim.surrogate for dim in DIMENSIONS.values()])]
         for name, dim in DIMENSIONS.items():
             sets += quality.dimension_checks(f"dim_{name}", dims[dim.surrogate], dim.key, dim.surrogate)
         return quality.run(sets)
@@ -219,11 +305,17 @@ class SalesWarehouse:
             df.createOrReplaceTempView(name)
 
     def run(self, folder: str, run_date: date, set_aside: bool = False) -> DataFrame:
-        """Feed to report for one run date; a failed star check stops before anything is served."""
+        """Feed to report for one run date; what the run would make of the tables is checked before any of them changes."""
         self.land(folder, run_date)
-        self.refresh_current(run_date)
-        self.refresh_dimensions(run_date)
-        self.refresh_fact(run_date, set_aside)
-        quality.require_passed(self.checks())
+        self._staged = {}
+        passed = False
+        try:
+            self.refresh_current(run_date)
+            self.refresh_dimensions(run_date)
+            self.refresh_fact(run_date, set_aside)
+            quality.require_passed(self.checks())
+            passed = True
+        finally:
+            self._settle(passed)
         self.register_views()
         return self.report()

@@ -151,24 +151,23 @@ class SliceTable:
         ``batch`` names the load: committing it again replaces all that it wrote.  ``guard`` sees the
         written slices and rows and may raise before they are moved into place.
         """
+        self.stage(df, replacing, batch, order_by, guard).publish()
+
+    def stage(self, df: DataFrame, replacing: Iterable[str] = (), batch: str | None = None, order_by: Sequence[str] = (),
+              guard: Callable[[set[str], DataFrame], None] | None = None) -> Staged:
+        """As ``commit``, but the rows are only written: publish the result to place them, or discard it."""
         self.recover()
-        folder = self._folder()
-        if folder is None:
-            folder = f"{self.path}/data-{uuid.uuid4().hex}"
-            files.make(self.spark, folder)
-            self._point(folder.rsplit("/", 1)[1])
         aside, load = self._aside(df, batch, order_by)
         made = self._placed(f"{self.path}/{aside}")
         if guard is not None:
             guard({value for value, _ in made}, self._frame(f"{self.path}/{aside}"))
-        data, named = folder.rsplit("/", 1)[1], set(replacing)
+        folder, named = self._folder(), set(replacing)
+        data = folder.rsplit("/", 1)[1] if folder else f"data-{uuid.uuid4().hex}"
         same = (lambda path: path.split("/")[-2].rsplit("~", 1)[0] == load.rsplit("~", 1)[0]) if batch else (lambda _: False)
-        intent = {
+        return Staged(self, {
             "aside": aside, "made": [f"{data}/{load}/{path.rsplit('/', 1)[1]}" for _, path in made],
-            "replaced": [f"{data}/{'/'.join(path.split('/')[-2:])}" for value, path in self._placed(folder) if value in named or same(path)]}
-        files.publish_json(self.spark, f"{self.path}/{INTENT}", intent)
-        self.on_step("announced")
-        self._roll(intent, False)
+            "replaced": [f"{data}/{'/'.join(path.split('/')[-2:])}" for value, path in (self._placed(folder) if folder else ())
+                         if value in named or same(path)]}, None if folder else data)
 
     def _aside(self, df: DataFrame, batch: str | None, order_by: Sequence[str]) -> tuple[str, str]:
         """Write the rows where no reader looks; the folder, and the load's own one in it, which no other attempt has."""
@@ -221,6 +220,12 @@ class SliceTable:
     def merge(self, source: DataFrame, keys: Sequence[str],
               combine: Callable[[DataFrame, DataFrame], DataFrame], order_by: Sequence[str] = (),
               slice_of_key: bool = False) -> None:
+        """``stage_merge``, published at once."""
+        self.stage_merge(source, keys, combine, order_by, slice_of_key).publish()
+
+    def stage_merge(self, source: DataFrame, keys: Sequence[str],
+                    combine: Callable[[DataFrame, DataFrame], DataFrame], order_by: Sequence[str] = (),
+                    slice_of_key: bool = False) -> Staged:
         """Rewrite the touched slices as ``combine(their rows, source)``.
 
         The merged rows are written before the old ones go, so reading and rewriting the same slices is safe.  The
@@ -232,14 +237,50 @@ class SliceTable:
         held = self.spark.read.schema(source.schema).parquet(staged)
         require_unique(held, keys)
         touched = self.touched_slices(held, keys, slice_of_key)
-        self.commit(combine(self.read(touched), held), touched, None, order_by)
+        made = self.stage(combine(self.read(touched), held), touched, None, order_by)
         files.remove(self.spark, staged)
+        return made
 
     def file_profile(self) -> DataFrame:
         """Path, size and rows of each file of the table."""
         return file_profile(self.spark.read.parquet(self._folder()))
 
 
+class Staged:
+    """Rows written beside a table, and the folders they will replace."""
+
+    def __init__(self, table: SliceTable, load: dict, first_folder: str | None):
+        self.table, self.load, self.first_folder = table, load, first_folder
+
+    def read(self, slices: Iterable[str] | None = None) -> DataFrame:
+        """The table's rows as they will be once this is published."""
+        table, aside = self.table, f"{self.table.path}/{self.load['aside']}"
+        chosen = None if slices is None else set(slices)
+        gone = {f"{table.path}/{path}" for path in self.load["replaced"]}
+        wanted = lambda placed: [path for value, path in placed if chosen is None or value in chosen]
+        out = table.spark.createDataFrame([], table.schema)
+        folder = table._folder()
+        for root, paths in ((folder, [p for p in wanted(table._seen(folder)) if p not in gone] if folder else []), (aside, wanted(table._placed(aside)))):
+            if paths:
+                out = out.unionByName(table._frame(root, *paths))
+        return out
+
+    def publish(self) -> None:
+        """Place the rows; a table that did not exist appears with all of them."""
+        table = self.table
+        if self.first_folder is not None:
+            files.move(table.spark, f"{table.path}/{self.load['aside']}", f"{table.path}/{self.first_folder}")
+            table.on_step("moved")
+            table._point(self.first_folder)
+            return
+        files.publish_json(table.spark, f"{table.path}/{INTENT}", self.load)
+        table.on_step("announced")
+        table._roll(self.load, False)
+
+    def discard(self) -> None:
+        files.remove(self.table.spark, f"{self.table.path}/{self.load['aside']}")
+
+
 def file_profile(df: DataFrame) -> DataFrame:
     """Path, size and rows of every file a file-based frame reads."""
     return df.groupBy(

@@ -221,9 +221,11 @@ def test_orphans_and_gate_stop_the_run(spark, tmp_path):
     warehouse = SalesWarehouse(spark, f"{tmp_path}/wh", date(2024, 1, 1), date(2024, 12, 31), buckets=2)
     tables = first_feed(spark)
     lost = {**tables, "customers": tables["customers"].where("customer_id = '1'")}
+    folder = extract(spark, lost, f"{tmp_path}/f1", f"{tmp_path}/s1", D1)
     with pytest.raises(star.UnresolvedKeyError):
-        warehouse.run(extract(spark, lost, f"{tmp_path}/f1", f"{tmp_path}/s1", D1), D1)
-    warehouse.refresh_fact(D1, set_aside=True)
+        warehouse.run(folder, D1)
+    assert not warehouse.table("current", "orders", "bucket", spark.range(0)).exists()  # a refused day changes nothing
+    warehouse.run(folder, D1, set_aside=True)
     assert [r.order_id for r in warehouse.fact().read().collect()] == [100]
     # The set-aside order was one of two; the other's total is now wrong.
     totals = warehouse.current("orders")
