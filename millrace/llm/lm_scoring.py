@@ -2,7 +2,7 @@
 
 The score of a word after the words before it is c(n-gram) / c(n-gram without its last word) if the n-gram is in the
 count table, and ``BACKOFF`` times the score with one word less of context otherwise; a single word scores c / N.
-Count tables keep the n-grams that occur at least ``LEAST`` times (single words all).
+Count tables keep all n-grams; ``least`` leaves out those that occur less often (single words never).
 
 Count tables are partitioned by hash.  Documents are dealt to blocks; a block sends each table partition its distinct
 n-grams with their counts, so a hot n-gram costs one entry per block.  The partition adds up the counts and answers
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import STEP, WordHashes, mixed, rows_of, space_words, text_key
 
-ORDER, LEAST, BACKOFF = 3, 2, 0.4
+ORDER, LEAST, BACKOFF = 3, 1, 0.4
 #: Words in a block, and n-grams that one table partition holds, on average.
 BLOCK_WORDS, TABLE_GRAMS = 1_200_000, 4_000_000
 
@@ -58,11 +58,12 @@ class Layout:
         return keys >> np.uint64(8 * self.width)
 
     def packed(self, keys: np.ndarray) -> bytes:
-        return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :self.width].tobytes()
+        """Byte by byte, not key by key: the high bytes of ascending keys repeat, which the shuffle's compression takes out."""
+        return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :self.width].T.tobytes()
 
     def unpacked(self, raw: bytes) -> np.ndarray:
         wide = np.zeros((len(raw) // self.width, 8), np.uint8)
-        wide[:, :self.width] = np.frombuffer(raw, np.uint8).reshape(-1, self.width)
+        wide[:, :self.width] = np.frombuffer(raw, np.uint8).reshape(self.width, -1).T
         return wide.view("<u8").reshape(-1)
 
 
