@@ -1,10 +1,10 @@
 """A sliced Parquet table: one folder per load and slice below a folder that one small file names.
 
-A load is written aside, clustered by slice, checked, and then moved into place by renames; the folders it replaces go
+A load is written aside, clustered by slice, checked, and then moved into place by one rename; the folders it replaces go
 last.  Nothing lists loads or slices but the file system, so reading prunes by Spark's own partition filters.
 
-What a load is about to do stands in one small file, written before its first rename and gone after its last removal.
-While it stands, readers leave out the load's folders; once all are in place a second file says so, and readers leave out
+What a load is about to do stands in one small file, written before its rename and gone after its last removal.
+While it stands, readers leave out the load's folder; once that is in place a second file says so, and readers leave out
 the replaced folders instead.  So a reader sees the rows before or after a load, never both.  A load that dies before the
 first file leaves the table as it was; one that dies later is completed when a writer next opens the table.  One writer at
 a time per table.
@@ -93,8 +93,8 @@ class SliceTable:
         out = self._placed(folder)
         if load is None:
             return out
-        hidden = {f"{self.path}/{f}" for f in (load["replaced"] if placed else load["made"])}
-        return [(value, path) for value, path in out if path not in hidden]
+        hidden = {f"{self.path}/{f}" for f in (load["replaced"] if placed else [load["load"]])}
+        return [(value, path) for value, path in out if path not in hidden and path.rsplit("/", 1)[0] not in hidden]
 
     def recover(self) -> None:
         """Complete the load that died after it announced itself; without one nothing happens."""
@@ -104,11 +104,10 @@ class SliceTable:
 
     def _roll(self, load: dict, placed: bool) -> None:
         if not placed:
-            for target in load["made"]:
-                waiting = f"{self.path}/{load['aside']}/{'/'.join(target.split('/')[-2:])}"
-                if files.exists(self.spark, waiting):
-                    files.move(self.spark, waiting, f"{self.path}/{target}")
-                    self.on_step("moved")
+            waiting = f"{self.path}/{load['aside']}/{load['load'].rsplit('/', 1)[1]}"
+            if load["any"] and files.exists(self.spark, waiting):
+                files.move(self.spark, waiting, f"{self.path}/{load['load']}")
+                self.on_step("moved")
             files.publish_json(self.spark, f"{self.path}/{PLACED}", load)
             self.on_step("placed")
         for target in load["replaced"]:
@@ -165,9 +164,9 @@ class SliceTable:
         data = folder.rsplit("/", 1)[1] if folder else f"data-{uuid.uuid4().hex}"
         same = (lambda path: path.split("/")[-2].rsplit("~", 1)[0] == load.rsplit("~", 1)[0]) if batch else (lambda _: False)
         return Staged(self, {
-            "aside": aside, "made": [f"{data}/{load}/{path.rsplit('/', 1)[1]}" for _, path in made],
+            "aside": aside, "load": f"{data}/{load}", "any": bool(made),
             "replaced": [f"{data}/{'/'.join(path.split('/')[-2:])}" for value, path in (self._placed(folder) if folder else ())
-                         if value in named or same(path)]}, None if folder else data)
+                         if value in named or same(path)]}, None if folder else data, named if batch is None else None)
 
     def _aside(self, df: DataFrame, batch: str | None, order_by: Sequence[str]) -> tuple[str, str]:
         """Write the rows where no reader looks; the folder, and the load's own one in it, which no other attempt has."""
@@ -249,21 +248,21 @@ class SliceTable:
 class Staged:
     """Rows written beside a table, and the folders they will replace."""
 
-    def __init__(self, table: SliceTable, load: dict, first_folder: str | None):
+    def __init__(self, table: SliceTable, load: dict, first_folder: str | None, slices: set[str] | None):
         self.table, self.load, self.first_folder = table, load, first_folder
+        self.slices = slices  # those that are replaced whole, if no other folders are
 
     def read(self, slices: Iterable[str] | None = None) -> DataFrame:
         """The table's rows as they will be once this is published."""
-        table, aside = self.table, f"{self.table.path}/{self.load['aside']}"
-        chosen = None if slices is None else set(slices)
-        gone = {f"{table.path}/{path}" for path in self.load["replaced"]}
-        wanted = lambda placed: [path for value, path in placed if chosen is None or value in chosen]
-        out = table.spark.createDataFrame([], table.schema)
-        folder = table._folder()
-        for root, paths in ((folder, [p for p in wanted(table._seen(folder)) if p not in gone] if folder else []), (aside, wanted(table._placed(aside)))):
-            if paths:
-                out = out.unionByName(table._frame(root, *paths))
-        return out
+        table, folder = self.table, self.table._folder()
+        out = table._frame(f"{table.path}/{self.load['aside']}") if self.load["any"] else table.spark.createDataFrame([], table.schema)
+        if folder and self.slices is not None:  # one listing, and partition filters
+            out = out.unionByName(table._frame(folder).where(~table._slice_text().isin(sorted(self.slices))))
+        elif folder:
+            gone = {f"{table.path}/{path}" for path in self.load["replaced"]}
+            kept = [path for _, path in table._seen(folder) if path not in gone]
+            out = out.unionByName(table._frame(folder, *kept)) if kept else out
+        return out if slices is None else out.where(table._slice_text().isin(sorted(set(slices))))
 
     def publish(self) -> None:
         """Place the rows; a table that did not exist appears with all of them."""
