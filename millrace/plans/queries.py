@@ -859,7 +859,7 @@ def sales_days(spark, sf_dir):
     dated after it, and changes a segment that a later day changed again.
     """
     root = scratch(spark, "sales")
-    warehouse = sales_day.SalesWarehouse(spark, f"{root}/wh", date(1990, 1, 1), date(2010, 12, 31), buckets=4)
+    warehouse = sales_day.SalesWarehouse(spark, f"{root}/wh", date(1990, 1, 1), date(2010, 12, 31), buckets=4, monthly_fact=True)
     people, orders = src.customers(spark, sf_dir), src.orders(spark, sf_dir)
     missing = F.col("customer_id") % 10 == 3
     early = orders.where(F.col("order_date") <= F.lit(FIRST_DAY))

@@ -86,15 +86,17 @@ class SalesWarehouse:
 
     ``buckets`` is how many slices a current-state table has; size it so that one slice fits a few tasks, as a run
     rewrites the slices of its keys.  A run can be repeated and leaves the same state.  Rows with a value that does not
-    cast, or without a whole key, go to a quarantine table by run date and no further.
+    cast, or without a whole key, go to a quarantine table by run date and no further.  The fact is sliced by order date, or with
+    ``monthly_fact`` by month, where a day is far smaller than a file should be.
 
     ``run`` stages all tables, checks them as they would be, and publishes them only if the gate passes: a refused day leaves
     what is served as it was (its rows stay in the log, which the corrected feed of the day replaces).  A feed older
     than one that was landed is spliced in: versions and facts of its keys are those of a run in order.
     """
 
-    def __init__(self, spark: SparkSession, root: str, first_day: date, last_day: date, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, first_day: date, last_day: date, buckets: int = 16, monthly_fact: bool = False):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.fact_slice = "order_month" if monthly_fact else "order_date"
         self.first_day, self.last_day = first_day, last_day
         self._staged: dict[tuple[str, str], Staged] | None = None
 
@@ -220,7 +222,7 @@ class SalesWarehouse:
         return out
 
     def fact(self) -> SliceTable:
-        return self.table("star", "fact", "order_date")
+        return self.table("star", "fact", self.fact_slice)
 
     def queue(self) -> SliceTable:
         """Lines that were set aside because a key had no version on their order date, with these keys."""
@@ -282,13 +284,15 @@ class SalesWarehouse:
                 new.where("_missing").drop("_missing")), slice_of_key=True))
         update = [c for c in desired.columns if c not in GRAIN] if self.late(run_date) else ["status"]
         loaded = star.resolved(desired)
-        self._put("star", "fact", self.table("star", "fact", "order_date", loaded).stage_merge(
+        if self.fact_slice != "order_date":
+            loaded = loaded.withColumn(self.fact_slice, F.trunc("order_date", "MONTH"))
+        self._put("star", "fact", self.table("star", "fact", self.fact_slice, loaded).stage_merge(
             loaded, GRAIN, lambda kept, new: keyed.upsert_columns(kept, new, GRAIN, update, check=False),
             order_by=["customer_key"]))
 
     def checks(self) -> DataFrame:
         """Star checks on the tables as they are, or as the run has staged them; the order totals must reconcile."""
-        fact, dims = self._rows("star", "fact", "order_date"), self.dimensions()
+        fact, dims = self._rows("star", "fact", self.fact_slice), self.dimensions()
         sets = [quality.fact_checks(fact, self._rows("current", "orders", "bucket"), [dim.surrogate for dim in DIMENSIONS.values()])]
         for name, dim in DIMENSIONS.items():
             sets += quality.dimension_checks(f"dim_{name}", dims[dim.surrogate], dim.key, dim.surrogate)
