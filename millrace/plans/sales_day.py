@@ -202,8 +202,8 @@ class SalesWarehouse:
             elif late:
                 staged = table.stage(self._spliced(table, name, dim, run_date), ["true", "false"])
             else:
-                # Named by the run date: a repeated run replaces the rows it closed.
-                staged = table.stage(history.advance(table.read(["true"]), state, dim, run_date), ["true"], run_date.isoformat())
+                # Closed rows stay: a repeated run finds the versions that it opened and closes nothing again.
+                staged = table.stage(history.advance(table.read(["true"]), state, dim, run_date), ["true"])
             self._put("star", name, staged)
 
     def _spliced(self, table: SliceTable, name: str, dim: history.Dimension, run_date: date) -> DataFrame:
