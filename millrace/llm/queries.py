@@ -204,6 +204,27 @@ def op2_suffix_array_dedup(spark, sf_dir):
     return repeats.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+# Every window of 50 words; a word is a copy where all repeated windows over it have an earlier place.
+ORACLES["op2_suffix_array_dedup"] = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, {A_Z}), '[^\x20\x09-\x0D]+') AS words FROM documents WHERE doc_id IS NOT NULL),
+win AS (
+  SELECT doc_id, p, md5(array_to_string(words[p + 1:p + {repeats.LEAST}], ' ')) AS unit
+  FROM (SELECT doc_id, words, unnest(range(len(words) - {repeats.LEAST - 1})) AS p FROM w WHERE len(words) >= {repeats.LEAST})),
+ranked AS (
+  SELECT doc_id, p, row_number() OVER places AS i, first_value(doc_id) OVER places AS first_doc, lead(doc_id) OVER places AS next_doc
+  FROM win WINDOW places AS (PARTITION BY unit ORDER BY doc_id, p)),
+shared AS (
+  SELECT doc_id, p, i > 1 AS later, CASE WHEN i > 1 THEN first_doc ELSE next_doc END AS partner
+  FROM ranked WHERE i > 1 OR next_doc IS NOT NULL),
+covered AS (
+  SELECT doc_id, word, bool_and(later) AS copy, min(partner) AS partner
+  FROM (SELECT doc_id, later, partner, unnest(range(p, p + {repeats.LEAST})) AS word FROM shared) GROUP BY doc_id, word),
+runs AS (SELECT *, word - row_number() OVER (PARTITION BY doc_id, copy ORDER BY word) AS run FROM covered)
+SELECT doc_id, min(word) AS start_word, count(*) AS n_words, copy, min(partner) AS partner_doc_id FROM runs GROUP BY doc_id, copy, run
+"""
+
+
 @query
 def op11_merkle_manifest(spark, sf_dir):
     """Leaf, roots and proof of every document, and what a table without some line breaks gives."""

@@ -1,12 +1,16 @@
-"""Passages that repeat, found through sparse places.
+"""Passages that repeat, found by sorting sparse suffixes.
 
 Texts are words between ASCII white space, A-Z lower-cased.  A passage of ``least`` words is a window; what a document
 repeats is what its windows cover that occur at another place too, and every such window is found.  Each window has an
-anchor: where the hash of ``K`` words is the smallest of the first ``SPAN`` of it, so equal windows have equal anchors with
-the same ``HEAD`` words behind, whatever stands around them.  Windows whose anchor's head occurs once occur once.  Where all
-places of a head agree in all words that the anchor's windows cover, these windows are one unit; elsewhere each
-window is a unit of its own.  The first place of each unit comes from an aggregate, and places are joined to it, so a unit that
-very many texts hold is combined before it is shuffled and is never one row.
+anchor, a minimiser: where the hash of ``K`` words is the smallest of the first ``SPAN`` of it, so equal windows have equal
+anchors with the same ``HEAD`` words behind, whatever stands around them.  Only suffixes at anchors are kept, and of these only
+the ones whose head occurs again.  Where all places of a head agree in all words that the anchor's windows cover, one suffix
+stands for these windows (a unit of ``n`` windows); elsewhere the anchor is extended to the left, one suffix for each window.
+
+The suffixes are sorted by their first words, then by place, in ranges over all tasks, and neighbours are compared: those that
+begin alike are a run, whose first place the others repeat.  The words are compared as two independent 64-bit hashes of the
+whole window.  A run may go over many ranges, so a passage that very many texts hold is split; each range hands on two places
+of the runs at its ends.  Ranges of words that touch are one match, as far to the left and right as words agree.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ LEAST, K, SPAN, HEAD = 50, 5, 20, 26
 AROUND = 2 * (SPAN + K) + HEAD
 #: Units in one Arrow batch, about.
 UNITS = 200_000
+#: Makes other word hashes of the word hashes.
+SECOND = np.uint64(0xD6E8FEB86659FD93)
+SETTLED, OPEN, EDGE = 0, 1, 2
+IN_ORDER = ["unit", "proof", "doc_id", "spot", "n", "first_doc", "first_spot", "next_doc", "kind"]
 BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 
 
@@ -71,7 +79,9 @@ def heads(docs: DataFrame, least: int) -> DataFrame:
 
 
 def units(docs: DataFrame, least: int, alike: Broadcast, unlike: Broadcast) -> DataFrame:
-    """``unit, doc_id, spot, n``: ``n`` windows in a row from ``spot``, which is the text's key and the word's number.
+    """``unit, proof, doc_id, spot, n``: ``n`` windows in a row from ``spot``, which is the text's key and the word's number.
+
+    ``unit`` and ``proof`` are independent hashes of the words.
 
     A filter may let a head through that it does not hold.  That adds rows, and none that are wrong.
     """
@@ -93,7 +103,11 @@ def units(docs: DataFrame, least: int, alike: Broadcast, unlike: Broadcast) -> D
                 places = np.flatnonzero(np.repeat(single, n))
                 start = np.concatenate([places, first[block]])
                 count = np.concatenate([np.ones(places.size, np.int64), n[block]])
-                found.append((passage(start, start + count - 1 + least).view(np.int64), np.full(start.size, doc_id),
+                if not start.size:
+                    continue
+                end = start + count - 1 + least
+                found.append((passage(start, end).view(np.int64), Passages(mixed(own ^ SECOND))(start, end).view(np.int64),
+                              np.full(start.size, doc_id),
                               (np.int64(key) << np.int64(32)) + start, count.astype(np.int32)))
                 size += start.size
                 if size > UNITS:
@@ -102,12 +116,88 @@ def units(docs: DataFrame, least: int, alike: Broadcast, unlike: Broadcast) -> D
             yield as_batch(found)
 
     def as_batch(found: list[tuple]) -> pa.RecordBatch:
-        kinds = (np.int64, np.int64, np.int64, np.int32)
+        kinds = (np.int64, np.int64, np.int64, np.int64, np.int32)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([np.empty(0, k), *(f[i] for f in found)])) for i, k in enumerate(kinds)],
-            ["unit", "doc_id", "spot", "n"])
+            ["unit", "proof", "doc_id", "spot", "n"])
+
+    return docs.select("doc_id", "key", "text").mapInArrow(run, "unit long, proof long, doc_id long, spot long, n int")
+
+
+def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare the sorted suffixes of one range with their neighbours; see ``in_order``.
 
-    return docs.select("doc_id", "key", "text").mapInArrow(run, "unit long, doc_id long, spot long, n int")
+    Rows of a run that begins here carry its first place and the next one's document (``SETTLED``).  Rows of the first run, which may
+    begin in an earlier range, and a last run of one row, which may go on in the next, are ``OPEN``; the two smallest places
+    of both runs are ``EDGE`` rows.  Of a run two rows are held, whatever its length.
+    """
+    held = np.empty((5, 0), np.int64)  # the smallest two places of the last run
+    given, opening = 0, True  # how many of them are out; whether the last run is the first of the range
+    before = np.empty((5, 0), np.int64)
+
+    def rows(some: np.ndarray, first: np.ndarray, following: np.ndarray, kind: int) -> pa.RecordBatch:
+        columns = [*some, first[2], first[3], following[2]]
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(c) for c in columns[:4]), pa.array(columns[4].astype(np.int32)), *(pa.array(c) for c in columns[5:]),
+             pa.array(np.full(some.shape[1], kind, np.int32))], IN_ORDER)
+
+    for chunk in gathered(batches):
+        joined = np.concatenate([before, chunk], axis=1)
+        new = np.ones(joined.shape[1], bool)
+        new[1:] = (joined[:4, 1:] != joined[:4, :-1]).any(axis=0)  # rows alike in text and doc_id are one place
+        before, chunk = joined[:, -1:], chunk[:, new[before.shape[1]:]]
+        all_rows = np.concatenate([held, chunk], axis=1)
+        size = all_rows.shape[1]
+        starts = np.concatenate([[0], 1 + np.flatnonzero((all_rows[:2, 1:] != all_rows[:2, :-1]).any(axis=0))])
+        lengths = np.diff(np.append(starts, size))
+        out = np.arange(size) >= given
+        if opening:
+            some = all_rows[:, :lengths[0]][:, out[:lengths[0]]]
+            yield rows(some, some, some, OPEN)
+            out[:lengths[0]] = False
+            if starts.size > 1:
+                some = all_rows[:, :min(2, lengths[0])]
+                yield rows(some, some, some, EDGE)
+        out &= np.repeat(lengths > 1, lengths)
+        first = np.repeat(starts, lengths)[out]
+        yield rows(all_rows[:, out], all_rows[:, first], all_rows[:, first + 1], SETTLED)
+        opening = opening and starts.size == 1
+        held = all_rows[:, starts[-1]:starts[-1] + 2]
+        given = held.shape[1] if opening or lengths[-1] > 1 else 0
+    if held.shape[1]:
+        yield rows(held, held, held, EDGE)
+        if not given:
+            yield rows(held, held, held, OPEN)
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Columns of some batches at a time."""
+    some: list[np.ndarray] = []
+    for batch in batches:
+        if batch.num_rows:
+            some.append(np.stack([longs(c).view(np.int64) for c in batch.columns]))
+        if sum(x.shape[1] for x in some) >= UNITS:
+            yield np.concatenate(some, axis=1)
+            some = []
+    if some:
+        yield np.concatenate(some, axis=1)
+
+
+def in_order(found: DataFrame) -> DataFrame:
+    """``unit, doc_id, spot, n, first_doc, first_spot, next_doc``: suffixes that begin like a neighbour in the sorted order.
+
+    ``next_doc`` is the document of the run's second place.
+    """
+    order = ("unit", "proof", "doc_id", "spot")
+    kinds = "unit long, proof long, doc_id long, spot long, n int, first_doc long, first_spot long, next_doc long, kind int"
+    compared = stored(found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(neighbours, kinds), "neighbours")
+    # At most two places for either end of a range.
+    runs = compared.where(F.col("kind") == EDGE).groupBy("unit", "proof") \
+        .agg(F.array_sort(F.collect_set(F.struct("doc_id", "spot"))).alias("first")).where(F.size("first") > 1) \
+        .select("unit", "proof", F.col("first")[0]["doc_id"].alias("first_doc"), F.col("first")[0]["spot"].alias("first_spot"),
+                F.col("first")[1]["doc_id"].alias("next_doc"))
+    open_rows = compared.where(F.col("kind") == OPEN).select("unit", "proof", "doc_id", "spot", "n").join(runs, ["unit", "proof"])
+    return compared.where(F.col("kind") == SETTLED).drop("kind").unionByName(open_rows).drop("proof")
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -117,9 +207,9 @@ def prepared(docs: DataFrame) -> DataFrame:
 
 
 def places(docs: DataFrame, least: int) -> DataFrame:
-    """``unit, doc_id, spot, n, first_doc, first_spot, later``: the places of units that have several, with the first of them.
+    """``unit, doc_id, spot, n, first_doc, first_spot, next_doc, later``: the places of units that have several, with the first of them.
 
-    ``later`` is true for all but the first.
+    ``later`` is true for all but the first; ``next_doc`` is the document of the second.
     """
     if least < LEAST:
         raise ValueError(f"places are chosen for passages of {LEAST} words and more")
@@ -127,13 +217,9 @@ def places(docs: DataFrame, least: int) -> DataFrame:
     shared = stored(heads(docs, least).groupBy("head").agg(
         F.count(F.lit(1)).alias("n"), (F.min("whole") != F.max("whole")).alias("unlike")).where("n > 1").select("head", "unlike"), "heads")
     alike, unlike = (send(key_filter(shared.where(F.col("unlike") == x).select("head"))) for x in (False, True))
-    found = stored(units(docs, least, alike, unlike), "units")
-    place = F.struct("doc_id", "spot")
-    # Stored: a join that reads it apart from the aggregate can be split where a unit is hot.
-    several = stored(found.groupBy("unit").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last") \
-        .select("unit", F.col("first.doc_id").alias("first_doc"), F.col("first.spot").alias("first_spot")), "several")
+    found = stored(units(docs, least, alike, unlike), "units")  # read twice: the ranges of the sort come from a sample
     later = (F.col("doc_id") != F.col("first_doc")) | (F.col("spot") != F.col("first_spot"))
-    return stored(found.join(several, "unit").withColumn("later", later), "places")
+    return in_order(found).withColumn("later", later)
 
 
 def _key(spot: str):
@@ -279,11 +365,9 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     the ranges with it keeps the first place of each whole.  ``partner_doc_id`` is the smallest doc_id that holds some repeated
     passage of the range at another place; the ranges of unlike texts with one doc_id are not merged with each other.
     """
-    found = places(prepared(docs), least)
-    second = found.where("later").groupBy("unit").agg(F.min("doc_id").alias("partner"))
-    later = found.where("later").withColumn("partner", F.col("first_doc"))
-    both = later.unionByName(found.where("not later").join(second, "unit").select(*later.columns))
-    spans = both.select("doc_id", _key("spot").alias("key"), F.struct(
+    found = places(prepared(docs), least) \
+        .withColumn("partner", F.when(F.col("later"), F.col("first_doc")).otherwise(F.col("next_doc")))
+    spans = found.select("doc_id", _key("spot").alias("key"), F.struct(
         _at("spot").alias("s"), (_at("spot") + F.col("n") + (least - 1)).alias("e"), F.col("later").alias("c"), F.col("partner").alias("p")).alias("span")) \
         .groupBy("doc_id", "key").agg(F.collect_set("span").alias("spans"))
 

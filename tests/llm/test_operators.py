@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,47 @@ def test_removing_copies_keeps_one_of_each(make):
     assert all(kept[v] == 1 for v, n in held.items() if n > 1)
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 7, 1000])
+def test_neighbours_across_ranges(monkeypatch, chunk):
+    """Runs over many ranges, runs that end a range with one row, repeated rows."""
+    monkeypatch.setattr(repeats, "UNITS", chunk)
+    rng = random.Random(chunk)
+    for _ in range(150):
+        rows = sorted((rng.randrange(4), rng.randrange(2), rng.randrange(5), rng.randrange(6), 1) for _ in range(rng.randrange(1, 40)))
+        cuts = sorted(rng.randrange(len(rows) + 1) for _ in range(rng.randrange(5)))
+        out = []
+        for a, b in zip([0, *cuts], [*cuts, len(rows)]):
+            batches = [pa.RecordBatch.from_pylist([dict(zip(repeats.IN_ORDER, r)) for r in rows[i:min(b, i + 3)]]) for i in range(a, b, 3)]
+            out += [tuple(r.values()) for batch in repeats.neighbours(iter(batches)) for r in batch.to_pylist()]
+        edges = defaultdict(set)
+        for r in out:
+            if r[8] == repeats.EDGE:
+                edges[r[:2]].add(r[2:4])
+        got = {r[:8] for r in out if r[8] == repeats.SETTLED}
+        for r in (r for r in out if r[8] == repeats.OPEN):
+            two = sorted(edges[r[:2]])[:2]
+            if len(two) > 1:
+                got.add((*r[:5], *two[0], two[1][0]))
+        runs = defaultdict(set)
+        for r in rows:
+            runs[r[:2]].add(r[2:4])
+        want = {(*u, *place, 1, *sorted(held)[0], sorted(held)[1][0]) for u, held in runs.items() if len(held) > 1 for place in held}
+        assert got == want
+
+
+def test_hot_runs_over_many_tasks(llm, make):
+    rng = random.Random(16)
+    hot = sentence(rng, 70)
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(25))
+    texts = [(i, " ".join([own(i), hot, own(-i - 1)])) for i in range(900)]
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = repeats.repeated_spans(make(texts)).collect()
+    finally:
+        llm.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {tuple(r) for r in got} == {(i, 25, 70, i > 0, int(i == 0)) for i in range(900)}
+
+
 def test_repeats_odd_rows(make):
     assert {r.doc_id for r in repeats.repeated_spans(make(ODD)).collect()} <= {6}
     assert repeats.repeated_spans(make([])).count() == 0
