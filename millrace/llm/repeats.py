@@ -191,13 +191,30 @@ def in_order(found: DataFrame) -> DataFrame:
     order = ("unit", "proof", "doc_id", "spot")
     kinds = "unit long, proof long, doc_id long, spot long, n int, first_doc long, first_spot long, next_doc long, kind int"
     compared = stored(found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(neighbours, kinds), "neighbours")
-    # At most two places for either end of a range.
-    runs = compared.where(F.col("kind") == EDGE).groupBy("unit", "proof") \
-        .agg(F.array_sort(F.collect_set(F.struct("doc_id", "spot"))).alias("first")).where(F.size("first") > 1) \
-        .select("unit", "proof", F.col("first")[0]["doc_id"].alias("first_doc"), F.col("first")[0]["spot"].alias("first_spot"),
-                F.col("first")[1]["doc_id"].alias("next_doc"))
-    open_rows = compared.where(F.col("kind") == OPEN).select("unit", "proof", "doc_id", "spot", "n").join(runs, ["unit", "proof"])
-    return compared.where(F.col("kind") == SETTLED).drop("kind").unionByName(open_rows).drop("proof")
+    held: dict[tuple[int, int], set] = {}
+    for r in compared.where(F.col("kind") == EDGE).select("unit", "proof", "doc_id", "spot").collect():  # at most four for a range
+        held.setdefault((r["unit"], r["proof"]), set()).add((r["doc_id"], r["spot"]))
+    runs = compared.sparkSession.sparkContext.broadcast(
+        {u: (*sorted(x)[0], sorted(x)[1][0]) for u, x in held.items() if len(x) > 1})
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            unsettled = np.flatnonzero(rows[-1] == OPEN)
+            keep = rows[-1] == SETTLED
+            if unsettled.size:
+                unit, proof = rows[0][unsettled], rows[1][unsettled]
+                starts = np.concatenate([[0], 1 + np.flatnonzero((unit[1:] != unit[:-1]) | (proof[1:] != proof[:-1]))])
+                found = [runs.value.get((int(unit[i]), int(proof[i]))) for i in starts]
+                lengths = np.diff(np.append(starts, unsettled.size))
+                rows[5:8] = (c.copy() for c in rows[5:8])
+                for c, values in zip(rows[5:8], zip(*(f or (0, 0, 0) for f in found))):
+                    c[unsettled] = np.repeat(values, lengths)
+                keep[unsettled] = np.repeat([f is not None for f in found], lengths)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[i][keep]) for i in (0, 2, 3, 4, 5, 6, 7)], [IN_ORDER[i] for i in (0, 2, 3, 4, 5, 6, 7)])
+
+    return compared.where(F.col("kind") != EDGE).mapInArrow(
+        settle, "unit long, doc_id long, spot long, n int, first_doc long, first_spot long, next_doc long")
 
 
 def prepared(docs: DataFrame) -> DataFrame:
