@@ -49,6 +49,17 @@ def covered(docs: DataFrame, size: int = SIZE) -> DataFrame:
             "starts", lambda s: F.sequence(s, s + F.lit(size - 1)))))).alias("removed"))
 
 
+def _without(lines: Column, removed: Column) -> Column:
+    """The lines but for those at the sorted positions, as the slices between them: each line is read once."""
+    def slices(x: Column) -> Column:
+        before = lambda j: F.coalesce(F.get(x["removed"], j - 1), F.lit(-1))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(x["removed"])), lambda j: F.slice(
+            x["lines"], before(j) + 2, F.coalesce(F.get(x["removed"], j), F.size(x["lines"])) - before(j) - 1)))
+
+    # One struct in an array: the text is split once and not for each slice.
+    return F.transform(F.array(F.struct(lines.alias("lines"), removed.alias("removed"))), slices)[0]
+
+
 def dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """``docs`` with later occurrences of repeated windows taken out of ``text``, plus ``n_lines`` and ``removed``.
 
@@ -60,7 +71,7 @@ def dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     cover = covered(keyed.select(F.col("__id").alias("doc_id"), F.col("__key").alias("key"), F.col("text").cast("string").alias("text")), size) \
         .select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), F.col("removed").alias("__removed"))
     joined = keyed.join(cover, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__k")), "left")
-    kept = F.array_join(F.filter(_lines(F.col("text")), lambda line, i: ~F.array_contains("__removed", i)), "\n")
+    kept = F.array_join(_without(_lines(F.col("text")), F.col("__removed")), "\n")
     n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("text")))).cast("long")
     return joined.withColumns({
         "n_lines": n_lines, "removed": F.coalesce("__removed", F.array().cast("array<int>")),

@@ -281,6 +281,14 @@ def test_line_dedup(make):
     assert got == lines_by_force(texts)
 
 
+def test_line_dedup_of_a_long_text(make):
+    """Time in proportion to the lines, where half of them go."""
+    block = [f"line {i}" for i in range(60_000)]
+    texts = [(1, "\n".join(block)), (2, "\n".join([*block, "own", "lines"])), (3, "\n".join(["first", *block]))]
+    got = {r.doc_id: r.text for r in line_dedup.dedup(make(texts)).collect()}
+    assert got == {1: texts[0][1], 2: "own\nlines", 3: "first"}
+
+
 def test_line_dedup_odd_rows(make):
     got = line_dedup.dedup(make(ODD + [(20, "a\nb\nc\nd"), (20, "a\nb\nc\nd"), (21, "x\na\nb\nc"), (None, "a\nb\nc")])).collect()
     assert len(got) == len(ODD) + 4

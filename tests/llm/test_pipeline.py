@@ -1,7 +1,10 @@
 """The stages one by one on their predecessor's rows, against brute-force versions."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from millrace.llm import decontamination, language_id
+from tests.llm.conftest import ODD
 from tests.llm.test_operators import components_by_force, hits_by_force, lines_by_force
 
 SF = "/root/testdata/sf0.001"
@@ -38,6 +41,22 @@ def test_stages(llm, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "line_dedup", "near_duplicates", "decontamination", "packing"]
 
 
+def test_odd_rows(llm, make):
+    """Nulls, empty and long texts, repeated rows; columns named like those of the operators keep their values."""
+    names = ("lang_pred", "rejected", "n_lines", "removed")
+    for rows in (ODD, []):
+        docs = make(rows).withColumns({c: F.lit(f"own {c}") for c in names})
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(llm, docs, SF)
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes
+            kept = out.collect()
+            assert all(r["score"] == "mine" and all(r[c] == f"own {c}" for c in names) for r in kept)
+            if name == "line_dedup":
+                assert len(kept) == len(rows)
+                assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted((i or 0, t or "") for i, t in rows)
+        assert (corpus_pipeline.packed(llm, docs, SF).count() > 0) == bool(rows)
+
+
 def test_contamination_rule():
     assert decontamination.WINDOW == 13
 
