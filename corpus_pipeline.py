@@ -5,7 +5,7 @@ it to the next.  All but the last return the columns of ``documents``, and furth
 
 Null and empty texts and texts without a letter go with the language stage; the others leave such rows as they are.  Rows alike in
 doc_id and text are treated alike by the language, line and benchmark stages; of rows with one doc_id the near-duplicate
-stage keeps one.  A null doc_id is a row like any other there.  An empty table gives an empty one.
+stage keeps one, and it keeps all rows without doc_id.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
