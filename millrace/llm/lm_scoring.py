@@ -5,13 +5,13 @@ count table, and ``BACKOFF`` times the score with one word less of context other
 Count tables keep all n-grams; ``least`` leaves out those that occur less often (single words never).
 
 Count tables are partitioned by hash.  Documents are dealt to blocks; a block sends each table partition its distinct
-n-grams with their counts, so a hot n-gram costs one entry per block.  The partition adds up the counts and answers
-each block, in the block's own order, with the counts of the n-grams that are kept.  Joined to the block's n-grams they
-give the scores, which are summed per document.  An n-gram of three or more words can only be kept if both of its
-n-grams with one word less are, so those are counted first and only what they leave is sent.  Blocks of texts are
-shuffled once and used for all of this.
+n-grams of all orders with their counts, so a hot n-gram costs one entry per block.  The partition adds up the counts and
+answers each block, in the block's own order, with what other blocks add to its counts.  Joined to the block's n-grams
+they give the scores, which are summed per document.  Blocks of texts are shuffled once and used for both steps.
 
-N-grams are hashes of partition bits plus some bytes, as many as keep the odds that one meets another below 10**-6.
+N-grams are hashes of as many bits as keep the odds that any two of the corpus meet below 10**-6, and 64 bits at
+most, which some 10**7 n-grams take: two n-grams that meet share a count, of 10**10 about three pairs are expected to.
+A block sends rows only to partitions that it has n-grams for, so rows never outnumber n-grams.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import STEP, WordHashes, mixed, rows_of, space_words, text_key
 
 ORDER, LEAST, BACKOFF = 3, 1, 0.4
-#: Words in a block, and n-grams that one table partition holds, on average.
-BLOCK_WORDS, TABLE_GRAMS = 1_200_000, 4_000_000
+#: Words in a block, and n-grams that are sent to one table partition, on average.
+BLOCK_WORDS, TABLE_GRAMS = 1_200_000, 2_000_000
 
 
 def corpus_words(docs: DataFrame) -> int:
@@ -43,153 +43,122 @@ def corpus_words(docs: DataFrame) -> int:
 
 
 class Layout:
-    """How n-grams are cut into a table partition and a key of ``width`` bytes."""
+    """How n-grams are cut into a table partition and a key of ``width`` bits."""
 
     def __init__(self, words: int):
-        self.bits = max(4, math.ceil(math.log2(max(1, words) * ORDER / TABLE_GRAMS + 1)))
-        self.width = min(8 - -(-self.bits // 8), max(1, math.ceil((math.log2(max(2, words)) + 20 - self.bits) / 8)))
+        grams = max(2, words * ORDER)
+        self.bits = max(4, math.ceil(math.log2(grams / TABLE_GRAMS + 1)))
+        self.width = min(64, math.ceil(2 * math.log2(grams)) + 20) - self.bits
         self.blocks = max(1, -(-words // BLOCK_WORDS))
-        self.shift = np.uint64(64 - self.bits - 8 * self.width)
 
     def reduced(self, hashes: np.ndarray) -> np.ndarray:
-        return hashes >> self.shift
+        return hashes >> np.uint64(64 - self.bits - self.width)
 
     def part(self, keys: np.ndarray) -> np.ndarray:
-        return keys >> np.uint64(8 * self.width)
+        return keys >> np.uint64(self.width)
 
-    def packed(self, keys: np.ndarray) -> bytes:
-        """Byte by byte, not key by key: the high bytes of ascending keys repeat, which the shuffle's compression takes out."""
-        return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :self.width].T.tobytes()
+    def _cut(self, size: int) -> tuple[int, int, int]:
+        """Low bits of each of ``size`` keys, as all bits, whole bytes and the bits that are left."""
+        low = max(0, self.width - size.bit_length() + 1)
+        return low, low // 8, low % 8
 
-    def unpacked(self, raw: bytes) -> np.ndarray:
-        wide = np.zeros((len(raw) // self.width, 8), np.uint8)
-        wide[:, :self.width] = np.frombuffer(raw, np.uint8).reshape(self.width, -1).T
-        return wide.view("<u8").reshape(-1)
+    def packed(self, keys: np.ndarray) -> bytes:
+        """Ascending keys of one partition: the low bits of each, and its high bits as the place of a mark, two bits a key."""
+        low, whole, rest = self._cut(keys.size)
+        own = (keys & np.uint64((1 << self.width) - 1)).astype("<u8")
+        octets = own.view(np.uint8).reshape(-1, 8)
+        left = np.unpackbits(octets[:, whole, None], axis=1)[:, 8 - rest:] if rest else np.empty(0, np.uint8)
+        place = (own >> np.uint64(low)).astype(np.int64) + np.arange(keys.size)
+        marks = np.zeros(int(place[-1]) + 1, bool)
+        marks[place] = True
+        return octets[:, :whole].tobytes() + np.packbits(left).tobytes() + np.packbits(marks).tobytes()
+
+    def unpacked(self, raw: bytes, size: int) -> np.ndarray:
+        low, whole, rest = self._cut(size)
+        at, end = whole * size, whole * size + -(-rest * size // 8)
+        octets = np.zeros((size, 8), np.uint8)
+        octets[:, :whole] = np.frombuffer(raw, np.uint8, count=at).reshape(size, whole)
+        if rest:
+            left = np.unpackbits(np.frombuffer(raw, np.uint8, count=end - at, offset=at), count=rest * size).reshape(size, rest)
+            octets[:, whole] = np.packbits(left, axis=1)[:, 0] >> np.uint8(8 - rest)
+        marks = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, offset=end)))
+        return octets.view("<u8").reshape(-1) | (marks - np.arange(size)).astype(np.uint64) << np.uint64(low)
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Numbers many of which are 0: a bit each, a byte for those above 0, eight more for those of 255 and above."""
+    some = counts[counts > 0]
+    return np.packbits(counts > 0).tobytes() + np.minimum(some, 255).astype(np.uint8).tobytes() \
+        + some[some >= 255].astype("<i8").tobytes()
+
+
+def _counts(raw: bytes, size: int) -> np.ndarray:
+    head = -(-size // 8)
+    above = np.unpackbits(np.frombuffer(raw, np.uint8, count=head), count=size).astype(bool)
+    some = np.frombuffer(raw, np.uint8, count=int(above.sum()), offset=head).astype(np.int64)
+    some[some == 255] = np.frombuffer(raw, "<i8", offset=head + some.size)
+    out = np.zeros(size, np.int64)
+    out[above] = some
+    return out
 
 
 class Block:
-    """The n-grams of some documents, in the order of their words."""
+    """The distinct n-grams of some documents, and which of them ends at each word."""
 
-    def __init__(self, texts: list[str | None], hashed: WordHashes, layout: Layout):
+    def __init__(self, texts: list[str | None], layout: Layout):
         lists = [space_words(t) for t in texts]
         self.sizes = np.array([len(w) for w in lists], np.int64)
-        own = hashed.of([w for words in lists for w in words])
-        within = np.arange(own.size) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
-        self.grams: list[tuple[np.ndarray, np.ndarray]] = []  # by order: the places of last words, the keys
+        own = WordHashes().of([w for words in lists for w in words])
+        self.within = np.arange(own.size) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.places, keys = [], []  # by order
         h = np.zeros(own.size, np.uint64)
         for n in range(1, ORDER + 1):
             # the n words that end at each place: the n-1 words that end one place earlier, and the last word
             shifted = np.concatenate([np.zeros(1, np.uint64), h[:-1]]) if own.size else h
             h = shifted * STEP + own + np.uint64(n)
-            places = np.flatnonzero(within >= n - 1)
-            self.grams.append((places, layout.reduced(mixed(h[places]))))
-
-    def slices(self, unique: np.ndarray, layout: Layout) -> list[tuple[int, int, int]]:
-        """(partition, first, end) of ascending keys."""
-        part = layout.part(unique)
+            self.places.append(np.flatnonzero(self.within >= n - 1))
+            keys.append(layout.reduced(mixed(h[self.places[-1]])))
+        self.keys, self.at, self.counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        part = layout.part(self.keys)
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if part.size else np.empty(0, np.int64)
-        return [(int(part[a]), int(a), int(b)) for a, b in zip(starts, np.append(starts[1:], part.size))]
-
-
-ASKED = "n int, part long, block long, keys binary, more binary, often binary"
-ANSWERED = "block long, n int, part long, kept binary, counts binary"
+        #: (partition, first, end) of its keys
+        self.slices = [(int(part[a]), int(a), int(b)) for a, b in zip(starts, np.append(starts[1:], part.size))]
 
+    def by_place(self, totals: np.ndarray, least: int) -> np.ndarray:
+        """For each order the count of the n-gram that ends at each place, 0 where it is not kept."""
+        known, first = totals[self.at], 0
+        count = np.zeros((ORDER + 1, self.within.size), np.int64)
+        for n, places in enumerate(self.places, 1):
+            found = known[first:first + places.size]
+            count[n, places] = np.where(found >= (least if n > 1 else 1), found, 0)
+            first += places.size
+        return count
 
-def _asked(block: Block, number: int, n: int, keys: np.ndarray, layout: Layout) -> list[tuple]:
-    """A row for each table partition: the distinct keys, and the counts of those that occur more than once."""
-    unique, counts = np.unique(keys, return_counts=True)
-    rows = []
-    for p, a, b in block.slices(unique, layout):
-        more = np.flatnonzero(counts[a:b] > 1)
-        rows.append((n, p, number, layout.packed(unique[a:b]), more.astype("<u4").tobytes(), counts[a:b][more].astype("<u4").tobytes()))
-    return rows
 
+def requests(blocks: DataFrame, layout: Layout) -> DataFrame:
+    """The distinct n-grams of each block with its counts of them, a row for each table partition."""
 
-def _narrow(counts: np.ndarray) -> bytes:
-    """Counts in as many bytes as the largest takes; the first byte says how many."""
-    size = next(s for s in (1, 2, 4, 8) if not counts.size or int(counts.max()) < 1 << (8 * s - (s == 8)))
-    return bytes([size]) + counts.astype(f"<u{size}").tobytes()
+    def run(texts: pd.DataFrame) -> pd.DataFrame:
+        block, number = Block(texts["text"].tolist(), layout), int(texts["block"].iat[0])
+        rows = [(p, number, b - a, layout.packed(block.keys[a:b]), _packed_counts(block.counts[a:b] - 1)) for p, a, b in block.slices]
+        return pd.DataFrame(rows, columns=["part", "block", "size", "keys", "more"])
 
+    return blocks.groupBy("block").applyInPandas(run, "part long, block long, size long, keys binary, more binary")
 
-def _counts(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
 
-
-def first_requests(blocks: DataFrame, layout: Layout) -> DataFrame:
-    """The distinct words and pairs of words of each block, for each table partition."""
+def answers(asked: DataFrame, layout: Layout) -> DataFrame:
+    """``block, part, others``: what other blocks add to a block's counts, in the order of its n-grams."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        block, number = Block(part["text"].tolist(), WordHashes(), layout), int(part["block"].iat[0])
-        rows = [r for n in (1, 2) for r in _asked(block, number, n, block.grams[n - 1][1], layout)]
-        return pd.DataFrame(rows, columns=["n", "part", "block", "keys", "more", "often"])
-
-    return blocks.groupBy("block").applyInPandas(run, ASKED)
-
-
-def _possible(block: Block, n: int, below: np.ndarray) -> np.ndarray:
-    """Which places of the n-grams of a block have both shorter n-grams kept; ``below`` counts those by place."""
-    places = block.grams[n - 1][0]
-    return np.flatnonzero((below[places] > 0) & (below[places - 1] > 0))
-
+        keys = np.concatenate([layout.unpacked(raw, size) for raw, size in zip(part["keys"], part["size"])])
+        own = np.concatenate([_counts(raw, size) + 1 for raw, size in zip(part["more"], part["size"])])
+        _, inverse = np.unique(keys, return_inverse=True)
+        others = np.bincount(inverse, weights=own).astype(np.int64)[inverse] - own
+        ends = np.cumsum(part["size"].to_numpy())
+        return pd.DataFrame({"block": part["block"], "part": part["part"],
+                             "others": [_packed_counts(others[end - size:end]) for end, size in zip(ends, part["size"])]})
 
-def _known(block: Block, n: int, keys: np.ndarray, found: dict, layout: Layout) -> np.ndarray:
-    """The table's count of each key, 0 where it is not kept."""
-    unique, inverse = np.unique(keys, return_inverse=True)
-    known = np.zeros(unique.size, np.int64)
-    for p, a, b in block.slices(unique, layout):
-        kept, counts = found[n, p]
-        known[a:b][np.unpackbits(np.frombuffer(kept, np.uint8), count=b - a).astype(bool)] = _counts(counts)
-    return known[inverse]
-
-
-def _by_place(block: Block, found: pd.DataFrame, layout: Layout, orders: int) -> np.ndarray:
-    """For each order up to ``orders`` the count of the n-gram that ends at each place, 0 where it is not kept."""
-    answers_of = {(n, p): (k, c) for n, p, k, c in zip(found["n"], found["part"], found["kept"], found["counts"])}
-    count = np.zeros((orders + 1, int(block.sizes.sum())), np.int64)
-    for n in range(1, orders + 1):
-        places, keys = block.grams[n - 1]
-        if n > 2:
-            chosen = _possible(block, n, count[n - 1])
-            places, keys = places[chosen], keys[chosen]
-        count[n, places] = _known(block, n, keys, answers_of, layout)
-    return count
-
-
-def next_requests(blocks: DataFrame, answered: DataFrame, n: int, layout: Layout) -> DataFrame:
-    """The distinct n-grams of each block that can still be kept."""
-
-    def run(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple] = []
-        if len(part):
-            block, number = Block(part["text"].tolist(), WordHashes(), layout), int(part["block"].iat[0])
-            count = _by_place(block, found, layout, n - 1)
-            rows = _asked(block, number, n, block.grams[n - 1][1][_possible(block, n, count[n - 1])], layout)
-        return pd.DataFrame(rows, columns=["n", "part", "block", "keys", "more", "often"])
-
-    return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(run, ASKED)
-
-
-def answers(asked: DataFrame, layout: Layout, least: int) -> DataFrame:
-    """``block, n, part, kept, counts``: which of a block's n-grams the table keeps (bits), and their counts."""
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        keys = [layout.unpacked(raw) for raw in part["keys"]]
-        counts = []
-        for own, more, often in zip(keys, part["more"], part["often"]):
-            c = np.ones(own.size, np.int64)
-            c[np.frombuffer(more, "<u4")] = np.frombuffer(often, "<u4")
-            counts.append(c)
-        _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)[inverse]
-        keep = total >= (least if part["n"].iat[0] > 1 else 1)
-        rows, at = [], 0
-        for block, own in zip(part["block"], keys):
-            k, c = keep[at:at + own.size], total[at:at + own.size]
-            rows.append((block, part["n"].iat[0], part["part"].iat[0], np.packbits(k).tobytes(), _narrow(c[k])))
-            at += own.size
-        return pd.DataFrame(rows, columns=["block", "n", "part", "kept", "counts"])
-
-    return asked.groupBy("n", "part").applyInPandas(run, ANSWERED)
+    return asked.groupBy("part").applyInPandas(run, "block long, part long, others binary")
 
 
 def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> DataFrame:
@@ -203,21 +172,23 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> Dat
     light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = corpus_words(light)
     layout = Layout(total)
-    blocks = light.withColumn("block", F.pmod(F.xxhash64("doc_id", text_key()), F.lit(layout.blocks)).cast("long")) \
+    # The input's partition spreads repeated rows; a lost task is dealt again as before.
+    blocks = light.withColumn("block", F.pmod(F.xxhash64("doc_id", text_key(), F.spark_partition_id()), F.lit(layout.blocks)).cast("long")) \
         .repartition("block")
 
     def run(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        block = Block(texts["text"].tolist(), WordHashes(), layout)
-        doc = np.repeat(np.arange(block.sizes.size), block.sizes)
-        count = _by_place(block, found, layout, ORDER)
+        block = Block(texts["text"].tolist(), layout)
+        others, totals = dict(zip(found["part"], found["others"])), block.counts.astype(np.int64)
+        for p, a, b in block.slices:
+            totals[a:b] += _counts(others[p], b - a)
+        count, doc = block.by_place(totals, least), np.repeat(np.arange(block.sizes.size), block.sizes)
         value = np.log(np.maximum(count[1], 1)) - math.log(max(total, 1)) + (ORDER - 1) * math.log(backoff)
         # Places near a text's start have less context to back off from.
-        within = np.arange(doc.size) - np.repeat(np.cumsum(block.sizes) - block.sizes, block.sizes)
-        value -= np.maximum(ORDER - 1 - within, 0) * math.log(backoff)
+        value -= np.maximum(ORDER - 1 - block.within, 0) * math.log(backoff)
         used = np.ones(doc.size, np.int64)
         for n in range(2, ORDER + 1):
             at = np.flatnonzero(count[n])
-            steps = np.minimum(ORDER - 1, within[at]) - (n - 1)
+            steps = np.minimum(ORDER - 1, block.within[at]) - (n - 1)
             value[at] = np.log(count[n, at]) - np.log(count[n - 1, at - 1]) + steps * math.log(backoff)
             used[at] = n
         log_score = np.bincount(doc, weights=value, minlength=block.sizes.size)
@@ -229,8 +200,6 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> Dat
         out["mean_log_score"] = pd.Series(mean).where(pd.Series(block.sizes) > 0, None).to_numpy()
         return out
 
-    replies = answers(first_requests(blocks, layout), layout, least)
-    for n in range(3, ORDER + 1):
-        replies = replies.unionByName(answers(next_requests(blocks, replies, n, layout), layout, least))
+    replies = answers(requests(blocks, layout), layout)
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
         run, "doc_id long, n_words long, n_trigram long, n_bigram long, n_unigram long, log_score double, mean_log_score double")
