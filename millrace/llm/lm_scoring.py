@@ -5,9 +5,11 @@ count table, and ``BACKOFF`` times the score with one word less of context other
 Count tables keep all n-grams; ``least`` leaves out those that occur less often (single words never).
 
 Count tables are partitioned by hash.  Documents are dealt to blocks; a block sends each table partition its distinct
-n-grams of all orders with their counts, so a hot n-gram costs one entry per block.  The partition adds up the counts and
-answers each block, in the block's own order, with what other blocks add to its counts.  Joined to the block's n-grams
-they give the scores, which are summed per document.  Blocks of texts are shuffled once and used for both steps.
+n-grams with their counts, so a hot n-gram costs one entry per block.  The partition adds up the counts and answers each
+block, in the block's own order, with what other blocks add to its counts.  Joined to the block's n-grams they give the
+scores, which are summed per document.  No n-gram occurs more often than a part of it, so one of three or more words
+occurs once if either n-gram with one word less does: words and pairs are counted first, and of longer n-grams only
+those are sent whose count that leaves open.  Blocks of texts are shuffled once and used for all of this.
 
 N-grams are hashes of as many bits as keep the odds that any two of the corpus meet below 10**-6, and 64 bits at
 most, which some 10**7 n-grams take: two n-grams that meet share a count, of 10**10 about three pairs are expected to.
@@ -102,52 +104,97 @@ def _counts(raw: bytes, size: int) -> np.ndarray:
     return out
 
 
+class Grams:
+    """The distinct n-grams among ``keys``, how often they occur there, and the partitions that count them."""
+
+    def __init__(self, keys: np.ndarray, layout: Layout):
+        self.keys, self.at, self.counts = np.unique(keys, return_inverse=True, return_counts=True)
+        part = layout.part(self.keys)
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if part.size else np.empty(0, np.int64)
+        #: (partition, first, end)
+        self.slices = [(int(part[a]), int(a), int(b)) for a, b in zip(starts, np.append(starts[1:], part.size))]
+
+    def rows(self, n: int, number: int, layout: Layout) -> list[tuple]:
+        return [(n, p, number, b - a, layout.packed(self.keys[a:b]), _packed_counts(self.counts[a:b] - 1)) for p, a, b in self.slices]
+
+    def totals(self, others: dict[int, bytes]) -> np.ndarray:
+        """The corpus's count of each of the keys that were given."""
+        out = self.counts.astype(np.int64)
+        for p, a, b in self.slices:
+            out[a:b] += _counts(others[p], b - a)
+        return out[self.at]
+
+
 class Block:
-    """The distinct n-grams of some documents, and which of them ends at each word."""
+    """The n-grams of some documents, in the order of their last words."""
 
     def __init__(self, texts: list[str | None], layout: Layout):
         lists = [space_words(t) for t in texts]
-        self.sizes = np.array([len(w) for w in lists], np.int64)
+        self.layout, self.sizes = layout, np.array([len(w) for w in lists], np.int64)
         own = WordHashes().of([w for words in lists for w in words])
         self.within = np.arange(own.size) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
-        self.places, keys = [], []  # by order
+        self.places, self.keys = [], []  # by order
         h = np.zeros(own.size, np.uint64)
         for n in range(1, ORDER + 1):
             # the n words that end at each place: the n-1 words that end one place earlier, and the last word
             shifted = np.concatenate([np.zeros(1, np.uint64), h[:-1]]) if own.size else h
             h = shifted * STEP + own + np.uint64(n)
             self.places.append(np.flatnonzero(self.within >= n - 1))
-            keys.append(layout.reduced(mixed(h[self.places[-1]])))
-        self.keys, self.at, self.counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        part = layout.part(self.keys)
-        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if part.size else np.empty(0, np.int64)
-        #: (partition, first, end) of its keys
-        self.slices = [(int(part[a]), int(a), int(b)) for a, b in zip(starts, np.append(starts[1:], part.size))]
-
-    def by_place(self, totals: np.ndarray, least: int) -> np.ndarray:
-        """For each order the count of the n-gram that ends at each place, 0 where it is not kept."""
-        known, first = totals[self.at], 0
-        count = np.zeros((ORDER + 1, self.within.size), np.int64)
-        for n, places in enumerate(self.places, 1):
-            found = known[first:first + places.size]
-            count[n, places] = np.where(found >= (least if n > 1 else 1), found, 0)
-            first += places.size
+            self.keys.append(layout.reduced(mixed(h[self.places[-1]])))
+
+    def first(self) -> Grams:
+        """Words and pairs."""
+        return Grams(np.concatenate(self.keys[:2]), self.layout)
+
+    def later(self, n: int, below: np.ndarray) -> tuple[np.ndarray, Grams]:
+        """Which n-grams may occur more than once; ``below`` counts by place those with one word less."""
+        places = self.places[n - 1]
+        chosen = np.flatnonzero((below[places] > 1) & (below[places - 1] > 1))
+        return places[chosen], Grams(self.keys[n - 1][chosen], self.layout)
+
+    def counted(self, found: pd.DataFrame, orders: int) -> np.ndarray:
+        """For each order up to ``orders`` the corpus's count of the n-gram that ends at each place, 0 near a text's start."""
+        others: dict[int, dict[int, bytes]] = {n: {} for n in range(1, orders + 1)}
+        for n, p, raw in zip(found["n"], found["part"], found["others"]):
+            others[n][p] = raw
+        count = np.zeros((orders + 1, self.within.size), np.int64)
+        known = self.first().totals(others[1])
+        count[1], count[2, self.places[1]] = known[:self.within.size], known[self.within.size:]
+        for n in range(3, orders + 1):
+            places, grams = self.later(n, count[n - 1])
+            count[n, self.places[n - 1]] = 1
+            count[n, places] = grams.totals(others[n])
         return count
 
 
-def requests(blocks: DataFrame, layout: Layout) -> DataFrame:
-    """The distinct n-grams of each block with its counts of them, a row for each table partition."""
+ASKED = {"n": "int", "part": "long", "block": "long", "size": "long", "keys": "binary", "more": "binary"}
+
+
+def first_requests(blocks: DataFrame, layout: Layout) -> DataFrame:
+    """The distinct words and pairs of words of each block with its counts of them, a row for each table partition."""
 
     def run(texts: pd.DataFrame) -> pd.DataFrame:
-        block, number = Block(texts["text"].tolist(), layout), int(texts["block"].iat[0])
-        rows = [(p, number, b - a, layout.packed(block.keys[a:b]), _packed_counts(block.counts[a:b] - 1)) for p, a, b in block.slices]
-        return pd.DataFrame(rows, columns=["part", "block", "size", "keys", "more"])
+        rows = Block(texts["text"].tolist(), layout).first().rows(1, int(texts["block"].iat[0]), layout)
+        return pd.DataFrame(rows, columns=list(ASKED))
+
+    return blocks.groupBy("block").applyInPandas(run, ", ".join(f"{c} {t}" for c, t in ASKED.items()))
+
+
+def next_requests(blocks: DataFrame, answered: DataFrame, n: int, layout: Layout) -> DataFrame:
+    """The distinct n-grams of each block whose count is open."""
+
+    def run(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple] = []
+        if len(texts):
+            block = Block(texts["text"].tolist(), layout)
+            rows = block.later(n, block.counted(found, n - 1)[n - 1])[1].rows(n, int(texts["block"].iat[0]), layout)
+        return pd.DataFrame(rows, columns=list(ASKED))
 
-    return blocks.groupBy("block").applyInPandas(run, "part long, block long, size long, keys binary, more binary")
+    return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(run, ", ".join(f"{c} {t}" for c, t in ASKED.items()))
 
 
 def answers(asked: DataFrame, layout: Layout) -> DataFrame:
-    """``block, part, others``: what other blocks add to a block's counts, in the order of its n-grams."""
+    """``block, n, part, others``: what other blocks add to a block's counts, in the order of its n-grams."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([layout.unpacked(raw, size) for raw, size in zip(part["keys"], part["size"])])
@@ -155,10 +202,10 @@ def answers(asked: DataFrame, layout: Layout) -> DataFrame:
         _, inverse = np.unique(keys, return_inverse=True)
         others = np.bincount(inverse, weights=own).astype(np.int64)[inverse] - own
         ends = np.cumsum(part["size"].to_numpy())
-        return pd.DataFrame({"block": part["block"], "part": part["part"],
+        return pd.DataFrame({"block": part["block"], "n": part["n"], "part": part["part"],
                              "others": [_packed_counts(others[end - size:end]) for end, size in zip(ends, part["size"])]})
 
-    return asked.groupBy("part").applyInPandas(run, "block long, part long, others binary")
+    return asked.groupBy("n", "part").applyInPandas(run, "block long, n int, part long, others binary")
 
 
 def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> DataFrame:
@@ -178,10 +225,8 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> Dat
 
     def run(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         block = Block(texts["text"].tolist(), layout)
-        others, totals = dict(zip(found["part"], found["others"])), block.counts.astype(np.int64)
-        for p, a, b in block.slices:
-            totals[a:b] += _counts(others[p], b - a)
-        count, doc = block.by_place(totals, least), np.repeat(np.arange(block.sizes.size), block.sizes)
+        count, doc = block.counted(found, ORDER), np.repeat(np.arange(block.sizes.size), block.sizes)
+        count[2:][count[2:] < least] = 0
         value = np.log(np.maximum(count[1], 1)) - math.log(max(total, 1)) + (ORDER - 1) * math.log(backoff)
         # Places near a text's start have less context to back off from.
         value -= np.maximum(ORDER - 1 - block.within, 0) * math.log(backoff)
@@ -200,6 +245,8 @@ def scores(docs: DataFrame, least: int = LEAST, backoff: float = BACKOFF) -> Dat
         out["mean_log_score"] = pd.Series(mean).where(pd.Series(block.sizes) > 0, None).to_numpy()
         return out
 
-    replies = answers(requests(blocks, layout), layout)
+    replies = answers(first_requests(blocks, layout), layout)
+    for n in range(3, ORDER + 1):
+        replies = replies.unionByName(answers(next_requests(blocks, replies, n, layout), layout))
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
         run, "doc_id long, n_words long, n_trigram long, n_bigram long, n_unigram long, log_score double, mean_log_score double")
