@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import text
-from millrace.operators import cards, history, keyed, lineage, metrics, quality, reconcile, star
+from millrace.operators import cards, history, keyed, lineage, metrics, plan_lineage, quality, reconcile, star
 from millrace.plans import card_day, sales_day
 from millrace.session import prepare, scratch
 from millrace.sources import adapters as src
@@ -702,6 +703,37 @@ def lineage_sanity(spark, sf_dir):
     return lineage.broken_edges(lineage.column_edges(columns, edges, explicit), columns)
 
 
+#: What the outputs below are made of.
+LINEAGE_SOURCES = ("customer", "nation", "region", "orders", "lineitem", "part", "supplier", "events")
+
+
+def _output_edges(spark, sf_dir) -> DataFrame:
+    """Column edges of two outputs of this library, from their plans, with the row count of the table that each comes from."""
+    sources = {t: src.table(spark, sf_dir, t) for t in LINEAGE_SOURCES}
+    outputs = {"sales_report_wide": sales_report_wide(spark, sf_dir), "card_txn": card_txn_integration(spark, sf_dir)}
+    counts = reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("upstream"), "row_count") for t, df in sources.items()])
+    return plan_lineage.plan_edges(spark, outputs, sources).join(counts, "upstream").select(
+        "downstream", "down_column", "upstream", "up_column", "row_count")
+
+
+@query
+def output_lineage(spark, sf_dir):
+    """Which columns of the given tables every column of the sales report and of the card transactions comes from."""
+    return _output_edges(spark, sf_dir)
+
+
+@query
+def output_lineage_after_rename(spark, sf_dir):
+    """Edges that break when a customer's name and a supplier's nation are called otherwise, with the rows behind each."""
+    edges = _output_edges(spark, sf_dir)
+    renamed = {"customer": {"c_name": "c_full_name"}, "supplier": {"s_nationkey": "s_nation_id"}}
+    frames = {t: src.table(spark, sf_dir, t).withColumnsRenamed(renamed.get(t, {})) for t in LINEAGE_SOURCES}
+    frames |= {"sales_report_wide": sales_report_wide(spark, sf_dir), "card_txn": card_txn_integration(spark, sf_dir)}
+    broken = lineage.broken_edges(edges, lineage.column_catalog(spark, frames))
+    return broken.join(edges, ["downstream", "down_column", "upstream", "up_column"])
+
+
 @query
 def lineage_closure(spark, sf_dir):
     """What each region reaches through nation, customer and order within five steps."""
