@@ -78,6 +78,31 @@ def test_all_counts_are_kept(llm):
     assert list(used) == want
 
 
+@pytest.mark.parametrize("words_in_corpus", [0, 1, 1000, 10**6, 10**9, 10**14])
+def test_lm_keys_and_counts_are_packed_without_loss(words_in_corpus):
+    layout, rng = lm_scoring.Layout(words_in_corpus), np.random.default_rng(1)
+    for size in (1, 2, 7, 8, 255, 256, 5000):
+        keys = np.unique(rng.integers(0, 1 << min(layout.width, 62), size).astype(np.uint64))
+        in_part = keys | np.uint64(3 << layout.width)
+        assert (layout.unpacked(layout.packed(in_part), keys.size) == keys).all() and (layout.part(in_part) == 3).all()
+        counts = rng.integers(0, 2, size) * rng.integers(0, 10**rng.integers(1, 12), size)
+        assert (lm_scoring._counts(lm_scoring._packed_counts(counts), size) == counts).all()
+
+
+def test_lm_repeated_rows_in_many_blocks(make, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 50)
+    rows = [(1, "a b c a b d")] * 60 + [(i, f"a b c w{i} w{i + 1}") for i in range(2, 40)]
+    counts = Counter(tuple(w[i:i + n]) for _, t in rows for w in [t.split()] for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    total = sum(c for gram, c in counts.items() if len(gram) == 1)
+    got = lm_scoring.scores(make(rows).repartition(4)).collect()
+    assert len(got) == len(rows)
+    texts = dict(rows)
+    for r in got:
+        w = texts[r.doc_id].split()
+        want = sum(math.log(counts[g] / (counts[g[:-1]] if g[1:] else total)) for p in range(len(w)) for g in [tuple(w[max(0, p - 2):p + 1])])
+        assert abs(r.log_score - want) < 1e-5
+
+
 def test_lm_odd_rows(make):
     got = lm_scoring.scores(make(ODD)).collect()
     assert len(got) == len(ODD)
