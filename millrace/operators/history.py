@@ -152,9 +152,13 @@ def splice(history: DataFrame, log: DataFrame, late: DataFrame, dim: Dimension,
     return history.select(*dim.columns).join(keys, dim.key, "left_anti").select(*dim.columns).unionByName(again)
 
 
-def changed_spans(before: DataFrame, after: DataFrame, dim: Dimension) -> DataFrame:
-    """``key, from, to``: for each key whose versions differ, the days that hold all differences."""
-    body = [dim.key, dim.surrogate, "valid_from", "valid_to"]
+def changed_spans(before: DataFrame, after: DataFrame, dim: Dimension, values: Sequence[str] = ()) -> DataFrame:
+    """``key, from, to``: for each key whose versions differ, the days that hold all differences.
+
+    Versions differ by surrogate and interval, and by ``values``: a row of a day that already began a version may replace
+    what it says and leave its interval.
+    """
+    body = list(dict.fromkeys([dim.key, dim.surrogate, "valid_from", "valid_to", *values]))
     sides = before.select(*body, F.lit(1).alias("_side")).unionByName(after.select(*body, F.lit(-1).alias("_side")))
     differ = sides.groupBy(*body).agg(F.sum("_side").alias("_only")).where("_only != 0")
     return differ.groupBy(dim.key).agg(F.min("valid_from").alias("_from"), F.max("valid_to").alias("_to"))
@@ -166,7 +170,7 @@ def rekey(facts: DataFrame, before: DataFrame, after: DataFrame, dim: Dimension,
 
     Only facts of changed keys, dated in their changed days, are looked up; all others go through as they are.
     """
-    spans = changed_spans(before, after, dim).select(F.col(dim.key).alias(fact_key), "_from", "_to")
+    spans = changed_spans(before, after, dim, take).select(F.col(dim.key).alias(fact_key), "_from", "_to")
     inside = (F.col(fact_date) >= F.col("_from")) & (F.col(fact_date) < F.col("_to"))
     marked = facts.join(spans, fact_key, "left").withColumn("_hit", F.coalesce(inside, F.lit(False))).drop("_from", "_to")
     hit = marked.where("_hit").drop("_hit", *take)

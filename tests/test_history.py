@@ -47,6 +47,18 @@ def test_rekey_looks_up_changed_spans_only(spark, rows):
     assert rows(history.changed_spans(before, after, DIM)) == [(1, BEGINNING, D[6])]
 
 
+def test_rekey_sees_a_version_that_says_something_else(spark, rows):
+    log = [(1, "A", "x", D[0], 1), (1, "B", "x", D[3], 2), (2, "A", "x", D[0], 3)]
+    as_frame = lambda data: spark.createDataFrame(data, "id bigint, tier string, note string, day date, n int")
+    newest = [F.col("n").desc()]
+    before = history.replay(as_frame(log), DIM, "day", newest)
+    after = history.splice(before, as_frame(log), as_frame([(1, "C", "x", D[3], 9)]), DIM, "day", newest, D[0])
+    facts = history.as_of_join(spark.createDataFrame([(n, k, D[n]) for n in range(6) for k in (1, 2)], "n int, id bigint, at date"),
+                               before, "id", "at", "id", ["tier", "valid_from"])
+    got = history.rekey(facts, before, after, DIM, "id", "at", ["tier", "valid_from"])
+    assert rows(got) == rows(history.as_of_join(facts.drop("tier", "valid_from"), after, "id", "at", "id", ["tier", "valid_from"]).select(*facts.columns))
+
+
 def test_deletes_leave_gaps(spark, rows):
     log = [(1, "A", D[0], False), (1, "A", D[2], True), (1, "A", D[4], False), (1, "A", D[5], False), (1, "B", D[6], True), (2, "A", D[1], True), (2, "A", D[3], None)]
     df = spark.createDataFrame(log, "id bigint, tier string, day date, gone boolean").withColumn("note", F.lit("x"))
