@@ -192,6 +192,21 @@ def as_of_join(facts: DataFrame, history: DataFrame, fact_key: str, fact_date: s
     ).select(*facts.columns, *take)
 
 
+def one_version_each(history: DataFrame, key: str) -> bool:
+    """Whether no key has several versions; reads the keys of the dimension only."""
+    return history.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
+def only_version_join(facts: DataFrame, history: DataFrame, fact_key: str, fact_date: str, key: str,
+                      take: Sequence[str]) -> DataFrame:
+    """``as_of_join`` for a history with ``one_version_each``: a fact meets at most one version by its key, so facts are read
+    once and no pairs are made."""
+    only = history.select(F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"),
+                          F.struct(*take).alias("_taken"))
+    valid = (F.col(fact_key) == F.col("_key")) & (F.col(fact_date) >= F.col("_from")) & (F.col(fact_date) < F.col("_to"))
+    return facts.join(only, valid, "left").select(*facts.columns, *[F.col(f"_taken.{c}").alias(c) for c in take])
+
+
 def resolve_pairs(facts: DataFrame, history: DataFrame, fact_key: str, fact_date: str, key: str,
                   take: Sequence[str]) -> DataFrame:
     """One row per (key, date) found in ``facts`` that a version covers.

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.history import as_of_join
+from millrace.operators.history import as_of_join, one_version_each, only_version_join
 
 
 class UnresolvedKeyError(ValueError):
@@ -82,7 +82,8 @@ def build_fact(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFr
 
     ``dimensions`` maps a surrogate name to its history; a surrogate left out is not resolved.
     A key that sits on the order is resolved there, on fewer rows than the lines; one that sits
-    on the line after the join.  ``take`` names further columns of a dimension to bring along, so that a report
+    on the line after the join.  A dimension on the lines whose keys have one version each is joined by its key alone: pairs of key and
+    date would be almost as many as the lines.  ``take`` names further columns of a dimension to bring along, so that a report
     need not look the surrogate up again.
     """
     take = take or {}
@@ -91,8 +92,8 @@ def build_fact(lines: DataFrame, orders: DataFrame, dimensions: dict[str, DataFr
         more = take.get(role.surrogate, [])
         history = dimensions[role.surrogate].select(
             role.key, "valid_from", "valid_to", role.surrogate, *[F.col(c).alias(_taken(role, c)) for c in more])
-        return as_of_join(rows, history, role.key, "order_date", role.key,
-                          [role.surrogate, *[_taken(role, c) for c in more]])
+        join = only_version_join if role in on_line and one_version_each(history, role.key) else as_of_join
+        return join(rows, history, role.key, "order_date", role.key, [role.surrogate, *[_taken(role, c) for c in more]])
 
     wanted = [r for r in ROLES if r.surrogate in dimensions]
     on_line = [r for r in wanted if r.key in lines.columns]

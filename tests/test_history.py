@@ -183,3 +183,27 @@ def test_current_join(spark, rows):
                                  frame(spark, [(1, "B", "x")]), DIM, D[1])
     at = spark.createDataFrame([(1, D[0]), (7, D[0])], "cust bigint, at date")
     assert rows(history.current_join(at, versions, "cust", "id", ["tier"])) == [(1, D[0], "B"), (7, D[0], None)]
+
+
+def test_one_version_each_is_joined_by_key(spark, rows):
+    versions = spark.createDataFrame([(1, "A", D[1], D[4]), (2, "B", BEGINNING, OPEN_END), (None, "C", BEGINNING, OPEN_END)],
+                                     "id bigint, tier string, valid_from date, valid_to date")
+    facts = spark.createDataFrame([(n, k, D[n] if n < 6 else None) for n in range(7) for k in (1, 2, 3, None)], "n int, cust bigint, at date")
+    assert history.one_version_each(versions, "id")
+    assert not history.one_version_each(versions.unionByName(versions), "id")
+    got = history.only_version_join(facts, versions, "cust", "at", "id", ["tier"])
+    assert rows(got) == rows(history.as_of_join(facts, versions, "cust", "at", "id", ["tier"]))
+
+
+def test_lines_meet_a_dimension_of_one_version_without_pairs(spark, rows, capsys):
+    from millrace.operators import star
+    lines = spark.createDataFrame([(1, 1, 7, 1, 2, 3, 4), (1, 2, 8, 1, 2, 3, 4)],
+                                  "order_id bigint, line_no int, product_id bigint, quantity int, unit_price int, discount_pct int, line_amount int")
+    orders = spark.createDataFrame([(1, D[2], "PLACED")], "order_id bigint, order_date date, status string")
+    one = spark.createDataFrame([(7, 70, D[0], OPEN_END)], "product_id bigint, product_key bigint, valid_from date, valid_to date")
+    two = spark.createDataFrame([(7, 70, D[0], D[1]), (7, 71, D[1], OPEN_END)], one.schema)
+    for dim, key, windows in ((one, 70, False), (two, 71, True)):
+        fact = star.build_fact(lines, orders, {"product_key": dim})
+        assert rows(fact.select("line_no", "product_key")) == [(1, key), (2, None)]
+        fact.explain()
+        assert ("Window" in capsys.readouterr().out) == windows
