@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text
 from millrace.operators import history, keyed, quality, star
-from millrace.sources import feeds
+from millrace.sources import feeds, files
 from millrace.sources.slices import SliceTable, Staged
 
 Rule = Callable[[str], Column]
@@ -99,9 +100,21 @@ class SalesWarehouse:
         self.fact_slice = "order_month" if monthly_fact else "order_date"
         self.first_day, self.last_day = first_day, last_day
         self._staged: dict[tuple[str, str], Staged] | None = None
+        self._work: list[str] = []
 
     # ---- staging
 
+    def _held(self, df: DataFrame) -> DataFrame:
+        """The frame as a written table, for a step that reads it several times; ``_clear`` removes it."""
+        path = f"{self.root}/work/{uuid.uuid4().hex}"
+        self._work.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _clear(self) -> None:
+        while self._work:
+            files.remove(self.spark, self._work.pop())
+
     def _put(self, layer: str, name: str, staged: Staged) -> None:
         if self._staged is None:
             staged.publish()
@@ -256,13 +269,13 @@ class SalesWarehouse:
         return reduce(DataFrame.unionByName, touched).distinct()
 
     def _desired(self, run_date: date) -> tuple[DataFrame, DataFrame]:
-        """Fact rows of all touched orders, and the natural keys of their lines."""
-        touched = self._touched_orders(run_date)
-        lines = self._rows("current", "order_items", "bucket").join(touched, "order_id", "left_semi")
-        orders = self._rows("current", "orders", "bucket").join(touched, "order_id", "left_semi")
+        """Fact rows of all touched orders, and the natural keys of their lines; each step is written, as several read it."""
+        touched = self._held(self._touched_orders(run_date))
+        lines = self._held(self._rows("current", "order_items", "bucket").join(touched, "order_id", "left_semi"))
+        orders = self._held(self._rows("current", "orders", "bucket").join(touched, "order_id", "left_semi"))
         dims = {k: d for k, d in self.dimensions().items() if k != "date_key"}
         natural = lines.select(*GRAIN, "product_id").join(orders.select("order_id", "customer_id", "store_id"), "order_id")
-        return star.build_fact(lines, orders, dims), natural
+        return self._held(star.build_fact(lines, orders, dims)), natural
 
     def refresh_fact(self, run_date: date, set_aside: bool = False) -> None:
         """New lines are added with the keys of their order date; known lines only take the status, and after a late feed
@@ -271,6 +284,12 @@ class SalesWarehouse:
         A line dated before its key's first version stops the run, or with ``set_aside`` waits in ``queue`` and the rest is loaded.
         A waiting line is looked up again when the versions of one of its keys change, and leaves the queue once all resolve.
         """
+        try:
+            self._refresh_fact(run_date, set_aside)
+        finally:
+            self._clear()
+
+    def _refresh_fact(self, run_date: date, set_aside: bool) -> None:
         desired, natural = self._desired(run_date)
         waiting = self.queue()
         missing = star.unresolved(desired)

@@ -9,7 +9,7 @@ from millrace.operators import cards, lineage, quality, star
 from millrace.operators.quality import QualityGateError
 from millrace.plans.card_day import CardWarehouse, RepeatedIdError
 from millrace.plans.sales_day import DIMENSIONS, SOURCES, SalesWarehouse
-from millrace.sources import adapters, feeds
+from millrace.sources import adapters, feeds, files
 from millrace.sources.feeds import ControlTotalError
 from millrace.sources.slices import SliceTable
 
@@ -254,3 +254,13 @@ def test_catalog_and_lineage_of_the_real_tables(spark, sales, rows):
     assert got.where("downstream = 'current.products' AND down_column = 'category_name'").first()["upstream"] == "log.product_categories"
     assert got.where("downstream = 'star.fact'").count() == 2
     assert got.where("downstream = 'star.customers' AND down_column = 'valid_from'").count() == 0
+
+
+def test_small_files_are_read_without_a_job(spark, tmp_path):
+    files.publish_json(spark, f"{tmp_path}/one.json", {"a": ["\u00e9", 1]})
+    spark.sparkContext.setJobGroup("small-file", "small-file")
+    try:
+        assert files.read_json(spark, f"{tmp_path}/one.json") == {"a": ["\u00e9", 1]}
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("small-file")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
