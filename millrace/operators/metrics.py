@@ -61,13 +61,21 @@ def daily_totals(report: DataFrame) -> DataFrame:
 
     An order has one date, so its distinct count by date and columns adds up over dates.
     """
-    sets = [["order_date", *columns] for columns in GROUPED_BY.values()]
-    bit = {c: 1 << k for k, c in enumerate(reversed(["order_date", *KEYS]))}
-    number = {name: sum(bit[c] for c in KEYS if c not in columns) for name, columns in GROUPED_BY.items()}
-    name = F.element_at(F.create_map(*[F.lit(x) for n, i in number.items() for x in (i, n)]), F.grouping_id().cast("int"))
-    return report.groupingSets(sets, "order_date", *KEYS).agg(
-        name.alias("grouped_by"), F.sum("extended_amount").alias("revenue"), F.sum("quantity").cast("bigint").alias("units"),
-        F.count_distinct("order_id").alias("orders"), F.count(F.lit(1)).alias("lines")) \
+    def one_set(name: str, columns: Sequence[str]) -> Column:
+        return F.struct(F.lit(name).alias("grouped_by"), *[
+            (F.col(c) if c in columns else F.lit(None).cast(report.schema[c].dataType)).alias(c) for c in KEYS])
+
+    # Dealt by order once: its lines are brought together for every set without a further exchange.
+    spread = report.repartition("order_id").select(
+        "order_id", "order_date", "quantity", "extended_amount",
+        F.explode(F.array(*[one_set(n, columns) for n, columns in GROUPED_BY.items()])).alias("_set")) \
+        .select("order_id", "order_date", "quantity", "extended_amount", "_set.*")
+    groups = ["grouped_by", "order_date", *KEYS]
+    per_order = spread.groupBy("order_id", *groups).agg(
+        F.sum("extended_amount").alias("revenue"), F.sum("quantity").cast("bigint").alias("units"), F.count(F.lit(1)).alias("lines"))
+    return per_order.groupBy(*groups).agg(
+        F.sum("revenue").cast(per_order.schema["revenue"].dataType).alias("revenue"), F.sum("units").alias("units"), F.count("order_id").alias("orders"),
+        F.sum("lines").alias("lines")).select("order_date", *KEYS, "grouped_by", "revenue", "units", "orders", "lines") \
         .withColumn("month", F.trunc("order_date", "MONTH"))
 
 

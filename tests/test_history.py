@@ -207,3 +207,21 @@ def test_lines_meet_a_dimension_of_one_version_without_pairs(spark, rows, capsys
         assert rows(fact.select("line_no", "product_key")) == [(1, key), (2, None)]
         fact.explain()
         assert ("Window" in capsys.readouterr().out) == windows
+
+
+def test_totals_are_dealt_by_order_once(spark, rows, capsys):
+    from millrace.operators import metrics
+    report = spark.createDataFrame(
+        [(1, D[0], 2, "S", "c1", "r", "x"), (1, D[0], 3, "S", "c2", "r", "x"), (2, D[0], 1, "T", "c1", None, "x"), (None, D[0], 1, "T", "c1", "r", "y")],
+        "order_id bigint, order_date date, quantity int, segment string, category_name string, region string, channel string") \
+        .withColumn("extended_amount", F.col("quantity").cast("decimal(18,2)"))
+    totals = metrics.daily_totals(report)
+    assert rows(totals.select("grouped_by", "segment", "category_name", "region", "channel", "units", "orders", "lines")) == rows(spark.createDataFrame([
+        ("all", None, None, None, None, 7, 2, 4), ("segment", "S", None, None, None, 5, 1, 2), ("segment", "T", None, None, None, 2, 1, 2),
+        ("category", None, "c1", None, None, 4, 2, 3), ("category", None, "c2", None, None, 3, 1, 1),
+        ("region_channel", None, None, "r", "x", 5, 1, 2), ("region_channel", None, None, None, "x", 1, 1, 1),
+        ("region_channel", None, None, "r", "y", 1, 0, 1)],
+        "g string, s string, c string, r string, h string, u bigint, o bigint, l bigint"))
+    totals.explain()
+    assert "Expand" not in capsys.readouterr().out
+    assert dict(totals.dtypes)["revenue"] == "decimal(28,2)"
