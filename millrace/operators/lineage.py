@@ -59,12 +59,13 @@ def column_edges(columns: DataFrame, edges: DataFrame, explicit: DataFrame) -> D
 def broken_edges(edges: DataFrame, columns: DataFrame) -> DataFrame:
     """Column edges naming a column the catalog does not have, with the side at fault."""
     known = columns.select("dataset", "column").distinct()
-    parts = []
+    checked, sides = edges.select("downstream", "down_column", "upstream", "up_column"), []
     for side, dataset, column in (("downstream", "downstream", "down_column"), ("upstream", "upstream", "up_column")):
-        at = known.select(F.col("dataset").alias(dataset), F.col("column").alias(column))
-        parts.append(edges.join(at, [dataset, column], "left_anti").select(
-            "downstream", "down_column", "upstream", "up_column", F.lit(side).alias("side")))
-    return parts[0].unionByName(parts[1])
+        at = known.select(F.col("dataset").alias(dataset), F.col("column").alias(column), F.lit(True).alias(f"_{side}"))
+        checked = checked.join(at, [dataset, column], "left")
+        sides.append(F.when(F.col(f"_{side}").isNull(), F.lit(side)))
+    # Both sides from one pass over the edges.
+    return checked.select("downstream", "down_column", "upstream", "up_column", F.explode(F.array_compact(F.array(*sides))).alias("side"))
 
 
 def process_edges(jobs: DataFrame) -> DataFrame:

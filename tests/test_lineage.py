@@ -19,6 +19,26 @@ def test_equal_names_explicit_maps_and_unmatched(spark, rows):
     assert rows(lineage.broken_edges(got, columns)) == [("out.o", "total", "mid.m", "gone", "upstream")]
 
 
+def test_broken_edges_reads_the_edges_once(spark, rows):
+    known = spark.createDataFrame([("a", "x"), ("b", "x")], "dataset string, column string")
+    layout = "downstream string, down_column string, upstream string, up_column string"
+    spark.createDataFrame([("a", "x", "b", "x"), ("a", "no", "b", "no"), ("a", "no", "b", "x"), ("a", "x", None, "x")], layout) \
+        .createOrReplaceTempView("edges_once")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    edges = spark.table("edges_once").mapInArrow(count, layout)
+    got = rows(lineage.broken_edges(edges, known))
+    assert sorted(got, key=str) == [
+        ("a", "no", "b", "no", "downstream"), ("a", "no", "b", "no", "upstream"), ("a", "no", "b", "x", "downstream"),
+        ("a", "x", None, "x", "upstream")]
+    assert seen.value == 4
+
+
 def test_column_edges_against_brute_force_with_a_hot_dataset(spark, rows):
     rng = random.Random(5)
     columns = {(f"d{rng.choice([0, 0, 0, 1, 2, 3, 4])}", f"c{rng.randrange(40)}") for _ in range(150)}
