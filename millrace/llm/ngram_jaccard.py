@@ -195,12 +195,18 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return of_b.join(of_a, "a").select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
 
 
-def dealt(rows: DataFrame, group: str, within: bool | None = None) -> DataFrame:
+def has_large(rows: DataFrame, group: str) -> bool:
+    """Whether a group has more than ``BLOCK`` rows."""
+    return not rows.groupBy(group).agg(F.count(F.lit(1)).alias("total")).where(F.col("total") > BLOCK).isEmpty()
+
+
+def dealt(rows: DataFrame, group: str, within: bool | None = None, large: bool = True) -> DataFrame:
     """Rows (``group``, ``node``, ``component``, ...) in blocks (``group, p, q``); ``own`` is the row's part, p or q.
 
     A group of at most ``BLOCK`` rows is one part.  In a larger one a component of more than ``BLOCK`` rows has parts of its own, other components
     are put whole into common parts.  Every two parts meet in a block, but for two parts of one component; a common part also
-    meets itself.  Groups of one component have no block.  ``within`` keeps the blocks of one part, or all others.
+    meets itself.  Groups of one component have no block.  ``within`` keeps the blocks of one part, or all others.  ``large`` is
+    what ``has_large`` says; without a large group the steps that split one are left out.
     """
     sizes = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("m"))
     totals = sizes.groupBy(group).agg(F.sum("m").alias("total"), F.count(F.lit(1)).alias("n_components")).where("n_components > 1")
@@ -210,6 +216,8 @@ def dealt(rows: DataFrame, group: str, within: bool | None = None) -> DataFrame:
     single = small.select("*", zero.alias("p"), zero.alias("q"), zero.alias("own"))
     if within is False:
         single = single.limit(0)
+    if not large:
+        return single
     kin = F.when(F.col("m") > BLOCK, F.col("component")).alias("kin")
     families = sizes.join(big, group, "left_semi").select(group, "component", "m", kin)
     parts = families.groupBy(group, "kin").agg(F.ceil(F.sum("m") / BLOCK).cast("int").alias("parts"))
@@ -304,10 +312,10 @@ def held_together(tokens: DataFrame, bins: DataFrame, labels: DataFrame) -> Data
                 family.join(i, js)
         return [(int(node[i]), int(node[j])) for i, j in family.pairs]
 
-    return _blocked(dealt(_labelled(tokens, labels), "token").join(bins, "node"), "token", ["n", "at", "bins"], compare)
+    return _blocked(dealt(_labelled(tokens, labels), "token", None, has_large(tokens, "token")).join(bins, "node"), "token", ["n", "at", "bins"], compare)
 
 
-def verified_links(families: DataFrame, sets: DataFrame, labels: DataFrame, within: bool) -> DataFrame:
+def verified_links(families: DataFrame, sets: DataFrame, labels: DataFrame, within: bool, large: bool) -> DataFrame:
     """``a, b``: links between nodes of one family (``family, node``), as many as join its components."""
 
     def compare(rows: list[tuple]) -> list[tuple[int, int]]:
@@ -330,7 +338,7 @@ def verified_links(families: DataFrame, sets: DataFrame, labels: DataFrame, with
                 joined.join(i, js)
         return [(int(node[i]), int(node[j])) for i, j in joined.pairs]
 
-    return _blocked(dealt(_labelled(families, labels), "family", within).join(sets, "node"), "family", ["grams"], compare)
+    return _blocked(dealt(_labelled(families, labels), "family", within, large).join(sets, "node"), "family", ["grams"], compare)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -347,10 +355,10 @@ def classes(docs: DataFrame) -> DataFrame:
     found = stored(posts(docs, counts), "posts")
     rows = found.where(F.col("token").isNull())
     tokens = stored(shared_tokens(found.where(F.col("token").isNotNull()).select("token", "node", "n", "at")), "tokens")
-    owners = rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    owners = stored(rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id")), "owners")
 
     def sets_for(nodes: DataFrame) -> DataFrame:
-        return sets_of(docs, stored(owners.join(nodes.distinct(), "node", "left_semi"), "owners"))
+        return sets_of(docs, owners.join(nodes.distinct(), "node", "left_semi"))
 
     first = stored(leader_pairs(tokens), "pairs")
     nodes = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
@@ -358,8 +366,10 @@ def classes(docs: DataFrame) -> DataFrame:
     bins = rows.where(F.col("bins").isNotNull()).select("node", "bins").dropDuplicates(["node"])
     families = stored(components(held_together(tokens, bins, labels)).withColumnRenamed("component", "family"), "families")
     sets = stored(sets_for(families.select("node")), "sets")
-    for within in (True, False):
-        more = verified_links(families, sets, labels, within)
+    # Only a family of more than one block has links between blocks.
+    large = has_large(families, "family")
+    for within in (True, False) if large else (True,):
+        more = verified_links(families, sets, labels, within, large)
         labels = components(labels.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
 
     smallest = owners.join(labels, "node").groupBy("component").agg(F.min("doc_id").alias("least"))

@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    decontamination, fingerprints, language_id, line_dedup, lm_scoring, ngram_jaccard, packing, repeats, sharding, url_filter)
+    components, decontamination, fingerprints, language_id, line_dedup, lm_scoring, ngram_jaccard, packing, repeats, sharding, url_filter)
+from millrace.llm.common import stored
 from millrace.llm.queries import ORACLES, QUERIES
 from tests.llm.conftest import ODD
 
@@ -460,6 +461,35 @@ def test_the_row_that_is_no_copy_stays(make):
         assert sorted((r.doc_id, r.text) for r in kept) == sorted(texts + clean)
 
 
+def test_components_of_stars_take_no_round(llm, monkeypatch):
+    steps = []
+    monkeypatch.setattr(components, "stored", lambda df, label: steps.append(label) or stored(df, label))
+    stars, chain = [(1, 5), (5, 1), (6, 1), (2, 9), (3, 3), (2, 9)], [(i, i + 1) for i in range(20, 40)]
+    for links, rounds in ((stars, 0), ([], 0), (chain + stars, None)):
+        steps.clear()
+        got = components.components(llm.createDataFrame(links, "a long, b long")).collect()
+        want = {1: 1, 5: 1, 6: 1, 2: 2, 9: 2} if links else {}
+        assert {r.node: r.component for r in got} == want | ({i: 20 for i in range(20, 41)} if rounds is None else {})
+        assert len(got) == len({r.node for r in got}) and (rounds is None or len(steps) == 1 + rounds)
+
+
+@pytest.mark.parametrize("block", [2, 2048])
+def test_blocks_are_made_only_for_large_groups(make, monkeypatch, block):
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", block)
+    passes, verified = [], ngram_jaccard.verified_links
+    monkeypatch.setattr(ngram_jaccard, "verified_links", lambda *args: passes.append(args[3]) or verified(*args))
+    rng = random.Random(17)
+    original, texts = sentence(rng, 120).split(), []
+    for i in range(30):  # near copies around the threshold: leaders do not link them all
+        w = list(original)
+        for _ in range(rng.randrange(8)):
+            w[rng.randrange(len(w))] = "x" + str(rng.randrange(10**6))
+        texts.append((i, " ".join(w)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.classes(make(texts)).collect()}
+    assert got == components_by_force(texts)
+    assert passes == ([True, False] if block == 2 else [True])
+
+
 # ---- fingerprints
 
 def test_fingerprints(make):
