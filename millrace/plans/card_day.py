@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
@@ -32,12 +33,13 @@ class CardWarehouse:
     def _table(self, name: str, schema, slice_by: str) -> SliceTable:
         return SliceTable(self.spark, f"{self.root}/{name}", schema, slice_by)
 
-    def _load(self, name: str, df: DataFrame, day: date, slice_by: str = "txn_date") -> tuple[DataFrame, DataFrame]:
-        """Replace the day's slice; returns (that slice, the whole table) as stored."""
+    def _load(self, name: str, df: DataFrame, day: date, slice_by: str = "txn_date",
+              require: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame, DataFrame]:
+        """Replace the day's slice, if ``require`` lets its rows pass; returns (that slice, the whole table) as stored."""
         if "loaded_at" not in df.columns:
             df = df.withColumn("loaded_at", F.current_timestamp())
         table = self._table(name, df.schema, slice_by)
-        table.replace_slices(df, [day.isoformat()])
+        table.replace_slices(df, [day.isoformat()], cluster=False, require=require)
         return table.read([day.isoformat()]), table.read()
 
     def _record(self, sets: list[quality.CheckSet], layer: str, run_at: datetime) -> DataFrame:
@@ -64,9 +66,8 @@ class CardWarehouse:
         recorded = [check("stage", {"card_auth": all_auth, "card_post": all_post}, quality.stage_checks(auth, post))]
 
         txn = cards.integrate(auth, post, self.card, self.merchant, self.mcc)
-        if ids_unique_across_dates:
-            self._require_new_ids(txn, day)
-        txn, all_txn = self._load("card_txn", txn, day)
+        new_ids = (lambda rows: self._require_new_ids(rows, day)) if ids_unique_across_dates else None
+        txn, all_txn = self._load("card_txn", txn, day, require=new_ids)
         decline, all_decline = self._load("card_txn_decline", cards.declines(txn), day)
         recorded.append(check("integration", {"card_txn": all_txn, "card_txn_decline": all_decline},
                               quality.integration_checks(txn, decline)))
@@ -78,10 +79,10 @@ class CardWarehouse:
         return reduce(DataFrame.unionByName, recorded)
 
     def _require_new_ids(self, txn: DataFrame, day: date) -> None:
-        table = self._table("card_txn", txn.withColumn("loaded_at", F.current_timestamp()).schema, "txn_date")
+        table = self._table("card_txn", txn.schema, "txn_date")
         others = table.slices() - {day.isoformat()}
         if not others:
             return
-        clash = table.read(others).join(txn.select("txn_id"), "txn_id", "left_semi").first()
+        clash = table.read(others).select("txn_id", "txn_date").join(txn.select("txn_id"), "txn_id", "left_semi").first()
         if clash is not None:
             raise RepeatedIdError(f"{clash['txn_id']} of {day} already exists on {clash['txn_date']}")

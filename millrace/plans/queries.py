@@ -967,11 +967,10 @@ def card_days(spark, sf_dir):
     """All card feeds as one load per third of a month, run in order and the first one twice; the transactions stored."""
     root, by = scratch(spark, "card-days"), "load_business_date"
     read = {"card_auth": (src.card_auth(spark, sf_dir), cards.AUTH_COLUMNS), "card_post": (src.card_post(spark, sf_dir), cards.POST_COLUMNS)}
-    held = {name: df.withColumn(by, _period_end(F.col(by))) for name, (df, _) in read.items()}
-    days = [r[by] for r in held["card_auth"].select(by).distinct().orderBy(by).collect()]
-    for name, df in held.items():
-        for day in days:
-            feeds.write_text_feed(df.where(F.col(by) == F.lit(day)).select(*read[name][1]), feeds.daily_feed_path(f"{root}/in", name, day))
+    days = []
+    for name, (df, columns) in read.items():
+        found = feeds.write_daily_feeds(df.select(*columns, _period_end(F.col(by)).alias(by)), f"{root}/in", name, by, days)
+        days = days or found
     warehouse = card_day.CardWarehouse(spark, f"{root}/tables", *_reference(spark, sf_dir))
     for day in [*days, days[0]]:
         warehouse.load_day(f"{root}/in", day, NOW)

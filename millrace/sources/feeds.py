@@ -130,6 +130,25 @@ def write_text_feed(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
+def write_daily_feeds(df: DataFrame, inbound: str, feed: str, by: str, days: Iterable[date] = ()) -> list[date]:
+    """The feed of every day from one pass over the rows, each where ``daily_feed_path`` says; the days, in order.
+
+    ``days`` without rows get a feed of no rows.  Rows whose ``by`` is null belong to no day and are refused.
+    """
+    spark, aside = df.sparkSession, f"{inbound}/{feed}-{uuid.uuid4().hex}"
+    write_text_feed(df.hint("rebalance", by), aside, [by])
+    made = {name.split("=", 1)[1]: name for name in files.child_names(spark, aside) if "=" in name}
+    if any(not value[:1].isdigit() for value in made):
+        raise ValueError(f"{feed}: rows without {by}")
+    for value, name in made.items():
+        files.move(spark, f"{aside}/{name}", daily_feed_path(inbound, feed, date.fromisoformat(value)))
+    files.remove(spark, aside)
+    found = {date.fromisoformat(value) for value in made}
+    for day in set(days) - found:
+        write_text_feed(df.drop(by).limit(0), daily_feed_path(inbound, feed, day))
+    return sorted(found | set(days))
+
+
 def publish_manifest(spark: SparkSession, folder: str, source: str, run_date: date, high: datetime,
                      tables: Sequence[tuple[str, str, datetime, int]]) -> None:
     """The completion marker of a feed; written after all its files.  A feed extracted again replaces its marker.

@@ -144,19 +144,20 @@ class SliceTable:
 
     def commit(self, df: DataFrame, replacing: Iterable[str] = (), batch: str | None = None,
                order_by: Sequence[str] = (),
-               guard: Callable[[set[str], DataFrame], None] | None = None) -> None:
+               guard: Callable[[set[str], DataFrame], None] | None = None, cluster: bool = True) -> None:
         """Add the rows of ``df`` and drop the earlier rows of the slices in ``replacing``.
 
         ``batch`` names the load: committing it again replaces all that it wrote.  ``guard`` sees the
-        written slices and rows and may raise before they are moved into place.
+        written slices and rows and may raise before they are moved into place.  Without ``cluster`` rows are written by
+        the tasks that made them: right for rows of one slice, which need not be brought together.
         """
-        self.stage(df, replacing, batch, order_by, guard).publish()
+        self.stage(df, replacing, batch, order_by, guard, cluster).publish()
 
     def stage(self, df: DataFrame, replacing: Iterable[str] = (), batch: str | None = None, order_by: Sequence[str] = (),
-              guard: Callable[[set[str], DataFrame], None] | None = None) -> Staged:
+              guard: Callable[[set[str], DataFrame], None] | None = None, cluster: bool = True) -> Staged:
         """As ``commit``, but the rows are only written: publish the result to place them, or discard it."""
         self.recover()
-        aside, load = self._aside(df, batch, order_by)
+        aside, load = self._aside(df, batch, order_by, cluster)
         made = self._placed(f"{self.path}/{aside}")
         if guard is not None:
             guard({value for value, _ in made}, self._frame(f"{self.path}/{aside}"))
@@ -168,10 +169,11 @@ class SliceTable:
             "replaced": [f"{data}/{'/'.join(path.split('/')[-2:])}" for value, path in (self._placed(folder) if folder else ())
                          if value in named or same(path)]}, None if folder else data, named if batch is None else None)
 
-    def _aside(self, df: DataFrame, batch: str | None, order_by: Sequence[str]) -> tuple[str, str]:
+    def _aside(self, df: DataFrame, batch: str | None, order_by: Sequence[str], cluster: bool = True) -> tuple[str, str]:
         """Write the rows where no reader looks; the folder, and the load's own one in it, which no other attempt has."""
         aside, load = f"aside/{uuid.uuid4().hex}", f"load={quote(batch or '', safe='')}~{uuid.uuid4().hex}"
-        clustered(df.select(*self.schema.names), self.slice_by, order_by).write.partitionBy(self.slice_by).parquet(f"{self.path}/{aside}/{load}")
+        rows = df.select(*self.schema.names)
+        (clustered(rows, self.slice_by, order_by) if cluster else rows).write.partitionBy(self.slice_by).parquet(f"{self.path}/{aside}/{load}")
         self.on_step("written")
         return aside, load
 
@@ -179,10 +181,12 @@ class SliceTable:
         self.commit(df, (), batch)
 
     def replace_slices(self, df: DataFrame, slices: Iterable[str], order_by: Sequence[str] = (),
-                       expected_rows: int | None = None) -> None:
+                       expected_rows: int | None = None, cluster: bool = True,
+                       require: Callable[[DataFrame], None] | None = None) -> None:
         """Idempotent reload: the named slices hold exactly the rows of ``df``, even none.
 
-        ``expected_rows`` is a control total, compared with what was written (a footer count).
+        ``expected_rows`` is a control total, compared with what was written (a footer count).  ``require`` sees the written
+        rows and may raise before they are moved into place.
         """
         named = set(slices)
 
@@ -191,8 +195,10 @@ class SliceTable:
                 raise ValueError(f"rows outside the reloaded slices: {sorted(written - named)}")
             if expected_rows is not None and rows.count() != expected_rows:
                 raise ControlTotalError(f"{self.path}: wrote {rows.count()} rows, expected {expected_rows}")
+            if require is not None:
+                require(rows)
 
-        self.commit(df, named, None, order_by, guard)
+        self.commit(df, named, None, order_by, guard, cluster)
 
     def overwrite(self, df: DataFrame, order_by: Sequence[str] = ()) -> None:
         """Create or replace the whole table: a new folder, then the pointer; the old folder goes last."""

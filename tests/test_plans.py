@@ -90,6 +90,33 @@ def test_an_id_of_another_date_fails_the_load(spark, card_run, rows):
     assert rows(stored(warehouse, "card_txn", spark)) == before
 
 
+def test_daily_feeds_are_written_in_one_pass(spark, tmp_path, rows, monkeypatch):
+    data = [("a", date(2024, 1, 10)), ('q"\n,', date(2024, 1, 20)), ("b", date(2024, 1, 10))]
+    df, written, write = spark.createDataFrame(data, "id string, d date"), [], feeds.write_text_feed
+    monkeypatch.setattr(feeds, "write_text_feed", lambda *args: written.append(args[1]) or write(*args))
+    days = [date(2024, 1, 10), date(2024, 1, 20), date(2024, 1, 31)]
+    assert feeds.write_daily_feeds(df, f"{tmp_path}/in", "f", "d") == days[:2] and len(written) == 1
+    assert feeds.write_daily_feeds(df, f"{tmp_path}/in", "g", "d", days[1:]) == days
+    for name, of in (("f", days[:2]), ("g", days)):
+        for day in of:
+            got = feeds.read_text_feed(spark, feeds.daily_feed_path(f"{tmp_path}/in", name, day), ["id"], line_breaks=True)
+            assert rows(got) == sorted((i,) for i, d in data if d == day)
+    with pytest.raises(ValueError):
+        feeds.write_daily_feeds(spark.createDataFrame([("a", None)], "id string, d date"), f"{tmp_path}/in", "h", "d")
+
+
+def test_new_ids_are_looked_up_from_written_rows(spark, card_run, rows, monkeypatch):
+    """The day's transactions are integrated once, spread over the tasks that made them, and ids are read from them."""
+    warehouse, inbound, _ = card_run
+    seen, check = [], CardWarehouse._require_new_ids
+    monkeypatch.setattr(CardWarehouse, "_require_new_ids", lambda self, txn, day: seen.append(txn.inputFiles()) or check(self, txn, day))
+    warehouse.load_day(inbound, DAY, RUN_AT)
+    assert len(seen) == 1 and seen[0] and all("/card_txn/aside/" in f for f in seen[0])
+    table = SliceTable(spark, f"{warehouse.root}/spread", spark.range(1).withColumn("d", F.lit("x")).schema, "d")
+    table.replace_slices(spark.range(0, 40, 1, 4).withColumn("d", F.lit("x")), ["x"], cluster=False)
+    assert table.read().agg(F.count("id"), F.sum("id")).first() == (40, 780) and table.file_profile().count() == 4
+
+
 # ---- sales -----------------------------------------------------------------------------------
 
 def fed(spark, name, data):
