@@ -80,9 +80,9 @@ def count_where(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
-def _analysis_error(frame: DataFrame, measure: Column) -> str | None:
+def _analysis_error(frame: DataFrame, *measures: Column) -> str | None:
     try:
-        frame.agg(measure.alias("value"))
+        frame.agg(F.count(F.lit(1)), *[m.alias(f"value_{i}") for i, m in enumerate(measures)])
     except AnalysisException as problem:
         return str(problem).splitlines()[0]
     return None
@@ -117,7 +117,9 @@ def run(sets: Sequence[CheckSet]) -> DataFrame:
     results = []
     for s in sets:
         every = (*s.checks, *s.whole)
-        errors = [_analysis_error(s.frame, c.measure) for c in every]
+        # All measures are analysed at once, and one by one only if that fails.
+        sound = _analysis_error(s.frame, *[c.measure for c in every]) is None
+        errors = [None if sound else _analysis_error(s.frame, c.measure) for c in every]
         # The count keeps the aggregate when every measure of the set is an error.
         values = [F.count(F.lit(1)).alias("_rows"), *[
             (F.lit(None).cast("double") if errors[i] else c.measure).alias(f"_v{i}") for i, c in enumerate(every)]]

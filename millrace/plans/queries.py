@@ -855,14 +855,13 @@ def late_feed_rekey(spark, sf_dir):
 FIRST_DAY, SECOND_DAY, LATE_DAY = date(1999, 6, 30), date(2000, 6, 30), date(1999, 12, 31)
 
 
-def _day_feed(spark, sf_dir, root: str, day: date, customers: DataFrame, orders: DataFrame, with_static: bool = False, spoil: bool = False) -> str:
+def _day_feed(spark, sf_dir, root: str, day: date, customers: DataFrame, orders: DataFrame, lines: DataFrame, totals: DataFrame,
+              with_static: bool = False, spoil: bool = False) -> str:
     """One day's feed: its customers, its orders with all their lines, on the first day also products and stores.
 
     Order totals are the sums of the lines; ``spoil`` makes one wrong.
     """
     stamps = [F.lit(f"{day} 00:00:00").alias("created_at"), F.lit(f"{day} 00:00:00").alias("updated_at")]
-    lines = src.order_items(spark, sf_dir).drop("updated_at")
-    totals = lines.groupBy("order_id").agg(F.sum("line_amount").cast("decimal(12,2)").alias("order_total"), F.min("store_id").alias("store_id"))
     heads = orders.drop("order_total").join(totals, "order_id")
     if spoil:
         wrong = orders.agg(F.min("order_id").alias("_wrong"))
@@ -893,21 +892,26 @@ def sales_days(spark, sf_dir):
     root = scratch(spark, "sales")
     warehouse = sales_day.SalesWarehouse(spark, f"{root}/wh", date(1990, 1, 1), date(2010, 12, 31), buckets=4, monthly_fact=True)
     people, orders = src.customers(spark, sf_dir), src.orders(spark, sf_dir)
+    # All lines and their sums are the same for every feed.
+    lines = _held(spark, src.order_items(spark, sf_dir).drop("updated_at"), "lines")
+    totals = _held(spark, lines.groupBy("order_id").agg(
+        F.sum("line_amount").cast("decimal(12,2)").alias("order_total"), F.min("store_id").alias("store_id")), "totals")
+    feed = lambda *day, **more: _day_feed(spark, sf_dir, root, *day, lines, totals, **more)
     missing = F.col("customer_id") % 10 == 3
     early = orders.where(F.col("order_date") <= F.lit(FIRST_DAY))
     fed_again = early.where(F.col("order_id") % 5 == 0).unionByName(
         orders.where(F.col("order_date").between(F.lit(FIRST_DAY) + F.expr("INTERVAL 1 DAY"), F.lit(SECOND_DAY))))
     segment = lambda every, name: people.where(F.col("customer_id") % every == 0).withColumn("segment", F.lit(name))
-    first = _day_feed(spark, sf_dir, root, FIRST_DAY, people.where(~missing), early.withColumn("status", F.lit(" placed ")), with_static=True)
+    first = feed(FIRST_DAY, people.where(~missing), early.withColumn("status", F.lit(" placed ")), with_static=True)
     warehouse.run(first, FIRST_DAY, set_aside=True)
     served, refused = warehouse.report().count(), 0
     try:
-        warehouse.run(_day_feed(spark, sf_dir, root, SECOND_DAY, segment(4, "vip"), fed_again, spoil=True), SECOND_DAY, set_aside=True)
+        warehouse.run(feed(SECOND_DAY, segment(4, "vip"), fed_again, spoil=True), SECOND_DAY, set_aside=True)
     except quality.QualityGateError:
         refused += warehouse.report().count() == served
-    warehouse.run(_day_feed(spark, sf_dir, root, SECOND_DAY, segment(4, "vip"), fed_again), SECOND_DAY, set_aside=True)
+    warehouse.run(feed(SECOND_DAY, segment(4, "vip"), fed_again), SECOND_DAY, set_aside=True)
     late = people.where(missing).unionByName(segment(8, "mid"))
-    report = warehouse.run(_day_feed(spark, sf_dir, root, LATE_DAY, late, orders.limit(0)), LATE_DAY, set_aside=True)
+    report = warehouse.run(feed(LATE_DAY, late, orders.limit(0)), LATE_DAY, set_aside=True)
     return report.select("order_id", "line_no", "status", "customer_id", "segment", "order_date", "extended_amount").withColumn(
         "refused_days", F.lit(refused)).withColumn("still_waiting", F.lit(warehouse.queue().read().count()).cast("bigint"))
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import text
 from millrace.operators import history, keyed, quality, star
+from millrace.session import together
 from millrace.sources import feeds, files
 from millrace.sources.slices import SliceTable, Staged
 
@@ -93,6 +96,8 @@ class SalesWarehouse:
     ``run`` stages all tables, checks them as they would be, and publishes them only if the gate passes: a refused day leaves
     what is served as it was (its rows stay in the log, which the corrected feed of the day replaces).  A feed older
     than one that was landed is spliced in: versions and facts of its keys are those of a run in order.
+
+    The tables of one step do not need each other, and some are made at the same time.
     """
 
     def __init__(self, spark: SparkSession, root: str, first_day: date, last_day: date, buckets: int = 16, monthly_fact: bool = False):
@@ -101,6 +106,8 @@ class SalesWarehouse:
         self.first_day, self.last_day = first_day, last_day
         self._staged: dict[tuple[str, str], Staged] | None = None
         self._work: list[str] = []
+        self._schemas: dict[str, T.StructType] = {}
+        self._late: tuple[date, bool] | None = None  # of the day that runs
 
     # ---- staging
 
@@ -127,9 +134,12 @@ class SalesWarehouse:
         return staged.read(slices) if staged else self.table(layer, name, slice_by).read(slices)
 
     def _settle(self, publish: bool) -> None:
+        """Current state before dimensions before queue and fact."""
         staged, self._staged = self._staged or {}, None
-        for load in staged.values():
-            load.publish() if publish else load.discard()
+        ranks = [[key for key in staged if key[0] == "current"], [key for key in staged if key[0] == "star" and key[1] in DIMENSIONS]]
+        ranks += [[("star", name)] for name in ("unresolved", "fact") if ("star", name) in staged]
+        for rank in ranks:
+            together(self.spark, *[staged[key].publish if publish else staged[key].discard for key in rank])
 
     # ---- tables
 
@@ -141,24 +151,37 @@ class SalesWarehouse:
         return df.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int"))
 
     def log(self, name: str) -> SliceTable:
-        columns = [F.lit(None).cast(t).alias(c) for c, t in SOURCES[name].columns.items()]
-        empty = feeds.stamp_ingest(self.spark.range(0).select(*columns), self.first_day, "none")
-        return self.table("log", name, "_run_date", empty)
+        if name not in self._schemas:
+            columns = [F.lit(None).cast(t).alias(c) for c, t in SOURCES[name].columns.items()]
+            self._schemas[name] = feeds.stamp_ingest(self.spark.range(0).select(*columns), self.first_day, "none").schema
+        return SliceTable(self.spark, f"{self.root}/log/{name}", self._schemas[name], "_run_date")
 
     # ---- steps
 
     def land(self, folder: str, run_date: date) -> None:
-        """Typed log slices and quarantine of one feed; together they must hold as many rows as the manifest says."""
+        """Typed log slices and quarantine of one feed; together they must hold as many rows as the manifest says.
+
+        All tables are written before one is placed, so a wrong total of one lands none.
+        """
         listed = feeds.manifest_entries(self.spark, folder, list(SOURCES))
-        day = [run_date.isoformat()]
-        for name, source in SOURCES.items():
-            file, rows = listed[name]
-            raw = feeds.read_text_feed(self.spark, f"{folder}/{file}", list(source.columns), line_breaks=True)
-            held = feeds.stamp_ingest(raw, run_date, file)
-            good, bad = feeds.split_bad_casts(held, source.casts, source.key)
-            aside = self.table("quarantine", name, "_run_date", bad)
-            aside.replace_slices(bad, day)
-            self.log(name).replace_slices(good, day, expected_rows=rows - aside.read(day).count())
+        staged = together(self.spark, *[partial(self._landed, name, folder, listed[name][0], run_date) for name in SOURCES])
+        # What was written is counted in one query (footer counts); one row per table and layer.
+        counted = {(r["layer"], r["table"]): r["rows"] for r in reduce(DataFrame.unionByName, [
+            load.written().agg(F.count(F.lit(1)).alias("rows")).select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "rows")
+            for name, pair in zip(SOURCES, staged) for layer, load in zip(("quarantine", "log"), pair)]).collect()}
+        for name, (_, rows) in listed.items():
+            expected = rows - counted["quarantine", name]
+            if counted["log", name] != expected:
+                raise feeds.ControlTotalError(f"{self.root}/log/{name}: wrote {counted['log', name]} rows, expected {expected}")
+        together(self.spark, *[load.publish for pair in staged for load in pair])
+
+    def _landed(self, name: str, folder: str, file: str, run_date: date) -> tuple[Staged, Staged]:
+        """Quarantine and log slice of one table, written but not placed."""
+        source, day = SOURCES[name], [run_date.isoformat()]
+        raw = feeds.read_text_feed(self.spark, f"{folder}/{file}", list(source.columns), line_breaks=True)
+        held = feeds.stamp_ingest(raw, run_date, file)
+        good, bad = feeds.split_bad_casts(held, source.casts, source.key)
+        return self.table("quarantine", name, "_run_date", bad).stage_slices(bad, day), self.log(name).stage_slices(good, day)
 
     def _newest_first(self, name: str) -> list[Column]:
         return [F.col("updated_at").desc(), F.col("_ingested_at").desc(), F.xxhash64(*SOURCES[name].columns)]
@@ -187,18 +210,21 @@ class SalesWarehouse:
 
     def late(self, run_date: date) -> bool:
         """Whether a later day was landed already."""
+        if self._late is not None and self._late[0] == run_date:
+            return self._late[1]
         return any(day > run_date.isoformat() for name in SOURCES for day in self.log(name).slices())
 
     def refresh_current(self, run_date: date) -> None:
         """The run's rows over the stored ones; those of a late feed only where they are newer."""
         newer = "updated_at" if self.late(run_date) else None
-        for name, source in SOURCES.items():
-            if name == "product_categories":
-                continue
+
+        def refresh(name: str, source: Source) -> None:
             key = list(source.key)
             fed = self._bucketed(self.fed(name, run_date), source.key)
             self._put("current", name, self.table("current", name, "bucket", fed).stage_merge(
-                fed, key, lambda kept, new, key=key: keyed.upsert(kept, new, key, newer, check=False), slice_of_key=True))
+                fed, key, lambda kept, new: keyed.upsert(kept, new, key, newer, check=False), slice_of_key=True))
+
+        together(self.spark, *[partial(refresh, name, source) for name, source in SOURCES.items() if name != "product_categories"])
 
     def dimension(self, name: str) -> SliceTable:
         return self.table("star", name, "is_current")
@@ -206,7 +232,8 @@ class SalesWarehouse:
     def refresh_dimensions(self, run_date: date) -> None:
         """Onboard on the first run, advance after; closed rows are only ever added.  A late feed is spliced in."""
         late = self.late(run_date)
-        for name, dim in DIMENSIONS.items():
+
+        def refresh(name: str, dim: history.Dimension) -> None:
             state = self._rows("current", name, "bucket")
             first = history.onboard(state, dim)
             table = self.table("star", name, "is_current", first)
@@ -219,6 +246,8 @@ class SalesWarehouse:
                 staged = table.stage(history.advance(table.read(["true"]), state, dim, run_date), ["true"])
             self._put("star", name, staged)
 
+        together(self.spark, *[partial(refresh, name, dim) for name, dim in DIMENSIONS.items()])
+
     def _spliced(self, table: SliceTable, name: str, dim: history.Dimension, run_date: date) -> DataFrame:
         """The dimension with a late feed's rows; the log is read for the keys of the feed only."""
         keys = self.log(name).read([run_date.isoformat()]).select(dim.key).distinct()
@@ -239,9 +268,11 @@ class SalesWarehouse:
 
     def queue(self) -> SliceTable:
         """Lines that were set aside because a key had no version on their order date, with these keys."""
-        columns = ("order_id bigint, line_no int, order_date date, customer_id bigint, product_id bigint, store_id int, "
-                   "run_date date, bucket int")
-        return self.table("star", "unresolved", "bucket", self.spark.createDataFrame([], columns))
+        if "unresolved" not in self._schemas:
+            columns = ("order_id bigint, line_no int, order_date date, customer_id bigint, product_id bigint, store_id int, "
+                       "run_date date, bucket int")
+            self._schemas["unresolved"] = self.spark.createDataFrame([], columns).schema
+        return SliceTable(self.spark, f"{self.root}/star/unresolved", self._schemas["unresolved"], "bucket")
 
     def _changed_spans(self) -> dict[str, DataFrame]:
         """Per dimension that this run has staged: the keys whose versions change, and the days that hold the changes."""
@@ -271,8 +302,9 @@ class SalesWarehouse:
     def _desired(self, run_date: date) -> tuple[DataFrame, DataFrame]:
         """Fact rows of all touched orders, and the natural keys of their lines; each step is written, as several read it."""
         touched = self._held(self._touched_orders(run_date))
-        lines = self._held(self._rows("current", "order_items", "bucket").join(touched, "order_id", "left_semi"))
-        orders = self._held(self._rows("current", "orders", "bucket").join(touched, "order_id", "left_semi"))
+        lines, orders = together(self.spark, *[
+            lambda name=name: self._held(self._rows("current", name, "bucket").join(touched, "order_id", "left_semi"))
+            for name in ("order_items", "orders")])
         dims = {k: d for k, d in self.dimensions().items() if k != "date_key"}
         natural = lines.select(*GRAIN, "product_id").join(orders.select("order_id", "customer_id", "store_id"), "order_id")
         return self._held(star.build_fact(lines, orders, dims)), natural
@@ -298,16 +330,18 @@ class SalesWarehouse:
         tried = desired.select(*GRAIN, "order_date").join(natural, GRAIN) \
             .join(missing.select(*GRAIN, F.lit(True).alias("_missing")), GRAIN, "left").withColumn("run_date", F.lit(run_date))
         tried = self._bucketed(tried, ("order_id",)).select(*waiting.schema.names, "_missing")
-        self._put("star", "unresolved", waiting.stage_merge(
-            tried, GRAIN, lambda kept, new: kept.join(new.select(*GRAIN), GRAIN, "left_anti").unionByName(
-                new.where("_missing").drop("_missing")), slice_of_key=True))
         update = [c for c in desired.columns if c not in GRAIN] if self.late(run_date) else ["status"]
         loaded = star.resolved(desired)
         if self.fact_slice != "order_date":
             loaded = loaded.withColumn(self.fact_slice, F.trunc("order_date", "MONTH"))
-        self._put("star", "fact", self.table("star", "fact", self.fact_slice, loaded).stage_merge(
-            loaded, GRAIN, lambda kept, new: keyed.upsert_columns(kept, new, GRAIN, update, check=False),
-            order_by=["customer_key"]))
+        together(
+            self.spark,
+            lambda: self._put("star", "unresolved", waiting.stage_merge(
+                tried, GRAIN, lambda kept, new: kept.join(new.select(*GRAIN), GRAIN, "left_anti").unionByName(
+                    new.where("_missing").drop("_missing")), slice_of_key=True)),
+            lambda: self._put("star", "fact", self.table("star", "fact", self.fact_slice, loaded).stage_merge(
+                loaded, GRAIN, lambda kept, new: keyed.upsert_columns(kept, new, GRAIN, update, check=False),
+                order_by=["customer_key"])))
 
     def checks(self) -> DataFrame:
         """Star checks on the tables as they are, or as the run has staged them; the order totals must reconcile."""
@@ -320,25 +354,35 @@ class SalesWarehouse:
     def report(self, columns: list[str] | None = None) -> DataFrame:
         return star.report_view(self.fact().read(), self.dimensions(), columns)
 
-    def register_views(self) -> None:
-        """Temporary views of the star tables and of the report, for ``spark.sql``."""
-        views = {f"dim_{name.removesuffix('_key')}": df for name, df in self.dimensions().items()}
-        views |= {"fact_sales": self.fact().read(), "sales_report": self.report()}
+    def register_views(self) -> DataFrame:
+        """Temporary views of the star tables and of the report, for ``spark.sql``; the report."""
+        dims, fact = self.dimensions(), self.fact().read()
+        report = star.report_view(fact, dims)
+        views = {f"dim_{name.removesuffix('_key')}": df for name, df in dims.items()}
+        views |= {"fact_sales": fact, "sales_report": report}
         for name, df in views.items():
             df.createOrReplaceTempView(name)
+        return report
 
     def run(self, folder: str, run_date: date, set_aside: bool = False) -> DataFrame:
         """Feed to report for one run date; what the run would make of the tables is checked before any of them changes."""
+        try:
+            return together(self.spark, lambda: self._run(folder, run_date, set_aside))[0]
+        finally:
+            gc.collect()  # frames hang in cycles with the JVM's objects; without this the driver keeps the plans of earlier days
+
+    def _run(self, folder: str, run_date: date, set_aside: bool) -> DataFrame:
         self.land(folder, run_date)
         self._staged = {}
         passed = False
         try:
+            self._late = run_date, self.late(run_date)
             self.refresh_current(run_date)
             self.refresh_dimensions(run_date)
             self.refresh_fact(run_date, set_aside)
             quality.require_passed(self.checks())
             passed = True
         finally:
+            self._late = None
             self._settle(passed)
-        self.register_views()
-        return self.report()
+        return self.register_views()

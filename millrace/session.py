@@ -7,9 +7,13 @@ submitter.  ``prepare`` only fixes settings that results or skew handling depend
 from __future__ import annotations
 
 import os
+import queue
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import Future
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -62,6 +66,41 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+#: Steps that ``together`` runs at once; the driver plans as many.
+AT_ONCE = 3
+
+
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """What the steps return, run at the same time: for steps that do not need each other, as of several tables.
+
+    All have ended before the first error, in the order of the steps, is raised.  Most of a step on small tables is the
+    driver's planning and waiting, which one step after the other would leave the executors idle for.  The threads have no
+    active session, as frames bring theirs; so PySpark does not ask the JVM for the call site of every column expression.
+    """
+    ended = [Future() for _ in steps]
+    waiting = queue.SimpleQueue()
+    for pair in zip(steps, ended):
+        waiting.put(pair)
+
+    def run() -> None:
+        while True:
+            try:
+                step, into = waiting.get_nowait()
+            except queue.Empty:
+                return
+            try:
+                into.set_result(step())
+            except BaseException as problem:  # noqa: BLE001
+                into.set_exception(problem)
+
+    threads = [InheritableThread(target=run, session=spark) for _ in steps[:AT_ONCE]]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    return [into.result() for into in ended]
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; never reused, so nothing must be cleared."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.casts import to_type
+from millrace.session import together
 from millrace.sources import files
 
 # A leading underscore would hide the file from Spark readers.
@@ -208,7 +209,7 @@ def _store(spark: SparkSession, path: str, windows: Mapping[str, tuple[datetime,
 def extract_feed(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, state_dir: str,
                  source: str, run_date: date, high: datetime, full: bool = False,
                  updated: str = "updated_at") -> None:
-    """Store the windows, write every table's changes, then the manifest, then note that the feed stands.
+    """Store the windows, write every table's changes (several tables at once), then the manifest, then note that the feed stands.
 
     A run date extracted again reads its own windows again (``reserve_windows``).  Each attempt writes folders of its own and the manifest names them, so a run date can be extracted again, after a
     crash or not: until the manifest is replaced the earlier feed stands.  Rows are counted on their way into the files,
@@ -216,14 +217,16 @@ def extract_feed(spark: SparkSession, tables: Mapping[str, DataFrame], folder: s
     """
     windows = reserve_windows(spark, state_dir, tables, run_date, high, full)
     attempt = uuid.uuid4().hex
-    listed = []
-    for name, df in tables.items():
+
+    def write(name: str, df: DataFrame) -> tuple[str, str, datetime, int]:
         low, upto = windows[name]
         path = f"{folder}/{name}_{run_date.isoformat()}_{attempt}.csv"
         counted = Observation(f"{name}-{attempt}")
         window = extract_window(df, low, upto, updated).sortWithinPartitions(updated)
         write_text_feed(window.observe(counted, F.count(F.lit(1)).alias("rows")), path)
-        listed.append((name, path.rsplit("/", 1)[1], low, counted.get.get("rows", 0)))
+        return name, path.rsplit("/", 1)[1], low, counted.get.get("rows", 0)
+
+    listed = together(spark, *[partial(write, name, df) for name, df in tables.items()])
     publish_manifest(spark, folder, source, run_date, max((upto for _, upto in windows.values()), default=high), listed)
     day = run_date.isoformat()
     _store(spark, f"{state_dir}/done-{day}.json", {**_windows(spark, state_dir, day, "done"), **windows})

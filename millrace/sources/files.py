@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
+@lru_cache(maxsize=1)
+def _hadoop_path(jvm):
+    """The class, looked up once: each part of its name is a call to the JVM."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _resolve(spark: SparkSession, path: str):
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath = _hadoop_path(spark._jvm)(path)
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
 
 
@@ -45,7 +52,7 @@ def make(spark: SparkSession, path: str) -> None:
 def move(spark: SparkSession, path: str, target: str) -> None:
     """Rename a folder; what the target held before is gone."""
     fs, hpath = _resolve(spark, path)
-    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    to = _hadoop_path(spark._jvm)(target)
     fs.mkdirs(to.getParent())
     fs.delete(to, True)
     if not fs.rename(hpath, to):
@@ -69,7 +76,7 @@ def publish_json(spark: SparkSession, path: str, body: dict, replace: bool = Fal
     error; the check and the rename are two steps: one writer at a time.
     """
     fs, target = _resolve(spark, path)
-    staging = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.staging")
+    staging = _hadoop_path(spark._jvm)(f"{path}.{uuid.uuid4().hex}.staging")
     stream = fs.create(staging, False)
     try:
         stream.write(bytearray(json.dumps(body, indent=1).encode("utf-8")))

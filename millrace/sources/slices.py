@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.keyed import require_unique
+from millrace.operators.keyed import duplicate_keys, require_unique
 from millrace.sources import files
 from millrace.sources.feeds import ControlTotalError
 
@@ -128,17 +128,24 @@ class SliceTable:
         """The table's rows; with ``slices`` only those folders are opened."""
         folder = self._folder()
         if folder is None:
-            return self.spark.createDataFrame([], self.schema)
+            return self._no_rows()
         if slices is None and self._begun()[0] is None:
             return self._frame(folder)
         chosen = None if slices is None else set(slices)
         paths = [path for value, path in self._seen(folder) if chosen is None or value in chosen]
-        return self._frame(folder, *paths) if paths else self.spark.createDataFrame([], self.schema)
+        return self._frame(folder, *paths) if paths else self._no_rows()
+
+    def _no_rows(self) -> DataFrame:
+        """A frame that the optimizer knows to be empty; one made of a Python list would start Python workers."""
+        names = [f.name for f in self.schema.fields]
+        nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {name}" for f, name in zip(self.schema.fields, _quoted(names))]
+        return self.spark.range(0).selectExpr(*nulls).limit(0)
 
     def _frame(self, folder: str, *paths: str) -> DataFrame:
         fields = T.StructType(list(self.schema.fields) + [T.StructField("load", T.StringType())])
         reader = self.spark.read.schema(fields).option("basePath", folder)
-        return reader.parquet(*(paths or [folder])).select(*self.schema.names)
+        # As text, since a name as a column costs several calls to the JVM and this is read often.
+        return reader.parquet(*(paths or [folder])).selectExpr(*_quoted(self.schema.names))
 
     # ---- writing
 
@@ -172,7 +179,7 @@ class SliceTable:
     def _aside(self, df: DataFrame, batch: str | None, order_by: Sequence[str], cluster: bool = True) -> tuple[str, str]:
         """Write the rows where no reader looks; the folder, and the load's own one in it, which no other attempt has."""
         aside, load = f"aside/{uuid.uuid4().hex}", f"load={quote(batch or '', safe='')}~{uuid.uuid4().hex}"
-        rows = df.select(*self.schema.names)
+        rows = df.selectExpr(*_quoted(self.schema.names))
         (clustered(rows, self.slice_by, order_by) if cluster else rows).write.partitionBy(self.slice_by).parquet(f"{self.path}/{aside}/{load}")
         self.on_step("written")
         return aside, load
@@ -183,6 +190,12 @@ class SliceTable:
     def replace_slices(self, df: DataFrame, slices: Iterable[str], order_by: Sequence[str] = (),
                        expected_rows: int | None = None, cluster: bool = True,
                        require: Callable[[DataFrame], None] | None = None) -> None:
+        """``stage_slices``, published at once."""
+        self.stage_slices(df, slices, order_by, expected_rows, cluster, require).publish()
+
+    def stage_slices(self, df: DataFrame, slices: Iterable[str], order_by: Sequence[str] = (),
+                     expected_rows: int | None = None, cluster: bool = True,
+                     require: Callable[[DataFrame], None] | None = None) -> Staged:
         """Idempotent reload: the named slices hold exactly the rows of ``df``, even none.
 
         ``expected_rows`` is a control total, compared with what was written (a footer count).  ``require`` sees the written
@@ -198,7 +211,7 @@ class SliceTable:
             if require is not None:
                 require(rows)
 
-        self.commit(df, named, None, order_by, guard, cluster)
+        return self.stage(df, named, None, order_by, guard, cluster)
 
     def overwrite(self, df: DataFrame, order_by: Sequence[str] = ()) -> None:
         """Create or replace the whole table: a new folder, then the pointer; the old folder goes last."""
@@ -216,11 +229,14 @@ class SliceTable:
         ``slice_of_key`` says that a key never changes its slice, as with a bucket of the key or a creation date: then the
         source alone tells.  Otherwise the key and slice columns of the table are read.  One entry per slice.
         """
+        return {r["slice"] for r in self._touched(source, keys, slice_of_key).collect()}
+
+    def _touched(self, source: DataFrame, keys: Sequence[str], slice_of_key: bool) -> DataFrame:
         named = source.select(self._slice_text().alias("slice"))
         if not slice_of_key:
             offered = source.select(*keys).dropna().distinct()
             named = named.union(self.read().join(offered, list(keys), "left_semi").select(self._slice_text().alias("slice")))
-        return {r["slice"] for r in named.distinct().collect()}
+        return named.distinct()
 
     def merge(self, source: DataFrame, keys: Sequence[str],
               combine: Callable[[DataFrame, DataFrame], DataFrame], order_by: Sequence[str] = (),
@@ -240,8 +256,12 @@ class SliceTable:
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
         source.write.parquet(staged)
         held = self.spark.read.schema(source.schema).parquet(staged)
-        require_unique(held, keys)
-        touched = self.touched_slices(held, keys, slice_of_key)
+        # The touched slices and whether a key comes twice, asked in one query.
+        clash = duplicate_keys(held, keys).limit(1).select(F.lit(None).cast("string").alias("slice"))
+        found = self._touched(held, keys, slice_of_key).select("slice", F.lit(False).alias("clash")).union(clash.select("slice", F.lit(True))).collect()
+        if any(r["clash"] for r in found):
+            require_unique(held, keys)
+        touched = {r["slice"] for r in found}
         made = self.stage(combine(self.read(touched), held), touched, None, order_by)
         files.remove(self.spark, staged)
         return made
@@ -258,10 +278,14 @@ class Staged:
         self.table, self.load, self.first_folder = table, load, first_folder
         self.slices = slices  # those that are replaced whole, if no other folders are
 
+    def written(self) -> DataFrame:
+        """The rows that were written, without those of the table beside them."""
+        return self.table._frame(f"{self.table.path}/{self.load['aside']}")
+
     def read(self, slices: Iterable[str] | None = None) -> DataFrame:
         """The table's rows as they will be once this is published."""
         table, folder = self.table, self.table._folder()
-        out = table._frame(f"{table.path}/{self.load['aside']}") if self.load["any"] else table.spark.createDataFrame([], table.schema)
+        out = table._frame(f"{table.path}/{self.load['aside']}") if self.load["any"] else table._no_rows()
         if folder and self.slices is not None:  # one listing, and partition filters
             out = out.unionByName(table._frame(folder).where(~table._slice_text().isin(sorted(self.slices))))
         elif folder:
@@ -303,6 +327,10 @@ def field_bytes(df: DataFrame) -> DataFrame:
     )
 
 
+def _quoted(names: Iterable[str]) -> list[str]:
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 def clustered(df: DataFrame, slice_by: str, order_by: Sequence[str]) -> DataFrame:
     """Rows brought together by slice and ordered inside it, ready to write.
 

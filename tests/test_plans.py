@@ -3,12 +3,14 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import cards, lineage, quality, star
 from millrace.operators.quality import QualityGateError
 from millrace.plans.card_day import CardWarehouse, RepeatedIdError
 from millrace.plans.sales_day import DIMENSIONS, SOURCES, SalesWarehouse
+from millrace.session import together
 from millrace.sources import adapters, feeds, files
 from millrace.sources.feeds import ControlTotalError
 from millrace.sources.slices import SliceTable
@@ -244,6 +246,34 @@ def test_wrong_control_total_lands_nothing(spark, sales, tmp_path, monkeypatch):
     assert "2024-02-09" not in warehouse.log("orders").slices()
 
 
+def test_a_wrong_total_of_one_table_lands_none(sales, monkeypatch):
+    warehouse, second, _ = sales
+    real = feeds.manifest_entries
+    monkeypatch.setattr(feeds, "manifest_entries", lambda *args: {
+        t: (file, rows + (t == "order_items")) for t, (file, rows) in real(*args).items()})
+    with pytest.raises(ControlTotalError, match="log/order_items: wrote 1 rows, expected 2"):
+        warehouse.land(second, date(2024, 2, 10))
+    assert not [n for n in SOURCES if "2024-02-10" in warehouse.log(n).slices()]
+
+
+def test_a_feed_is_counted_in_one_query(spark, sales, monkeypatch):
+    warehouse, second, _ = sales
+    frame, asked = type(spark.range(1)), []
+    for name in ("count", "collect"):
+        monkeypatch.setattr(frame, name, lambda self, name=name, real=getattr(frame, name): asked.append(name) or real(self))
+    warehouse.land(second, D2)
+    assert asked == ["collect", "collect"]  # the manifest, and what was written of all tables
+
+
+def test_steps_together_give_results_in_order_or_the_first_error(spark):
+    assert together(spark, *[lambda n=n: (n, SparkSession.getActiveSession(), spark.range(n).count()) for n in range(5)]) == [
+        (n, None, n) for n in range(5)]
+    ended = []
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda: ended.append(1), lambda: 1 // 0, lambda: [][0], lambda: ended.append(4))
+    assert sorted(ended) == [1, 4]
+
+
 def test_orphans_and_gate_stop_the_run(spark, tmp_path):
     warehouse = SalesWarehouse(spark, f"{tmp_path}/wh", date(2024, 1, 1), date(2024, 12, 31), buckets=2)
     tables = first_feed(spark)

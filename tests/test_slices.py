@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators import keyed
 from millrace.operators.keyed import DuplicateKeyError
@@ -199,3 +201,26 @@ def test_pruned_read_opens_only_named_slices(table):
 def test_field_bytes(spark, rows):
     df = spark.createDataFrame([("ab", 10), ("ü", None)], "s string, n int")
     assert rows(field_bytes(df)) == [("n", 2), ("s", 4)]
+
+
+def test_a_table_without_rows_needs_no_python_workers(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("a `b`", T.ArrayType(T.StringType())), T.StructField("day", T.DateType())])
+    empty = SliceTable(spark, f"{tmp_path}/none", schema, "day").read()
+    assert (empty.dtypes, empty.collect()) == ([(f.name, f.dataType.simpleString()) for f in schema.fields], [])
+    assert "ExistingRDD" not in empty._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_merge_asks_for_slices_and_repeated_keys_at_once(spark, tmp_path, monkeypatch):
+    table = SliceTable(spark, f"{tmp_path}/t", spark.createDataFrame([], "k int, s int").schema, "s")
+    table.append(spark.createDataFrame([(1, 1), (2, 2)], "k int, s int"))
+    frame, asked = type(spark.range(1)), []
+    for name in ("first", "collect"):
+        monkeypatch.setattr(frame, name, lambda self, name=name, real=getattr(frame, name): asked.append(name) or real(self))
+    table.merge(spark.createDataFrame([(1, 3), (None, 2), (None, None)], "k int, s int"), ["k"],
+                lambda kept, new: keyed.upsert(kept, new, ["k"], check=False))
+    assert asked == ["collect"]
+    monkeypatch.undo()
+    assert sorted(map(str, table.read().collect())) == sorted(map(str, [
+        Row(k=1, s=3), Row(k=2, s=2), Row(k=None, s=2), Row(k=None, s=None)]))
+    with pytest.raises(keyed.DuplicateKeyError, match="'k': 7"):
+        table.merge(spark.createDataFrame([(7, 1), (7, 2)], "k int, s int"), ["k"], lambda kept, new: new)
